@@ -9,16 +9,11 @@ leads without messages occur.
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from funil import schema as S, values as V
-from funil.functions.scalars import moment
 from funil.tables import SalesTables
 
-LOADED_AT = datetime(2024, 1, 1)
-
 RAW = {
     "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
     "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
@@ -43,103 +38,109 @@ def scan(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.schema(RAW[table]).parquet(f"{folder}/{table}.parquet")
 
 
-def _typed(df: DataFrame, table: str) -> DataFrame:
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in S.SCHEMAS[table]])
+def _contact(number: str) -> str:
+    """The messaging address of a contact number, as SQL."""
+    return f"concat('55', lpad(CAST({number} AS STRING), 11, '0'), '@s.whatsapp.net')"
+
+
+# Column expressions per table, in the order of the declared schemas.
+LOADED_AT = "TIMESTAMP_NTZ'2024-01-01 00:00:00'"
+
+PROVIDER_COLUMNS = {
+    "id": "n_nationkey",
+    "nome_provedor": "n_name",
+    "instancia": "concat(lower(n_name), '_whatsapp')",
+    "apikey": "concat('key_', n_nationkey)",
+    "config_bot": """
+        CASE n_nationkey
+          WHEN 23 THEN NULL
+          WHEN 22 THEN '{"modelo":null,"prompt_sdr":null}'
+          ELSE concat('{"modelo":"m', n_regionkey, '","max_tokens":', 400 + 10 * n_nationkey,
+            ',"temperatura":0.', n_nationkey % 9 + 1,
+            IF(n_nationkey % 4 = 0, '',
+               concat(',"prompt_sdr":"Método COT: qualificar ', lower(n_name), '"')),
+            ',"webhook_n8n":"https://example.org/hook/', n_nationkey, '"}')
+        END""",
+    "plano": f"""
+        CASE n_nationkey % 3 WHEN 0 THEN '{V.DEFAULT_TIER}' WHEN 1 THEN 'profissional'
+        ELSE 'enterprise' END""",
+    "ativo": "n_nationkey % 7 <> 0",
+    "created_at": LOADED_AT,
+    "updated_at": LOADED_AT,
+}
+
+PLAN_COLUMNS = {
+    "id": "s_suppkey",
+    "nome_plano": "s_name",
+    "velocidade": "concat(100 * (s_suppkey % 6 + 1), ' Mbps')",
+    "valor": "s_acctbal",
+    "provedor_id": "least(s_nationkey, 23)",
+    "ativo": "s_suppkey % 10 <> 0",
+    "created_at": LOADED_AT,
+    "updated_at": LOADED_AT,
+}
+
+_ARRIVED = f"{LOADED_AT} + make_dt_interval(0, 0, CAST(c_custkey div 2 AS INT), 0)"
+
+LEAD_COLUMNS = {
+    "id": "c_custkey",
+    "nome": "IF(c_custkey % 11 <> 0, c_name, NULL)",
+    "cpf_cnpj": "IF(c_custkey % 3 <> 0, lpad(CAST(c_custkey AS STRING), 11, '0'), NULL)",
+    "endereco_instalacao": "concat(c_mktsegment, ' street')",
+    "remotejid": _contact("c_custkey"),
+    "whatsapp": "IF(c_custkey % 5 <> 0, concat('(55) ', lpad(CAST(c_custkey AS STRING), 9, '0')), NULL)",
+    "tags": f"""
+        CASE WHEN c_custkey % 13 = 0 THEN NULL
+             WHEN c_custkey % 17 = 0 THEN array()
+             ELSE array(CASE WHEN c_acctbal > 6000 THEN '{V.TAG_HOT}' WHEN c_acctbal > 2000 THEN '{V.TAG_WARM}'
+                        ELSE '{V.TAG_COLD}' END, lower(c_mktsegment)) END""",
+    "created_at": _ARRIVED,
+    "updated_at": _ARRIVED,
+    "provedor_id": "c_nationkey",
+}
 
+MESSAGE_COLUMNS = {
+    "id": "o_orderkey",
+    "mensagem": "o_orderpriority",
+    "is_bot": "o_orderstatus = 'F'",
+    "created_at": "o_orderdate",
+    "lead_id": "IF(o_custkey % 50 = 0, o_custkey + 1, o_custkey)",
+}
+
+# Conversation turns, whole texts; what the user did not write counts as the bot's.
+TEXT_COLUMNS = {
+    "id": "conv_id * 1000 + turn",
+    "mensagem": "text",
+    "is_bot": "role <> 'user'",
+    "created_at": f"{LOADED_AT} + make_dt_interval(0, 0, CAST(turn AS INT), 0)",
+    "lead_id": "conv_id",
+}
 
-def contact_id(number):
-    """The messaging address of a contact number."""
-    return F.concat(F.lit("55"), F.lpad(number.cast("string"), 11, "0"), F.lit("@s.whatsapp.net"))
+
+def _as(df: DataFrame, table: str, columns: dict[str, str]) -> DataFrame:
+    return df.selectExpr([
+        f"CAST({columns[f.name]} AS {f.dataType.simpleString()}) AS {f.name}" for f in S.SCHEMAS[table]
+    ])
 
 
 def providers(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("n_nationkey")
-    prompt = F.when(key % 4 == 0, F.lit("")).otherwise(
-        F.concat(F.lit(',"prompt_sdr":"Método COT: qualificar '), F.lower("n_name"), F.lit('"'))
-    )
-    config = F.concat(
-        F.lit('{"modelo":"m'), F.col("n_regionkey").cast("string"),
-        F.lit('","max_tokens":'), (400 + 10 * key).cast("string"),
-        F.lit(',"temperatura":0.'), (key % 9 + 1).cast("string"),
-        prompt,
-        F.lit(',"webhook_n8n":"https://example.org/hook/'), key.cast("string"), F.lit('"}'),
-    )
-    return _typed(
-        scan(spark, folder, "nation").select(
-            key.alias("id"),
-            F.col("n_name").alias("nome_provedor"),
-            F.concat(F.lower("n_name"), F.lit("_whatsapp")).alias("instancia"),
-            F.concat(F.lit("key_"), key.cast("string")).alias("apikey"),
-            F.when(key == 23, None)
-            .when(key == 22, '{"modelo":null,"prompt_sdr":null}')
-            .otherwise(config)
-            .alias("config_bot"),
-            F.when(key % 3 == 0, V.DEFAULT_TIER)
-            .when(key % 3 == 1, "profissional")
-            .otherwise("enterprise")
-            .alias("plano"),
-            (key % 7 != 0).alias("ativo"),
-            moment(LOADED_AT).alias("created_at"),
-            moment(LOADED_AT).alias("updated_at"),
-        ),
-        "provedores",
-    )
+    return _as(scan(spark, folder, "nation"), "provedores", PROVIDER_COLUMNS)
 
 
 def plans(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("s_suppkey")
-    return _typed(
-        scan(spark, folder, "supplier").select(
-            key.alias("id"),
-            F.col("s_name").alias("nome_plano"),
-            F.concat((100 * (key % 6 + 1)).cast("string"), F.lit(" Mbps")).alias("velocidade"),
-            F.col("s_acctbal").alias("valor"),
-            F.least("s_nationkey", F.lit(23)).alias("provedor_id"),
-            (key % 10 != 0).alias("ativo"),
-            moment(LOADED_AT).alias("created_at"),
-            moment(LOADED_AT).alias("updated_at"),
-        ),
-        "planos",
-    )
+    return _as(scan(spark, folder, "supplier"), "planos", PLAN_COLUMNS)
 
 
 def leads(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("c_custkey")
-    balance = F.col("c_acctbal")
-    temperature = F.when(balance > 6000, V.TAG_HOT).when(balance > 2000, V.TAG_WARM).otherwise(V.TAG_COLD)
-    arrived = moment(LOADED_AT) + F.make_dt_interval(mins=F.floor(key / 2).cast("int"))
-    return _typed(
-        scan(spark, folder, "customer").select(
-            key.alias("id"),
-            F.when(key % 11 != 0, F.col("c_name")).alias("nome"),
-            F.when(key % 3 != 0, F.lpad(key.cast("string"), 11, "0")).alias("cpf_cnpj"),
-            F.concat("c_mktsegment", F.lit(" street")).alias("endereco_instalacao"),
-            contact_id(key).alias("remotejid"),
-            F.when(key % 5 != 0, F.concat(F.lit("(55) "), F.lpad(key.cast("string"), 9, "0"))).alias("whatsapp"),
-            F.when(key % 13 == 0, None)
-            .when(key % 17 == 0, F.array().cast("array<string>"))
-            .otherwise(F.array(temperature, F.lower("c_mktsegment")))
-            .alias("tags"),
-            arrived.alias("created_at"),
-            arrived.alias("updated_at"),
-            F.col("c_nationkey").alias("provedor_id"),
-        ),
-        "leads",
-    )
+    return _as(scan(spark, folder, "customer"), "leads", LEAD_COLUMNS)
 
 
 def messages(spark: SparkSession, folder: str) -> DataFrame:
-    lead = F.col("o_custkey")
-    return _typed(
-        scan(spark, folder, "orders").select(
-            F.col("o_orderkey").alias("id"),
-            F.col("o_orderpriority").alias("mensagem"),
-            (F.col("o_orderstatus") == "F").alias("is_bot"),
-            F.col("o_orderdate").alias("created_at"),
-            F.when(lead % 50 == 0, lead + 1).otherwise(lead).alias("lead_id"),
-        ),
-        "mensagens",
-    )
+    return _as(scan(spark, folder, "orders"), "mensagens", MESSAGE_COLUMNS)
+
+
+def text_messages(spark: SparkSession, folder: str) -> DataFrame:
+    return _as(scan(spark, folder, "conversations"), "mensagens", TEXT_COLUMNS)
 
 
 def sales_tables(spark: SparkSession, folder: str) -> SalesTables:
@@ -151,112 +152,89 @@ def sales_tables(spark: SparkSession, folder: str) -> SalesTables:
     )
 
 
-def text_messages(spark: SparkSession, folder: str) -> DataFrame:
-    """Conversation turns as messages, whole texts; what the user did not write is the bot's."""
-    turn = F.col("turn")
-    return _typed(
-        scan(spark, folder, "conversations").select(
-            (F.col("conv_id") * 1000 + turn).alias("id"),
-            F.col("text").alias("mensagem"),
-            (F.col("role") != "user").alias("is_bot"),
-            (moment(LOADED_AT) + F.make_dt_interval(mins=turn.cast("int"))).alias("created_at"),
-            F.col("conv_id").alias("lead_id"),
-        ),
-        "mensagens",
-    )
-
-
 # Change batches read from ``events``: ``seq`` is the order of the calls.
 
 def message_batch(events: DataFrame) -> DataFrame:
     """One message per event; some go to leads that do not exist."""
-    return events.select(
-        F.col("event_id").alias("seq"),
-        (F.col("user_id") * 11).alias("lead_id"),
-        F.concat_ws(" ", "event_type", "props").alias("mensagem"),
-        (F.col("event_type") == "error").alias("is_bot"),
-        F.col("ts").alias("created_at"),
+    return events.selectExpr(
+        "event_id AS seq",
+        "user_id * 11 AS lead_id",
+        "concat(event_type, ' ', props) AS mensagem",
+        "event_type = 'error' AS is_bot",
+        "ts AS created_at",
     )
 
 
 def contact_batch(events: DataFrame) -> DataFrame:
     """One contact update per event, with most fields unset; provider 25 does not exist."""
-    kind, number = F.col("event_type"), F.col("event_id").cast("string")
-    return events.select(
-        F.col("event_id").alias("seq"),
-        contact_id(F.col("user_id")).alias("remotejid"),
-        (F.col("event_id") % 26).alias("provedor_id"),
-        F.when(kind == "signup", F.concat(F.lit("Nome "), number)).alias("nome"),
-        F.when(kind == "purchase", F.lpad(number, 11, "7")).alias("cpf_cnpj"),
-        F.when(kind == "view", F.concat(F.lit("Rua "), number)).alias("endereco_instalacao"),
-        F.when(kind == "click", F.concat(F.lit("(11) "), number)).alias("whatsapp"),
-        F.when(kind == "purchase", F.array(F.lit(V.TAG_HOT), kind)).alias("tags"),
+    return events.selectExpr(
+        "event_id AS seq",
+        f"{_contact('user_id')} AS remotejid",
+        "event_id % 26 AS provedor_id",
+        "IF(event_type = 'signup', concat('Nome ', event_id), NULL) AS nome",
+        "IF(event_type = 'purchase', lpad(CAST(event_id AS STRING), 11, '7'), NULL) AS cpf_cnpj",
+        "IF(event_type = 'view', concat('Rua ', event_id), NULL) AS endereco_instalacao",
+        "IF(event_type = 'click', concat('(11) ', event_id), NULL) AS whatsapp",
+        f"IF(event_type = 'purchase', array('{V.TAG_HOT}', event_type), NULL) AS tags",
     )
 
 
 def tag_batch(events: DataFrame) -> DataFrame:
     """One tag overwrite per event; errors clear the tags."""
-    kind = F.col("event_type")
-    return events.select(
-        F.col("event_id").alias("seq"),
-        (F.col("user_id") * 11).alias("lead_id"),
-        F.when(kind != "error", F.array(F.lit(V.TAG_COLD), kind)).alias("tags"),
+    return events.selectExpr(
+        "event_id AS seq",
+        "user_id * 11 AS lead_id",
+        f"IF(event_type <> 'error', array('{V.TAG_COLD}', event_type), NULL) AS tags",
     )
 
 
-def snapshot_history(events: DataFrame) -> DataFrame:
-    """One snapshot per hour of events, sized by that hour's events."""
-    taken = F.date_trunc("hour", "ts").cast("timestamp_ntz")
-    return events.groupBy(taken.alias("taken_at")).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.sum(F.length("props")).alias("n_bytes"),
-    ).withColumn("snapshot", F.concat(F.lit("regular_"), F.date_format("taken_at", "yyyy-MM-dd_HH")))
-
-
 def arrivals(events: DataFrame) -> DataFrame:
     """Incoming messages by contact and instance, before they are identified."""
-    instance = F.concat(F.lit("nation_"), (F.col("event_id") % 25).cast("string"), F.lit("_whatsapp"))
-    return events.select("event_id", contact_id(F.col("user_id")).alias("remotejid"), instance.alias("instancia"))
+    return events.selectExpr(
+        "event_id",
+        f"{_contact('user_id')} AS remotejid",
+        "concat('nation_', event_id % 25, '_whatsapp') AS instancia",
+    )
 
 
-def broken_tables(spark: SparkSession, folder: str) -> SalesTables:
-    """All rows, with faults of every kind for the integrity reports to find."""
-    tables = sales_tables(spark, folder)
-    key = F.col("id")
+def snapshot_history(events: DataFrame) -> DataFrame:
+    """One snapshot per hour of events, sized by that hour's events."""
+    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")
+    sizes = events.groupBy(hour.alias("taken_at")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.length("props")).alias("n_bytes")
+    )
+    return sizes.withColumn("snapshot", F.concat(F.lit("regular_"), F.date_format("taken_at", "yyyy-MM-dd_HH")))
+
+
+# Faults of every kind, for the integrity reports to find; all rows are kept.
+FAULTS = {
+    "provedores": {
+        "config_bot": """
+            CASE id % 5 WHEN 0 THEN '{"modelo":' WHEN 1 THEN '{"modelo":"a","modelo":"b"}'
+            ELSE config_bot END""",
+    },
+    "planos": {"id": "IF(id % 9 <> 0, id, NULL)"},
+    "leads": {
+        "id": "IF(id % 97 = 0, id + 1, id)",
+        "remotejid": "CASE WHEN id % 101 = 0 THEN NULL WHEN id % 107 = 0 THEN 'shared' ELSE remotejid END",
+        "provedor_id": "CASE WHEN id % 103 = 0 THEN 999L WHEN id % 107 = 0 THEN 1L ELSE provedor_id END",
+    },
+    "mensagens": {
+        "mensagem": "IF(id % 500 <> 3, mensagem, NULL)",
+        "lead_id": "IF(id % 1000 = 7, -1L, lead_id)",
+    },
+}
 
-    def edited(df, *columns):
-        changed = {c: F.col(c) for c in df.columns}
-        changed.update(columns)
-        return df.select([value.alias(name) for name, value in changed.items()])
 
-    return SalesTables(
-        provedores=edited(
-            tables.provedores,
-            ("config_bot", F.when(key % 5 == 0, '{"modelo":')
-             .when(key % 5 == 1, '{"modelo":"a","modelo":"b"}')
-             .otherwise(F.col("config_bot"))),
-        ),
-        planos=edited(tables.planos, ("id", F.when(key % 9 != 0, key))),
-        leads=edited(
-            tables.leads,
-            ("id", F.when(key % 97 == 0, key + 1).otherwise(key)),
-            ("remotejid", F.when(key % 101 == 0, None).when(key % 107 == 0, "shared").otherwise(F.col("remotejid"))),
-            ("provedor_id", F.when(key % 103 == 0, 999).when(key % 107 == 0, 1).otherwise(F.col("provedor_id"))),
-        ),
-        mensagens=edited(
-            tables.mensagens,
-            ("mensagem", F.when(key % 500 != 3, F.col("mensagem"))),
-            ("lead_id", F.when(key % 1000 == 7, -1).otherwise(F.col("lead_id"))),
-        ),
-    )
+def broken_tables(spark: SparkSession, folder: str) -> SalesTables:
+    return SalesTables(**{
+        name: df.selectExpr([f"{FAULTS[name].get(c, c)} AS {c}" for c in df.columns])
+        for name, df in sales_tables(spark, folder).by_name().items()
+    })
 
 
 def price_texts(spark: SparkSession, folder: str) -> DataFrame:
     """Prices as text, some not numbers and some too large for the price type."""
-    line = F.col("l_linenumber")
-    return scan(spark, folder, "lineitem").select(
-        F.when(line == 7, "n/a")
-        .when(line == 6, F.concat(F.col("l_orderkey").cast("string"), F.lit("00000.5")))
-        .otherwise(F.col("l_quantity").cast("int").cast("string"))
-        .alias("valor")
-    )
+    return scan(spark, folder, "lineitem").selectExpr("""
+        CASE l_linenumber WHEN 7 THEN 'n/a' WHEN 6 THEN concat(l_orderkey, '00000.5')
+        ELSE CAST(CAST(l_quantity AS INT) AS STRING) END AS valor""")
