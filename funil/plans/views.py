@@ -52,13 +52,14 @@ def conversations(tables: SalesTables, messages: DataFrame | None = None) -> Dat
 
     ``messages`` narrows the view to some rows of the message table.
     """
+    # Providers join the leads, not the far more numerous messages, which are
+    # then shuffled once at most.
     lead = tables.leads.select(
         F.col("id").alias("lead_id"), F.col("nome").alias("lead_nome"), "whatsapp", "provedor_id"
-    )
+    ).join(_provider_names(tables, "instancia"), "provedor_id")
     return (
         (tables.mensagens if messages is None else messages)
         .join(lead, "lead_id")
-        .join(_provider_names(tables, "instancia"), "provedor_id")
         .select(
             F.col("id").alias("msg_id"), "lead_id", "lead_nome", "whatsapp", "nome_provedor",
             "instancia", "mensagem", sender(F.col("is_bot")).alias("remetente"),

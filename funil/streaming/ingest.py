@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from funil.functions import config
@@ -26,9 +26,10 @@ CONTACT_LOG = (
     "endereco_instalacao STRING, whatsapp STRING, tags ARRAY<STRING>"
 )
 RANGE_LOG = "last_id BIGINT"
+COUNT_LOG = "provedor_id BIGINT, is_bot BOOLEAN, n_messages BIGINT"
 
 
-def _log(spark, folder: str, name: str, schema: str) -> DataFrame:
+def _log(spark: SparkSession, folder: str, name: str, schema: str) -> DataFrame:
     """A log with its batch number; ``batch_id`` is the partition column."""
     return spark.read.schema(f"{schema}, batch_id BIGINT").parquet(f"{folder}/{name}")
 
@@ -51,33 +52,32 @@ def _start(stream: DataFrame, on_batch, folder: str, name: str, **trigger) -> St
 def identify(messages: DataFrame, tables: SalesTables) -> DataFrame:
     """Add lead and assistant settings to incoming ``(remotejid, instancia, ...)`` rows.
 
-    Works on a stream or a batch.  Rows of unknown contacts or inactive
-    providers have no match.
+    Rows of unknown contacts or inactive providers have no match.  The settings,
+    which are long, are attached last and do not travel through the lead join.
     """
-    providers = tables.provedores.filter("ativo").select(
-        F.col("id").alias("provedor_id"), "instancia", F.col("config_bot").alias("config")
-    )
+    active = tables.provedores.filter("ativo")
     leads = tables.leads.select(
-        F.col("id").alias("lead_id"), F.col("nome").alias("lead_nome"), "remotejid", "provedor_id"
-    )
-    return (
-        messages.join(providers, "instancia")
-        .join(leads, ["remotejid", "provedor_id"])
-        .withColumn("modelo", config.text(F.col("config"), "modelo"))
+        "remotejid", F.col("id").alias("lead_id"), F.col("nome").alias("lead_nome"), "provedor_id"
+    ).join(active.select(F.col("id").alias("provedor_id"), "instancia"), "provedor_id")
+    settings = active.select(
+        F.col("id").alias("provedor_id"),
+        F.col("config_bot").alias("config"),
+        config.text(F.col("config_bot"), "modelo").alias("modelo"),
     )
+    return messages.join(leads, ["remotejid", "instancia"]).join(settings, "provedor_id")
 
 
 def start_identify(messages: DataFrame, tables: SalesTables, folder: str, **trigger) -> StreamingQuery:
-    """Write identified messages to ``folder/identified``."""
-    return (
-        identify(messages, tables)
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", f"{folder}/identified")
-        .option("checkpointLocation", f"{folder}/progress/identify")
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
-    )
+    """Log identified messages; each micro-batch is an ordinary, adaptive join."""
+
+    def on_batch(batch, batch_id):
+        _write_batch(identify(batch, tables), folder, "identified", batch_id)
+
+    return _start(messages, on_batch, folder, "identified", **trigger)
+
+
+def identified(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/identified").drop("batch_id")
 
 
 # Contacts.
@@ -117,11 +117,13 @@ def start_register(
     _write_batch(base, folder, "ranges", -1)
 
     def on_batch(batch, batch_id):
+        batch.persist()
         accepted, rejected, _ = split_by_parent(batch, "lead_id", tables.leads)
         before = ranges().filter(F.col("batch_id") < batch_id).agg(F.max("last_id")).first()[0]
         numbered = apply_defaults(assign_ids(accepted, ["seq"], before), "mensagens", as_of)
         _write_batch(numbered, folder, "messages", batch_id)
         _write_batch(rejected, folder, "unknown_leads", batch_id)
+        batch.unpersist()
         written = spark.read.schema(MESSAGE_LOG).parquet(f"{folder}/messages/batch_id={batch_id}")
         last = written.agg(F.coalesce(F.max("id"), F.lit(before)).cast("bigint").alias("last_id"))
         _write_batch(last, folder, "ranges", batch_id)
@@ -143,28 +145,22 @@ def messages_after(
 # Running counts.
 
 def start_counts(messages: DataFrame, tables: SalesTables, folder: str, **trigger) -> StreamingQuery:
-    """Running message counts per provider and sender; the state is two rows per provider."""
+    """Log each micro-batch's message counts per provider and sender.
+
+    Messages are counted per lead before the join, so a busy lead is one row of
+    it; a micro-batch leaves two rows per provider at most.
+    """
     leads = tables.leads.select(F.col("id").alias("lead_id"), "provedor_id")
-    counts = (
-        messages.join(leads, "lead_id")
-        .groupBy("provedor_id", "is_bot")
-        .agg(F.count(F.lit(1)).alias("n_messages"))
-    )
 
-    def on_batch(result, batch_id):
-        _write_batch(result, folder, "counts", batch_id)
+    def on_batch(batch, batch_id):
+        per_lead = batch.groupBy("lead_id", "is_bot").agg(F.count(F.lit(1)).alias("n"))
+        counts = per_lead.join(leads, "lead_id").groupBy("provedor_id", "is_bot")
+        _write_batch(counts.agg(F.sum("n").alias("n_messages")), folder, "counts", batch_id)
 
-    return (
-        counts.writeStream.outputMode("complete")
-        .foreachBatch(on_batch)
-        .option("checkpointLocation", f"{folder}/progress/counts")
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
-    )
+    return _start(messages, on_batch, folder, "counts", **trigger)
 
 
-def latest_counts(spark, folder: str) -> DataFrame:
-    """The counts after the newest micro-batch."""
-    log = _log(spark, folder, "counts", "provedor_id BIGINT, is_bot BOOLEAN, n_messages BIGINT")
-    newest = log.agg(F.max("batch_id")).scalar()
-    return log.filter(F.col("batch_id") == newest).drop("batch_id")
+def running_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts over all micro-batches so far."""
+    log = _log(spark, folder, "counts", COUNT_LOG)
+    return log.groupBy("provedor_id", "is_bot").agg(F.sum("n_messages").alias("n_messages"))
