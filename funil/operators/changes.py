@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from funil import schema as S, values as V
 from funil.functions.scalars import moment
 from funil.operators.numbering import assign_ids, last_id
-from funil.settings import shared_folder
+from funil.settings import write_once
 from funil.tables import SalesTables
 
 CONTACT_FIELDS = ("nome", "cpf_cnpj", "endereco_instalacao", "whatsapp", "tags")
@@ -59,11 +59,10 @@ def split_by_parent(batch: DataFrame, key: str, parents: DataFrame) -> tuple[Dat
     """(rows with a parent, rows without, distinct keys that have one).
 
     The batch's keys are made distinct before they meet the parent table, and
-    are checkpointed: all three results read them.
+    are written once: all three results read them.
     """
-    shared_folder(batch.sparkSession)
     distinct = batch.select(key).distinct()
-    known = distinct.join(parents.select(F.col("id").alias(key)), key, "left_semi").checkpoint()
+    known = write_once(distinct.join(parents.select(F.col("id").alias(key)), key, "left_semi"), "known")
     return batch.join(known, key, "left_semi"), batch.join(known, key, "left_anti"), known
 
 
@@ -133,8 +132,8 @@ def upsert_leads(
         .groupBy(*CONTACT_KEY)
         .agg(F.min("lead_id").alias("lead_id"))
     )
-    # Both branches below read the patches; they are computed once.
-    patches = folded.join(targets, CONTACT_KEY, "left").checkpoint()
+    # Both branches below read the patches.
+    patches = write_once(folded.join(targets, CONTACT_KEY, "left"), "patches")
 
     new_values = [F.col(c).alias(f"_{c}") for c in CONTACT_FIELDS]
     edits = patches.filter("lead_id IS NOT NULL").select(F.col("lead_id").alias("id"), F.lit(True).alias("_hit"), *new_values)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from funil.settings import shared_folder
+from funil.settings import write_once
 
 
 def assign_ids(rows: DataFrame, order: list[str], after: Column | int = 0, name: str = "id") -> DataFrame:
@@ -12,17 +12,15 @@ def assign_ids(rows: DataFrame, order: list[str], after: Column | int = 0, name:
 
     Rows are range-partitioned and sorted; each one's number is its place in its
     partition plus the sizes of the partitions before.  Partition numbers are only
-    stable for one run of the shuffle, so the placed rows are checkpointed first.
+    stable for one run of the shuffle, so the placed rows are written first.
     """
-    spark = rows.sparkSession
-    shared_folder(spark)
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = (
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = write_once(
         rows.repartitionByRange(partitions, *order)
         .sortWithinPartitions(*order)
         .withColumn("_part", F.spark_partition_id())
-        .withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
-        .checkpoint()
+        .withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))),
+        "placed",
     )
     # One row per partition: a single-task window over it stays small.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

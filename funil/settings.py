@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators are written for.  Joins carry no hint unless a side is
 # bounded by construction: Spark checks sizes against the broadcast threshold,
@@ -59,3 +59,13 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A path of its own under the shared folder."""
     return f"{shared_folder(spark)}/funil/{purpose}-{uuid.uuid4().hex}"
+
+
+def write_once(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a result that several plans read to the shared folder, and read it from there.
+
+    Later stages then neither compute it again nor depend on executors that held it.
+    """
+    folder = new_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
