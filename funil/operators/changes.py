@@ -1,8 +1,8 @@
 """Changes as DataFrame-to-DataFrame operators: a whole batch of calls at once.
 
-A batch carries ``seq``, the order of its calls, and gives the state the calls
-would leave if made one after the other.  Calls that break a foreign key change
-nothing; they are returned as ``rejected``.
+A batch carries ``seq``, the unique order of its calls, and gives the state the
+calls would leave if made one after the other.  Calls that break a foreign key
+change nothing; they are returned as ``rejected``.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ CONTACT_KEY = ["remotejid", "provedor_id"]
 class Changed(NamedTuple):
     tables: SalesTables
     rejected: DataFrame
+    ids: DataFrame  # (seq, id): the row each accepted call wrote
 
 
 def apply_defaults(rows: DataFrame, table: str, as_of: datetime | Column | None = None) -> DataFrame:
@@ -48,6 +49,21 @@ def insert_rows(
     return existing.unionByName(apply_defaults(numbered, table, as_of))
 
 
+def update_rows(
+    df: DataFrame, where: Column, values: dict[str, Column], as_of: datetime | Column | None = None
+) -> DataFrame:
+    """Set columns of the rows meeting a condition, also ``updated_at`` where the table has it.
+
+    A row is touched even if its values stay the same.
+    """
+    if "updated_at" in df.columns:
+        values = {**values, "updated_at": moment(as_of)}
+    types = {f.name: f.dataType for f in df.schema}
+    return df.withColumns({
+        c: F.when(where, value.cast(types[c])).otherwise(F.col(c)) for c, value in values.items()
+    })
+
+
 def touch(leads: DataFrame, touched: DataFrame, as_of: datetime | Column | None) -> DataFrame:
     """Set ``updated_at`` of the leads in ``touched(lead_id)``, which has no duplicates."""
     marked = touched.select(F.col("lead_id").alias("id"), F.lit(True).alias("_touched"))
@@ -58,11 +74,13 @@ def touch(leads: DataFrame, touched: DataFrame, as_of: datetime | Column | None)
 def split_by_parent(batch: DataFrame, key: str, parents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows with a parent, rows without, distinct keys that have one).
 
-    The batch's keys are made distinct before they meet the parent table, and
-    are written once: all three results read them.
+    The parent table is the streamed side: it is not shuffled while the batch's
+    keys are few.  The keys found are written, so their size is known to the
+    joins that follow.
     """
-    distinct = batch.select(key).distinct()
-    known = write_once(distinct.join(parents.select(F.col("id").alias(key)), key, "left_semi"), "known")
+    keys = batch.select(key).distinct()
+    ids = parents.select(F.col("id").alias(key))
+    known = write_once(ids.join(keys, key, "left_semi").distinct(), "known")
     return batch.join(known, key, "left_semi"), batch.join(known, key, "left_anti"), known
 
 
@@ -71,12 +89,14 @@ def append_messages(
 ) -> Changed:
     """Record messages ``(seq, lead_id, mensagem[, is_bot, created_at])`` and touch their leads."""
     accepted, rejected, known = split_by_parent(batch, "lead_id", tables.leads)
+    numbered = assign_ids(accepted, ["seq"], last_id(tables.mensagens))
     return Changed(
         tables.with_(
-            mensagens=insert_rows(tables.mensagens, accepted, "mensagens", ["seq"], as_of),
+            mensagens=tables.mensagens.unionByName(apply_defaults(numbered, "mensagens", as_of)),
             leads=touch(tables.leads, known, as_of),
         ),
         rejected,
+        numbered.select("seq", "id"),
     )
 
 
@@ -147,8 +167,13 @@ def upsert_leads(
         "tags", F.coalesce("tags", F.array(F.lit(V.TAG_NEW)))
     )
     numbered = assign_ids(created, [seq, *CONTACT_KEY], last_id(leads))
+    written = numbered.select(*CONTACT_KEY, "id").unionByName(
+        patches.filter("lead_id IS NOT NULL").select(*CONTACT_KEY, F.col("lead_id").alias("id"))
+    )
     return Changed(
-        tables.with_(leads=updated.unionByName(apply_defaults(numbered, "leads", as_of))), rejected
+        tables.with_(leads=updated.unionByName(apply_defaults(numbered, "leads", as_of))),
+        rejected,
+        known.join(written, CONTACT_KEY).select(seq, "id"),
     )
 
 
@@ -156,12 +181,13 @@ def delete_providers(tables: SalesTables, deleted: DataFrame) -> SalesTables:
     """Remove the providers in ``deleted(id)`` with their plans, leads and those leads' messages."""
     gone = deleted.select("id").distinct()
     of_gone = gone.withColumnRenamed("id", "provedor_id")
-    lost_leads = tables.leads.join(of_gone, "provedor_id", "left_semi")
+    # Written, so that the messages are not shuffled when few leads go.
+    lost_leads = write_once(
+        tables.leads.join(of_gone, "provedor_id", "left_semi").select(F.col("id").alias("lead_id")), "lost"
+    )
     return SalesTables(
         provedores=tables.provedores.join(gone, "id", "left_anti"),
         planos=tables.planos.join(of_gone, "provedor_id", "left_anti").select(*tables.planos.columns),
         leads=tables.leads.join(of_gone, "provedor_id", "left_anti").select(*tables.leads.columns),
-        mensagens=tables.mensagens.join(
-            lost_leads.select(F.col("id").alias("lead_id")), "lead_id", "left_anti"
-        ).select(*tables.mensagens.columns),
+        mensagens=tables.mensagens.join(lost_leads, "lead_id", "left_anti").select(*tables.mensagens.columns),
     )

@@ -18,6 +18,7 @@ from funil.operators.changes import (
     apply_defaults, fold_contacts, split_by_parent, touch, upsert_leads,
 )
 from funil.operators.numbering import assign_ids
+from funil.settings import write_once
 from funil.tables import SalesTables
 
 MESSAGE_LOG = "id BIGINT, mensagem STRING, is_bot BOOLEAN, created_at TIMESTAMP_NTZ, lead_id BIGINT"
@@ -39,8 +40,18 @@ def _write_batch(df: DataFrame, folder: str, name: str, batch_id: int) -> None:
 
 
 def _start(stream: DataFrame, on_batch, folder: str, name: str, **trigger) -> StreamingQuery:
+    """Land each micro-batch as files, then hand it on.
+
+    Landed, it is read from its source once however often it is used, and its
+    size is known, so that a small one is broadcast to the tables it meets.
+    """
+    def land(batch, batch_id):
+        _write_batch(batch, folder, f"landed_{name}", batch_id)
+        landed = f"{folder}/landed_{name}/batch_id={batch_id}"
+        on_batch(batch.sparkSession.read.schema(batch.schema).parquet(landed), batch_id)
+
     return (
-        stream.writeStream.foreachBatch(on_batch)
+        stream.writeStream.foreachBatch(land)
         .option("checkpointLocation", f"{folder}/progress/{name}")
         .trigger(**(trigger or {"availableNow": True}))
         .start()
@@ -52,19 +63,25 @@ def _start(stream: DataFrame, on_batch, folder: str, name: str, **trigger) -> St
 def identify(messages: DataFrame, tables: SalesTables) -> DataFrame:
     """Add lead and assistant settings to incoming ``(remotejid, instancia, ...)`` rows.
 
-    Rows of unknown contacts or inactive providers have no match.  The settings,
-    which are long, are attached last and do not travel through the lead join.
+    Rows of unknown contacts or inactive providers have no match.  The contacts
+    of all rows are looked up first, so a busy contact is one row of that join;
+    the settings, which are long, are attached last.
     """
     active = tables.provedores.filter("ativo")
-    leads = tables.leads.select(
-        "remotejid", F.col("id").alias("lead_id"), F.col("nome").alias("lead_nome"), "provedor_id"
-    ).join(active.select(F.col("id").alias("provedor_id"), "instancia"), "provedor_id")
+    contacts = messages.select("remotejid", "instancia").distinct()
+    found = (
+        tables.leads.select(
+            "remotejid", F.col("id").alias("lead_id"), F.col("nome").alias("lead_nome"), "provedor_id"
+        )
+        .join(active.select(F.col("id").alias("provedor_id"), "instancia"), "provedor_id")
+        .join(contacts, ["remotejid", "instancia"])
+    )
     settings = active.select(
         F.col("id").alias("provedor_id"),
         F.col("config_bot").alias("config"),
         config.text(F.col("config_bot"), "modelo").alias("modelo"),
     )
-    return messages.join(leads, ["remotejid", "instancia"]).join(settings, "provedor_id")
+    return messages.join(write_once(found, "found"), ["remotejid", "instancia"]).join(settings, "provedor_id")
 
 
 def start_identify(messages: DataFrame, tables: SalesTables, folder: str, **trigger) -> StreamingQuery:
@@ -117,13 +134,11 @@ def start_register(
     _write_batch(base, folder, "ranges", -1)
 
     def on_batch(batch, batch_id):
-        batch.persist()
         accepted, rejected, _ = split_by_parent(batch, "lead_id", tables.leads)
         before = ranges().filter(F.col("batch_id") < batch_id).agg(F.max("last_id")).first()[0]
         numbered = apply_defaults(assign_ids(accepted, ["seq"], before), "mensagens", as_of)
         _write_batch(numbered, folder, "messages", batch_id)
         _write_batch(rejected, folder, "unknown_leads", batch_id)
-        batch.unpersist()
         written = spark.read.schema(MESSAGE_LOG).parquet(f"{folder}/messages/batch_id={batch_id}")
         last = written.agg(F.coalesce(F.max("id"), F.lit(before)).cast("bigint").alias("last_id"))
         _write_batch(last, folder, "ranges", batch_id)

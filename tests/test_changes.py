@@ -67,6 +67,10 @@ def test_upsert_equals_calls_one_by_one(spark, tables, seed):
     expected = one_by_one([r.asDict() for r in start.leads.collect()], calls, {1, 2, 3, 4})
     assert row_set(result.tables.leads) == as_set(expected)
     assert {r.seq for r in result.rejected.collect()} == {c["seq"] for c in calls if c["provedor_id"] == 99}
+    ids = {(x["remotejid"], x["provedor_id"]): x["id"] for x in sorted(expected, key=lambda x: -x["id"])}
+    assert row_set(result.ids) == {
+        (c["seq"], ids[c["remotejid"], c["provedor_id"]]) for c in calls if c["provedor_id"] != 99
+    }
 
 
 def test_folding_patches_again_changes_nothing(spark, tables):
@@ -100,7 +104,8 @@ def test_append_messages(spark, tables):
     batch = spark.createDataFrame(
         [(2, 2, "segunda"), (1, 1, "primeira"), (3, 999, "perdida")], "seq bigint, lead_id bigint, mensagem string"
     )
-    after, rejected = changes.append_messages(tables, batch, AS_OF)
+    after, rejected, ids = changes.append_messages(tables, batch, AS_OF)
+    assert row_set(ids) == {(1, 7), (2, 8)}
     new = after.mensagens.filter("id > 6").orderBy("id")
     assert rows(new) == [(7, "primeira", False, AS_OF, 1), (8, "segunda", False, AS_OF, 2)]
     assert after.mensagens.count() == 8
@@ -122,6 +127,17 @@ def test_update_tags(spark, tables):
     assert len(got) == 5
 
 
+def test_update_rows_touches_them(tables):
+    lowered = changes.update_rows(tables.planos, F.col("provedor_id") == 1, {"ativo": F.lit(True)}, AS_OF)
+    got = {r.id: (r.ativo, r.updated_at) for r in lowered.collect()}
+    # Also the rows that were active before.
+    assert got == {1: (True, AS_OF), 2: (True, AS_OF), 3: (True, AS_OF), 4: (False, T0)}
+    assert lowered.columns == tables.planos.columns
+    shouted = changes.update_rows(tables.mensagens, F.col("id") == 1, {"mensagem": F.upper("mensagem")}, AS_OF)
+    assert shouted.columns == tables.mensagens.columns
+    assert shouted.filter("id = 1").first().mensagem == "OI"
+
+
 def test_delete_providers_cascades(spark, tables):
     after = changes.delete_providers(tables, spark.createDataFrame([(1,)], "id bigint"))
     ids = {name: {r.id for r in df.collect()} for name, df in after.by_name().items()}

@@ -40,7 +40,7 @@ def test_register(spark, tables, pieces, tmp_path):
     query.awaitTermination()
     after = ingest.messages_after(tables, out, AS_OF)
     batch = raw.message_batch(raw.scan(spark, FOLDER, "events"))
-    expected, rejected = changes.append_messages(tables, batch, AS_OF)
+    expected, rejected, _ = changes.append_messages(tables, batch, AS_OF)
     assert row_set(after.mensagens) == row_set(expected.mensagens)
     assert row_set(after.leads) == row_set(expected.leads)
     unknown = spark.read.parquet(f"{out}/unknown_leads").select(rejected.columns)
