@@ -124,13 +124,16 @@ def fold_contacts(batch: DataFrame, seq: str = "seq") -> DataFrame:
         return F.coalesce(name, F.raise_error(F.lit(f"{name} must not be NULL"))).alias(name)
 
     order = F.col(seq)
+    # This aggregation sorts; leading with a hash makes it compare longs, not texts.
     return (
         batch.withColumns({name: required(name) for name in CONTACT_KEY})
-        .groupBy(*CONTACT_KEY)
+        .withColumn("_hash", F.xxhash64(*CONTACT_KEY))
+        .groupBy("_hash", *CONTACT_KEY)
         .agg(
             F.min(order).alias(seq),
             *[F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in CONTACT_FIELDS],
         )
+        .drop("_hash")
     )
 
 

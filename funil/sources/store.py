@@ -28,9 +28,25 @@ def read_tables(spark: SparkSession, folder: str) -> SalesTables:
     })
 
 
-def write_tables(tables: SalesTables, folder: str, mode: str = "error") -> None:
+# Sort keys of a clustered table: what lookups filter by, then enough columns to
+# spread one very frequent value over several files.
+CLUSTERING = {
+    "provedores": ["instancia"],
+    "planos": ["provedor_id", "valor", "id"],
+    "leads": ["remotejid", "id"],
+    "mensagens": ["lead_id", "created_at", "id"],
+}
+
+
+def clustered(df: DataFrame, table: str) -> DataFrame:
+    """Rows placed so that a lookup skips the files and row groups of other keys."""
+    keys = CLUSTERING[table]
+    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+
+
+def write_tables(tables: SalesTables, folder: str, cluster: bool = False) -> None:
     for name, df in tables.by_name().items():
-        df.write.mode(mode).parquet(f"{folder}/{name}")
+        (clustered(df, name) if cluster else df).write.parquet(f"{folder}/{name}")
 
 
 class TableStore:
@@ -48,11 +64,17 @@ class TableStore:
     def current(self) -> SalesTables:
         return read_tables(self.spark, self._current_folder())
 
-    def replace(self, tables: SalesTables, loaded_at: datetime | None = None) -> SalesTables:
-        """Load all four tables anew; nothing changes if a constraint is violated."""
+    def replace(
+        self, tables: SalesTables, loaded_at: datetime | None = None, cluster: bool = False
+    ) -> SalesTables:
+        """Load all four tables anew; nothing changes if a constraint is violated.
+
+        ``cluster`` sorts the tables by their lookup keys, which costs a shuffle
+        once and takes the place of indexes.
+        """
         loaded_at = loaded_at or datetime.now()
         load = f"load-{loaded_at:%Y%m%dT%H%M%S%f}"
-        write_tables(tables, f"{self.root}/{load}")
+        write_tables(tables, f"{self.root}/{load}", cluster)
         staged = read_tables(self.spark, f"{self.root}/{load}")
         require_sound(staged)
         row = self.spark.range(1).select(F.lit(load).alias("load"), moment(loaded_at).alias("loaded_at"))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import AS_OF, T0, row_set, rows
 from funil.operators import integrity
+from funil.sources import raw
 from funil.sources.store import TableStore
 
 
@@ -61,3 +62,22 @@ def test_append_keeps_parents_and_numbers_on(spark, tables, tmp_path):
     integrity.require_sound(now)
     copied = now.planos.filter("id > 4").orderBy("id").select("id", "nome_plano", "valor", "provedor_id")
     assert rows(copied)[:2] == [(5, "Start", Decimal("79.90"), 1), (6, "Giga", Decimal("219.90"), 1)]
+
+
+def test_clustered_files_do_not_overlap(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tables = raw.sales_tables(spark, "/root/testdata/sf0.001")
+        loaded = store.replace(tables, T0, cluster=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = (
+        loaded.mensagens.groupBy("_metadata.file_path")
+        .agg(F.min("lead_id").alias("low"), F.max("lead_id").alias("high"))
+        .orderBy("low")
+        .collect()
+    )
+    assert len(files) > 2
+    assert all(a.high <= b.low for a, b in zip(files, files[1:]))
+    assert row_set(loaded.leads.select("id", "nome")) == row_set(tables.leads.select("id", "nome"))
