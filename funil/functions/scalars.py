@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 
 from funil import values as V
 
@@ -23,9 +23,12 @@ def chat_role(is_bot: Column) -> Column:
 
 
 def moment(value: datetime | Column | None = None) -> Column:
-    """A zone-free timestamp; the query's own start time when none is given."""
+    """A zone-free timestamp; the time of this call in the session's zone when none is given.
+
+    A fixed value, so that all results of one change carry the same time.
+    """
     if value is None:
-        return F.localtimestamp()
+        value = SparkSession.active().sql("SELECT localtimestamp()").first()[0]
     if isinstance(value, Column):
         return value
     return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")

@@ -88,6 +88,7 @@ def append_messages(
     tables: SalesTables, batch: DataFrame, as_of: datetime | Column | None = None
 ) -> Changed:
     """Record messages ``(seq, lead_id, mensagem[, is_bot, created_at])`` and touch their leads."""
+    as_of = moment(as_of)
     accepted, rejected, known = split_by_parent(batch, "lead_id", tables.leads)
     numbered = assign_ids(accepted, ["seq"], last_id(tables.mensagens))
     return Changed(
@@ -102,6 +103,7 @@ def append_messages(
 
 def update_tags(leads: DataFrame, batch: DataFrame, as_of: datetime | Column | None = None) -> DataFrame:
     """Overwrite tags from ``(seq, lead_id, tags)``; NULL clears them, unknown leads are ignored."""
+    as_of = moment(as_of)
     last = batch.groupBy(F.col("lead_id").alias("id")).agg(
         F.max_by(F.struct(F.col("tags").alias("value")), "seq").alias("_new")
     )
@@ -109,7 +111,7 @@ def update_tags(leads: DataFrame, batch: DataFrame, as_of: datetime | Column | N
     return (
         leads.join(last, "id", "left")
         .withColumn("tags", F.when(written, F.col("_new.value")).otherwise(F.col("tags")))
-        .withColumn("updated_at", F.when(written, moment(as_of)).otherwise(F.col("updated_at")))
+        .withColumn("updated_at", F.when(written, as_of).otherwise(F.col("updated_at")))
         .select(*leads.columns)
     )
 
@@ -146,7 +148,7 @@ def upsert_leads(
     tag.  Where leads share a contact and provider the lowest id is updated.
     The lead table is shuffled only if the batch is too large to broadcast.
     """
-    leads = tables.leads
+    leads, as_of = tables.leads, moment(as_of)
     known, rejected, _ = split_by_parent(batch, "provedor_id", tables.provedores)
     folded = fold_contacts(known, seq)
     targets = (
@@ -161,7 +163,7 @@ def upsert_leads(
     new_values = [F.col(c).alias(f"_{c}") for c in CONTACT_FIELDS]
     edits = patches.filter("lead_id IS NOT NULL").select(F.col("lead_id").alias("id"), F.lit(True).alias("_hit"), *new_values)
     merged = {c: F.coalesce(f"_{c}", c) for c in CONTACT_FIELDS}
-    stamp = F.when(F.col("_hit"), moment(as_of)).otherwise(F.col("updated_at"))
+    stamp = F.when(F.col("_hit"), as_of).otherwise(F.col("updated_at"))
     updated = (
         leads.join(edits, "id", "left").withColumns({**merged, "updated_at": stamp}).select(*leads.columns)
     )

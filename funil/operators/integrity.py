@@ -82,7 +82,8 @@ def lost_casts(df: DataFrame, column: str, to: DataType = S.PRICE) -> DataFrame:
 def shared_contacts(leads: DataFrame) -> DataFrame:
     """Contacts with several leads at one provider; an upsert would change the lowest id."""
     return (
-        leads.groupBy("remotejid", "provedor_id")
+        leads.filter("remotejid IS NOT NULL AND provedor_id IS NOT NULL")
+        .groupBy("remotejid", "provedor_id")
         .agg(F.count(F.lit(1)).alias("n_rows"), F.min("id").alias("updated_id"))
         .filter("n_rows > 1")
     )
@@ -103,13 +104,26 @@ class IntegrityError(ValueError):
     """Tables that break a constraint."""
 
 
+def _require_empty(reports: dict[str, DataFrame]) -> None:
+    broken = [name for name, report in reports.items() if not report.isEmpty()]
+    if broken:
+        raise IntegrityError("violated: " + ", ".join(broken))
+
+
 def require_sound(tables: SalesTables) -> None:
     """Raise unless keys, required columns and references hold."""
-    reports = {
+    _require_empty({
         "primary key": primary_keys(tables),
         "required column": not_null(tables),
         "foreign key": foreign_keys(tables),
-    }
-    broken = [name for name, report in reports.items() if not report.isEmpty()]
-    if broken:
-        raise IntegrityError("violated: " + ", ".join(broken))
+    })
+
+
+def require_insertable(rows: DataFrame, table: str, tables: SalesTables) -> None:
+    """Raise unless new rows of a table have their required columns and parents."""
+    by_name = tables.by_name()
+    reports = {"required column": null_counts(rows, table)}
+    for child, key, parent in S.FOREIGN_KEYS:
+        if child == table:
+            reports[f"foreign key {key}"] = orphans(rows, key, by_name[parent], child)
+    _require_empty(reports)

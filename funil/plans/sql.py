@@ -8,9 +8,12 @@ in Python (``funil.operators.changes``).
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from funil import values as V
 from funil.operators import lookups
 from funil.operators.dashboard import COUNTS, PRICES, dashboard_by_provider
+from funil.operators.skew import SLICES
 from funil.plans import views
 from funil.tables import SalesTables
 
@@ -26,7 +29,9 @@ BULK = {
     "funil_leads": lookups.leads_with_provider,
     "funil_configs": lookups.active_configs,
     "funil_planos": lookups.active_plans,
-    "funil_chat": lambda tables: lookups.as_chat(tables.mensagens),
+    "funil_chat": lambda tables: lookups.as_chat(tables.mensagens).withColumn(
+        "slice", F.pmod(F.xxhash64("msg_id"), F.lit(SLICES))
+    ),
     "funil_painel": dashboard_by_provider,
 }
 
@@ -41,9 +46,14 @@ FUNCTIONS = {
     ),
     "historico_conversa": (
         f"p_lead_id BIGINT, p_limite INT DEFAULT {V.HISTORY_LIMIT}",
+        # The limit is applied in slices first: a busy lead's rows never meet in one task.
         """SELECT * EXCEPT (lead_id, place) FROM (
-             SELECT *, row_number() OVER (PARTITION BY lead_id ORDER BY enviada_em, msg_id) AS place
-             FROM funil_chat WHERE lead_id = p_lead_id
+             SELECT * EXCEPT (slice, place),
+               row_number() OVER (PARTITION BY lead_id ORDER BY enviada_em, msg_id) AS place
+             FROM (
+               SELECT *, row_number() OVER (PARTITION BY lead_id, slice ORDER BY enviada_em, msg_id) AS place
+               FROM funil_chat WHERE lead_id = p_lead_id
+             ) WHERE place <= p_limite
            ) WHERE place <= p_limite""",
     ),
     "listar_planos_provedor": (

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from funil import schema as S
 from funil.functions.scalars import moment
 from funil.operators.changes import apply_defaults
-from funil.operators.integrity import require_sound
+from funil.operators.integrity import require_insertable, require_sound
 from funil.operators.numbering import assign_ids, last_id
 from funil.tables import SalesTables
 
@@ -84,11 +84,14 @@ class TableStore:
     def append(self, table: str, rows: DataFrame, order: list[str], as_of=None) -> None:
         """Add rows without ids to a current table; omitted columns take their defaults.
 
-        Ids continue in ``order``; only the new rows are written.
+        Ids continue in ``order``; only the new rows are checked and written.
         """
-        existing = self.current().by_name()[table]
-        numbered = assign_ids(rows, order, last_id(existing))
-        apply_defaults(numbered, table, as_of).write.mode("append").parquet(f"{self._current_folder()}/{table}")
+        folder = self._current_folder()
+        tables = read_tables(self.spark, folder)
+        numbered = assign_ids(rows, order, last_id(tables.by_name()[table]))
+        new = apply_defaults(numbered, table, as_of)
+        require_insertable(new, table, tables)
+        new.write.mode("append").parquet(f"{folder}/{table}")
 
     def append_seed(self, seed: SalesTables, as_of=None) -> None:
         """Add the seed's rows again under new ids; their parent ids stay as given."""

@@ -115,6 +115,14 @@ def test_append_messages(spark, tables):
     assert after.leads.count() == 5
 
 
+def test_one_call_has_one_time(spark, tables):
+    batch = spark.createDataFrame([(1, 1, "a"), (2, 4, "b")], "seq bigint, lead_id bigint, mensagem string")
+    after = changes.append_messages(tables, batch).tables
+    sent = {r.created_at for r in after.mensagens.filter("id > 6").collect()}
+    touched = {r.updated_at for r in after.leads.filter("id IN (1, 4)").collect()}
+    assert len(sent) == 1 and sent == touched
+
+
 def test_update_tags(spark, tables):
     batch = spark.createDataFrame(
         [(1, 1, ["a"]), (2, 1, None), (3, 2, ["x"]), (4, 2, ["b", "c"]), (5, 999, ["z"])],

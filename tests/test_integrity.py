@@ -64,6 +64,18 @@ def test_append_keeps_parents_and_numbers_on(spark, tables, tmp_path):
     assert rows(copied)[:2] == [(5, "Start", Decimal("79.90"), 1), (6, "Giga", Decimal("219.90"), 1)]
 
 
+def test_appended_rows_are_checked(spark, tables, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    store.replace(tables, T0)
+    orphan = spark.createDataFrame([("oi", 999)], "mensagem string, lead_id bigint")
+    with pytest.raises(integrity.IntegrityError, match="foreign key lead_id"):
+        store.append("mensagens", orphan, ["mensagem"], AS_OF)
+    nameless = spark.createDataFrame([(None, 1)], "mensagem string, lead_id bigint")
+    with pytest.raises(integrity.IntegrityError, match="required column"):
+        store.append("mensagens", nameless, ["mensagem"], AS_OF)
+    assert store.current().mensagens.count() == 6
+
+
 def test_clustered_files_do_not_overlap(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
