@@ -24,6 +24,14 @@ VIEWS = {
     "vw_resumo_provedores": views.providers_summary,
 }
 
+# Order in which a view shows its rows.  A LIMIT makes it a top-k, and Spark drops
+# it under aggregates and joins; only reading a whole view sorts it.
+ORDERS = {
+    "vw_planos_completo": dict(cols=["nome_provedor", "valor", "plano_id"], ascending=True),
+    "vw_conversas": dict(cols=["enviada_em", "msg_id"], ascending=False),
+    "vw_resumo_provedores": dict(cols=["provedor_id"], ascending=True),
+}
+
 # Bulk forms the functions read from.
 BULK = {
     "funil_leads": lookups.leads_with_provider,
@@ -54,11 +62,11 @@ FUNCTIONS = {
                SELECT *, row_number() OVER (PARTITION BY lead_id, slice ORDER BY enviada_em, msg_id) AS place
                FROM funil_chat WHERE lead_id = p_lead_id
              ) WHERE place <= p_limite
-           ) WHERE place <= p_limite""",
+           ) WHERE place <= p_limite ORDER BY enviada_em, msg_id""",
     ),
     "listar_planos_provedor": (
         "p_provedor_id BIGINT",
-        "SELECT * EXCEPT (provedor_id) FROM funil_planos WHERE provedor_id = p_provedor_id",
+        "SELECT * EXCEPT (provedor_id) FROM funil_planos WHERE provedor_id = p_provedor_id ORDER BY valor, plano_id",
     ),
     "dashboard_resumo": (
         "p_provedor_id BIGINT DEFAULT NULL",
@@ -70,12 +78,15 @@ FUNCTIONS = {
 }
 
 
-def register(tables: SalesTables) -> None:
+def register(tables: SalesTables, ordered: bool = True) -> None:
     """Define the views and functions in the session of ``tables``."""
     spark = tables.spark
     for name, df in tables.by_name().items():
         df.createOrReplaceTempView(name)
     for name, build in {**VIEWS, **BULK}.items():
-        build(tables).createOrReplaceTempView(name)
+        df = build(tables)
+        if ordered and name in ORDERS:
+            df = df.orderBy(ORDERS[name]["cols"], ascending=ORDERS[name]["ascending"])
+        df.createOrReplaceTempView(name)
     for name, (parameters, body) in FUNCTIONS.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({parameters}) RETURNS TABLE RETURN {body}")

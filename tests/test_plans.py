@@ -9,7 +9,7 @@ from conftest import T0, row_set, rows
 from funil.operators import integrity, lookups
 from funil.operators.dashboard import dashboard
 from funil.operators.skew import first_per_key, hot_keys
-from funil.plans import reports, views
+from funil.plans import reports, sql, views
 from funil.settings import RECOMMENDED, shared_folder
 from funil.sources import raw
 from funil.sources.store import TableStore
@@ -87,6 +87,21 @@ def test_top_k_does_not_sort_everything(stored):
         assert "TakeOrderedAndProject" in plan(df)
 
 
+def test_ordered_sql_views_sort_only_when_read_whole(spark, stored):
+    sql.register(stored)
+    newest = spark.sql("SELECT * FROM vw_conversas LIMIT 20")
+    assert "TakeOrderedAndProject" in plan(newest)
+    assert [r.msg_id for r in newest.collect()] == [
+        r.msg_id for r in views.newest_conversations(stored, 20).collect()
+    ]
+    counted = spark.sql("SELECT remetente, count(*) FROM vw_conversas WHERE lead_id > 3 GROUP BY remetente")
+    joined = spark.sql("SELECT v.msg_id, l.nome FROM vw_conversas v JOIN leads l ON l.id = v.lead_id")
+    for df in (counted, joined):
+        assert "rangepartitioning" not in plan(df)
+    whole = spark.sql("SELECT * FROM vw_resumo_provedores").collect()
+    assert [r.provedor_id for r in whole] == list(range(25))
+
+
 def test_providers_are_broadcast_by_their_size(stored):
     assert "BroadcastHashJoin" in plan(views.plans_full(stored))
 
