@@ -14,9 +14,8 @@ def assign_ids(rows: DataFrame, order: list[str], after: Column | int = 0, name:
     partition plus the sizes of the partitions before.  Partition numbers are only
     stable for one run of the shuffle, so the placed rows are written first.
     """
-    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = write_once(
-        rows.repartitionByRange(partitions, *order)
+        rows.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))),

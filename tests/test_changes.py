@@ -169,9 +169,14 @@ def test_insert_into_an_empty_table(spark, tables):
     assert rows(out.orderBy("id")) == [(1, "x", False, T0, 1), (2, "y", False, T0, 1)]
 
 
-@pytest.mark.parametrize("n", [0, 1, 1000])
-def test_ids_are_dense_and_ordered(spark, n):
-    data = spark.range(n).withColumn("key", F.xxhash64("id")).repartition(7)
-    numbered = assign_ids(data.drop("id"), ["key"], 100).orderBy("id").collect()
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+@pytest.mark.parametrize("n", [0, 1, 20000])
+def test_ids_are_dense_and_ordered(spark, n, coalesce):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+    try:
+        data = spark.range(n).withColumn("key", F.xxhash64("id")).repartition(7)
+        numbered = assign_ids(data.drop("id"), ["key"], 100).orderBy("id").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert [r.id for r in numbered] == list(range(101, 101 + n))
     assert [r.key for r in numbered] == sorted(r.key for r in numbered)
