@@ -161,7 +161,8 @@ def upsert_leads(
     patches = write_once(folded.join(targets, CONTACT_KEY, "left"), "patches")
 
     new_values = [F.col(c).alias(f"_{c}") for c in CONTACT_FIELDS]
-    edits = patches.filter("lead_id IS NOT NULL").select(F.col("lead_id").alias("id"), F.lit(True).alias("_hit"), *new_values)
+    found = patches.filter("lead_id IS NOT NULL")
+    edits = found.select(F.col("lead_id").alias("id"), F.lit(True).alias("_hit"), *new_values)
     merged = {c: F.coalesce(f"_{c}", c) for c in CONTACT_FIELDS}
     stamp = F.when(F.col("_hit"), as_of).otherwise(F.col("updated_at"))
     updated = (
@@ -173,7 +174,7 @@ def upsert_leads(
     )
     numbered = assign_ids(created, [seq, *CONTACT_KEY], last_id(leads))
     written = numbered.select(*CONTACT_KEY, "id").unionByName(
-        patches.filter("lead_id IS NOT NULL").select(*CONTACT_KEY, F.col("lead_id").alias("id"))
+        found.select(*CONTACT_KEY, F.col("lead_id").alias("id"))
     )
     return Changed(
         tables.with_(leads=updated.unionByName(apply_defaults(numbered, "leads", as_of))),

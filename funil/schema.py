@@ -84,6 +84,7 @@ FOREIGN_KEYS = (
     ("mensagens", "lead_id", "leads"),
 )
 
+
 def column_defaults(table: str, as_of: Column) -> dict[str, Column]:
     """Value each omitted column of ``table`` takes; ``as_of`` is the load time."""
     stamps = {"created_at": as_of, "updated_at": as_of}

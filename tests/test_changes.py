@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import AS_OF, T0, T2, row_set, rows
+from conftest import AS_OF, T0, row_set, rows
 from funil import schema as S
 from funil.operators import changes
 from funil.operators.numbering import assign_ids
@@ -154,7 +154,10 @@ def test_delete_providers_cascades(spark, tables):
 
 
 def test_defaults_fill_omitted_columns_only(spark, tables):
-    given = spark.createDataFrame([(None, "Nova", "nova_w", "k")], "plano string, nome_provedor string, instancia string, apikey string")
+    given = spark.createDataFrame(
+        [(None, "Nova", "nova_w", "k")],
+        "plano string, nome_provedor string, instancia string, apikey string",
+    )
     row = changes.apply_defaults(given, "provedores", AS_OF).first().asDict()
     assert row == dict(
         nome_provedor="Nova", instancia="nova_w", apikey="k", config_bot=None, plano=None, ativo=True,

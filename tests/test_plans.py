@@ -1,11 +1,14 @@
 """What the physical plans must look like, and behaviour under very uneven keys."""
 
 import re
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import T0, row_set, rows
+from funil import SalesTables
+from funil.functions.scalars import moment
 from funil.operators import integrity, lookups
 from funil.operators.dashboard import dashboard
 from funil.operators.skew import first_per_key, hot_keys
@@ -114,7 +117,7 @@ def uneven(spark):
         n.alias("id"),
         F.concat(F.lit("m"), n.cast("string")).alias("mensagem"),
         (n % 2 == 0).alias("is_bot"),
-        (F.lit(T0).cast("timestamp_ntz") + F.make_dt_interval(secs=(n * 7919 % 101).cast("decimal(18,6)"))).alias("created_at"),
+        (moment(T0) + F.make_dt_interval(secs=(n * 7919 % 101).cast("decimal(18,6)"))).alias("created_at"),
         F.when(n % 3 == 0, 1).otherwise(n % 500 + 2).cast("bigint").alias("lead_id"),
     )
 
@@ -161,7 +164,6 @@ def test_a_hot_lead_is_split_in_the_join(spark, uneven, settings):
         F.col("id"), F.lit("n").alias("nome"), F.lit("w").alias("whatsapp"), (F.col("id") % 3).alias("provedor_id")
     )
     provedores = spark.range(3).select("id", F.lit("p").alias("nome_provedor"), F.lit("i").alias("instancia"))
-    from funil import SalesTables
     tables = SalesTables(provedores, None, leads, uneven.repartition(8))
     joined = views.conversations(tables)
     assert joined.count() == 9000
@@ -182,3 +184,15 @@ def test_settings_and_shared_folder(spark):
     assert RECOMMENDED["spark.sql.adaptive.skewJoin.enabled"] == "true"
     folder = shared_folder(spark)
     assert folder and not folder.endswith("/")
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    def session(folder, master):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda f: None)
+        conf = SimpleNamespace(get=lambda key, default=None: folder)
+        return SimpleNamespace(sparkContext=context, conf=conf)
+
+    assert shared_folder(session("hdfs:///shared/", "yarn")) == "hdfs:///shared"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(session(None, "yarn"))
+    assert shared_folder(session(None, "local[8]"))

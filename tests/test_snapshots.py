@@ -1,7 +1,6 @@
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import AS_OF, T0, row_set, rows
 from funil.sources import counts, snapshots

@@ -1,6 +1,7 @@
 """Streams over several micro-batches end in the state of one batch over everything."""
 
 import time
+from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from conftest import AS_OF, row_set, rows
 from funil.operators import changes
 from funil.sources import raw
+from funil.sources.store import TableStore
 from funil.streaming import ingest
 
 FOLDER = "/root/testdata/sf0.001"
@@ -67,6 +69,21 @@ def test_upsert(spark, tables, pieces, tmp_path):
     assert row_set(after) == row_set(changes.upsert_leads(tables, batch, AS_OF).tables.leads)
 
 
+def test_logs_become_the_new_tables(spark, tables, pieces, tmp_path):
+    store = TableStore(spark, str(tmp_path / "tables"))
+    store.replace(tables, AS_OF)
+    out = str(tmp_path / "stream")
+    base = store.current()
+    ingest.start_register(raw.message_batch(stream(spark, pieces)), base, out, AS_OF).awaitTermination()
+    ingest.start_upserts(raw.contact_batch(stream(spark, pieces)), out).awaitTermination()
+    merged = store.replace(
+        ingest.leads_after(ingest.messages_after(base, out, AS_OF), out, AS_OF), AS_OF + timedelta(hours=1)
+    )
+    assert merged.mensagens.count() > base.mensagens.count()
+    assert merged.leads.count() > base.leads.count()
+    assert store.current().leads.count() == merged.leads.count()
+
+
 def test_counts(spark, tables, pieces, tmp_path):
     out = str(tmp_path)
     ingest.start_counts(raw.message_batch(stream(spark, pieces)), tables, out).awaitTermination()
