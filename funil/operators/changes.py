@@ -1,8 +1,8 @@
 """Changes as DataFrame-to-DataFrame operators: a whole batch of calls at once.
 
 A batch carries ``seq``, the unique order of its calls, and gives the state the
-calls would leave if made one after the other.  Calls that break a foreign key
-change nothing; they are returned as ``rejected``.
+calls would leave if made one after the other.  Calls that lack a required value
+or name an unknown parent change nothing; they are returned as ``rejected``.
 """
 
 from __future__ import annotations
@@ -71,17 +71,29 @@ def touch(leads: DataFrame, touched: DataFrame, as_of: datetime | Column | None)
     return leads.join(marked, "id", "left").withColumn("updated_at", stamp).select(*leads.columns)
 
 
-def split_by_parent(batch: DataFrame, key: str, parents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(rows with a parent, rows without, distinct keys that have one).
+def split_calls(
+    batch: DataFrame, required: list[str], key: str, parents: DataFrame
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(calls that can be made, calls that cannot, distinct parent keys of the former).
 
-    The parent table is the streamed side: it is not shuffled while the batch's
+    A call cannot be made if a required value is NULL or its parent does not
+    exist.  The parent table is the streamed side: it is not shuffled while the batch's
     keys are few.  The keys found are written, so their size is known to the
     joins that follow.
     """
-    keys = batch.select(key).distinct()
+    complete = F.lit(True)
+    for column in required:
+        complete = complete & F.col(column).isNotNull()
+    calls = batch.filter(complete)
     ids = parents.select(F.col("id").alias(key))
-    known = write_once(ids.join(keys, key, "left_semi").distinct(), "known")
-    return batch.join(known, key, "left_semi"), batch.join(known, key, "left_anti"), known
+    known = write_once(ids.join(calls.select(key).distinct(), key, "left_semi").distinct(), "known")
+    rejected = calls.join(known, key, "left_anti").unionByName(batch.filter(~complete))
+    return calls.join(known, key, "left_semi"), rejected, known
+
+
+def split_messages(batch: DataFrame, leads: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    required = [c for c in S.required_columns("mensagens") if c in batch.columns]
+    return split_calls(batch, required, "lead_id", leads)
 
 
 def append_messages(
@@ -89,7 +101,7 @@ def append_messages(
 ) -> Changed:
     """Record messages ``(seq, lead_id, mensagem[, is_bot, created_at])`` and touch their leads."""
     as_of = moment(as_of)
-    accepted, rejected, known = split_by_parent(batch, "lead_id", tables.leads)
+    accepted, rejected, known = split_messages(batch, tables.leads)
     numbered = assign_ids(accepted, ["seq"], last_id(tables.mensagens))
     return Changed(
         tables.with_(
@@ -122,14 +134,10 @@ def fold_contacts(batch: DataFrame, seq: str = "seq") -> DataFrame:
     ``seq`` of a patch is its first call's, so patches of later batches can be
     folded again with earlier ones.
     """
-    def required(name):
-        return F.coalesce(name, F.raise_error(F.lit(f"{name} must not be NULL"))).alias(name)
-
     order = F.col(seq)
     # This aggregation sorts; leading with a hash makes it compare longs, not texts.
     return (
-        batch.withColumns({name: required(name) for name in CONTACT_KEY})
-        .withColumn("_hash", F.xxhash64(*CONTACT_KEY))
+        batch.withColumn("_hash", F.xxhash64(*CONTACT_KEY))
         .groupBy("_hash", *CONTACT_KEY)
         .agg(
             F.min(order).alias(seq),
@@ -149,7 +157,7 @@ def upsert_leads(
     The lead table is shuffled only if the batch is too large to broadcast.
     """
     leads, as_of = tables.leads, moment(as_of)
-    known, rejected, _ = split_by_parent(batch, "provedor_id", tables.provedores)
+    known, rejected, _ = split_calls(batch, CONTACT_KEY, "provedor_id", tables.provedores)
     folded = fold_contacts(known, seq)
     targets = (
         leads.select(F.col("id").alias("lead_id"), *CONTACT_KEY)

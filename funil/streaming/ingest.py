@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from funil.functions import config
 from funil.operators.changes import (
-    apply_defaults, fold_contacts, split_by_parent, touch, upsert_leads,
+    apply_defaults, fold_contacts, split_messages, touch, upsert_leads,
 )
 from funil.operators.numbering import assign_ids
 from funil.settings import write_once
@@ -134,11 +134,11 @@ def start_register(
     _write_batch(base, folder, "ranges", -1)
 
     def on_batch(batch, batch_id):
-        accepted, rejected, _ = split_by_parent(batch, "lead_id", tables.leads)
+        accepted, rejected, _ = split_messages(batch, tables.leads)
         before = ranges().filter(F.col("batch_id") < batch_id).agg(F.max("last_id")).first()[0]
         numbered = apply_defaults(assign_ids(accepted, ["seq"], before), "mensagens", as_of)
         _write_batch(numbered, folder, "messages", batch_id)
-        _write_batch(rejected, folder, "unknown_leads", batch_id)
+        _write_batch(rejected, folder, "rejected_messages", batch_id)
         written = spark.read.schema(MESSAGE_LOG).parquet(f"{folder}/messages/batch_id={batch_id}")
         last = written.agg(F.coalesce(F.max("id"), F.lit(before)).cast("bigint").alias("last_id"))
         _write_batch(last, folder, "ranges", batch_id)

@@ -88,10 +88,22 @@ def test_folding_patches_again_changes_nothing(spark, tables):
     assert row_set(folded) == row_set(whole)
 
 
-def test_upsert_without_a_key_is_an_error(spark, tables):
-    batch = spark.createDataFrame([(1, None, 1, "x", None, None, None, None)], CONTACT)
-    with pytest.raises(Exception, match="remotejid must not be NULL"):
-        changes.upsert_leads(tables, batch, AS_OF)
+def test_calls_without_a_key_are_rejected(spark, tables):
+    batch = spark.createDataFrame([
+        (1, None, 1, "x", None, None, None, None), (2, "c7", None, "y", None, None, None, None),
+        (3, "c7", 1, "z", None, None, None, None),
+    ], CONTACT)
+    result = changes.upsert_leads(tables, batch, AS_OF)
+    assert row_set(result.rejected.select("seq")) == {(1,), (2,)}
+    assert result.tables.leads.count() == 6
+    partial = spark.createDataFrame(
+        [(1, None, "oi", True), (2, 2, None, True), (3, 2, "oi", None), (4, 1, "oi", True)],
+        "seq bigint, lead_id bigint, mensagem string, is_bot boolean",
+    )
+    sent = changes.append_messages(tables, partial, AS_OF)
+    assert row_set(sent.rejected.select("seq")) == {(1,), (2,), (3,)}
+    # A rejected call does not touch its lead either.
+    assert {r.id for r in sent.tables.leads.collect() if r.updated_at == AS_OF} == {1}
 
 
 def test_null_tags_of_an_existing_lead_stay_null(spark, tables):

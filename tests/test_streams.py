@@ -45,7 +45,7 @@ def test_register(spark, tables, pieces, tmp_path):
     expected, rejected, _ = changes.append_messages(tables, batch, AS_OF)
     assert row_set(after.mensagens) == row_set(expected.mensagens)
     assert row_set(after.leads) == row_set(expected.leads)
-    unknown = spark.read.parquet(f"{out}/unknown_leads").select(rejected.columns)
+    unknown = spark.read.parquet(f"{out}/rejected_messages").select(rejected.columns)
     assert row_set(unknown) == row_set(rejected)
     assert spark.read.parquet(f"{out}/ranges").count() == 4
 
