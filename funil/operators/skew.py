@@ -33,7 +33,7 @@ def first_per_key(
 
     Ordinary keys take one shuffle.  A hot key is first cut to ``n`` rows within
     each slice, so at most ``n * slices`` of its rows meet.  Without hot keys the
-    second branch has an empty build side and is dropped at run time.
+    second branch is found empty at run time and its scan is dropped.
     """
     hot = F.broadcast(hot_keys(df, key, parts, floor))
 

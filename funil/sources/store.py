@@ -7,7 +7,7 @@ overwritten, and a load that fails is never seen.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -72,8 +72,8 @@ class TableStore:
         ``cluster`` sorts the tables by their lookup keys, which costs a shuffle
         once and takes the place of indexes.
         """
-        loaded_at = loaded_at or datetime.now()
-        load = f"load-{loaded_at:%Y%m%dT%H%M%S%f}"
+        # Named by the clock, whatever time the caller gives: the latest load is current.
+        load = f"load-{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}"
         write_tables(tables, f"{self.root}/{load}", cluster)
         staged = read_tables(self.spark, f"{self.root}/{load}")
         require_sound(staged)

@@ -51,6 +51,13 @@ def test_a_failing_load_leaves_the_old_one(spark, tables, tmp_path):
     assert store.current().leads.count() == 5
 
 
+def test_the_latest_load_is_current(spark, tables, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    store.replace(tables, AS_OF)
+    store.replace(tables.with_(mensagens=tables.mensagens.filter("id < 3")), T0)
+    assert store.current().mensagens.count() == 2
+
+
 def test_append_keeps_parents_and_numbers_on(spark, tables, tmp_path):
     store = TableStore(spark, str(tmp_path))
     store.replace(tables, T0)
