@@ -105,6 +105,19 @@ def test_ordered_sql_views_sort_only_when_read_whole(spark, stored):
     assert [r.provedor_id for r in whole] == list(range(25))
 
 
+def test_keys_of_sql_functions_reach_the_scan(spark, stored):
+    sql.register(stored)
+    found = plan(spark.sql("SELECT * FROM buscar_lead_por_whatsapp('x')"))
+    assert "EqualTo(remotejid,x)" in found
+    assert "EqualTo(lead_id,7)" in plan(spark.sql("SELECT * FROM historico_conversa(7)"))
+    one = plan(spark.sql("SELECT * FROM dashboard_resumo(1)"))
+    leads = re.search(r"FileScan parquet[^\n]*/leads\b[^\n]*", one)[0]
+    assert "EqualTo(provedor_id,1)" in leads
+    # Without a provider nothing is filtered but the join's own NULL checks.
+    everything = plan(spark.sql("SELECT * FROM dashboard_resumo()"))
+    assert "EqualTo" not in everything
+
+
 def test_providers_are_broadcast_by_their_size(stored):
     assert "BroadcastHashJoin" in plan(views.plans_full(stored))
 
