@@ -43,7 +43,13 @@ def naive_providers_summary(spark, folder):
     t = raw.sales_tables(spark, folder)
     active = t.planos.where("ativo")
     rows = F.count(F.lit(1))
-    return per_figure(t.provedores.withColumnRenamed("id", "provedor_id"), "provedor_id", {
+    config = F.col("config_bot")
+    providers = t.provedores.select(
+        F.col("id").alias("provedor_id"), "nome_provedor", "plano", "ativo", "instancia",
+        F.get_json_object(config, "$.modelo").alias("modelo_ia"),
+        F.get_json_object(config, "$.webhook_n8n").alias("webhook_n8n"),
+    )
+    return per_figure(providers, "provedor_id", {
         "total_leads": (t.leads, rows),
         "leads_quentes": (t.leads.where(F.array_contains("tags", "lead_quente")), rows),
         "total_planos": (active, rows),
