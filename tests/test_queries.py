@@ -4,6 +4,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from compare import connect, difference
+from funil.plans.catalog import QUERIES
+from oracle import ORACLE
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -14,10 +16,11 @@ def db():
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, db, name):
     assert difference(spark, db, FOLDER, queries()[name], oracle_sql()[name]) is None
 
