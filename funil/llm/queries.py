@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from funil.llm.exact_dedup import exact_groups
+from funil.llm.packing import pack
+from funil.llm.piece_codec import encode_decode
 from funil.llm.sharding import shard_rows
+from funil.llm.token_files import read_files, write_files
+from funil.settings import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -32,3 +37,28 @@ def op2_ring_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shard_rows(documents(spark, folder), shards=8).withColumns(
         {"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")}
     )
+
+
+@query
+def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    coded = encode_decode(documents(spark, folder), public_tokenizers.path("piece_bpe_32k.model"))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op6_mixture_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = pack(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query
+def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    index = write_files(
+        documents(spark, folder), new_folder(spark, "token_files"), public_tokenizers.path("byte_bpe_50k.json")
+    )
+    return read_files(index).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
