@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from funil.llm.exact_dedup import exact_groups
 from funil.llm.packing import pack
 from funil.llm.piece_codec import encode_decode
+from funil.llm.pii import KINDS, find_personal_data
+from funil.llm.quality import judged
 from funil.llm.sharding import shard_rows
 from funil.llm.token_files import read_files, write_files
 from funil.settings import new_folder
@@ -62,3 +64,30 @@ def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
         documents(spark, folder), new_folder(spark, "token_files"), public_tokenizers.path("byte_bpe_50k.json")
     )
     return read_files(index).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query
+def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_personal_data(documents(spark, folder))
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind, plain):
+        return F.size(F.filter("spans", lambda s: (s["kind"] == kind) & (s["plain"] | F.lit(not plain)))).cast("long")
+
+    return found.select(
+        "doc_id",
+        *[count(kind, True).alias(f"n_{kind}") for kind in KINDS],
+        F.sha2(listed(F.filter("spans", lambda s: s["plain"])), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+        *[count(kind, False).alias(f"n_all_{kind}") for kind in KINDS],
+    )
+
+
+@query
+def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return judged(documents(spark, folder)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "distance",
+    )
