@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from funil.settings import write_once
@@ -34,14 +37,19 @@ def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     place = (1 << _INDEX_BITS) - 1
-    lines = "filter(split(_text, '\\n'), x -> length(translate(x, _spaces, '')) > 0)"
+
+    def occurrences(characters: str) -> Column:
+        # These characters have one byte each.
+        counts = [F.octet_length("_text") - F.octet_length(F.replace("_text", F.lit(c), F.lit(""))) for c in characters]
+        return reduce(add, counts).cast("long")
+
     steps = [
-        {"_text": text, "_spaces": F.lit(SPACES)},
+        {"_text": text},
         {
-            "_words": F.expr("filter(split(translate(_text, _spaces, repeat(' ', 6)), ' '), x -> x != '')"),
-            "_lines": F.expr(lines.replace("'\\n'", "'\n'")),
-            "word_chars": F.length(F.translate("_text", SPACES, "")).cast("long"),
-            "n_symbols": (F.length("_text") - F.length(F.translate("_text", SYMBOLS, ""))).cast("long"),
+            "_words": F.array_remove(F.split("_text", r"[\x20\x09-\x0D]+"), ""),
+            "_lines": F.filter(F.split("_text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")),
+            "word_chars": F.length("_text").cast("long") - occurrences(SPACES),
+            "n_symbols": occurrences(SYMBOLS),
         },
         {
             "n_words": F.size("_words").cast("long"),
@@ -58,11 +66,8 @@ def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
         {"_sorted": F.expr(f"sort_array(transform(_windows, (x, i) -> (x & {~place}L) | i))")},
         {
             "_near": F.expr(
-                "filter(_sorted, (x, i) -> coalesce("
-                f"shiftright(x ^ get(_sorted, i - 1), {_INDEX_BITS}) = 0"
-                f" OR shiftright(x ^ get(_sorted, i + 1), {_INDEX_BITS}) = 0, false)"
-                f" OR coalesce(shiftright(x ^ get(_sorted, i + 1), {_INDEX_BITS}) = 0, false)"
-                f" OR coalesce(shiftright(x ^ get(_sorted, i - 1), {_INDEX_BITS}) = 0, false))"
+                f"filter(_sorted, (x, i) -> shiftright(x ^ coalesce(get(_sorted, i - 1), ~x), {_INDEX_BITS}) = 0"
+                f" OR shiftright(x ^ coalesce(get(_sorted, i + 1), ~x), {_INDEX_BITS}) = 0)"
             )
         },
         {
@@ -85,7 +90,7 @@ def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     ]
     for step in steps:
         docs = docs.withColumns(step)
-    return docs.drop("_text", "_spaces", "_words", "_lines", "_hashes", "_windows", "_sorted", "_near", "_at")
+    return docs.drop("_text", "_words", "_lines", "_hashes", "_windows", "_sorted", "_near", "_at")
 
 
 def base_failed() -> Column:
@@ -177,15 +182,40 @@ def covariance_determinants(rows: DataFrame) -> DataFrame:
     return estimates
 
 
-def judged(
+STATISTICS = ["n_words", "word_chars", "n_lines", "n_symbols", "n_dup_lines", "n_repeat_words"]
+RESULTS = [*STATISTICS, "base_failed", "distance", "kept"]
+
+
+def judge(rows: DataFrame, lang_col: str, source_col: str, cutoff: float, min_group: int) -> DataFrame:
+    """Rows with statistics, and ``base_failed``, ``distance`` and ``kept`` besides."""
+    keys = F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n)
+                      for c, n in ((lang_col, "lang"), (source_col, "source"))])
+    entries = {name: F.expr(f"CAST({formula} AS DOUBLE)") for name, (formula, _) in VECTOR.items()}
+    rows = rows.withColumns({"_key": keys, "base_failed": base_failed(), **entries})
+    vectors = write_once(rows.where("NOT base_failed").select("_key", *entries), "vectors")
+    large = vectors.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_group)
+    large = write_once(large.select("_key", F.lit(True).alias("_large")), "groups")
+
+    def grouped(rows: DataFrame) -> DataFrame:
+        pooled = F.struct(F.col("_key.lang").alias("lang"), F.lit(None).cast("string").alias("source"))
+        group = F.when(F.col("_large"), F.col("_key")).otherwise(pooled)
+        return rows.join(large, "_key", "left").withColumn("_group", F.to_json(group)).drop("_large", "_key")
+
+    estimates = covariance_determinants(grouped(vectors))
+    kept = ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= cutoff)
+    return _distance(grouped(rows), estimates, list(VECTOR)).withColumn("kept", kept).drop("_group", *VECTOR)
+
+
+def quality_rules(
     docs: DataFrame,
+    id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
     source_col: str = "source",
     cutoff: float = 49.0,
     min_group: int = 50,
 ) -> DataFrame:
-    """The rows with all their columns, the statistics, ``base_failed``, ``distance`` and ``kept``.
+    """One row per input row: id, the statistics, ``base_failed``, ``distance`` and ``kept``.
 
     A row is rejected when it fails the base rules, or when the squared Mahalanobis
     distance of its vector from its language and source exceeds ``cutoff`` (49 is
@@ -193,36 +223,35 @@ def judged(
     Sources with fewer than ``min_group`` such rows share one group per language.
 
     * A null text has no words and fails the base rules.
-    * Null languages and sources are groups of their own.  Ids play no part, so null
-      and repeated ids are judged like any others.
+    * Null languages and sources count as "".  Ids play no part, so null and repeated
+      ids are judged like any others.
     * Where no row of a group passes the base rules, ``distance`` is null.
-    * Columns of ``docs`` named like the results are replaced.  No rows give no rows.
+    * Other columns are ignored.  No rows give no rows.
 
-    Vectors are written once, without texts.  Texts are then read again, judged by the
-    estimates of their group and never shuffled while those fit the broadcast limit.
+    Texts are read once; statistics are written without them, and all later work is on
+    those few numbers.
     """
-    results = ["n_words", "word_chars", "n_lines", "n_symbols", "n_dup_lines", "n_repeat_words",
-               "base_failed", "distance", "kept"]
-    docs = docs.drop(*results)
-    keys = F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n)
-                      for c, n in ((lang_col, "lang"), (source_col, "source"))])
-    entries = {name: F.expr(f"CAST({formula} AS DOUBLE)") for name, (formula, _) in VECTOR.items()}
-    vectors = write_once(
-        with_statistics(docs.select(text_col, keys.alias("_key")), text_col)
-        .where(~base_failed()).select("_key", *[x.alias(n) for n, x in entries.items()]),
-        "vectors",
-    )
-    pooled = F.struct(F.col("_key.lang").alias("lang"), F.lit(None).cast("string").alias("source"))
-    large = vectors.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_group)
-    large = write_once(large.select("_key", F.lit(True).alias("_large")), "groups")
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_source"),
+                       F.col(lang_col).alias("_lang"), F.col(source_col).alias("_from"))
+    rows = write_once(with_statistics(rows, "_source").drop("_source"), "statistics")
+    return judge(rows, "_lang", "_from", cutoff, min_group).select(F.col("_id").alias(id_col), *RESULTS)
 
-    def grouped(rows: DataFrame) -> DataFrame:
-        joined = rows.join(large, "_key", "left")
-        group = F.when(F.col("_large"), F.col("_key")).otherwise(pooled)
-        return joined.withColumn("_group", F.to_json(group)).drop("_large", "_key")
 
-    estimates = covariance_determinants(grouped(vectors))
-    rows = with_statistics(docs.withColumn("_key", keys), text_col).withColumns(entries)
-    rows = _distance(grouped(rows), estimates, list(VECTOR)).withColumn("base_failed", base_failed())
-    kept = ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= cutoff)
-    return rows.withColumn("kept", kept).drop("_group", *VECTOR).select(*docs.columns, *results)
+def accepted(
+    docs: DataFrame,
+    text_col: str = "text",
+    lang_col: str = "lang",
+    source_col: str = "source",
+    cutoff: float = 49.0,
+    min_group: int = 50,
+) -> DataFrame:
+    """The rows that ``quality_rules`` keeps, with their own columns.
+
+    Texts are read twice, for the estimates and for the verdict, and are not shuffled
+    while the estimates fit the broadcast limit.
+    """
+    columns = {c: F.col(c).alias(f"_own{k}") for k, c in enumerate(docs.columns)}
+    names = {c: f"_own{k}" for k, c in enumerate(docs.columns)}
+    rows = with_statistics(docs.select(*columns.values()), names[text_col])
+    kept = judge(rows, names[lang_col], names[source_col], cutoff, min_group).where("kept")
+    return kept.select(*[F.col(own).alias(c) for c, own in names.items()])

@@ -11,7 +11,7 @@ from funil.llm.exact_dedup import exact_groups
 from funil.llm.packing import pack
 from funil.llm.piece_codec import encode_decode
 from funil.llm.pii import KINDS, find_personal_data
-from funil.llm.quality import judged
+from funil.llm.quality import quality_rules
 from funil.llm.sharding import shard_rows
 from funil.llm.token_files import read_files, write_files
 from funil.settings import new_folder
@@ -87,7 +87,4 @@ def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    return judged(documents(spark, folder)).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        "distance",
-    )
+    return quality_rules(documents(spark, folder))
