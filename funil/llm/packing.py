@@ -136,7 +136,7 @@ def pack(
         end = np.array([end_id], "<u4").tobytes()
         narrow = "<u2" if ids_of.size <= 1 << 16 and end_id < 1 << 16 else "<u4"
         for batch in B.slices(given, "_text"):
-            packed = [ids_of(t) + end for t in B.texts(batch, "_text")]
+            packed = [ids + end for ids in ids_of.encode(B.texts(batch, "_text"))]
             counts, starts = [len(p) // 4 for p in packed], []
             for queue, n in zip(batch.column("queue").to_pylist(), counts):
                 starts.append(before.get(queue, 0))

@@ -132,8 +132,8 @@ def write_files(
                 system.create_dir(place, recursive=True)
                 writer = Writer(path, length, dtype)
             counts, starts = [], []
-            for text in B.texts(batch, "_text"):
-                ids = np.append(np.frombuffer(ids_of(text), "<u4"), np.uint32(end_id))
+            for packed in ids_of.encode(B.texts(batch, "_text")):
+                ids = np.append(np.frombuffer(packed, "<u4"), np.uint32(end_id))
                 writer.append(ids)
                 starts.append(start)
                 counts.append(len(ids))

@@ -4,16 +4,16 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from functools import lru_cache
+from itertools import chain, islice
 
-import numpy as np
-
-REMEMBERED = 600_000  # words a worker remembers
+REMEMBERED = 1_000_000  # words a worker remembers
 LONGEST = 48  # characters of a word that is remembered
 
 
-class WordIds(dict):
-    """Packed little-endian 32-bit ids of a text, word by word.
+class WordIds:
+    """Packed little-endian 32-bit ids of texts, word by word.
 
     Both tokenizers split a text before they merge, and no part goes on over white
     space: a word's ids do not depend on the words around it.  ``spaced`` says that a
@@ -26,24 +26,31 @@ class WordIds(dict):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
 
-        super().__init__()
-        self.tokenizer, self.spaced = Tokenizer.from_file(path), spaced
+        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.split = _SPACED if spaced else str.split
         self.size = self.tokenizer.get_vocab_size()
 
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.whole(word)
-        if len(word) <= LONGEST and len(self) < REMEMBERED:
-            self[word] = ids
-        return ids
-
-    def __call__(self, text: str) -> bytes:
-        """All ids of a text, packed."""
-        if _UNSURE(text):
-            return self.whole(text)
-        return b"".join(map(self.__getitem__, _SPACED(text) if self.spaced else text.split()))
+    def library(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """All ids of each text, packed."""
+        known, whole = self.known, [k for k, t in enumerate(texts) if _UNSURE(t)]
+        words = [self.split(t) for t in texts]
+        for k in whole:
+            words[k] = []
+        new = [w for w in set(chain.from_iterable(words)) if w not in known]
+        ids = dict(zip(new, self.library(new)))
+        room = max(0, REMEMBERED - len(known))
+        known.update(islice(((w, i) for w, i in ids.items() if len(w) <= LONGEST), room))
+        passing = {w: i for w, i in ids.items() if w not in known}
+        if passing:
+            packed = [b"".join([passing[w] if w in passing else known[w] for w in own]) for own in words]
+        else:
+            packed = [b"".join(map(known.__getitem__, own)) for own in words]
+        for k, own in zip(whole, self.library([texts[k] for k in whole])):
+            packed[k] = own
+        return packed
 
 
 # Separators that Python counts as white space and the libraries do not, and the text of special tokens.
