@@ -1,7 +1,7 @@
 """Token ids in Arrow IPC files of fixed-size lists: equal-length sequences with masks.
 
 A file holds record batches of ``ROWS`` sequences, each a fixed-size list of ``length``
-ids and one of as many mask bytes (1 token, 0 padding).  All documents of a file
+ids and one of as many mask bits (true for tokens, false for padding).  All documents of a file
 follow one another; only its last sequence is padded.  Files are not compressed, so
 a reader maps them and looks at any sequence without copying it.
 """
@@ -35,7 +35,7 @@ class Writer:
     def __init__(self, path: str, length: int, dtype: str):
         self.length, self.dtype, self.waiting, self.held = length, np.dtype(dtype), [], 0
         kind = pa.from_numpy_dtype(self.dtype)
-        self.schema = pa.schema([("ids", pa.list_(kind, length)), ("mask", pa.list_(pa.uint8(), length))])
+        self.schema = pa.schema([("ids", pa.list_(kind, length)), ("mask", pa.list_(pa.bool_(), length))])
         system, place = pafs.FileSystem.from_uri(path)
         self.sink = system.open_output_stream(place)
         self.file = pa.ipc.new_file(self.sink, self.schema)
@@ -50,7 +50,7 @@ class Writer:
             self.waiting, self.held = [values[whole:]], len(values) - whole
 
     def _write(self, values: np.ndarray, tokens: int) -> None:
-        mask = (np.arange(len(values)) < tokens).astype(np.uint8)
+        mask = np.arange(len(values)) < tokens
         table = pa.Table.from_arrays([_fixed(values, self.length), _fixed(mask, self.length)], schema=self.schema)
         self.file.write_table(table, max_chunksize=ROWS)
 
@@ -72,20 +72,20 @@ class Reader:
         local = isinstance(system, pafs.LocalFileSystem)
         self.file = pa.ipc.open_file(pa.memory_map(place) if local else system.open_input_file(place))
         self.length = self.file.schema.field("ids").type.list_size
-        self.batches: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.batches: dict[int, tuple[np.ndarray, pa.BooleanArray]] = {}
 
-    def _batch(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def _batch(self, k: int) -> tuple[np.ndarray, pa.BooleanArray]:
         if k not in self.batches:
             batch = self.file.get_batch(k)
-            flat = [batch.column(c).flatten().to_numpy(zero_copy_only=True) for c in (0, 1)]
-            self.batches = {**dict(list(self.batches.items())[-3:]), k: tuple(flat)}
+            ids = batch.column(0).flatten().to_numpy(zero_copy_only=True)
+            self.batches = {**dict(list(self.batches.items())[-3:]), k: (ids, batch.column(1).flatten())}
         return self.batches[k]
 
-    def sequence(self, row: int) -> tuple[np.ndarray, np.ndarray]:
+    def sequence(self, row: int) -> tuple[np.ndarray, pa.BooleanArray]:
         """A sequence's ids and mask, as views of the file."""
         ids, mask = self._batch(row // ROWS)
         at = row % ROWS * self.length
-        return ids[at : at + self.length], mask[at : at + self.length]
+        return ids[at : at + self.length], mask.slice(at, self.length)
 
     def tokens(self, start: int, count: int) -> np.ndarray:
         """``count`` ids from the file's token ``start`` on."""
