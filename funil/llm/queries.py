@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from funil.llm.exact_dedup import exact_groups
+from funil.llm.jaccard_join import similar_groups
 from funil.llm.packing import pack
 from funil.llm.piece_codec import encode_decode
 from funil.llm.pii import KINDS, find_personal_data
@@ -41,6 +42,11 @@ def op2_ring_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return similar_groups(documents(spark, folder))
+
+
 @query
 def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     coded = encode_decode(documents(spark, folder), public_tokenizers.path("piece_bpe_32k.model"))
