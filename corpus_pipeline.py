@@ -1,16 +1,74 @@
-"""Corpus pipeline: stages applied to ``documents`` one after the other."""
+"""Corpus pipeline: from raw documents to packed training sequences.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written and
+read again as the next stage's ``docs``.  All stages but the last return the columns
+of ``documents``.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from funil.llm.jaccard_join import similar_groups
+from funil.llm.line_dedup import drop_boilerplate
+from funil.llm.packing import pack
+from funil.llm.pii import mask_documents
+from funil.llm.quality import accepted
+from funil.settings import write_once
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and are no outliers among their language and source."""
+    return accepted(docs)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the lines that more than a tenth of their source's documents have.
+
+    A document that would lose more than half of its lines' characters is a copy of
+    others and keeps them; the next stage decides about it.  No document is dropped.
+    """
+    shorter = drop_boilerplate(docs, "source", max_ratio=0.1, min_pages=5, max_loss=0.5)
+    changed = F.col("n_dropped") > 0
+    return shorter.withColumn(
+        "n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    ).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of every group of similar documents; documents without id stay."""
+    groups = similar_groups(docs)
+    copies = write_once(groups.where("doc_id <> component_id").select("doc_id").distinct(), "copies")
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with personal data replaced by its kind."""
+    return mask_documents(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of 2,048 tokens, mixed by source."""
+    pieces = pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("near_duplicates", near_duplicates),
+    ("mask_personal_data", mask_personal_data),
+    ("packing", packing),
+]
 
-STAGES: list = []
+# Covariance determinants, trees and tokenizers are not SQL; tests/llm compares the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage."""
+    """The rows of the last stage over the documents of a folder."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = write_once(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

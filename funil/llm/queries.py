@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from funil.llm.exact_dedup import exact_groups
 from funil.llm.jaccard_join import similar_groups
+from funil.llm.license_scan import document_licences
+from funil.llm.line_dedup import drop_boilerplate, host_of, page_text
 from funil.llm.packing import pack
 from funil.llm.piece_codec import encode_decode
 from funil.llm.pii import KINDS, find_personal_data
@@ -58,12 +60,25 @@ def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return document_licences(documents(spark, folder))
+
+
 @query
 def op6_mixture_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = pack(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+@query
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    pages = spark.read.parquet(f"{folder}/pages.parquet").select(
+        "page_id", host_of(F.col("url")).alias("host"), page_text(F.col("html")).alias("text")
+    )
+    return drop_boilerplate(pages, "host")
+
+
 @query
 def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     index = write_files(
