@@ -20,7 +20,7 @@ from pyspark.sql.types import StructType
 
 from funil.llm import batches as B
 from funil.llm.components import connected_components
-from funil.llm.shingles import GROUPS, counts, fingerprint, mix, shingle_sets
+from funil.llm.shingles import counts, fingerprint, mix, points, shingle_sets
 from funil.settings import write_once
 
 SLICE = 2 << 20  # bytes of text whose shingles are held at a time
@@ -57,15 +57,15 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 class RTree:
     """Points of a block in leaves of neighbours, with the bounds of every leaf."""
 
-    def __init__(self, points: np.ndarray, sizes: np.ndarray, labels: np.ndarray):
-        widest = points[:, np.argsort(-points.var(0))[:2]] if len(points) > LEAF else points[:, :2]
-        slab = max(LEAF, int(np.sqrt(len(points) * LEAF)))
+    def __init__(self, places: np.ndarray, sizes: np.ndarray, labels: np.ndarray):
+        widest = places[:, np.argsort(-places.var(0))[:2]] if len(places) > LEAF else places[:, :2]
+        slab = max(LEAF, int(np.sqrt(len(places) * LEAF)))
         by_size = np.argsort(sizes, kind="stable")
-        slabs = np.empty(len(points), np.int64)
-        slabs[by_size] = np.arange(len(points)) // slab
+        slabs = np.empty(len(places), np.int64)
+        slabs[by_size] = np.arange(len(places)) // slab
         self.order = np.lexsort((widest[:, 1], widest[:, 0], slabs))
-        self.points, self.sizes, self.labels = points[self.order], sizes[self.order], labels[self.order]
-        heads = np.arange(0, len(points), LEAF)
+        self.points, self.sizes, self.labels = places[self.order], sizes[self.order], labels[self.order]
+        heads = np.arange(0, len(places), LEAF)
         self.top = np.maximum.reduceat(self.points, heads)
         self.least, self.most = np.minimum.reduceat(self.sizes, heads), np.maximum.reduceat(self.sizes, heads)
         self.one = np.minimum.reduceat(self.labels, heads), np.maximum.reduceat(self.labels, heads)
@@ -102,10 +102,10 @@ class RTree:
 
 
 def _profiles(rows: DataFrame, words: int) -> DataFrame:
-    """Per row: id, set size and fingerprint; besides, shingles found in three sets or more of one task's share."""
+    """Per row: id, set size, fingerprint and count vector; besides, shingles found in three sets or more of one task's share."""
 
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["_kind", "_id", "_n", "_k1", "_k2"]
+        names = ["_kind", "_id", "_n", "_k1", "_k2", "_point"]
         held, size, seen = [], 0, set()
         id_type = None
 
@@ -115,7 +115,7 @@ def _profiles(rows: DataFrame, words: int) -> DataFrame:
             n = len(values)
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.ones(n, np.int32)), pa.nulls(n, id_type), pa.array(times.astype(np.int64)),
-                 pa.array(values.astype(np.int64)), pa.array(np.zeros(n, np.int64))], names
+                 pa.array(values.astype(np.int64)), pa.array(np.zeros(n, np.int64)), pa.nulls(n, pa.binary())], names
             )
 
         for batch in B.slices(given, "_text", SLICE):
@@ -130,7 +130,7 @@ def _profiles(rows: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.zeros(len(sets), np.int32)), batch.column("_id"),
                  pa.array([len(s) for s in sets], pa.int64()), pa.array([k for k, _ in prints], pa.int64()),
-                 pa.array([k for _, k in prints], pa.int64())], names
+                 pa.array([k for _, k in prints], pa.int64()), pa.array([counts(s) for s in sets], pa.binary())], names
             )
             if size > FLUSH:
                 yield often()
@@ -139,7 +139,8 @@ def _profiles(rows: DataFrame, words: int) -> DataFrame:
             yield often()
 
     schema = StructType().add("_kind", "integer").add("_id", rows.schema["_id"].dataType)
-    return rows.mapInArrow(run, schema.add("_n", "long").add("_k1", "long").add("_k2", "long"))
+    schema = schema.add("_n", "long").add("_k1", "long").add("_k2", "long").add("_point", "binary")
+    return rows.mapInArrow(run, schema)
 
 
 def _frequent(spark: SparkSession, profiles: DataFrame, sets: int) -> np.ndarray:
@@ -151,39 +152,51 @@ def _frequent(spark: SparkSession, profiles: DataFrame, sets: int) -> np.ndarray
 
 
 def _blocks(rows: DataFrame, frequent: np.ndarray, words: int, percent: int, parts: int) -> DataFrame:
-    """(``_shingle``, ``_key``) of all sets that share one of their first shingles with another set.
+    """Blocks of sets that share one of their first shingles, as rows (``_kind``, ``_x``, ``_y``).
 
-    Entries travel packed by range of hashes.  Where a task has several sets with a
-    shingle, one of them goes to the shingle's partition to meet those of other tasks;
-    the rest, known to be shared, are spread over all partitions.
+    Kind 0 is a membership: shingle and key of the set.  Kind 1 is a star: a member's
+    key and that of the block's centre, its smallest key as far as the task sees.
+
+    Entries travel packed by hash.  Where a task has several sets with a shingle, one of
+    them goes to the shingle's partition to meet those of other tasks.  The rest, known
+    to be shared and tied to that one, are spread over all partitions: a shingle that
+    very many sets have gives a partition no more than one entry per task.
     """
-    spark = rows.sparkSession
-    told = spark.sparkContext.broadcast(frequent)
+    told = rows.sparkSession.sparkContext.broadcast(frequent)
+    names = ["_kind", "_x", "_y"]
+
+    def table(kind: int, x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(x), kind, np.int32)), pa.array(x), pa.array(y)], names)
+
+    def stars(key: np.ndarray, centre: np.ndarray) -> np.ndarray:
+        return np.unique(np.stack([key, centre], 1)[key != centre], axis=0)
 
     def emit(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, seen, size, flushes = [], set(), 0, 0
+        held, seen, size = [], set(), 0
 
         def flush() -> pa.RecordBatch:
             shingle = np.concatenate([s for s, _ in held])
             key = np.repeat(np.array([k for _, k in held], np.int64), [len(s) for s, _ in held])
-            order = np.argsort(shingle, kind="stable")
+            order = np.lexsort((key, shingle))
             shingle, key = shingle[order], key[order]
-            again = np.concatenate([[False], shingle[1:] == shingle[:-1]])
-            shared = again | np.concatenate([again[1:], [False]])
+            head = np.concatenate([[True], shingle[1:] != shingle[:-1]])
+            shared = ~head | np.concatenate([~head[1:], [False]])
+            centre = key[np.flatnonzero(head)][np.cumsum(head) - 1]
             home = (mix(shingle) % np.uint64(parts)).astype(np.int64)
-            spread = mix(shingle ^ key.view(np.uint64) ^ np.uint64(flushes)) % np.uint64(parts)
-            home = np.where(again, spread.astype(np.int64), home)
-            order = np.lexsort((shared, again, home))
-            shingle, key, shared, again, home = (x[order] for x in (shingle, key, shared, again, home))
-            heads = np.flatnonzero(np.concatenate(
-                [[True], (home[1:] != home[:-1]) | (again[1:] != again[:-1]) | (shared[1:] != shared[:-1])]
-            ))
-            ends = [*heads[1:].tolist(), len(home)]
-            cuts = list(zip(heads.tolist(), ends))
+            spread = (mix(shingle ^ mix(key.view(np.uint64))) % np.uint64(parts)).astype(np.int64)
+            home = np.where(head, home, spread)
+            state = np.where(head, shared.astype(np.int64), 2)
+            order = np.lexsort((state, home))
+            shingle, key, state, home = (x[order] for x in (shingle, key, state, home))
+            heads = np.flatnonzero(
+                np.concatenate([[True], (home[1:] != home[:-1]) | (state[1:] != state[:-1])])
+            )
+            cuts = list(zip(heads.tolist(), [*heads[1:].tolist(), len(home)]))
+            tied = stars(key, centre[order])
             return pa.RecordBatch.from_arrays(
-                [pa.array(home[heads]), pa.array(np.where(again, 2, shared.astype(np.int64))[heads]),
-                 pa.array([shingle[a:b].tobytes() for a, b in cuts], pa.binary()),
-                 pa.array([key[a:b].tobytes() for a, b in cuts], pa.binary())],
+                [pa.array([*home[heads].tolist(), int(home[0])]), pa.array([*state[heads].tolist(), 3]),
+                 pa.array([*(shingle[a:b].tobytes() for a, b in cuts), tied[:, 0].tobytes()], pa.binary()),
+                 pa.array([*(key[a:b].tobytes() for a, b in cuts), tied[:, 1].tobytes()], pa.binary())],
                 ["_part", "_state", "_shingles", "_keys"],
             )
 
@@ -196,18 +209,17 @@ def _blocks(rows: DataFrame, frequent: np.ndarray, words: int, percent: int, par
                     size += len(held[-1][0])
             if size > FLUSH:
                 yield flush()
-                held, seen, size, flushes = [], set(), 0, flushes + 1
+                held, seen, size = [], set(), 0
         if held:
             yield flush()
 
     def meet(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {0: [], 1: []}
-        names = ["_shingle", "_key"]
         for batch in given:
             for state, s, k in zip(*(batch.column(c).to_pylist() for c in ("_state", "_shingles", "_keys"))):
-                s, k = np.frombuffer(s, np.uint64), np.frombuffer(k, np.int64)
-                if state == 2:
-                    yield pa.RecordBatch.from_arrays([pa.array(s.view(np.int64)), pa.array(k)], names)
+                s, k = np.frombuffer(s, np.int64), np.frombuffer(k, np.int64)
+                if state > 1:
+                    yield table(state - 2, s, k)
                 else:
                     met[state].append((s, k))
         if not (met[0] or met[1]):
@@ -216,60 +228,72 @@ def _blocks(rows: DataFrame, frequent: np.ndarray, words: int, percent: int, par
         key = np.concatenate([k for state in (0, 1) for _, k in met[state]])
         known = np.zeros(len(shingle), bool)
         known[sum(len(s) for s, _ in met[0]) :] = True
-        order = np.lexsort((key, shingle))
+        order = np.lexsort((known, key, shingle))
         shingle, key, known = shingle[order], key[order], known[order]
-        again = np.concatenate([[False], shingle[1:] == shingle[:-1]])
-        other = np.concatenate([again[1:], [False]])
-        keep = known | again | other
-        for a in range(0, len(shingle), 1 << 18):
-            part = slice(a, a + (1 << 18))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(shingle[part][keep[part]].view(np.int64)), pa.array(key[part][keep[part]])], names
-            )
+        # The same set may come from several tasks; the last of its entries says whether it is known to be shared.
+        last = np.concatenate([(shingle[1:] != shingle[:-1]) | (key[1:] != key[:-1]), [True]])
+        shingle, key, known = shingle[last], key[last], known[last]
+        head = np.concatenate([[True], shingle[1:] != shingle[:-1]])
+        shared = known | ~head | np.concatenate([~head[1:], [False]])
+        centre = key[np.flatnonzero(head)][np.cumsum(head) - 1]
+        tied = stars(key[shared], centre[shared])
+        yield table(1, tied[:, 0], tied[:, 1])
+        yield table(0, shingle[shared], key[shared])
 
     packed = rows.select("_text").mapInArrow(emit, "_part long, _state long, _shingles binary, _keys binary")
-    return packed.repartition(F.col("_part")).mapInArrow(meet, "_shingle long, _key long").distinct()
+    return packed.repartition(F.col("_part")).mapInArrow(meet, "_kind int, _x long, _y long")
 
 
-def _points(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """Key, representative, size, set and count vector of every wanted set, from its representative's text."""
+def _bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (``_a``, ``_b``) of keys whose sizes and summed coordinate minima allow a link."""
 
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in B.slices(given, "_text", SLICE):
-            sets = shingle_sets(B.texts(batch, "_text"), words)
-            pairs = zip(batch.column("_k1").to_pylist(), batch.column("_k2").to_pylist())
-            kept = [k for k, pair in enumerate(pairs) if pair == fingerprint(sets[k])]
-            part = batch.take(pa.array(kept, pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [part.column("_k1"), part.column("_k2"), part.column("_rep"),
-                 pa.array([len(sets[k]) for k in kept], pa.int64()),
-                 pa.array([sets[k].tobytes() for k in kept], pa.binary()),
-                 pa.array([counts(sets[k]).tobytes() for k in kept], pa.binary())],
-                ["_key", "_k2", "_rep", "_n", "_set", "_point"],
-            )
+        for batch in given:
+            for first in range(0, batch.num_rows, 4096):
+                part = batch.slice(first, 4096)
+                na, nb = (part.column(c).to_numpy() for c in ("_na", "_nb"))
+                overlap = np.minimum(*(points(part.column(c).to_pylist()) for c in ("_pa", "_pb"))).sum(1)
+                ok = (100 + percent) * overlap >= percent * (na + nb)
+                ok &= 100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)
+                kept = part.take(pa.array(np.flatnonzero(ok)))
+                yield pa.RecordBatch.from_arrays([kept.column("_a"), kept.column("_b")], ["_a", "_b"])
 
-    found = rows.join(wanted, rows["_id"] == wanted["_rep"]).select("_k1", "_k2", "_rep", "_text")
-    schema = StructType().add("_key", "long").add("_k2", "long").add("_rep", rows.schema["_id"].dataType)
-    schema = schema.add("_n", "long").add("_set", "binary").add("_point", "binary")
-    return found.mapInArrow(run, schema).dropDuplicates(["_key", "_k2"])
+    sides = [sets.select(F.col("_k1").alias(k), F.col("_n").alias(n), F.col("_point").alias(p))
+             for k, n, p in (("_a", "_na", "_pa"), ("_b", "_nb", "_pb"))]
+    joined = pairs.join(sides[0], "_a").join(sides[1], "_b")
+    return joined.select("_a", "_b", "_na", "_nb", "_pa", "_pb").mapInArrow(run, "_a long, _b long").distinct()
 
 
-def _verified(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
-    """The pairs (``_a``, ``_b``) of keys that link, as edges between representatives."""
+def _linked(rows: DataFrame, sets: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Of the pairs (``_a``, ``_b``) of keys those that link, as edges between representatives.
 
-    def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Only the texts of the sets in the pairs are taken apart again.
+    """
+
+    def take_apart(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in B.slices(given, "_text", SLICE):
+            found = shingle_sets(B.texts(batch, "_text"), words)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([fingerprint(s)[0] for s in found], pa.int64()), batch.column("_id"),
+                 pa.array([s.tobytes() for s in found], pa.binary())], ["_key", "_rep", "_set"]
+            )
+
+    def compare(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in given:
-            a, b = (batch.column(c).to_pylist() for c in ("_sa", "_sb"))
-            kept = [k for k in range(len(a)) if linked(np.frombuffer(a[k], np.uint64), np.frombuffer(b[k], np.uint64), percent)]
+            a, b = ([np.frombuffer(x, np.uint64) for x in batch.column(c).to_pylist()] for c in ("_sa", "_sb"))
+            kept = [k for k in range(len(a)) if linked(a[k], b[k], percent)]
             part = batch.take(pa.array(kept, pa.int64()))
-            yield pa.RecordBatch.from_arrays([part.column("_a"), part.column("_b")], ["_a", "_b"])
+            yield pa.RecordBatch.from_arrays([part.column("_ra"), part.column("_rb")], ["_a", "_b"])
 
-    sides = [points.select(F.col("_key").alias(k), F.col("_rep").alias(r), F.col("_set").alias(s))
-             for k, r, s in (("_ka", "_ra", "_sa"), ("_kb", "_rb", "_sb"))]
-    joined = pairs.join(sides[0], pairs["_a"] == F.col("_ka")).join(sides[1], pairs["_b"] == F.col("_kb"))
-    kind = points.schema["_rep"].dataType
-    joined = joined.select(F.col("_ra").alias("_a"), F.col("_rb").alias("_b"), "_sa", "_sb")
-    return joined.mapInArrow(run, StructType().add("_a", kind).add("_b", kind))
+    keys = pairs.select(F.col("_a").alias("_k1")).union(pairs.select("_b")).distinct()
+    wanted = write_once(sets.join(keys, "_k1", "left_semi").select(F.col("_rep").alias("_id")).distinct(), "wanted")
+    kind = rows.schema["_id"].dataType
+    schema = StructType().add("_key", "long").add("_rep", kind).add("_set", "binary")
+    found = write_once(rows.join(wanted, "_id", "left_semi").select("_id", "_text").mapInArrow(take_apart, schema), "found")
+    sides = [found.select(F.col("_key").alias(k), F.col("_rep").alias(r), F.col("_set").alias(s))
+             for k, r, s in (("_a", "_ra", "_sa"), ("_b", "_rb", "_sb"))]
+    joined = pairs.join(sides[0], "_a").join(sides[1], "_b").select("_ra", "_rb", "_sa", "_sb")
+    return write_once(joined.mapInArrow(compare, StructType().add("_a", kind).add("_b", kind)).distinct(), "edges")
 
 
 def _tree_pairs(members: DataFrame, percent: int) -> DataFrame:
@@ -314,9 +338,8 @@ def _tree_pairs(members: DataFrame, percent: int) -> DataFrame:
                 return
             trees, keys = [], []
             for side in sides[: 1 if same else 2]:
-                points = np.frombuffer(b"".join(r[4] for r in side), np.int32).reshape(len(side), GROUPS)
                 sizes, labels = np.array([r[1] for r in side]), np.array([r[2] for r in side])
-                trees.append(RTree(points, sizes, labels))
+                trees.append(RTree(points([r[4] for r in side]), sizes, labels))
                 keys.append(np.array([r[0] for r in side]))
             for left, right in trees[0].join(trees[-1], percent, same):
                 a, b = keys[0][left], keys[-1][right]
@@ -363,29 +386,27 @@ def similar_groups(
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     profiles = write_once(_profiles(rows, words), "profiles")
     own = profiles.where("_kind = 0")
-    sets = own.where("_n > 0 AND _id IS NOT NULL").groupBy("_k1", "_k2").agg(F.min("_id").alias("_rep"))
-    sets = write_once(sets, "sets")
+    sets = own.where("_n > 0 AND _id IS NOT NULL").groupBy("_k1", "_k2")
+    sets = write_once(
+        sets.agg(F.min("_id").alias("_rep"), F.first("_n").alias("_n"), F.first("_point").alias("_point")), "sets"
+    )
     frequent = _frequent(spark, profiles, sets.count())
     named = rows.where("_id IS NOT NULL")
     parts = max(256, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     blocks = write_once(_blocks(named, frequent, words, percent, parts), "blocks")
 
-    shared = blocks.select(F.col("_key").alias("_k1")).distinct()
-    wanted = write_once(sets.join(shared, "_k1", "left_semi"), "wanted")
-    points = write_once(_points(named, wanted, words), "points")
-
-    # A block's sets are compared with its smallest first: this joins most copies of a text.
-    hubs = blocks.groupBy("_shingle").agg(F.min("_key").alias("_b"))
-    stars = blocks.join(hubs, "_shingle").where("_key <> _b").select(F.col("_key").alias("_a"), "_b").distinct()
-    edges = write_once(_verified(stars, points, percent), "edges")
-    edges_all = edges.unionByName(_repeated(own, sets))
-    labels = connected_components(edges_all)
+    # A block's sets are first compared with its centre: this joins most copies of a text.
+    stars = blocks.where("_kind = 1").select(F.col("_x").alias("_a"), F.col("_y").alias("_b")).distinct()
+    near = write_once(_bounded(stars, sets, percent), "near")
+    edges = _linked(named, sets, near, words, percent).unionByName(_repeated(own, sets))
+    labels = connected_components(edges)
 
     # Blocks whose sets are not all one component yet: all their pairs are looked at.
-    labelled = points.select("_key", "_rep").join(labels, F.col("_rep") == F.col("node"), "left")
-    labelled = labelled.select("_key", "_rep", F.coalesce("component", "_rep").alias("_label"))
-    members = blocks.join(labelled, "_key")
-    split = members.groupBy("_shingle").agg(
+    labelled = sets.join(labels, F.col("_rep") == F.col("node"), "left").select(
+        F.col("_k1").alias("_key"), F.coalesce("component", "_rep").alias("_label"), "_n", "_point"
+    )
+    members = blocks.where("_kind = 0").select(F.col("_x").alias("_shingle"), F.col("_y").alias("_key"))
+    split = members.join(labelled.select("_key", "_label"), "_key").groupBy("_shingle").agg(
         F.min("_label").alias("_low"), F.max("_label").alias("_high"),
         F.sum(F.xxhash64("_key").cast("decimal(20,0)")).alias("_sum"), F.count(F.lit(1)).alias("_size"),
     ).where("_low <> _high")
@@ -393,13 +414,11 @@ def similar_groups(
     open_blocks = split.groupBy("_sum", "_size").agg(F.min("_shingle").alias("_shingle")).select("_shingle")
     open_blocks = write_once(open_blocks, "open_blocks")
     if not open_blocks.isEmpty():
-        left = members.join(open_blocks, "_shingle", "left_semi").join(
-            points.select("_key", "_rep", "_n", "_point"), ["_key", "_rep"]
-        )
-        more = _verified(_tree_pairs(left.select("_shingle", "_key", "_label", "_n", "_point"), percent), points, percent)
-        labels = connected_components(edges_all.unionByName(more))
+        left = members.join(open_blocks, "_shingle", "left_semi").distinct().join(labelled, "_key")
+        near = write_once(_tree_pairs(left, percent), "near")
+        labels = connected_components(edges.unionByName(_linked(named, sets, near, words, percent)))
     return (
-        own.join(sets, ["_k1", "_k2"], "left")
+        own.join(sets.select("_k1", "_k2", "_rep"), ["_k1", "_k2"], "left")
         .join(labels, F.col("_rep") == F.col("node"), "left")
         .select(
             F.col("_id").alias(id_col), F.col("_n").alias("n_shingles"),
@@ -413,5 +432,5 @@ def _repeated(own: DataFrame, sets: DataFrame) -> DataFrame:
     """Edges between the representatives of different texts under one id."""
     texts = own.where("_n > 0 AND _id IS NOT NULL").select("_id", "_k1", "_k2").distinct()
     several = texts.groupBy("_id").agg(F.count(F.lit(1)).alias("_texts")).where("_texts > 1").select("_id")
-    reps = texts.join(several, "_id", "left_semi").join(sets, ["_k1", "_k2"])
+    reps = texts.join(several, "_id", "left_semi").join(sets.select("_k1", "_k2", "_rep"), ["_k1", "_k2"])
     return reps.select(F.col("_id").alias("_a"), F.col("_rep").alias("_b")).where("_a <> _b")

@@ -247,11 +247,12 @@ def accepted(
 ) -> DataFrame:
     """The rows that ``quality_rules`` keeps, with their own columns.
 
-    Texts are read twice, for the estimates and for the verdict, and are not shuffled
-    while the estimates fit the broadcast limit.
+    Rows are written once with their statistics beside them, so these are computed once
+    and a row needs no id to find its verdict.  Texts are not shuffled while the
+    estimates fit the broadcast limit.
     """
     columns = {c: F.col(c).alias(f"_own{k}") for k, c in enumerate(docs.columns)}
     names = {c: f"_own{k}" for k, c in enumerate(docs.columns)}
-    rows = with_statistics(docs.select(*columns.values()), names[text_col])
+    rows = write_once(with_statistics(docs.select(*columns.values()), names[text_col]), "measured")
     kept = judge(rows, names[lang_col], names[source_col], cutoff, min_group).where("kept")
     return kept.select(*[F.col(own).alias(c) for c, own in names.items()])

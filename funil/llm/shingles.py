@@ -6,7 +6,7 @@ from functools import lru_cache
 
 import numpy as np
 
-GROUPS = 64  # groups of a count vector: the upper six bits of a shingle's hash
+GROUPS = 256  # groups of a count vector: the upper eight bits of a shingle's hash
 _CHUNK = 1 << 21  # bytes hashed at a time
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _SMALL = 1 << 64
@@ -100,6 +100,14 @@ def fingerprint(own: np.ndarray) -> tuple[int, int]:
     return tuple(int(p.astype(np.int64)) for p in pair)
 
 
-def counts(own: np.ndarray) -> np.ndarray:
-    """How many shingles fall into each group."""
-    return np.bincount((own >> np.uint64(58)).astype(np.int64), minlength=GROUPS).astype(np.int32)
+def counts(own: np.ndarray) -> bytes:
+    """How many shingles fall into each group, one byte per group; 255 stands for 255 or more."""
+    found = np.bincount((own >> np.uint64(56)).astype(np.int64), minlength=GROUPS)
+    return np.minimum(found, 255).astype(np.uint8).tobytes()
+
+
+def points(packed: list[bytes]) -> np.ndarray:
+    """Count vectors as rows of coordinates.  A count that is not known exactly is larger than any set."""
+    values = np.frombuffer(b"".join(packed), np.uint8).reshape(len(packed), GROUPS).astype(np.int32)
+    values[values == 255] = 1 << 22
+    return values
