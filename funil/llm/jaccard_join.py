@@ -28,6 +28,7 @@ FLUSH = 4_000_000  # shingles or block entries a task gathers before it passes t
 FREQUENT = 1e-4  # share of sets from which a shingle counts as frequent
 MOST_FREQUENT = 1_000_000  # frequent shingles that are told to all tasks
 LEAF = 32  # points in a leaf
+TOLD = 500_000  # ids that are broadcast at most; more are joined
 TILE = 2048  # members of a block that are compared at a time
 
 
@@ -86,8 +87,9 @@ class RTree:
             mine = np.arange(leaf * LEAF, min((leaf + 1) * LEAF, len(self.points)))
             theirs = (near[:, None] * LEAF + np.arange(LEAF)).ravel()
             theirs = theirs[theirs < len(other.points)]
-            for k in range(0, len(theirs), 1024):
-                part = theirs[k : k + 1024]
+            step = max(LEAF, (1 << 17) // self.points.shape[1])  # keeps what is compared at a time small
+            for k in range(0, len(theirs), step):
+                part = theirs[k : k + step]
                 overlap = np.minimum(self.points[mine][:, None], other.points[part][None]).sum(2)
                 both = self.sizes[mine][:, None] + other.sizes[part][None]
                 ok = (100 + percent) * overlap >= percent * both
@@ -249,12 +251,17 @@ def _bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in given:
-            for first in range(0, batch.num_rows, 4096):
-                part = batch.slice(first, 4096)
+            for first in range(0, batch.num_rows, 1024):
+                part = batch.slice(first, 1024)
                 na, nb = (part.column(c).to_numpy() for c in ("_na", "_nb"))
-                overlap = np.minimum(*(points(part.column(c).to_pylist()) for c in ("_pa", "_pb"))).sum(1)
-                ok = (100 + percent) * overlap >= percent * (na + nb)
-                ok &= 100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)
+                ok = 100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)
+                pa_, pb_ = (part.column(c).to_pylist() for c in ("_pa", "_pb"))
+                shapes = np.array([(len(a), len(b)) for a, b in zip(pa_, pb_)])
+                for shape in np.unique(shapes[ok], axis=0):
+                    own = np.flatnonzero(ok & (shapes == shape).all(1))
+                    both = points([pa_[k] for k in own] + [pb_[k] for k in own])
+                    overlap = np.minimum(both[: len(own)], both[len(own) :]).sum(1)
+                    ok[own] = (100 + percent) * overlap >= percent * (na + nb)[own]
                 kept = part.take(pa.array(np.flatnonzero(ok)))
                 yield pa.RecordBatch.from_arrays([kept.column("_a"), kept.column("_b")], ["_a", "_b"])
 
@@ -289,7 +296,8 @@ def _linked(rows: DataFrame, sets: DataFrame, pairs: DataFrame, words: int, perc
     wanted = write_once(sets.join(keys, "_k1", "left_semi").select(F.col("_rep").alias("_id")).distinct(), "wanted")
     kind = rows.schema["_id"].dataType
     schema = StructType().add("_key", "long").add("_rep", kind).add("_set", "binary")
-    found = write_once(rows.join(wanted, "_id", "left_semi").select("_id", "_text").mapInArrow(take_apart, schema), "found")
+    few = wanted.limit(TOLD + 1).count() <= TOLD
+    found = write_once(rows.join(F.broadcast(wanted) if few else wanted, "_id", "left_semi").select("_id", "_text").mapInArrow(take_apart, schema), "found")
     sides = [found.select(F.col("_key").alias(k), F.col("_rep").alias(r), F.col("_set").alias(s))
              for k, r, s in (("_a", "_ra", "_sa"), ("_b", "_rb", "_sb"))]
     joined = pairs.join(sides[0], "_a").join(sides[1], "_b").select("_ra", "_rb", "_sa", "_sb")
@@ -337,9 +345,12 @@ def _tree_pairs(members: DataFrame, percent: int) -> DataFrame:
             if not sides[0] or not (sides[1] or same):
                 return
             trees, keys = [], []
-            for side in sides[: 1 if same else 2]:
+            sides = sides[: 1 if same else 2]
+            places = points([r[4] for side in sides for r in side])
+            for side in sides:
                 sizes, labels = np.array([r[1] for r in side]), np.array([r[2] for r in side])
-                trees.append(RTree(points([r[4] for r in side]), sizes, labels))
+                trees.append(RTree(places[: len(side)], sizes, labels))
+                places = places[len(side) :]
                 keys.append(np.array([r[0] for r in side]))
             for left, right in trees[0].join(trees[-1], percent, same):
                 a, b = keys[0][left], keys[-1][right]

@@ -6,7 +6,7 @@ from functools import lru_cache
 
 import numpy as np
 
-GROUPS = 256  # groups of a count vector: the upper eight bits of a shingle's hash
+LEAST_GROUPS, MOST_GROUPS = 64, 8192  # of a count vector; groups are the upper bits of a shingle's hash
 _CHUNK = 1 << 21  # bytes hashed at a time
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _SMALL = 1 << 64
@@ -101,13 +101,26 @@ def fingerprint(own: np.ndarray) -> tuple[int, int]:
 
 
 def counts(own: np.ndarray) -> bytes:
-    """How many shingles fall into each group, one byte per group; 255 stands for 255 or more."""
-    found = np.bincount((own >> np.uint64(56)).astype(np.int64), minlength=GROUPS)
+    """How many shingles fall into each group, one byte per group; 255 stands for 255 or more.
+
+    There are about four shingles to a group, so that large sets are told apart as well as small ones.
+    """
+    bits = min(MOST_GROUPS, max(LEAST_GROUPS, len(own) // 4)).bit_length() - 1
+    found = np.bincount((own >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
     return np.minimum(found, 255).astype(np.uint8).tobytes()
 
 
 def points(packed: list[bytes]) -> np.ndarray:
-    """Count vectors as rows of coordinates.  A count that is not known exactly is larger than any set."""
-    values = np.frombuffer(b"".join(packed), np.uint8).reshape(len(packed), GROUPS).astype(np.int32)
-    values[values == 255] = 1 << 22
-    return values
+    """Count vectors as rows of coordinates, with as many groups as the shortest of them.
+
+    A count that is not known exactly is taken as larger than any set.
+    """
+    lengths = np.array([len(p) for p in packed])
+    groups = int(lengths.min())
+    out = np.empty((len(packed), groups), np.int32)
+    for length in np.unique(lengths):
+        own = np.flatnonzero(lengths == length)
+        values = np.frombuffer(b"".join(packed[k] for k in own), np.uint8).astype(np.int32)
+        values[values == 255] = 1 << 22
+        out[own] = values.reshape(len(own), groups, -1).sum(2)
+    return out

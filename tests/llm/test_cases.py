@@ -117,7 +117,7 @@ def test_tree_finds_what_pairs_find():
 
 
 def test_counts_beyond_a_byte():
-    many = np.arange(600, dtype=np.uint64)
+    many = np.arange(600, dtype=np.uint64) << np.uint64(20)
     assert points([counts(many)])[0][0] > len(many)
 
 
