@@ -52,11 +52,13 @@ def _plan_figures():
 
 def dashboard(tables: SalesTables, provedor_id: int | None = None) -> DataFrame:
     """One row; without a provider the figures cover everything."""
-    leads, plans = tables.leads, tables.planos
+    leads, plans, messages = tables.leads, tables.planos, tables.mensagens
     if provedor_id is not None:
         mine = F.col("provedor_id") == provedor_id
         leads, plans = leads.filter(mine), plans.filter(mine)
-    of_leads = _leads_with_message_counts(leads, tables.mensagens).agg(*_lead_figures())
+        # Only this provider's messages are counted.
+        messages = messages.join(leads.select(F.col("id").alias("lead_id")), "lead_id", "left_semi")
+    of_leads = _leads_with_message_counts(leads, messages).agg(*_lead_figures())
     of_plans = plans.agg(*_plan_figures())
     both = of_leads.unionByName(of_plans, allowMissingColumns=True)
     return both.agg(
@@ -65,6 +67,13 @@ def dashboard(tables: SalesTables, provedor_id: int | None = None) -> DataFrame:
     )
 
 
+def figures_by_provider(tables: SalesTables) -> DataFrame:
+    """Lead and plan figures of every provider id that leads or plans name, known or not."""
+    of_leads = _leads_with_message_counts(tables.leads, tables.mensagens).groupBy("provedor_id").agg(*_lead_figures())
+    of_plans = tables.planos.groupBy("provedor_id").agg(*_plan_figures())
+    return of_leads.unionByName(of_plans, allowMissingColumns=True)
+
+
 def dashboard_by_provider(tables: SalesTables) -> DataFrame:
     """The same figures, one row per provider, with zeros where there is nothing."""
     of_leads = (

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from funil import values as V
 from funil.operators import lookups
-from funil.operators.dashboard import COUNTS, PRICES, dashboard_by_provider
+from funil.operators.dashboard import COUNTS, PRICES, figures_by_provider
 from funil.operators.skew import SLICES
 from funil.plans import views
 from funil.tables import SalesTables
@@ -40,7 +40,7 @@ BULK = {
     "funil_chat": lambda tables: lookups.as_chat(tables.mensagens).withColumn(
         "slice", F.pmod(F.xxhash64("msg_id"), F.lit(SLICES))
     ),
-    "funil_painel": dashboard_by_provider,
+    "funil_painel": figures_by_provider,
 }
 
 FUNCTIONS = {

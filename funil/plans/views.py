@@ -71,11 +71,19 @@ def conversations(tables: SalesTables, messages: DataFrame | None = None) -> Dat
 def newest_conversations(tables: SalesTables, k: int) -> DataFrame:
     """The ``k`` newest rows of ``conversations``.
 
-    Every message has a lead and every lead a provider (checked when tables are
-    loaded), so the newest messages are picked first and only ``k`` rows are joined.
+    Messages meet their leads and providers without their texts; the texts of the
+    ``k`` that are left are fetched last.
     """
-    newest = tables.mensagens.orderBy(F.desc("created_at"), F.desc("id")).limit(k)
-    return conversations(tables, newest).orderBy(F.desc("enviada_em"), F.desc("msg_id"))
+    leads = tables.leads.select(F.col("id").alias("lead_id"), "provedor_id")
+    known = leads.join(tables.provedores.select(F.col("id").alias("provedor_id")), "provedor_id", "left_semi")
+    newest = (
+        tables.mensagens.select("id", "created_at", "lead_id")
+        .join(known.select("lead_id"), "lead_id", "left_semi")
+        .orderBy(F.desc("created_at"), F.desc("id")).limit(k)
+    )
+    # k rows, as many as the caller asks for.
+    texts = tables.mensagens.join(F.broadcast(newest.select("id")), "id", "left_semi")
+    return conversations(tables, texts).orderBy(F.desc("enviada_em"), F.desc("msg_id"))
 
 
 def providers_summary(tables: SalesTables) -> DataFrame:

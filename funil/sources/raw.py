@@ -38,9 +38,20 @@ def scan(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.schema(RAW[table]).parquet(f"{folder}/{table}.parquet")
 
 
+def _padded(number: str, width: int, fill: str = "0") -> str:
+    """A number as text of at least ``width`` characters, as SQL; ``lpad`` alone would cut longer ones."""
+    text = f"CAST({number} AS STRING)"
+    return f"lpad({text}, greatest({width}, length({text})), '{fill}')"
+
+
 def _contact(number: str) -> str:
     """The messaging address of a contact number, as SQL."""
-    return f"concat('55', lpad(CAST({number} AS STRING), 11, '0'), '@s.whatsapp.net')"
+    return f"concat('55', {_padded(number, 11)}, '@s.whatsapp.net')"
+
+
+def _minutes(number: str) -> str:
+    """An interval of that many minutes, as SQL; its parts stay within an INT."""
+    return f"make_dt_interval(CAST({number} div 1440 AS INT), 0, CAST({number} % 1440 AS INT), 0)"
 
 
 # Column expressions per table, in the order of the declared schemas.
@@ -80,15 +91,15 @@ PLAN_COLUMNS = {
     "updated_at": LOADED_AT,
 }
 
-_ARRIVED = f"{LOADED_AT} + make_dt_interval(0, 0, CAST(c_custkey div 2 AS INT), 0)"
+_ARRIVED = f"{LOADED_AT} + {_minutes('(c_custkey div 2)')}"
 
 LEAD_COLUMNS = {
     "id": "c_custkey",
     "nome": "IF(c_custkey % 11 <> 0, c_name, NULL)",
-    "cpf_cnpj": "IF(c_custkey % 3 <> 0, lpad(CAST(c_custkey AS STRING), 11, '0'), NULL)",
+    "cpf_cnpj": f"IF(c_custkey % 3 <> 0, {_padded('c_custkey', 11)}, NULL)",
     "endereco_instalacao": "concat(c_mktsegment, ' street')",
     "remotejid": _contact("c_custkey"),
-    "whatsapp": "IF(c_custkey % 5 <> 0, concat('(55) ', lpad(CAST(c_custkey AS STRING), 9, '0')), NULL)",
+    "whatsapp": f"IF(c_custkey % 5 <> 0, concat('(55) ', {_padded('c_custkey', 9)}), NULL)",
     "tags": f"""
         CASE WHEN c_custkey % 13 = 0 THEN NULL
              WHEN c_custkey % 17 = 0 THEN array()
@@ -107,12 +118,15 @@ MESSAGE_COLUMNS = {
     "lead_id": "IF(o_custkey % 50 = 0, o_custkey + 1, o_custkey)",
 }
 
+# Ids of conversation turns leave this much room for a conversation's turns.
+TURNS = 1 << 24
+
 # Conversation turns, whole texts; what the user did not write counts as the bot's.
 TEXT_COLUMNS = {
-    "id": "conv_id * 1000 + turn",
+    "id": f"conv_id * {TURNS} + IF(turn >= 0 AND turn < {TURNS}, turn, raise_error('turn out of range'))",
     "mensagem": "text",
     "is_bot": "role <> 'user'",
-    "created_at": f"{LOADED_AT} + make_dt_interval(0, 0, CAST(turn AS INT), 0)",
+    "created_at": f"{LOADED_AT} + {_minutes('turn')}",
     "lead_id": "conv_id",
 }
 
@@ -172,7 +186,7 @@ def contact_batch(events: DataFrame) -> DataFrame:
         f"{_contact('user_id')} AS remotejid",
         "event_id % 26 AS provedor_id",
         "IF(event_type = 'signup', concat('Nome ', event_id), NULL) AS nome",
-        "IF(event_type = 'purchase', lpad(CAST(event_id AS STRING), 11, '7'), NULL) AS cpf_cnpj",
+        f"IF(event_type = 'purchase', {_padded('event_id', 11, '7')}, NULL) AS cpf_cnpj",
         "IF(event_type = 'view', concat('Rua ', event_id), NULL) AS endereco_instalacao",
         "IF(event_type = 'click', concat('(11) ', event_id), NULL) AS whatsapp",
         f"IF(event_type = 'purchase', array('{V.TAG_HOT}', event_type), NULL) AS tags",

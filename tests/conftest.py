@@ -39,8 +39,8 @@ def tables(spark):
         (4, "Delta", "delta_w", "k4", '{"modelo":"old","modelo":"m1"}', "basico", True, T0, T0),
     ]
     planos = [
-        (1, "Start", "100 Mbps", Decimal("79.90"), 1, True, T0, T0),
-        (2, "Giga", "1 Gbps", Decimal("219.90"), 1, True, T0, T0),
+        (1, "Quartzo", "75 Mbps", Decimal("64.25"), 1, True, T0, T0),
+        (2, "Safira", "640 Mbps", Decimal("188.75"), 1, True, T0, T0),
         (3, "Antigo", "10 Mbps", Decimal("19.90"), 1, False, T0, T0),
         (4, "Só inativo", "5 Mbps", Decimal("9.90"), 2, False, T0, T0),
     ]

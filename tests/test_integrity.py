@@ -68,7 +68,7 @@ def test_append_keeps_parents_and_numbers_on(spark, tables, tmp_path):
     }
     integrity.require_sound(now)
     copied = now.planos.filter("id > 4").orderBy("id").select("id", "nome_plano", "valor", "provedor_id")
-    assert rows(copied)[:2] == [(5, "Start", Decimal("79.90"), 1), (6, "Giga", Decimal("219.90"), 1)]
+    assert rows(copied)[:2] == [(5, "Quartzo", Decimal("64.25"), 1), (6, "Safira", Decimal("188.75"), 1)]
 
 
 def test_appended_rows_are_checked(spark, tables, tmp_path):

@@ -14,7 +14,7 @@ from funil.plans import reports, sql, views
 
 def test_providers_summary(tables):
     assert row_set(views.providers_summary(tables)) == {
-        (1, "Alfa", "basico", True, "alfa_w", 3, 1, 2, Decimal("79.90"), Decimal("219.90"), "m1", None),
+        (1, "Alfa", "basico", True, "alfa_w", 3, 1, 2, Decimal("64.25"), Decimal("188.75"), "m1", None),
         (2, "Beta", "profissional", True, "beta_w", 1, 0, 0, None, None, None, None),
         (3, "Gama", "enterprise", False, "gama_w", 1, 0, 0, None, None, None, None),
         (4, "Delta", "basico", True, "delta_w", 0, 0, 0, None, None, "m1", None),
@@ -74,7 +74,7 @@ def test_bot_config_needs_an_active_provider(spark, tables):
 
 def test_active_plans_cheapest_first(spark, tables):
     assert rows(lookups.plans_of_provider(tables, 1).select("nome", "valor")) == [
-        ("Start", Decimal("79.90")), ("Giga", Decimal("219.90")),
+        ("Quartzo", Decimal("64.25")), ("Safira", Decimal("188.75")),
     ]
     assert rows(lookups.plans_of_provider(tables, 2)) == []
 
@@ -97,9 +97,9 @@ def test_histories_of_chosen_leads(spark, tables):
 
 def test_dashboard(tables):
     assert rows(dashboard(tables)) == [
-        (5, 1, 1, 1, 6, 3, 3, 4, Decimal("79.90"), Decimal("219.90")),
+        (5, 1, 1, 1, 6, 3, 3, 4, Decimal("64.25"), Decimal("188.75")),
     ]
-    assert rows(dashboard(tables, 1)) == [(3, 1, 0, 0, 4, 2, 2, 3, Decimal("79.90"), Decimal("219.90"))]
+    assert rows(dashboard(tables, 1)) == [(3, 1, 0, 0, 4, 2, 2, 3, Decimal("64.25"), Decimal("188.75"))]
     assert rows(dashboard(tables, 2)) == [(1, 0, 1, 0, 1, 0, 1, 1, None, None)]
     assert rows(dashboard(tables, 99)) == [(0,) * 8 + (None, None)]
 
@@ -175,4 +175,4 @@ def test_sql_names(spark, tables):
     assert rows(spark.sql("SELECT msg_id FROM historico_conversa(1)")) == [(1,), (2,), (3,), (4,)]
     # A function may be called for each row of a table; it becomes a join on the key.
     per_provider = spark.sql("SELECT p.id, q.nome FROM provedores p, LATERAL listar_planos_provedor(p.id) q")
-    assert row_set(per_provider) == {(1, "Start"), (1, "Giga")}
+    assert row_set(per_provider) == {(1, "Quartzo"), (1, "Safira")}
