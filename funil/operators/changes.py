@@ -26,6 +26,7 @@ class Changed(NamedTuple):
     tables: SalesTables
     rejected: DataFrame
     ids: DataFrame  # (seq, id): the row each accepted call wrote
+    added: DataFrame | None = None  # the new rows alone
 
 
 def apply_defaults(rows: DataFrame, table: str, as_of: datetime | Column | None = None) -> DataFrame:
@@ -97,19 +98,21 @@ def split_messages(batch: DataFrame, leads: DataFrame) -> tuple[DataFrame, DataF
 
 
 def append_messages(
-    tables: SalesTables, batch: DataFrame, as_of: datetime | Column | None = None
+    tables: SalesTables, batch: DataFrame, as_of: datetime | Column | None = None, last: int | None = None
 ) -> Changed:
-    """Record messages ``(seq, lead_id, mensagem[, is_bot, created_at])`` and touch their leads."""
+    """Record messages ``(seq, lead_id, mensagem[, is_bot, created_at])`` and touch their leads.
+
+    Ids follow ``last``, or the highest id of the table.
+    """
     as_of = moment(as_of)
     accepted, rejected, known = split_messages(batch, tables.leads)
-    numbered = assign_ids(accepted, ["seq"], last_id(tables.mensagens))
+    numbered = assign_ids(accepted, ["seq"], last_id(tables.mensagens) if last is None else last)
+    new = apply_defaults(numbered, "mensagens", as_of)
     return Changed(
-        tables.with_(
-            mensagens=tables.mensagens.unionByName(apply_defaults(numbered, "mensagens", as_of)),
-            leads=touch(tables.leads, known, as_of),
-        ),
+        tables.with_(mensagens=tables.mensagens.unionByName(new), leads=touch(tables.leads, known, as_of)),
         rejected,
         numbered.select("seq", "id"),
+        new,
     )
 
 
@@ -148,17 +151,20 @@ def fold_contacts(batch: DataFrame, seq: str = "seq") -> DataFrame:
 
 
 def upsert_leads(
-    tables: SalesTables, batch: DataFrame, as_of: datetime | Column | None = None, seq: str = "seq"
+    tables: SalesTables, batch: DataFrame, as_of: datetime | Column | None = None, seq: str = "seq",
+    last: int | None = None,
 ) -> Changed:
     """Create or update leads from contact calls ``(seq, remotejid, provedor_id, fields...)``.
 
     Fields left NULL keep their value; a new lead without tags gets the default
     tag.  Where leads share a contact and provider the lowest id is updated.
-    The lead table is shuffled only if the batch is too large to broadcast.
+    The lead table is shuffled only if the batch is too large to broadcast.  Ids of
+    new leads follow ``last``, or the highest id of the table.
     """
     leads, as_of = tables.leads, moment(as_of)
     known, rejected, _ = split_calls(batch, CONTACT_KEY, "provedor_id", tables.provedores)
-    folded = fold_contacts(known, seq)
+    # Folded once: targets and patches read the result.
+    folded = write_once(fold_contacts(known, seq), "folded")
     targets = (
         leads.select(F.col("id").alias("lead_id"), *CONTACT_KEY)
         .join(folded.select(*CONTACT_KEY), CONTACT_KEY)
@@ -180,14 +186,16 @@ def upsert_leads(
     created = patches.filter("lead_id IS NULL").withColumn(
         "tags", F.coalesce("tags", F.array(F.lit(V.TAG_NEW)))
     )
-    numbered = assign_ids(created, [seq, *CONTACT_KEY], last_id(leads))
+    numbered = assign_ids(created, [seq, *CONTACT_KEY], last_id(leads) if last is None else last)
     written = numbered.select(*CONTACT_KEY, "id").unionByName(
         found.select(*CONTACT_KEY, F.col("lead_id").alias("id"))
     )
+    new = apply_defaults(numbered, "leads", as_of)
     return Changed(
-        tables.with_(leads=updated.unionByName(apply_defaults(numbered, "leads", as_of))),
+        tables.with_(leads=updated.unionByName(new)),
         rejected,
         known.join(written, CONTACT_KEY).select(seq, "id"),
+        new,
     )
 
 

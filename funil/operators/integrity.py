@@ -111,19 +111,25 @@ def _require_empty(reports: dict[str, DataFrame]) -> None:
 
 
 def require_sound(tables: SalesTables) -> None:
-    """Raise unless keys, required columns and references hold."""
+    """Raise unless keys and references hold; a load counts required columns and looks at types while it writes."""
     _require_empty({
         "primary key": primary_keys(tables),
-        "required column": not_null(tables),
         "foreign key": foreign_keys(tables),
     })
 
 
-def require_insertable(rows: DataFrame, table: str, tables: SalesTables) -> None:
-    """Raise unless new rows of a table have their required columns and parents."""
-    by_name = tables.by_name()
-    reports = {"required column": null_counts(rows, table)}
-    for child, key, parent in S.FOREIGN_KEYS:
-        if child == table:
-            reports[f"foreign key {key}"] = orphans(rows, key, by_name[parent], child)
-    _require_empty(reports)
+def require_types(df: DataFrame, table: str) -> None:
+    """Raise unless a table has exactly its declared columns and types."""
+    declared = {f.name: f.dataType for f in S.SCHEMAS[table]}
+    given = {f.name: f.dataType for f in df.schema}
+    wrong = [
+        f"{table}.{name} is {given[name].simpleString() if name in given else 'missing'}, not {kind.simpleString()}"
+        for name, kind in declared.items() if given.get(name) != kind
+    ] + [f"{table}.{name} is not declared" for name in given if name not in declared]
+    if wrong:
+        raise IntegrityError("violated: column type: " + "; ".join(wrong))
+
+
+def require_intact(providers: DataFrame) -> None:
+    """Raise if a provider's settings are not a JSON object."""
+    _require_empty({"settings": config_problems(providers).filter("malformed")})

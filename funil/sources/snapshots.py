@@ -28,8 +28,12 @@ class SnapshotError(RuntimeError):
 
 
 def _content(df: DataFrame) -> list[Column]:
-    """Row count and an order-free digest; a sum, since XOR would cancel equal rows."""
-    digest = F.sum(F.xxhash64(*df.columns).cast("decimal(28,0)"))
+    """Row count and an order-free digest; a sum, since XOR would cancel equal rows.
+
+    The hash passes over NULLs, so which columns are NULL is hashed as well.
+    """
+    empty = [F.col(c).isNull() for c in df.columns]
+    digest = F.sum(F.xxhash64(*df.columns, *empty).cast("decimal(28,0)"))
     return [
         F.count(F.lit(1)).alias("n_rows"),
         F.coalesce(digest, F.lit(0)).cast("decimal(38,0)").alias("content"),
@@ -81,9 +85,12 @@ class SnapshotStore:
         tables: SalesTables,
         taken_at: datetime,
         kind: str = "regular",
-        min_bytes: int = V.MIN_SNAPSHOT_BYTES,
+        min_bytes: int = 0,
     ) -> str:
-        """Write a snapshot and return its name; rows and digests are counted while writing."""
+        """Write a snapshot and return its name; rows and digests are counted while writing.
+
+        ``min_bytes`` refuses a smaller one; ``values.MIN_SNAPSHOT_BYTES`` is the usual threshold.
+        """
         snapshot = f"{kind}_{taken_at:%Y-%m-%d_%H-%M-%S}"
         folder = f"{self.root}/{snapshot}"
         sent = {}
@@ -149,7 +156,7 @@ class SnapshotStore:
             raise SnapshotError(f"{snapshot} does not match its manifest")
         current = store.current()
         if safety:
-            self.write(current, at, kind="pre-restore", min_bytes=0)
+            self.write(current, at, kind="pre-restore")
         restored = store.replace(self.read(snapshot), at)
         return count_difference(count_rows(current), count_rows(restored))
 

@@ -1,32 +1,26 @@
-"""The four tables at rest: Parquet under one root, replaced or appended to as a whole.
+"""The four tables at rest: Parquet folders, and a list of versions that says which of them count.
 
-A replacing load writes to a folder of its own, is checked there, and becomes
-current when its row is added to the load list; folders being read are never
-overwritten, and a load that fails is never seen.
+A version names, per table, the folders that hold its rows and the last id given
+out.  A change stages what is new in folders of its own, checks it there, and becomes
+current when its version is written: all of it or nothing.  Tables that do not
+change keep their folders, and added rows are one folder more.
 """
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from dataclasses import dataclass
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from funil import schema as S
 from funil.functions.scalars import moment
-from funil.operators.changes import apply_defaults
-from funil.operators.integrity import require_insertable, require_sound
-from funil.operators.numbering import assign_ids, last_id
+from funil.operators import changes
+from funil.operators.integrity import IntegrityError, orphans, require_intact, require_sound, require_types
+from funil.operators.numbering import assign_ids
 from funil.tables import SalesTables
 
-LOADS = "load STRING, loaded_at TIMESTAMP_NTZ"
-
-
-def read_tables(spark: SparkSession, folder: str) -> SalesTables:
-    """Scan the four tables with their declared schemas."""
-    return SalesTables(**{
-        name: spark.read.schema(schema).parquet(f"{folder}/{name}") for name, schema in S.SCHEMAS.items()
-    })
-
+VERSION = "version BIGINT, table_name STRING, folders ARRAY<STRING>, last_id BIGINT, loaded_at TIMESTAMP_NTZ"
 
 # Sort keys of a clustered table: what lookups filter by, then enough columns to
 # spread one very frequent value over several files.
@@ -38,63 +32,224 @@ CLUSTERING = {
 }
 
 
+class StoreError(RuntimeError):
+    """A store that cannot be read or changed as asked."""
+
+
+class LostRace(StoreError):
+    """Another writer has taken the next version; read the store again and repeat the change."""
+
+
+def read_tables(spark: SparkSession, folder: str) -> SalesTables:
+    """Scan the four tables of one folder with their declared schemas."""
+    return SalesTables(**{
+        name: spark.read.schema(schema).parquet(f"{folder}/{name}") for name, schema in S.SCHEMAS.items()
+    })
+
+
 def clustered(df: DataFrame, table: str) -> DataFrame:
     """Rows placed so that a lookup skips the files and row groups of other keys."""
     keys = CLUSTERING[table]
     return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
-def write_tables(tables: SalesTables, folder: str, cluster: bool = False) -> None:
-    for name, df in tables.by_name().items():
-        (clustered(df, name) if cluster else df).write.parquet(f"{folder}/{name}")
+@dataclass(frozen=True)
+class State:
+    """One version: folders and last id per table."""
+
+    version: int
+    folders: dict[str, list[str]]
+    last_ids: dict[str, int]
 
 
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
-        self.root = root
+        self.root = root.rstrip("/")
 
-    def _loads(self) -> DataFrame:
-        return self.spark.read.schema(LOADS).parquet(f"{self.root}/loads")
+    # Versions.
 
-    def _current_folder(self) -> str:
-        newest = self._loads().orderBy(F.desc("load")).first()
-        return f"{self.root}/{newest.load}"
+    def _path(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
 
-    def current(self) -> SalesTables:
-        return read_tables(self.spark, self._current_folder())
+    def _files(self):
+        return self._path("").getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _written(self) -> list[int]:
+        files, folder = self._files(), self._path("versions")
+        if not files.exists(folder):
+            return []
+        names = [status.getPath().getName() for status in files.listStatus(folder)]
+        return sorted(int(n) for n in names if files.exists(self._path(f"versions/{n}/_SUCCESS")))
+
+    def state(self) -> State:
+        """The current version."""
+        written = self._written()
+        if not written:
+            raise StoreError(f"nothing has been loaded under {self.root}")
+        return self._state(written[-1])
 
-    def replace(
-        self, tables: SalesTables, loaded_at: datetime | None = None, cluster: bool = False
+    def _state(self, version: int) -> State:
+        rows = self.spark.read.schema(VERSION).parquet(f"{self.root}/versions/{version:012d}").collect()  # four rows
+        return State(version, {r.table_name: r.folders for r in rows}, {r.table_name: r.last_id for r in rows})
+
+    def _read(self, state: State) -> SalesTables:
+        return SalesTables(**{
+            name: self.spark.read.schema(schema).parquet(*[f"{self.root}/{f}" for f in state.folders[name]])
+            for name, schema in S.SCHEMAS.items()
+        })
+
+    def current(self) -> SalesTables:
+        return self._read(self.state())
+
+    def release(self, version: int) -> None:
+        """Give a version free again that a writer took and never wrote."""
+        if version in self._written():
+            raise StoreError(f"version {version} is written")
+        self._files().delete(self._path(f"claims/{version:012d}"), False)
+
+    def _commit(
+        self,
+        base: State | None,
+        replaced: dict[str, DataFrame],
+        added: dict[str, DataFrame],
+        loaded_at: datetime | None,
+        cluster: bool = True,
+        check=None,
     ) -> SalesTables:
+        """Stage tables and rows, check them, and write the version after ``base`` that has them.
+
+        The file that claims a version can only be created once, so of two writers that
+        start from one version the second fails before it writes anything.
+        """
+        version = base.version + 1 if base else 1
+        for name, df in {**replaced, **added}.items():
+            require_types(df, name)
+        if not self._files().createNewFile(self._path(f"claims/{version:012d}")):
+            raise LostRace(f"version {version} of {self.root} is taken; if its writer is gone, release({version})")
+        try:
+            folders = {n: list(f) for n, f in base.folders.items()} if base else {}
+            last_ids = dict(base.last_ids) if base else dict.fromkeys(S.SCHEMAS, 0)
+            staged, nulls = {}, {}
+            for name, df in {**replaced, **added}.items():
+                folder = f"data/{version:012d}/{name}"
+                seen = Observation()
+                required = S.required_columns(name)
+                counted = [F.count_if(F.col(c).isNull()).alias(c) for c in required]
+                rows = clustered(df, name) if cluster else df
+                rows.observe(seen, F.max("id").alias("_last"), *counted).write.parquet(f"{self.root}/{folder}")
+                found = seen.get
+                nulls.update({f"{name}.{c}": found[c] for c in required if found[c]})
+                last_ids[name] = max(last_ids[name], found["_last"] or 0)
+                folders[name] = [folder] if name in replaced else [*folders[name], folder]
+                staged[name] = self.spark.read.schema(S.SCHEMAS[name]).parquet(f"{self.root}/{folder}")
+            if nulls:
+                raise IntegrityError(f"violated: required column {', '.join(sorted(nulls))}")
+            state = State(version, folders, last_ids)
+            if "provedores" in staged:
+                require_intact(staged["provedores"])
+            if check:
+                check(staged, self._read(state))
+            rows = [(version, n, folders[n], last_ids[n]) for n in S.SCHEMAS]
+            listed = self.spark.createDataFrame(rows, "version BIGINT, table_name STRING, folders ARRAY<STRING>, last_id BIGINT")
+            listed.withColumn("loaded_at", moment(loaded_at)).coalesce(1).write.parquet(
+                f"{self.root}/versions/{version:012d}"
+            )
+        except BaseException:
+            self.release(version)
+            raise
+        return self._read(state)
+
+    # Loads.
+
+    def replace(self, tables: SalesTables, loaded_at: datetime | None = None, cluster: bool = True) -> SalesTables:
         """Load all four tables anew; nothing changes if a constraint is violated.
 
         ``cluster`` sorts the tables by their lookup keys, which costs a shuffle
         once and takes the place of indexes.
         """
-        # Named by the clock, whatever time the caller gives: the latest load is current.
-        load = f"load-{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}"
-        write_tables(tables, f"{self.root}/{load}", cluster)
-        staged = read_tables(self.spark, f"{self.root}/{load}")
-        require_sound(staged)
-        row = self.spark.range(1).select(F.lit(load).alias("load"), moment(loaded_at).alias("loaded_at"))
-        row.write.mode("append").parquet(f"{self.root}/loads")
-        return staged
-
-    def append(self, table: str, rows: DataFrame, order: list[str], as_of=None) -> None:
+        base = self._state(written[-1]) if (written := self._written()) else None
+        return self._commit(base, tables.by_name(), {}, loaded_at, cluster, lambda _, after: require_sound(after))
+
+    def append(self, table: str, rows: DataFrame, order: list[str], as_of=None) -> SalesTables:
         """Add rows without ids to a current table; omitted columns take their defaults.
 
         Ids continue in ``order``; only the new rows are checked and written.
         """
-        folder = self._current_folder()
-        tables = read_tables(self.spark, folder)
-        numbered = assign_ids(rows, order, last_id(tables.by_name()[table]))
-        new = apply_defaults(numbered, table, as_of)
-        require_insertable(new, table, tables)
-        new.write.mode("append").parquet(f"{folder}/{table}")
-
-    def append_seed(self, seed: SalesTables, as_of=None) -> None:
-        """Add the seed's rows again under new ids; their parent ids stay as given."""
-        for name, df in seed.by_name().items():
-            ordered = df.withColumnRenamed("id", "_seed_id")
-            self.append(name, ordered, ["_seed_id"], as_of)
+        base = self.state()
+        numbered = assign_ids(rows, order, base.last_ids[table])
+        return self._commit(
+            base, {}, {table: changes.apply_defaults(numbered, table, as_of)}, as_of, check=_require_parents
+        )
+
+    def append_seed(self, seed: SalesTables, as_of=None) -> SalesTables:
+        """Add the seed's rows again under new ids, all or none; their parent ids stay as given."""
+        base = self.state()
+        new = {
+            name: changes.apply_defaults(
+                assign_ids(df.withColumnRenamed("id", "_seed_id"), ["_seed_id"], base.last_ids[name]), name, as_of
+            )
+            for name, df in seed.by_name().items()
+        }
+        return self._commit(base, {}, new, as_of, check=_require_parents)
+
+    # Saved changes: whole batches.
+
+    def record_messages(self, batch: DataFrame, as_of: datetime | None = None) -> changes.Changed:
+        """Record messages and touch their leads.  The message table gets a folder, the lead table is written anew."""
+        base = self.state()
+        changed = changes.append_messages(self._read(base), batch, as_of, base.last_ids["mensagens"])
+        after = self._commit(base, {"leads": changed.tables.leads}, {"mensagens": changed.added}, as_of)
+        return changed._replace(tables=after)
+
+    def upsert_leads(self, batch: DataFrame, as_of: datetime | None = None) -> changes.Changed:
+        """Create or update leads.  Only the lead table is written."""
+        base = self.state()
+        changed = changes.upsert_leads(self._read(base), batch, as_of, last=base.last_ids["leads"])
+        return changed._replace(tables=self._commit(base, {"leads": changed.tables.leads}, {}, as_of))
+
+    def update_tags(self, batch: DataFrame, as_of: datetime | None = None) -> SalesTables:
+        """Overwrite tags.  Only the lead table is written."""
+        base = self.state()
+        return self._commit(base, {"leads": changes.update_tags(self._read(base).leads, batch, as_of)}, {}, as_of)
+
+    # Saved changes: single calls.
+
+    def registrar_mensagem(self, lead_id: int, mensagem: str, is_bot: bool = False, as_of: datetime | None = None) -> int:
+        """Record one message and return its id."""
+        call = self.spark.createDataFrame(
+            [(1, lead_id, mensagem, is_bot)], "seq BIGINT, lead_id BIGINT, mensagem STRING, is_bot BOOLEAN"
+        )
+        return _written_id(self.record_messages(call, as_of), f"no lead {lead_id}, or no text")
+
+    def upsert_lead(self, remotejid: str, provedor_id: int, as_of: datetime | None = None, **fields) -> int:
+        """Create or update one lead and return its id."""
+        row = (1, remotejid, provedor_id, *[fields.pop(c, None) for c in changes.CONTACT_FIELDS])
+        if fields:
+            raise TypeError(f"unknown fields: {', '.join(fields)}")
+        call = self.spark.createDataFrame(
+            [row], "seq BIGINT, remotejid STRING, provedor_id BIGINT, nome STRING, cpf_cnpj STRING, "
+            "endereco_instalacao STRING, whatsapp STRING, tags ARRAY<STRING>",
+        )
+        return _written_id(self.upsert_leads(call, as_of), f"no provider {provedor_id}, or no contact")
+
+    def atualizar_tags_lead(self, lead_id: int, tags: list[str] | None, as_of: datetime | None = None) -> bool:
+        """Overwrite one lead's tags; False, and nothing is written, if there is no such lead."""
+        if self.current().leads.filter(F.col("id") == lead_id).isEmpty():
+            return False
+        self.update_tags(self.spark.createDataFrame([(1, lead_id, tags)], "seq BIGINT, lead_id BIGINT, tags ARRAY<STRING>"), as_of)
+        return True
+
+
+def _written_id(changed: changes.Changed, otherwise: str) -> int:
+    row = changed.ids.first()
+    if row is None:
+        raise IntegrityError(f"violated: {otherwise}")
+    return row.id
+
+
+def _require_parents(staged: dict[str, DataFrame], after: SalesTables) -> None:
+    """New rows must name parents that exist once they are in."""
+    for child, key, parent in S.FOREIGN_KEYS:
+        if child in staged and not orphans(staged[child], key, after.by_name()[parent], child).isEmpty():
+            raise IntegrityError(f"violated: foreign key {key}")
