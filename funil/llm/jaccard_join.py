@@ -24,12 +24,13 @@ from funil.llm.shingles import counts, fingerprint, mix, points, shingle_sets
 from funil.settings import write_once
 
 SLICE = 2 << 20  # bytes of text whose shingles are held at a time
-FLUSH = 4_000_000  # shingles or block entries a task gathers before it passes them on
+GATHERED = 2_000_000  # shingles a task gathers before it counts them
+FLUSH = 1_000_000  # block entries a task gathers before it passes them on
 FREQUENT = 1e-4  # share of sets from which a shingle counts as frequent
 MOST_FREQUENT = 1_000_000  # frequent shingles that are told to all tasks
 LEAF = 32  # points in a leaf
 TOLD = 500_000  # ids that are broadcast at most; more are joined
-TILE = 2048  # members of a block that are compared at a time
+TILE = 1024  # members of a block that are compared at a time
 
 
 def first_shingles(own: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
@@ -134,7 +135,7 @@ def _profiles(rows: DataFrame, words: int) -> DataFrame:
                  pa.array([len(s) for s in sets], pa.int64()), pa.array([k for k, _ in prints], pa.int64()),
                  pa.array([k for _, k in prints], pa.int64()), pa.array([counts(s) for s in sets], pa.binary())], names
             )
-            if size > FLUSH:
+            if size > GATHERED:
                 yield often()
                 held, size, seen = [], 0, set()
         if held:

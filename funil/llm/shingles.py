@@ -6,8 +6,8 @@ from functools import lru_cache
 
 import numpy as np
 
-LEAST_GROUPS, MOST_GROUPS = 64, 8192  # of a count vector; groups are the upper bits of a shingle's hash
-_CHUNK = 1 << 21  # bytes hashed at a time
+LEAST_GROUPS, MOST_GROUPS = 64, 2048  # of a count vector; groups are the upper bits of a shingle's hash
+_CHUNK = 1 << 19  # bytes hashed at a time
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _SMALL = 1 << 64
 
@@ -25,7 +25,7 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, modulo 2**64."""
     out = []
@@ -53,7 +53,7 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         inside[1:-1] = ~_SPACE[part]
         edges = np.flatnonzero(inside[1:] != inside[:-1])
         start, end = edges[0::2], edges[1::2]
-        size = 1 << max(16, (len(part)).bit_length())
+        size = max(2 * _CHUNK, 1 << len(part).bit_length())
         power, inverse = _powers(size)
         sums = np.zeros(len(part) + 1, np.uint64)
         np.cumsum(_BYTES[part] * power[: len(part)], out=sums[1:])
@@ -103,7 +103,8 @@ def fingerprint(own: np.ndarray) -> tuple[int, int]:
 def counts(own: np.ndarray) -> bytes:
     """How many shingles fall into each group, one byte per group; 255 stands for 255 or more.
 
-    There are about four shingles to a group, so that large sets are told apart as well as small ones.
+    There are four to eight shingles to a group, so that large sets are told apart as well as small ones;
+    beyond 8,192 shingles there are more.
     """
     bits = min(MOST_GROUPS, max(LEAST_GROUPS, len(own) // 4)).bit_length() - 1
     found = np.bincount((own >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
