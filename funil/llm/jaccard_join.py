@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, LongType, StructType
 
 from funil.llm import batches as B
 from funil.llm.components import connected_components
@@ -45,17 +45,6 @@ def first_shingles(own: np.ndarray, frequent: np.ndarray, percent: int) -> np.nd
     return own[:wanted]
 
 
-def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    """Whether two sorted sets share ``percent`` of their union."""
-    if len(a) > len(b):
-        a, b = b, a
-    if not len(a) or 100 * len(a) < percent * len(b):
-        return False
-    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
-    common = int((b[at] == a).sum())
-    return 100 * common >= percent * (len(a) + len(b) - common)
-
-
 class RTree:
     """Points of a block in leaves of neighbours, with the bounds of every leaf."""
 
@@ -283,26 +272,21 @@ def _linked(rows: DataFrame, sets: DataFrame, pairs: DataFrame, words: int, perc
             found = shingle_sets(B.texts(batch, "_text"), words)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([fingerprint(s)[0] for s in found], pa.int64()), batch.column("_id"),
-                 pa.array([s.tobytes() for s in found], pa.binary())], ["_key", "_rep", "_set"]
+                 B.lists([s.tobytes() for s in found], pa.int64())], ["_key", "_rep", "_set"]
             )
 
-    def compare(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in given:
-            a, b = ([np.frombuffer(x, np.uint64) for x in batch.column(c).to_pylist()] for c in ("_sa", "_sb"))
-            kept = [k for k in range(len(a)) if linked(a[k], b[k], percent)]
-            part = batch.take(pa.array(kept, pa.int64()))
-            yield pa.RecordBatch.from_arrays([part.column("_ra"), part.column("_rb")], ["_a", "_b"])
-
     keys = pairs.select(F.col("_a").alias("_k1")).union(pairs.select("_b")).distinct()
     wanted = write_once(sets.join(keys, "_k1", "left_semi").select(F.col("_rep").alias("_id")).distinct(), "wanted")
     kind = rows.schema["_id"].dataType
-    schema = StructType().add("_key", "long").add("_rep", kind).add("_set", "binary")
+    schema = StructType().add("_key", "long").add("_rep", kind).add("_set", ArrayType(LongType()))
     few = wanted.limit(TOLD + 1).count() <= TOLD
     found = write_once(rows.join(F.broadcast(wanted) if few else wanted, "_id", "left_semi").select("_id", "_text").mapInArrow(take_apart, schema), "found")
     sides = [found.select(F.col("_key").alias(k), F.col("_rep").alias(r), F.col("_set").alias(s))
              for k, r, s in (("_a", "_ra", "_sa"), ("_b", "_rb", "_sb"))]
-    joined = pairs.join(sides[0], "_a").join(sides[1], "_b").select("_ra", "_rb", "_sa", "_sb")
-    return write_once(joined.mapInArrow(compare, StructType().add("_a", kind).add("_b", kind)).distinct(), "edges")
+    joined = pairs.join(sides[0], "_a").join(sides[1], "_b")
+    common, sizes = F.size(F.array_intersect("_sa", "_sb")), F.size("_sa") + F.size("_sb")
+    linked = joined.where(100 * common >= percent * (sizes - common))
+    return write_once(linked.select(F.col("_ra").alias("_a"), F.col("_rb").alias("_b")).distinct(), "edges")
 
 
 def _tree_pairs(members: DataFrame, percent: int) -> DataFrame:
@@ -353,8 +337,9 @@ def _tree_pairs(members: DataFrame, percent: int) -> DataFrame:
                 trees.append(RTree(places[: len(side)], sizes, labels))
                 places = places[len(side) :]
                 keys.append(np.array([r[0] for r in side]))
-            for left, right in trees[0].join(trees[-1], percent, same):
-                a, b = keys[0][left], keys[-1][right]
+            found = list(trees[0].join(trees[-1], percent, same))
+            if found:
+                a, b = (k[np.concatenate(side)] for k, side in zip((keys[0], keys[-1]), zip(*found)))
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["_a", "_b"])
 
         for batch in given:

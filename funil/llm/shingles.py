@@ -103,10 +103,10 @@ def fingerprint(own: np.ndarray) -> tuple[int, int]:
 def counts(own: np.ndarray) -> bytes:
     """How many shingles fall into each group, one byte per group; 255 stands for 255 or more.
 
-    There are four to eight shingles to a group, so that large sets are told apart as well as small ones;
+    There are two to four shingles to a group, so that large sets are told apart as well as small ones;
     beyond 8,192 shingles there are more.
     """
-    bits = min(MOST_GROUPS, max(LEAST_GROUPS, len(own) // 4)).bit_length() - 1
+    bits = min(MOST_GROUPS, max(LEAST_GROUPS, 1 << (len(own) // 4).bit_length())).bit_length() - 1
     found = np.bincount((own >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
     return np.minimum(found, 255).astype(np.uint8).tobytes()
 
