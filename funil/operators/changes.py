@@ -26,7 +26,6 @@ class Changed(NamedTuple):
     tables: SalesTables
     rejected: DataFrame
     ids: DataFrame  # (seq, id): the row each accepted call wrote
-    added: DataFrame | None = None  # the new rows alone
 
 
 def apply_defaults(rows: DataFrame, table: str, as_of: datetime | Column | None = None) -> DataFrame:
@@ -104,16 +103,19 @@ def append_messages(
 
     Ids follow ``last``, or the highest id of the table.
     """
+    return record_messages(tables, batch, as_of, last)[0]
+
+
+def record_messages(
+    tables: SalesTables, batch: DataFrame, as_of: datetime | Column | None = None, last: int | None = None
+) -> tuple[Changed, DataFrame]:
+    """What ``append_messages`` gives, and the new rows alone."""
     as_of = moment(as_of)
     accepted, rejected, known = split_messages(batch, tables.leads)
     numbered = assign_ids(accepted, ["seq"], last_id(tables.mensagens) if last is None else last)
     new = apply_defaults(numbered, "mensagens", as_of)
-    return Changed(
-        tables.with_(mensagens=tables.mensagens.unionByName(new), leads=touch(tables.leads, known, as_of)),
-        rejected,
-        numbered.select("seq", "id"),
-        new,
-    )
+    after = tables.with_(mensagens=tables.mensagens.unionByName(new), leads=touch(tables.leads, known, as_of))
+    return Changed(after, rejected, numbered.select("seq", "id")), new
 
 
 def update_tags(leads: DataFrame, batch: DataFrame, as_of: datetime | Column | None = None) -> DataFrame:
@@ -190,12 +192,10 @@ def upsert_leads(
     written = numbered.select(*CONTACT_KEY, "id").unionByName(
         found.select(*CONTACT_KEY, F.col("lead_id").alias("id"))
     )
-    new = apply_defaults(numbered, "leads", as_of)
     return Changed(
-        tables.with_(leads=updated.unionByName(new)),
+        tables.with_(leads=updated.unionByName(apply_defaults(numbered, "leads", as_of))),
         rejected,
         known.join(written, CONTACT_KEY).select(seq, "id"),
-        new,
     )
 
 

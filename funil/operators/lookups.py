@@ -119,6 +119,9 @@ def histories(
     **skew,
 ) -> DataFrame:
     """The same for all leads, or for those in ``leads(lead_id)``, unordered."""
+    chosen = messages
     if leads is not None:
-        messages = messages.join(leads.select("lead_id").distinct(), "lead_id", "left_semi")
-    return first_per_key(as_chat(messages), "lead_id", _chat_order(newest), limit, **skew)
+        chosen = messages.join(leads.select("lead_id").distinct(), "lead_id", "left_semi")
+    return first_per_key(
+        as_chat(chosen), "lead_id", _chat_order(newest), limit, census=messages.select("lead_id"), **skew
+    )

@@ -211,6 +211,19 @@ def arrivals(events: DataFrame) -> DataFrame:
     )
 
 
+def conversation(events: DataFrame) -> DataFrame:
+    """Incoming messages by contact and instance, with their texts; one instance in 26 is unknown."""
+    return events.selectExpr(
+        "event_id AS seq",
+        f"{_contact('user_id')} AS remotejid",
+        "concat('nation_', event_id % 26, '_whatsapp') AS instancia",
+        "concat(event_type, ' ', props) AS mensagem",
+        "event_type = 'error' AS is_bot",
+        "ts AS created_at",
+        "IF(event_type = 'signup', concat('Nome ', event_id), NULL) AS nome",
+    )
+
+
 def snapshot_history(events: DataFrame) -> DataFrame:
     """One snapshot per hour of events, sized by that hour's events."""
     hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")

@@ -8,6 +8,7 @@ change keep their folders, and added rows are one folder more.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -20,7 +21,10 @@ from funil.operators.integrity import IntegrityError, orphans, require_intact, r
 from funil.operators.numbering import assign_ids
 from funil.tables import SalesTables
 
-VERSION = "version BIGINT, table_name STRING, folders ARRAY<STRING>, last_id BIGINT, loaded_at TIMESTAMP_NTZ"
+VERSION = (
+    "version BIGINT, table_name STRING, folders ARRAY<STRING>, last_id BIGINT, streams MAP<STRING, BIGINT>, "
+    "loaded_at TIMESTAMP_NTZ"
+)
 
 # Sort keys of a clustered table: what lookups filter by, then enough columns to
 # spread one very frequent value over several files.
@@ -55,11 +59,12 @@ def clustered(df: DataFrame, table: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class State:
-    """One version: folders and last id per table."""
+    """One version: folders and last id per table, and the last micro-batch of each stream."""
 
     version: int
     folders: dict[str, list[str]]
     last_ids: dict[str, int]
+    streams: dict[str, int]
 
 
 class TableStore:
@@ -91,7 +96,10 @@ class TableStore:
 
     def _state(self, version: int) -> State:
         rows = self.spark.read.schema(VERSION).parquet(f"{self.root}/versions/{version:012d}").collect()  # four rows
-        return State(version, {r.table_name: r.folders for r in rows}, {r.table_name: r.last_id for r in rows})
+        return State(
+            version, {r.table_name: r.folders for r in rows}, {r.table_name: r.last_id for r in rows},
+            dict(rows[0].streams or {}),
+        )
 
     def _read(self, state: State) -> SalesTables:
         return SalesTables(**{
@@ -116,13 +124,14 @@ class TableStore:
         loaded_at: datetime | None,
         cluster: bool = True,
         check=None,
+        stream: tuple[str, int] | None = None,
     ) -> SalesTables:
         """Stage tables and rows, check them, and write the version after ``base`` that has them.
 
         The file that claims a version can only be created once, so of two writers that
         start from one version the second fails before it writes anything.
         """
-        version = base.version + 1 if base else 1
+        version, attempt = (base.version + 1 if base else 1), uuid.uuid4().hex
         for name, df in {**replaced, **added}.items():
             require_types(df, name)
         if not self._files().createNewFile(self._path(f"claims/{version:012d}")):
@@ -132,7 +141,7 @@ class TableStore:
             last_ids = dict(base.last_ids) if base else dict.fromkeys(S.SCHEMAS, 0)
             staged, nulls = {}, {}
             for name, df in {**replaced, **added}.items():
-                folder = f"data/{version:012d}/{name}"
+                folder = f"data/{version:012d}-{attempt}/{name}"
                 seen = Observation()
                 required = S.required_columns(name)
                 counted = [F.count_if(F.col(c).isNull()).alias(c) for c in required]
@@ -145,13 +154,14 @@ class TableStore:
                 staged[name] = self.spark.read.schema(S.SCHEMAS[name]).parquet(f"{self.root}/{folder}")
             if nulls:
                 raise IntegrityError(f"violated: required column {', '.join(sorted(nulls))}")
-            state = State(version, folders, last_ids)
+            streams = {**(base.streams if base else {}), **dict([stream] if stream else [])}
+            state = State(version, folders, last_ids, streams)
             if "provedores" in staged:
                 require_intact(staged["provedores"])
             if check:
                 check(staged, self._read(state))
-            rows = [(version, n, folders[n], last_ids[n]) for n in S.SCHEMAS]
-            listed = self.spark.createDataFrame(rows, "version BIGINT, table_name STRING, folders ARRAY<STRING>, last_id BIGINT")
+            rows = [(version, n, folders[n], last_ids[n], streams) for n in S.SCHEMAS]
+            listed = self.spark.createDataFrame(rows, VERSION.rsplit(",", 1)[0])
             listed.withColumn("loaded_at", moment(loaded_at)).coalesce(1).write.parquet(
                 f"{self.root}/versions/{version:012d}"
             )
@@ -198,8 +208,8 @@ class TableStore:
     def record_messages(self, batch: DataFrame, as_of: datetime | None = None) -> changes.Changed:
         """Record messages and touch their leads.  The message table gets a folder, the lead table is written anew."""
         base = self.state()
-        changed = changes.append_messages(self._read(base), batch, as_of, base.last_ids["mensagens"])
-        after = self._commit(base, {"leads": changed.tables.leads}, {"mensagens": changed.added}, as_of)
+        changed, new = changes.record_messages(self._read(base), batch, as_of, base.last_ids["mensagens"])
+        after = self._commit(base, {"leads": changed.tables.leads}, {"mensagens": new}, as_of)
         return changed._replace(tables=after)
 
     def upsert_leads(self, batch: DataFrame, as_of: datetime | None = None) -> changes.Changed:
@@ -213,6 +223,39 @@ class TableStore:
         base = self.state()
         return self._commit(base, {"leads": changes.update_tags(self._read(base).leads, batch, as_of)}, {}, as_of)
 
+    def record_conversation(
+        self, arrived: DataFrame, as_of: datetime | None = None, stream: tuple[str, int] | None = None
+    ) -> DataFrame:
+        """Upsert the contacts of arrived messages and record the messages under their leads, as one change.
+
+        ``arrived`` has ``seq``, ``remotejid``, ``instancia``, ``mensagem``, and may have
+        ``is_bot``, ``created_at`` and the contact fields.  Returns what cannot be
+        identified: rows without contact, text or an active provider's instance.
+        ``stream`` names a stream and micro-batch; one that is in already changes nothing.
+        """
+        base = self.state()
+        tables = self._read(base)
+        active = tables.provedores.filter("ativo").select(F.col("id").alias("provedor_id"), "instancia")
+        complete = F.col("remotejid").isNotNull() & F.col("mensagem").isNotNull()
+        known = arrived.filter(complete).join(active, "instancia")
+        unknown = arrived.join(known.select("seq"), "seq", "left_anti")
+        if stream and base.streams.get(stream[0], -1) >= stream[1]:
+            return unknown
+        given = [c for c in changes.CONTACT_FIELDS if c in arrived.columns]
+        types = {f.name: f.dataType for f in S.LEADS}
+        calls = known.select(
+            "seq", "remotejid", "provedor_id",
+            *[F.col(c) if c in given else F.lit(None).cast(types[c]).alias(c) for c in changes.CONTACT_FIELDS],
+        )
+        upserted = changes.upsert_leads(tables, calls, as_of, last=base.last_ids["leads"])
+        texts = [c for c in ("is_bot", "created_at") if c in arrived.columns]
+        messages = known.select("seq", "mensagem", *texts).join(upserted.ids.withColumnRenamed("id", "lead_id"), "seq")
+        new = changes.apply_defaults(
+            assign_ids(messages, ["seq"], base.last_ids["mensagens"]), "mensagens", as_of
+        )
+        self._commit(base, {"leads": upserted.tables.leads}, {"mensagens": new}, as_of, stream=stream)
+        return unknown
+
     # Saved changes: single calls.
 
     def registrar_mensagem(self, lead_id: int, mensagem: str, is_bot: bool = False, as_of: datetime | None = None) -> int:

@@ -1,9 +1,11 @@
 """Message arrival as streams.
 
 The write streams keep append-only logs with one folder per micro-batch, so a
-repeated micro-batch overwrites its own folder and the cost of a batch does not
-grow with the tables.  The state is the base tables with the logs applied; a
-batch job makes it the new base from time to time.
+repeated micro-batch overwrites its own folder and what it writes does not grow
+with the tables.  Streams that look leads up read the columns they need of the lead
+table for every micro-batch.  The state is the base tables with the logs applied;
+a batch job makes it the new base from time to time.  ``start_conversation``
+instead applies every micro-batch to a store at once.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from funil.operators.changes import (
 )
 from funil.operators.numbering import assign_ids
 from funil.settings import write_once
+from funil.sources.store import TableStore
 from funil.tables import SalesTables
 
 MESSAGE_LOG = "id BIGINT, mensagem STRING, is_bot BOOLEAN, created_at TIMESTAMP_NTZ, lead_id BIGINT"
@@ -97,6 +100,35 @@ def identified(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/identified").drop("batch_id")
 
 
+# Whole conversations.
+
+def start_conversation(
+    messages: DataFrame, store: TableStore, folder: str, as_of: datetime | None = None, name: str = "conversation", **trigger
+) -> StreamingQuery:
+    """Apply micro-batches of arrived messages to a store: contacts first, then their messages.
+
+    A micro-batch is one version of the store, which remembers it, so a repeated one
+    changes nothing.  What cannot be identified is logged under ``unidentified``;
+    ``replay`` offers it again, for instance after a provider was added.
+    """
+
+    def on_batch(batch, batch_id):
+        unknown = store.record_conversation(batch, as_of, (name, batch_id))
+        _write_batch(unknown, folder, f"unidentified_{name}", batch_id)
+
+    return _start(messages, on_batch, folder, name, **trigger)
+
+
+def unidentified(spark: SparkSession, folder: str, name: str = "conversation") -> DataFrame:
+    return spark.read.parquet(f"{folder}/unidentified_{name}").drop("batch_id")
+
+
+def replay(store: TableStore, folder: str, as_of: datetime | None = None, name: str = "conversation") -> DataFrame:
+    """Apply the unidentified messages that can be identified by now; returns those that still cannot."""
+    waiting = unidentified(store.spark, folder, name)
+    return store.record_conversation(waiting, as_of)
+
+
 # Contacts.
 
 def start_upserts(contacts: DataFrame, folder: str, **trigger) -> StreamingQuery:
