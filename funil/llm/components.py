@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from funil.settings import write_once
 
+SMALL = 500_000  # links (16 bytes each) that are settled in one partition, without shuffles
+
 
 def connected_components(edges: DataFrame, most_rounds: int = 200) -> DataFrame:
     """(``node``, ``component``) of every node on an edge ``_a`` - ``_b``; the component is its smallest node.
@@ -15,11 +17,16 @@ def connected_components(edges: DataFrame, most_rounds: int = 200) -> DataFrame:
     are taken per task before they are shuffled, and a node with very many
     neighbours is joined, not collected.  Each round is written, so its cost and
     lineage stay those of the edges.  Null ends and loops are left out.
+
+    Up to ``SMALL`` links fit one partition and need no shuffles; more are shuffled.  The
+    steps are the same.
     """
     links = edges.where("_a <> _b").select(F.greatest("_a", "_b").alias("_u"), F.least("_a", "_b").alias("_v"))
     links = write_once(links.distinct(), "links")
+    few = links.limit(SMALL + 1).count() <= SMALL
     before = None
     for _ in range(most_rounds):
+        links = links.coalesce(1) if few else links
         both = links.unionByName(links.select(F.col("_v").alias("_u"), F.col("_u").alias("_v")))
         lowest = both.groupBy("_u").agg(F.min("_v").alias("_m")).withColumn("_m", F.least("_u", "_m"))
         large = both.where("_v > _u").join(lowest, "_u").select(F.col("_v").alias("_u"), F.col("_m").alias("_v"))

@@ -30,6 +30,7 @@ FREQUENT = 1e-4  # share of sets from which a shingle counts as frequent
 MOST_FREQUENT = 1_000_000  # frequent shingles that are told to all tasks
 LEAF = 32  # points in a leaf
 TOLD = 500_000  # ids that are broadcast at most; more are joined
+STAR_ROUNDS = 2  # rounds of comparing sets with centres before all pairs of a block are looked at
 TILE = 1024  # members of a block that are compared at a time
 
 
@@ -144,24 +145,15 @@ def _frequent(spark: SparkSession, profiles: DataFrame, sets: int) -> np.ndarray
 
 
 def _blocks(rows: DataFrame, frequent: np.ndarray, words: int, percent: int, parts: int) -> DataFrame:
-    """Blocks of sets that share one of their first shingles, as rows (``_kind``, ``_x``, ``_y``).
-
-    Kind 0 is a membership: shingle and key of the set.  Kind 1 is a star: a member's
-    key and that of the block's centre, its smallest key as far as the task sees.
+    """(``_shingle``, ``_key``) of every set that shares one of its first shingles with another set.
 
     Entries travel packed by hash.  Where a task has several sets with a shingle, one of
     them goes to the shingle's partition to meet those of other tasks.  The rest, known
-    to be shared and tied to that one, are spread over all partitions: a shingle that
-    very many sets have gives a partition no more than one entry per task.
+    to be shared, are spread over all partitions: a shingle that very many sets have
+    gives a partition no more than one entry per task.
     """
     told = rows.sparkSession.sparkContext.broadcast(frequent)
-    names = ["_kind", "_x", "_y"]
-
-    def table(kind: int, x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(x), kind, np.int32)), pa.array(x), pa.array(y)], names)
-
-    def stars(key: np.ndarray, centre: np.ndarray) -> np.ndarray:
-        return np.unique(np.stack([key, centre], 1)[key != centre], axis=0)
+    names = ["_shingle", "_key"]
 
     def emit(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, seen, size = [], set(), 0
@@ -173,7 +165,6 @@ def _blocks(rows: DataFrame, frequent: np.ndarray, words: int, percent: int, par
             shingle, key = shingle[order], key[order]
             head = np.concatenate([[True], shingle[1:] != shingle[:-1]])
             shared = ~head | np.concatenate([~head[1:], [False]])
-            centre = key[np.flatnonzero(head)][np.cumsum(head) - 1]
             home = (mix(shingle) % np.uint64(parts)).astype(np.int64)
             spread = (mix(shingle ^ mix(key.view(np.uint64))) % np.uint64(parts)).astype(np.int64)
             home = np.where(head, home, spread)
@@ -184,11 +175,10 @@ def _blocks(rows: DataFrame, frequent: np.ndarray, words: int, percent: int, par
                 np.concatenate([[True], (home[1:] != home[:-1]) | (state[1:] != state[:-1])])
             )
             cuts = list(zip(heads.tolist(), [*heads[1:].tolist(), len(home)]))
-            tied = stars(key, centre[order])
             return pa.RecordBatch.from_arrays(
-                [pa.array([*home[heads].tolist(), int(home[0])]), pa.array([*state[heads].tolist(), 3]),
-                 pa.array([*(shingle[a:b].tobytes() for a, b in cuts), tied[:, 0].tobytes()], pa.binary()),
-                 pa.array([*(key[a:b].tobytes() for a, b in cuts), tied[:, 1].tobytes()], pa.binary())],
+                [pa.array(home[heads]), pa.array(state[heads]),
+                 pa.array([shingle[a:b].tobytes() for a, b in cuts], pa.binary()),
+                 pa.array([key[a:b].tobytes() for a, b in cuts], pa.binary())],
                 ["_part", "_state", "_shingles", "_keys"],
             )
 
@@ -210,8 +200,8 @@ def _blocks(rows: DataFrame, frequent: np.ndarray, words: int, percent: int, par
         for batch in given:
             for state, s, k in zip(*(batch.column(c).to_pylist() for c in ("_state", "_shingles", "_keys"))):
                 s, k = np.frombuffer(s, np.int64), np.frombuffer(k, np.int64)
-                if state > 1:
-                    yield table(state - 2, s, k)
+                if state == 2:
+                    yield pa.RecordBatch.from_arrays([pa.array(s), pa.array(k)], names)
                 else:
                     met[state].append((s, k))
         if not (met[0] or met[1]):
@@ -227,13 +217,36 @@ def _blocks(rows: DataFrame, frequent: np.ndarray, words: int, percent: int, par
         shingle, key, known = shingle[last], key[last], known[last]
         head = np.concatenate([[True], shingle[1:] != shingle[:-1]])
         shared = known | ~head | np.concatenate([~head[1:], [False]])
-        centre = key[np.flatnonzero(head)][np.cumsum(head) - 1]
-        tied = stars(key[shared], centre[shared])
-        yield table(1, tied[:, 0], tied[:, 1])
-        yield table(0, shingle[shared], key[shared])
+        yield pa.RecordBatch.from_arrays([pa.array(shingle[shared]), pa.array(key[shared])], names)
 
     packed = rows.select("_text").mapInArrow(emit, "_part long, _state long, _shingles binary, _keys binary")
-    return packed.repartition(F.col("_part")).mapInArrow(meet, "_kind int, _x long, _y long")
+    return packed.repartition(F.col("_part")).mapInArrow(meet, "_shingle long, _key long")
+
+
+def _stars(members: DataFrame) -> DataFrame:
+    """One pair (``_a``, ``_b``) per set: with the centre of most of its blocks, among sets with another label.
+
+    A block's centre is its member with the most memberships.  Of the copies of a text
+    that is the text itself rather than one of its edited versions, so most of them
+    link with it, and a group of any size takes one pair per member.
+    """
+    weights = members.groupBy("_key").agg(F.count(F.lit(1)).alias("_weight"))
+    weighted = members.join(weights, "_key")
+    centres = weighted.groupBy("_shingle").agg(F.max(F.struct("_weight", "_key", "_label")).alias("_centre"))
+    met = members.join(centres, "_shingle").where("_label <> _centre._label")
+    votes = met.groupBy("_key", F.col("_centre._key").alias("_b")).agg(F.count(F.lit(1)).alias("_votes"))
+    best = votes.groupBy("_key").agg(F.max(F.struct("_votes", "_b")).alias("_best"))
+    return best.select(F.col("_key").alias("_a"), F.col("_best._b").alias("_b"))
+
+
+def _open(members: DataFrame) -> DataFrame:
+    """The members of blocks that have several labels; of blocks with the same members, one."""
+    blocks = members.groupBy("_shingle").agg(
+        F.min("_label").alias("_low"), F.max("_label").alias("_high"),
+        F.sum(F.xxhash64("_key").cast("decimal(20,0)")).alias("_sum"), F.count(F.lit(1)).alias("_size"),
+    ).where("_low <> _high")
+    chosen = blocks.groupBy("_sum", "_size").agg(F.min("_shingle").alias("_shingle")).select("_shingle")
+    return members.join(chosen, "_shingle", "left_semi")
 
 
 def _bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -392,28 +405,23 @@ def similar_groups(
     parts = max(256, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     blocks = write_once(_blocks(named, frequent, words, percent, parts), "blocks")
 
-    # A block's sets are first compared with its centre: this joins most copies of a text.
-    stars = blocks.where("_kind = 1").select(F.col("_x").alias("_a"), F.col("_y").alias("_b")).distinct()
-    near = write_once(_bounded(stars, sets, percent), "near")
-    edges = _linked(named, sets, near, words, percent).unionByName(_repeated(own, sets))
-    labels = connected_components(edges)
-
-    # Blocks whose sets are not all one component yet: all their pairs are looked at.
-    labelled = sets.join(labels, F.col("_rep") == F.col("node"), "left").select(
-        F.col("_k1").alias("_key"), F.coalesce("component", "_rep").alias("_label"), "_n", "_point"
-    )
-    members = blocks.where("_kind = 0").select(F.col("_x").alias("_shingle"), F.col("_y").alias("_key"))
-    split = members.join(labelled.select("_key", "_label"), "_key").groupBy("_shingle").agg(
-        F.min("_label").alias("_low"), F.max("_label").alias("_high"),
-        F.sum(F.xxhash64("_key").cast("decimal(20,0)")).alias("_sum"), F.count(F.lit(1)).alias("_size"),
-    ).where("_low <> _high")
-    # Blocks with the same members are looked at once.
-    open_blocks = split.groupBy("_sum", "_size").agg(F.min("_shingle").alias("_shingle")).select("_shingle")
-    open_blocks = write_once(open_blocks, "open_blocks")
-    if not open_blocks.isEmpty():
-        left = members.join(open_blocks, "_shingle", "left_semi").distinct().join(labelled, "_key")
-        near = write_once(_tree_pairs(left, percent), "near")
-        labels = connected_components(edges.unionByName(_linked(named, sets, near, words, percent)))
+    edges = write_once(_repeated(own, sets), "edges")
+    labels = None
+    for step in range(STAR_ROUNDS + 1):
+        known = sets if labels is None else sets.join(labels, F.col("_rep") == F.col("node"), "left")
+        label = F.col("_rep") if labels is None else F.coalesce("component", "_rep")
+        known = known.select(F.col("_k1").alias("_key"), label.alias("_label"), "_n", "_point")
+        members = blocks.join(known.select("_key", "_label"), "_key")
+        left = write_once(members if labels is None else _open(members), "open")
+        if left.isEmpty():
+            break
+        if step < STAR_ROUNDS:  # sets against the centres of their blocks, which joins most copies of a text
+            near = _bounded(_stars(left), sets, percent)
+        else:  # what is not one component by now: all pairs that the trees let through
+            near = _tree_pairs(left.distinct().join(known.select("_key", "_n", "_point"), "_key"), percent)
+        edges = edges.unionByName(_linked(named, sets, write_once(near, "near"), words, percent))
+        labels = connected_components(edges)
+    labels = connected_components(edges) if labels is None else labels
     return (
         own.join(sets.select("_k1", "_k2", "_rep"), ["_k1", "_k2"], "left")
         .join(labels, F.col("_rep") == F.col("node"), "left")
