@@ -25,11 +25,11 @@ from funil.sources import raw  # noqa: E402
 HEADLINE = (
     "providers_summary", "leads_full", "plans_full", "conversations_view", "newest_messages",
     "dashboard_all", "dashboard_one", "dashboard_by_provider", "lead_lookup", "lead_lookup_bulk",
-    "history", "history_bulk", "history_bulk_text", "tag_frequency", "msgs_by_lead", "json_profile",
+    "history", "history_bulk", "commit_messages", "commit_upsert", "history_bulk_text", "tag_frequency", "msgs_by_lead", "json_profile",
     "order_by_name", "filter_any_or", "count_row", "update_tags", "append_messages", "upsert_leads",
     "cascade_delete", "check_pk", "check_fk", "snapshot_verify", "stream_counts",
 )
-RUNS = 3
+RUNS = 5
 
 
 def per_figure(parents, key, figures):
@@ -101,8 +101,13 @@ def once(spark, run, folder) -> float:
     return time.perf_counter() - started
 
 
-def median(spark, run, folder) -> float:
-    return round(statistics.median(once(spark, run, folder) for _ in range(RUNS)), 4)
+def medians(spark, runs, folder) -> dict[str, float]:
+    """Median times of several queries whose runs alternate, so that each meets a JVM as warm as the others do."""
+    times = {name: [] for name in runs}
+    for _ in range(RUNS):
+        for name, run in runs.items():
+            times[name].append(once(spark, run, folder))
+    return {name: round(statistics.median(t), 4) for name, t in times.items()}
 
 
 def main() -> None:
@@ -110,11 +115,12 @@ def main() -> None:
     spark = local_session("bench", os.environ.get("BENCH_CPUS", "8"), "16g")
     spark.sparkContext.setLogLevel("ERROR")
     chosen = {name: QUERIES[name] for name in sys.argv[1:] or HEADLINE}
-    compared = {name: run for name, run in NAIVE.items() if name in chosen}
+    compared = {f"naive {name}": run for name, run in NAIVE.items() if name in chosen}
     for run in [*chosen.values(), *compared.values()]:
         once(spark, run, folder)
-    times = {name: median(spark, run, folder) for name, run in chosen.items()}
-    naive = {name: median(spark, run, folder) for name, run in compared.items()}
+    both = medians(spark, {**chosen, **compared}, folder)
+    times = {name: both[name] for name in chosen}
+    naive = {name.split()[1]: both[name] for name in compared}
     print(json.dumps({
         "metric": "total time of the headline queries",
         "value": round(sum(times.values()), 3),
