@@ -17,7 +17,7 @@ from funil.llm.pii import KINDS, find_personal_data
 from funil.llm.quality import quality_rules
 from funil.llm.sharding import shard_rows
 from funil.llm.token_files import read_files, write_files
-from funil.settings import new_folder
+from funil.settings import new_folder, write_once
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -76,7 +76,7 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     pages = spark.read.parquet(f"{folder}/pages.parquet").select(
         "page_id", host_of(F.col("url")).alias("host"), page_text(F.col("html")).alias("text")
     )
-    return drop_boilerplate(pages, "host")
+    return drop_boilerplate(write_once(pages, "pages"), "host")  # read twice, taken out of the HTML once
 
 
 @query
