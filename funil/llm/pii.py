@@ -41,8 +41,12 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++").finditer
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]").finditer
 
 _WORDS = "|".join(sorted([*DIGITS, *SIGNS], key=len, reverse=True))
-_SPELLED_PAIR = re.compile(rf"\b(?:{_WORDS})[\s,-]{{1,3}}(?:{_WORDS}|[0-9])", re.I).search
-_SPELLED = re.compile(rf"(?<!\w)(?:{_WORDS}|[0-9]+)(?:[\s,-]{{1,3}}(?:{_WORDS}|[0-9]+))+(?!\w)", re.I).finditer
+_SPELLED = re.compile(
+    rf"(?<!\w)(?:{_WORDS}|[0-9]++)(?:(?:[\s,-]{{1,3}}|\.)(?:{_WORDS}|[0-9]++)(?!\w))*+(?!\w)", re.I
+).finditer
+_SPELLED_PAIR = re.compile(
+    rf"\b(?:{_WORDS})(?:[\s,-]{{1,3}}|\.)(?:{_WORDS}|[0-9])|[0-9](?:[\s,-]{{1,3}}|\.)(?:{_WORDS})\b", re.I
+).search
 _TOKEN = re.compile(r"[^\W_]+").finditer
 _ENCLOSED = re.compile(
     r"[ \t]{0,3}(?:\([ \t]*(at|dot|@|\.)[ \t]*\)|\[[ \t]*(at|dot|@|\.)[ \t]*\]|\{[ \t]*(at|dot|@|\.)[ \t]*\})[ \t]{0,3}", re.I
@@ -53,7 +57,6 @@ _SPOKEN = re.compile(
     re.I,
 ).finditer
 _SPOKEN_SIGN = re.compile(r"[ \t]{1,3}(at|dot)[ \t]{1,3}", re.I).finditer
-SHORTEST_RUN = 7  # spelled digits in a row that are read as a number
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -154,8 +157,8 @@ def plain_characters(text: str) -> list[tuple[int, int, str]]:
     return [(k, k + 1, _CHARACTERS[ord(c)]) for k, c in enumerate(text) if c in odd] if odd else []
 
 
-def plain_words(text: str) -> list[tuple[int, int, str]]:
-    """Enclosed and spoken at and dot signs, and runs of digits spelled as words."""
+def plain_signs(text: str) -> list[tuple[int, int, str]]:
+    """Enclosed and spoken at and dot signs."""
     changes = []
     lower = text.lower() if len(text.lower()) == len(text) else text
     if "at" in lower or "dot" in lower or "@" in text:
@@ -168,15 +171,6 @@ def plain_words(text: str) -> list[tuple[int, int, str]]:
             label = re.split(r"[ \t.]", match[0])[-1].lower()
             if [s for *_, s in spoken].count("at") == 1 and spoken[-1][2] == "dot" and label in LAST_LABELS:
                 changes += [(a, b, "@" if s == "at" else ".") for a, b, s in spoken]
-    if _SPELLED_PAIR(text):
-        for match in _SPELLED(text):
-            tokens = [(m.start() + match.start(), m.end() + match.start(), m[0].lower()) for m in _TOKEN(match[0])]
-            if sum(t in DIGITS for *_, t in tokens) < 2 or sum(t not in SIGNS for *_, t in tokens) < SHORTEST_RUN:
-                continue
-            at = match.start()
-            for start, end, token in tokens:
-                changes.append((at, end, DIGITS.get(token) or SIGNS.get(token) or token))
-                at = end
     kept, end = [], 0
     for change in sorted(changes):
         if change[0] >= end:
@@ -185,6 +179,32 @@ def plain_words(text: str) -> list[tuple[int, int, str]]:
     return kept
 
 
+def spelled_digits(text: str) -> list[tuple[int, int, str]]:
+    """Digits and signs as words, in runs of any length: whether a run is an identifier, the kinds' tests decide.
+
+    Single digits are joined; a number of several digits keeps one space to its neighbours.
+    """
+    changes = []
+    if not _SPELLED_PAIR(text):
+        return changes
+    for match in _SPELLED(text):
+        tokens = [(*m.span(), m[0].lower()) for m in _TOKEN(text, *match.span())]
+        if len(tokens) < 2 or all(t.isdigit() for *_, t in tokens):
+            continue
+        plain = [DIGITS.get(t) or SIGNS.get(t) or t for *_, t in tokens]
+        for k, (start, end, token) in enumerate(tokens):
+            if k:
+                at, near = tokens[k - 1][1], (plain[k - 1], plain[k])
+                kept = "." if text[at:start] == "." else ""
+                if not kept and all(p.isdigit() for p in near) and max(map(len, near)) > 1:
+                    kept = " "
+                if text[at:start] != kept:
+                    changes.append((at, start, kept))
+            if plain[k] != token:
+                changes.append((start, end, plain[k]))
+    return changes
+
+
 def find(text: str) -> list[tuple[int, int, str, bool]]:
     """(start, end, kind, plain) of all identifiers by start, then kind as listed.
 
@@ -193,17 +213,17 @@ def find(text: str) -> list[tuple[int, int, str, bool]]:
     """
     plain = identifiers(text)
     spans = [(start, end, kind, True) for kind, start, end in plain]
-    characters = Rewritten(text, changes) if (changes := plain_characters(text)) else None
-    folded = characters.text if characters else text
-    words = Rewritten(folded, changes) if (changes := plain_words(folded)) else None
-    if characters or words:
-        for kind, start, end in identifiers(words.text if words else folded):
-            changed = words is not None and words.touched(start, end)
-            if words:
-                start, end = words.back(start, end)
-            if characters:
-                changed = changed or characters.touched(start, end)
-                start, end = characters.back(start, end)
+    steps = []
+    for rewrite in (plain_characters, plain_signs, spelled_digits):
+        source = steps[-1].text if steps else text
+        last = Rewritten(source, changes) if (changes := rewrite(source)) else None
+        steps += [last] if last else []
+    if steps:
+        for kind, start, end in identifiers(steps[-1].text):
+            changed = False
+            for step in reversed(steps):
+                changed = changed or step.touched(start, end)
+                start, end = step.back(start, end)
             if changed and not any(k == kind and s < end and start < e for k, s, e in plain):
                 spans.append((start, end, kind, False))
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))

@@ -215,6 +215,21 @@ def test_disguises():
     assert masked(text, find(text)) == "[EMAIL] and [EMAIL]"
 
 
+def test_short_spelled_runs():
+    cases = {
+        "one two seven dot zero dot zero dot one": ["ip:0:39"],
+        "host 192 dot 168 dot 1 dot 10 is up": ["ip:5:29"],
+        "10 dot 0 dot 0 dot 1": ["ip:0:20"],
+        "192 dot 168 dot 1 dot 10 300 users": ["ip:0:24"],
+        "call plus four four 2079 460 958 now": ["phone:5:32"],
+        "four one one one 1111 1111 1111": ["card:0:31"],
+        "one two seven (dot) zero dot zero [.] one": ["ip:0:41"],
+        "300 dot 168 dot 1 dot 10, plus one two three, one two seven dot zero": [],
+    }
+    for text, spans in cases.items():
+        assert [f"{k}:{a}:{b}" for a, b, k, _ in find(text)] == spans, text
+
+
 def test_plain_identifiers_as_patterns_find_them():
     rnd = random.Random(1)
     for _ in range(20_000):
