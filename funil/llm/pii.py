@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructField, StructType
 
 from funil.llm import batches as B
+from funil.llm.top_level_domains import TOP_LEVEL_DOMAINS
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -30,8 +31,8 @@ DIGIT_WORDS = (
     "cero uno dos tres cuatro cinco seis siete ocho nueve",
 )
 DIGITS = {word: str(n) for words in DIGIT_WORDS for n, word in enumerate(words.split())} | {"oh": "0"}
-# Last labels that a spoken domain may end in.
-LAST_LABELS = frozenset("com org net edu gov info biz io co me eu uk de fr es it nl pt br us ca ch at be ar mx".split())
+# Words that stand before the noun "dot", as in "look at the dot in the middle".
+DETERMINERS = frozenset("a an the this that each every".split())
 SIGNS = {"plus": "+", "dot": ".", "point": ".", "punkt": ".", "punto": "."}
 
 _EMAIL_END = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++").finditer
@@ -48,15 +49,19 @@ _SPELLED_PAIR = re.compile(
     rf"\b(?:{_WORDS})(?:[\s,-]{{1,3}}|\.)(?:{_WORDS}|[0-9])|[0-9](?:[\s,-]{{1,3}}|\.)(?:{_WORDS})\b", re.I
 ).search
 _TOKEN = re.compile(r"[^\W_]+").finditer
+_BRACKETED = re.compile(r"[(\[{][ \t]*+(?:at|dot|@|\.)", re.I).search
 _ENCLOSED = re.compile(
     r"[ \t]{0,3}(?:\([ \t]*(at|dot|@|\.)[ \t]*\)|\[[ \t]*(at|dot|@|\.)[ \t]*\]|\{[ \t]*(at|dot|@|\.)[ \t]*\})[ \t]{0,3}", re.I
 ).finditer
+# Each sign in either form: spoken, or written (by the source, or for an enclosed one).  Chains are read from their heads only.
+_HEAD = "".join(rf"(?<![A-Za-z0-9._%+-][ \t]{{{i}}}dot[ \t]{{{j}}})" for i in (1, 2, 3) for j in (1, 2, 3))
 _SPOKEN = re.compile(
-    r"(?<![A-Za-z0-9._%+-])(?:[A-Za-z0-9._%+-]++[ \t]{1,3}dot[ \t]{1,3})*+[A-Za-z0-9._%+-]++[ \t]{1,3}at"
-    r"[ \t]{1,3}[A-Za-z0-9-]++(?:(?:[ \t]{1,3}dot[ \t]{1,3}|\.)[A-Za-z0-9-]++)++",
+    rf"(?<![A-Za-z0-9._%+-]){_HEAD}" r"(?:[A-Za-z0-9._%+-]++[ \t]{1,3}dot[ \t]{1,3})*+[A-Za-z0-9._%+-]++(?P<at>[ \t]{1,3}at[ \t]{1,3}|@)"
+    r"[A-Za-z0-9-]++(?:(?:[ \t]{1,3}dot[ \t]{1,3}|\.)[A-Za-z0-9-]++)++",
     re.I,
 ).finditer
-_SPOKEN_SIGN = re.compile(r"[ \t]{1,3}(at|dot)[ \t]{1,3}", re.I).finditer
+_SPOKEN_DOT = re.compile(r"[ \t]{1,3}dot[ \t]{1,3}", re.I).finditer
+_DOMAIN_DOT = re.compile(r"([ \t]{1,3}dot[ \t]{1,3}|\.)([A-Za-z0-9-]+)", re.I).finditer
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -157,26 +162,37 @@ def plain_characters(text: str) -> list[tuple[int, int, str]]:
     return [(k, k + 1, _CHARACTERS[ord(c)]) for k, c in enumerate(text) if c in odd] if odd else []
 
 
-def plain_signs(text: str) -> list[tuple[int, int, str]]:
-    """Enclosed and spoken at and dot signs."""
-    changes = []
-    lower = text.lower() if len(text.lower()) == len(text) else text
-    if "at" in lower or "dot" in lower or "@" in text:
-        for match in _ENCLOSED(text):
-            sign = (match[1] or match[2] or match[3]).lower()
-            changes.append((*match.span(), {"at": "@", "dot": "."}.get(sign, sign)))
-    if "dot" in lower and "at" in lower:
-        for match in _SPOKEN(text):
-            spoken = [(*(match.start() + p for p in m.span()), m[1].lower()) for m in _SPOKEN_SIGN(match[0])]
-            label = re.split(r"[ \t.]", match[0])[-1].lower()
-            if [s for *_, s in spoken].count("at") == 1 and spoken[-1][2] == "dot" and label in LAST_LABELS:
-                changes += [(a, b, "@" if s == "at" else ".") for a, b, s in spoken]
-    kept, end = [], 0
-    for change in sorted(changes):
-        if change[0] >= end:
-            kept.append(change)
-            end = change[1]
-    return kept
+def enclosed_signs(text: str) -> list[tuple[int, int, str]]:
+    """At and dot signs in brackets."""
+    if not _BRACKETED(text):
+        return []
+    signs = [(match, (match[1] or match[2] or match[3]).lower()) for match in _ENCLOSED(text)]
+    return [(*match.span(), {"at": "@", "dot": "."}.get(sign, sign)) for match, sign in signs]
+
+
+def spoken_signs(text: str, before: Rewritten | None) -> list[tuple[int, int, str]]:
+    """Spoken at and dot signs of addresses, which may have signs that were enclosed ``before`` as well.
+
+    A domain ends in its last top-level domain.  Where the at is spoken, the dot before
+    that must be in disguise too, so "look at example.com" is no address.
+    """
+    lower, changes = text.lower(), []
+    if "dot" not in lower and not (before and "at" in lower):
+        return changes
+    for match in _SPOKEN(text):
+        at, said = match.span("at"), match["at"] != "@"
+        dots = [(d.start(), d.end(1), d[1] == ".", d[2].lower()) for d in _DOMAIN_DOT(text, at[1], match.end())]
+        ends = [k for k, (a, b, written, label) in enumerate(dots) if label in TOP_LEVEL_DOMAINS and not (
+            said and written and not (before and before.touched(a, b)))]
+        if not ends:
+            continue
+        dots = dots[: ends[-1] + 1]
+        if said and len(dots) == 1 and not dots[0][2] and text[at[1] : dots[0][0]].lower() in DETERMINERS:
+            continue
+        changes += [(*d.span(), ".") for d in _SPOKEN_DOT(text, match.start(), at[0])]
+        changes += [(*at, "@")] if said else []
+        changes += [(a, b, ".") for a, b, written, _ in dots if not written]
+    return changes
 
 
 def spelled_digits(text: str) -> list[tuple[int, int, str]]:
@@ -213,8 +229,8 @@ def find(text: str) -> list[tuple[int, int, str, bool]]:
     """
     plain = identifiers(text)
     spans = [(start, end, kind, True) for kind, start, end in plain]
-    steps = []
-    for rewrite in (plain_characters, plain_signs, spelled_digits):
+    steps, last = [], None
+    for rewrite in (plain_characters, enclosed_signs, lambda t: spoken_signs(t, last), spelled_digits):
         source = steps[-1].text if steps else text
         last = Rewritten(source, changes) if (changes := rewrite(source)) else None
         steps += [last] if last else []

@@ -230,6 +230,22 @@ def test_short_spelled_runs():
         assert [f"{k}:{a}:{b}" for a, b, k, _ in find(text)] == spans, text
 
 
+def test_mixed_disguises():
+    cases = {
+        "john (at) example dot com": ["email:0:25"],
+        "john at example (dot) com": ["email:0:25"],
+        "john@example dot com": ["email:0:20"],
+        "john [dot] doe at mail.example {.} org ok": ["email:0:38"],
+        "Server 192[.]168[.]1[.]10 is down": ["ip:7:25"],
+        "Server 10(.)0{.}0[dot]1 is down": ["ip:7:23"],
+        "jane at corp dot dev": ["email:0:20"], "jane at corp dot ai": ["email:0:19"], "jane at corp dot jp": ["email:0:19"],
+        "jane at corp dot museum dot Then": ["email:0:23"],
+        "look at example.com, look at the dot in the middle": [],
+    }
+    for text, spans in cases.items():
+        assert [f"{k}:{a}:{b}" for a, b, k, _ in find(text)] == spans, text
+
+
 def test_plain_identifiers_as_patterns_find_them():
     rnd = random.Random(1)
     for _ in range(20_000):
