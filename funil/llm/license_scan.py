@@ -196,8 +196,9 @@ def scan(
 ) -> DataFrame:
     """Paragraphs that state a licence: id, ``paragraph``, ``family``, ``probability``, ``overlap``, ``confirmed``.
 
-    A paragraph is a line; long ones are judged in overlapping windows and the best
-    counts.  ``probability`` is the calibrated probability that the best family is
+    A paragraph is a line; long ones are judged in overlapping windows.  Each window has one family,
+    and a paragraph one row per family: its surest confirmed window, or its surest
+    one where none is confirmed.  ``probability`` is the calibrated probability that the best family is
     right; paragraphs below ``min_probability`` are unknown and left out.  A
     prediction is ``confirmed`` when the paragraph has ``min_overlap`` of the words of
     one of the family's templates.
@@ -221,13 +222,10 @@ def scan(
     ).where(F.col("probability") >= min_probability)
     compared = found.join(F.broadcast(_template_words(docs.sparkSession)), "family")
     overlap = F.size(F.array_intersect("_template", "words")) / F.size("_template")
-    best = F.max(F.struct("probability", overlap.alias("overlap"), "family")).alias("_best")
-    return (
-        compared.groupBy("_id", "paragraph").agg(best)
-        .select(
-            F.col("_id").alias(id_col), "paragraph", "_best.family", "_best.probability", "_best.overlap",
-            (F.col("_best.overlap") >= min_overlap).alias("confirmed"),
-        )
+    confirmed = (overlap >= min_overlap).alias("confirmed")
+    best = F.max(F.struct(confirmed, "probability", overlap.alias("overlap"))).alias("_best")
+    return compared.groupBy("_id", "paragraph", "family").agg(best).select(
+        F.col("_id").alias(id_col), "paragraph", "family", "_best.probability", "_best.overlap", "_best.confirmed"
     )
 
 
@@ -242,7 +240,7 @@ def document_licences(
     confirmed = scan(docs, scanner, id_col, text_col).where("confirmed")
     per_document = confirmed.groupBy(F.col(id_col).alias("_id")).agg(
         F.array_join(F.sort_array(F.collect_set("family")), ",").alias("families"),
-        F.count(F.lit(1)).alias("paragraphs"), F.max("probability").alias("probability"),
+        F.count_distinct("paragraph").alias("paragraphs"), F.max("probability").alias("probability"),
     )
     rows = docs.select(F.col(id_col).alias("_of"))
     return rows.join(per_document, F.col("_of").eqNullSafe(F.col("_id")), "left").select(

@@ -329,3 +329,42 @@ def test_licences(spark, awkward, empty):
     found = {r["doc_id"]: r["family"] for r in collect(scan(table, scanner, min_overlap=0.5).where("confirmed"))}
     assert sum(found.get(k) == family for k, (_, family) in enumerate(cases)) >= 8
     assert not any(k in found for k, (_, family) in enumerate(cases) if family is None)
+
+
+WRAPPED = {
+    "MIT": """// Copyright 2020 the authors
+//
+// Permission is hereby granted, free of charge, to any person obtaining a copy
+// of this software and associated documentation files (the "Software"), to deal
+// in the Software without restriction, including without limitation the rights
+// to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+// copies of the Software.
+""",
+    "BSD": """ * Redistribution and use in source and
+ * binary forms, with or without
+ * modification, are permitted provided
+ * that the following conditions are met:
+ *
+ * 1. Redistributions of source code must
+ *    retain the above copyright notice.
+""",
+    "GPL": """REM This program is free software: you can redistribute it
+REM and/or modify it under the terms of the GNU General Public
+REM License as published by the Free Software Foundation, either
+REM version 3 of the License, or (at your option) any later version.
+REM
+REM and this is the program
+""",
+}
+
+
+def test_licences_of_one_long_line(spark):
+    scanner = train(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+    filler = "we went to the market and bought bread and then walked home along the river in the rain " * 8
+    mit = " ".join(WRAPPED["MIT"].replace("//", "").split())
+    apache, unconfirmed = "Licensed under the Apache License, Version 2.0. ", "Mozilla Public License MPL Mozilla Public "
+    lines = [f"{mit} {filler}{apache}", f"{unconfirmed}{filler}{apache}{filler}{unconfirmed}"]
+    table = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    found = {r["doc_id"]: r for r in collect(document_licences(table, scanner))}
+    assert found[0]["families"] == "Apache-2.0,MIT" and found[0]["paragraphs"] == 1
+    assert found[1]["families"] == "Apache-2.0"
