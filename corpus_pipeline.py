@@ -26,10 +26,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that more than a tenth of their source's documents have.
 
-    A document that would lose more than half of its lines' characters is a copy of
-    others and keeps them; the next stage decides about it.  No document is dropped.
+    Similar documents of a source count as one, so what only copies share is no
+    boilerplate; all other repeated lines go, however much of a document they are.  No
+    document is dropped.
     """
-    shorter = drop_boilerplate(docs, "source", max_ratio=0.1, min_pages=5, max_loss=0.5)
+    groups = similar_groups(docs).groupBy("doc_id").agg(F.min("component_id").cast("string").alias("_copies"))
+    pages = docs.join(write_once(groups.where("doc_id IS NOT NULL"), "copies"), "doc_id", "left")
+    shorter = drop_boilerplate(pages, "source", max_ratio=0.1, min_pages=5, page_col="_copies")
     changed = F.col("n_dropped") > 0
     return shorter.withColumn(
         "n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))

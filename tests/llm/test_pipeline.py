@@ -47,3 +47,16 @@ def test_stage_order():
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality_rules", "line_dedup", "near_duplicates", "mask_personal_data", "packing"
     ]
+
+
+def test_boilerplate_of_pages_that_are_no_copies(spark):
+    """A page of stock lines from different pages loses them; near copies keep what only they share."""
+    words = lambda name, n: " ".join(f"{name}{k}" for k in range(n))
+    stock = [words(f"stock{k}x", 30) for k in range(3)]
+    rows = [(100 * k + j, f"{stock[k]}\n{words(f'own{k}x{j}x', 60)}") for k in range(3) for j in range(6)]
+    rows.append((1000, "\n".join([*stock, words("rest", 12)])))
+    rows += [(2000 + j, f"{words('article', 90)}\n{words(f'edit{j}x', 3)}") for j in range(6)]
+    docs = spark.createDataFrame([(d, t, "en", "a", len(t)) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    after = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, docs, "").collect()}
+    assert after[1000] == words("rest", 12) and after[0] == words("own0x0x", 60)
+    assert all(after[d] == t for d, t in rows if d >= 2000) and len(after) == len(rows)
