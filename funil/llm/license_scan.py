@@ -112,11 +112,21 @@ def _words(text):
 
 
 def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(``_id``, ``paragraph``, ``words``): every line, in overlapping windows where it is long.  Whole texts are covered."""
-    lines = docs.select(F.col(id_col).alias("_id"), F.posexplode(F.split(text_col, "\n")).alias("paragraph", "_line"))
-    words = lines.select("_id", "paragraph", _words(F.col("_line")).alias("_all")).where("size(_all) > 0")
+    """(``_id``, ``paragraph``, ``words``): every paragraph, joined and line by line, in overlapping windows where long.
+
+    A line without a letter or digit ends a paragraph.  Comment markers are no words, or
+    dropped where they are letters.  Whole texts are covered.
+    """
+    parts = F.split(text_col, r"\n(?=[^\p{L}\p{N}\n]*(?:(?i:rem|dnl)[^\p{L}\p{N}\n]*)?(?:\n|\z))")
+    blocks = docs.select(F.col(id_col).alias("_id"), F.posexplode(parts).alias("paragraph", "_block"))
+    plain = F.regexp_replace("_block", r"(?im)^[^\S\n]*(?:rem|dnl)(?=\s|\z)", " ")
+    lines = F.filter(F.transform(F.split("_block", "\n"), _words), lambda x: F.size(x) > 0)
+    units = blocks.select("_id", "paragraph", lines.alias("_lines"), _words(plain).alias("_joined"))
+    units = units.select("_id", "paragraph", F.explode(
+        F.when(F.size("_lines") > 1, F.concat(F.array("_joined"), F.col("_lines"))).otherwise(F.array("_joined"))
+    ).alias("_all")).where("size(_all) > 0")
     starts = F.sequence(F.lit(0), F.greatest(F.size("_all") - F.lit(STRIDE) - 1, F.lit(0)), F.lit(STRIDE))
-    return words.select("_id", "paragraph", "_all", F.explode(starts).alias("_at")).select(
+    return units.select("_id", "paragraph", "_all", F.explode(starts).alias("_at")).select(
         "_id", "paragraph", F.slice("_all", F.col("_at") + 1, F.lit(WINDOW)).alias("words")
     )
 
@@ -196,7 +206,8 @@ def scan(
 ) -> DataFrame:
     """Paragraphs that state a licence: id, ``paragraph``, ``family``, ``probability``, ``overlap``, ``confirmed``.
 
-    A paragraph is a line; long ones are judged in overlapping windows.  Each window has one family,
+    Paragraphs end at blank lines and are judged as a whole, with wrapped lines joined,
+    and line by line; long ones in overlapping windows.  Each window has one family,
     and a paragraph one row per family: its surest confirmed window, or its surest
     one where none is confirmed.  ``probability`` is the calibrated probability that the best family is
     right; paragraphs below ``min_probability`` are unknown and left out.  A

@@ -358,6 +358,12 @@ REM and this is the program
 }
 
 
+def test_wrapped_licences(spark):
+    scanner = train(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+    table = spark.createDataFrame(list(WRAPPED.items()), "doc_id string, text string")
+    assert {r["doc_id"]: r["families"] for r in collect(document_licences(table, scanner))} == {f: f for f in WRAPPED}
+
+
 def test_licences_of_one_long_line(spark):
     scanner = train(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
     filler = "we went to the market and bought bread and then walked home along the river in the rain " * 8
