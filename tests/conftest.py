@@ -1,6 +1,5 @@
 import os
 import sys
-from datetime import datetime
 from decimal import Decimal
 
 import pytest
@@ -10,11 +9,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from funil import SalesTables, schema as S  # noqa: E402
 from funil.settings import local_session  # noqa: E402
-
-T0 = datetime(2024, 5, 1, 12, 0)
-T1 = datetime(2024, 5, 1, 12, 5)
-T2 = datetime(2024, 5, 1, 12, 9)
-AS_OF = datetime(2025, 1, 1)
+from helpers import T0, T1, T2  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -63,13 +58,3 @@ def tables(spark):
     return SalesTables(**{
         name: spark.createDataFrame(values, S.SCHEMAS[name]) for name, values in rows.items()
     })
-
-
-def rows(df):
-    return [tuple(r) for r in df.collect()]
-
-
-def row_set(df):
-    out = [tuple(tuple(v) if isinstance(v, list) else v for v in r) for r in df.collect()]
-    assert len(out) == len(set(out))
-    return set(out)

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import AS_OF, T0, row_set, rows
+from helpers import AS_OF, T0, row_set, rows
 from funil import schema as S
 from funil.operators import changes
 from funil.operators.numbering import assign_ids

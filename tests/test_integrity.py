@@ -3,7 +3,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import AS_OF, T0, row_set, rows
+from helpers import AS_OF, T0, row_set, rows
 from funil.operators import integrity
 from funil.sources import raw
 from funil.sources.store import TableStore

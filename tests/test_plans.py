@@ -6,7 +6,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import T0, row_set, rows
+from helpers import T0, row_set, rows
 from funil import SalesTables
 from funil.functions.scalars import moment
 from funil.operators import integrity, lookups

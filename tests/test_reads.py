@@ -5,7 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import T0, T2, row_set, rows
+from helpers import T0, T2, row_set, rows
 from funil.functions import config
 from funil.operators import lookups
 from funil.operators.dashboard import dashboard, dashboard_by_provider

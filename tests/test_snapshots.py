@@ -2,7 +2,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from conftest import AS_OF, T0, row_set, rows
+from helpers import AS_OF, T0, row_set, rows
 from funil.sources import counts, snapshots
 from funil.sources.snapshots import SnapshotError, SnapshotStore
 from funil.sources.store import TableStore

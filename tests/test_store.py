@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import AS_OF, T0, row_set, rows
+from helpers import AS_OF, T0, row_set, rows
 from funil import schema as S
 from funil.operators.dashboard import dashboard
 from funil.operators.integrity import IntegrityError

@@ -6,7 +6,7 @@ from datetime import timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import AS_OF, row_set, rows
+from helpers import AS_OF, row_set, rows
 from funil.operators import changes
 from funil.sources import raw
 from funil.sources.store import TableStore
