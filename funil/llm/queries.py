@@ -7,16 +7,19 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from funil.llm import merkle
 from funil.llm.exact_dedup import exact_groups
 from funil.llm.jaccard_join import similar_groups
 from funil.llm.license_scan import document_licences
 from funil.llm.line_dedup import drop_boilerplate, host_of, page_text
+from funil.llm.mixing import mix
 from funil.llm.packing import pack
 from funil.llm.piece_codec import encode_decode
 from funil.llm.pii import KINDS, find_personal_data
 from funil.llm.quality import quality_rules
 from funil.llm.sharding import shard_rows
 from funil.llm.token_files import read_files, write_files
+from funil.llm.whitening import whiten
 from funil.settings import new_folder, write_once
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,3 +112,31 @@ def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules(documents(spark, folder))
+
+
+@query
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    rows = whiten(spark.read.parquet(f"{folder}/embeddings.parquet"))
+    return rows.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+@query
+def op12_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    passes = mix(documents(spark, folder))
+    return passes.groupBy("row", "doc_id", "size", "source_size", "target").agg(F.sum("taken").alias("taken")).drop("row")
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    columns = ("doc_id", "source", "lang", "n_chars", "text")
+    capitals, small = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    tampered = [F.translate(c, capitals, small) if c == "text" else F.col(c) for c in columns]
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    rows = merkle.manifest(
+        documents(spark, folder), columns, carried={"tampered": F.when(chosen, merkle.leaf(*tampered))}
+    )
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("path"))
+    return rows.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings_of(F.col("path")), 256).alias("proof_sha256"),
+        folded.alias("folded_root"), (folded == F.col("root")).alias("verified"),
+    )

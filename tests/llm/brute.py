@@ -122,3 +122,61 @@ def check_pieces(pieces, ids_of, window=2048):
     for p in pieces:
         shares[p["sequence_id"]][p["queue"]] += p["length"]
     return shares
+
+
+def whitened(vectors, components=8):
+    """(n, deviations, whitened up to signs, explained) of a list of vectors, by the whole covariance matrix."""
+    x = [[int(np.floor(1024 * c)) + 100_000 for c in v] for v in vectors]
+    n, sums = len(x), [sum(column) for column in zip(*x)]
+    deviations = [sum((n * c - s) ** 2 for c, s in zip(row, sums)) for row in x]
+    centred = np.array([[float(n * c - s) for c, s in zip(row, sums)] for row in x]) / n
+    values, directions = np.linalg.eigh(centred.T @ centred / n)
+    values, directions = values[::-1], directions[:, ::-1]
+    k = min(components, int((values > 1e-12 * values[0]).sum()))
+    return n, deviations, centred @ directions[:, :k] / np.sqrt(values[:k]), values[:k] / values.sum()
+
+
+def tree(digests):
+    """The root of digests, and each one's (left, right) siblings from the lowest level up."""
+    paths, at = [[] for _ in digests], list(range(len(digests)))
+    while len(digests) > 1:
+        for d, k in enumerate(at):
+            first = k // 16 * 16
+            paths[d].append(("".join(digests[first:k]), "".join(digests[k + 1 : first + 16])))
+        at = [k // 16 for k in at]
+        digests = [sha("".join(digests[k : k + 16])) for k in range(0, len(digests), 16)]
+    return digests[0] if digests else None, paths
+
+
+def manifest(rows):
+    """(leaf, subroot, root, path) of each of the rows (doc_id, source, lang, n_chars, text), in their order."""
+    def leaf(row):
+        return sha("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in row))
+
+    order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is not None, rows[k][0] or 0, leaf(rows[k])))
+    groups = defaultdict(list)
+    for k in order:
+        groups[rows[k][1]].append(k)
+    names = sorted(groups, key=lambda s: (s is not None, (s or "").encode()))
+    trees = {s: tree([leaf(rows[k]) for k in groups[s]]) for s in names}
+    root, over = tree([trees[s][0] for s in names])
+    out = {}
+    for s, above in zip(names, over):
+        for k, path in zip(groups[s], trees[s][1]):
+            out[k] = (leaf(rows[k]), trees[s][0], root, path + above)
+    return [out[k] for k in range(len(rows))]
+
+
+def targets(sizes, weights, share, most):
+    """Targets of sources (in order): shares by weight, none above ``most`` times its size."""
+    free, left, out = set(range(len(sizes))), share * sum(sizes), [0.0] * len(sizes)
+    while free:
+        level = left / sum(weights[k % len(weights)] for k in free)
+        over = {k for k in free if most * sizes[k] < level * weights[k % len(weights)]}
+        for k in over or free:
+            out[k] = most * sizes[k] if over else level * weights[k % len(weights)]
+        if not over:
+            break
+        left -= sum(out[k] for k in over)
+        free -= over
+    return out
