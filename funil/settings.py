@@ -68,4 +68,13 @@ def write_once(df: DataFrame, purpose: str) -> DataFrame:
     """
     folder = new_folder(df.sparkSession, purpose)
     df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    out = df.sparkSession.read.schema(df.schema).parquet(folder)
+    out._written_to = folder
+    return out
+
+
+def discard(*written: DataFrame) -> None:
+    """Remove what ``write_once`` wrote, once all results that read it are written themselves."""
+    for df in written:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._written_to)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
