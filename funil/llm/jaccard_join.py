@@ -2,11 +2,13 @@
 
 Two sets link when they share ``percent`` of their union.  Then they share one of the
 first quarter of each set's shingles (at 75 percent) in any order common to all sets.
-These shingles cut the corpus into blocks.  Within a block, sets are points whose
-coordinates count the shingles per group of hashes; the sum of two points' coordinate
-minima bounds their overlap.  Points are held in R-trees, and a pair of nodes whose
-largest coordinates cannot reach the overlap is left out whole.  The pairs that are
-left are compared shingle by shingle.
+These shingles cut the corpus into blocks, and blocks with the same centre are one
+neighbourhood: sets that may link meet in one.  Sets are points whose coordinates count the
+shingles per group of hashes; the sum of two points' coordinate minima bounds their
+overlap.  Each set is compared with its centres first.  Where a neighbourhood is not one component after
+that, its points are held in R-trees, and a pair of nodes whose largest coordinates
+cannot reach the overlap is left out whole.  A task passes on only as many surviving pairs as join
+what it has into components; these are compared shingle by shingle.
 """
 
 from __future__ import annotations
@@ -20,8 +22,8 @@ from pyspark.sql.types import ArrayType, LongType, StructType
 
 from funil.llm import batches as B
 from funil.llm.components import connected_components
-from funil.llm.shingles import counts, fingerprint, mix, points, shingle_sets
-from funil.settings import write_once
+from funil.llm.shingles import Minima, counts, fingerprint, mix, points, shingle_sets
+from funil.settings import discard, write_once
 
 SLICE = 2 << 20  # bytes of text whose shingles are held at a time
 GATHERED = 2_000_000  # shingles a task gathers before it counts them
@@ -30,8 +32,9 @@ FREQUENT = 1e-4  # share of sets from which a shingle counts as frequent
 MOST_FREQUENT = 1_000_000  # frequent shingles that are told to all tasks
 LEAF = 32  # points in a leaf
 TOLD = 500_000  # ids that are broadcast at most; more are joined
-STAR_ROUNDS = 2  # rounds of comparing sets with centres before all pairs of a block are looked at
-TILE = 1024  # members of a block that are compared at a time
+TILE = 1024  # members of a neighbourhood that are compared at a time
+TILE_SHINGLES = 2_000_000  # and shingles they have together
+HOT = 1e-4  # share of block entries from which a shingle is hot: there are at most 1 / HOT of them
 
 
 def first_shingles(own: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
@@ -95,10 +98,10 @@ class RTree:
 
 
 def _profiles(rows: DataFrame, words: int) -> DataFrame:
-    """Per row: id, set size, fingerprint and count vector; besides, shingles found in three sets or more of one task's share."""
+    """Per row: id, set size and fingerprint; besides, shingles found in three sets or more of one task's share."""
 
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["_kind", "_id", "_n", "_k1", "_k2", "_point"]
+        names = ["_kind", "_id", "_n", "_k1", "_k2"]
         held, size, seen = [], 0, set()
         id_type = None
 
@@ -108,7 +111,7 @@ def _profiles(rows: DataFrame, words: int) -> DataFrame:
             n = len(values)
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.ones(n, np.int32)), pa.nulls(n, id_type), pa.array(times.astype(np.int64)),
-                 pa.array(values.astype(np.int64)), pa.array(np.zeros(n, np.int64)), pa.nulls(n, pa.binary())], names
+                 pa.array(values.astype(np.int64)), pa.array(np.zeros(n, np.int64))], names
             )
 
         for batch in B.slices(given, "_text", SLICE):
@@ -123,7 +126,7 @@ def _profiles(rows: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.zeros(len(sets), np.int32)), batch.column("_id"),
                  pa.array([len(s) for s in sets], pa.int64()), pa.array([k for k, _ in prints], pa.int64()),
-                 pa.array([k for _, k in prints], pa.int64()), pa.array([counts(s) for s in sets], pa.binary())], names
+                 pa.array([k for _, k in prints], pa.int64())], names
             )
             if size > GATHERED:
                 yield often()
@@ -132,7 +135,7 @@ def _profiles(rows: DataFrame, words: int) -> DataFrame:
             yield often()
 
     schema = StructType().add("_kind", "integer").add("_id", rows.schema["_id"].dataType)
-    schema = schema.add("_n", "long").add("_k1", "long").add("_k2", "long").add("_point", "binary")
+    schema = schema.add("_n", "long").add("_k1", "long").add("_k2", "long")
     return rows.mapInArrow(run, schema)
 
 
@@ -223,59 +226,87 @@ def _blocks(rows: DataFrame, frequent: np.ndarray, words: int, percent: int, par
     return packed.repartition(F.col("_part")).mapInArrow(meet, "_shingle long, _key long")
 
 
-def _stars(members: DataFrame) -> DataFrame:
-    """One pair (``_a``, ``_b``) per set: with the centre of most of its blocks, among sets with another label.
+def _neighbourhoods(blocks: DataFrame) -> DataFrame:
+    """(``_key``, ``_centre``): every set with the centres of its blocks, once each.
 
-    A block's centre is its member with the most memberships.  Of the copies of a text
-    that is the text itself rather than one of its edited versions, so most of them
-    link with it, and a group of any size takes one pair per member.
+    A block's centre is its member with the most memberships.  Of the copies of a text that is
+    the text itself rather than one of its edited versions, so a group of copies has few
+    centres, whatever the number of its blocks.  Sets that share a block share its centre.
     """
-    weights = members.groupBy("_key").agg(F.count(F.lit(1)).alias("_weight"))
-    weighted = members.join(weights, "_key")
-    centres = weighted.groupBy("_shingle").agg(F.max(F.struct("_weight", "_key", "_label")).alias("_centre"))
-    met = members.join(centres, "_shingle").where("_label <> _centre._label")
-    votes = met.groupBy("_key", F.col("_centre._key").alias("_b")).agg(F.count(F.lit(1)).alias("_votes"))
-    best = votes.groupBy("_key").agg(F.max(F.struct("_votes", "_b")).alias("_best"))
-    return best.select(F.col("_key").alias("_a"), F.col("_best._b").alias("_b"))
-
-
-def _open(members: DataFrame) -> DataFrame:
-    """The members of blocks that have several labels; of blocks with the same members, one."""
-    blocks = members.groupBy("_shingle").agg(
-        F.min("_label").alias("_low"), F.max("_label").alias("_high"),
-        F.sum(F.xxhash64("_key").cast("decimal(20,0)")).alias("_sum"), F.count(F.lit(1)).alias("_size"),
-    ).where("_low <> _high")
-    chosen = blocks.groupBy("_sum", "_size").agg(F.min("_shingle").alias("_shingle")).select("_shingle")
-    return members.join(chosen, "_shingle", "left_semi")
-
-
-def _bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    weights = blocks.groupBy("_key").agg(F.count(F.lit(1)).alias("_weight"))
+    chosen = blocks.join(weights, "_key").groupBy("_shingle").agg(
+        F.max(F.struct("_weight", "_key"))["_key"].alias("_centre"), F.count(F.lit(1)).alias("_size")
+    )
+    chosen = write_once(chosen, "centres")
+    total = chosen.agg(F.sum("_size")).first()[0] or 0
+    hot = chosen.where(F.col("_size") > HOT * total)  # bounded by the definition of hot, hence broadcast
+    few = blocks.join(F.broadcast(hot.select("_shingle")), "_shingle", "left_anti")
+    cold = few.join(chosen.where(F.col("_size") <= HOT * total), "_shingle")
+    near = cold.select("_key", "_centre").unionByName(
+        blocks.join(F.broadcast(hot), "_shingle").select("_key", "_centre")
+    )
+    near = write_once(near.distinct(), "neighbourhoods")
+    discard(chosen)
+    return near
+
+
+def _points(rows: DataFrame, sets: DataFrame, near: DataFrame, words: int) -> DataFrame:
+    """(``_key``, ``_n``, ``_point``) of the sets that have a neighbourhood."""
+
+    def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in B.slices(given, "_text", SLICE):
+            found = shingle_sets(B.texts(batch, "_text"), words)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([fingerprint(s)[0] for s in found], pa.int64()), pa.array([len(s) for s in found], pa.int64()),
+                 pa.array([counts(s) for s in found], pa.binary())], ["_key", "_n", "_point"]
+            )
+
+    texts = _texts_of(rows, sets, near.select("_key").distinct())
+    return write_once(texts.mapInArrow(run, "_key long, _n long, _point binary"), "points")
+
+
+def _texts_of(rows: DataFrame, sets: DataFrame, keys: DataFrame) -> DataFrame:
+    """(``_id``, ``_text``) of the representatives of the sets named by ``_key``."""
+    wanted = sets.join(keys, sets["_k1"] == keys["_key"], "left_semi").select(F.col("_rep").alias("_id")).distinct()
+    wanted = write_once(wanted, "wanted")
+    few = wanted.limit(TOLD + 1).count() <= TOLD
+    return rows.join(F.broadcast(wanted) if few else wanted, "_id", "left_semi").select("_id", "_text")
+
+
+def _bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     """The pairs (``_a``, ``_b``) of keys whose sizes and summed coordinate minima allow a link."""
 
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in given:
             for first in range(0, batch.num_rows, 1024):
                 part = batch.slice(first, 1024)
-                na, nb = (part.column(c).to_numpy() for c in ("_na", "_nb"))
-                ok = 100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)
-                pa_, pb_ = (part.column(c).to_pylist() for c in ("_pa", "_pb"))
-                shapes = np.array([(len(a), len(b)) for a, b in zip(pa_, pb_)])
-                for shape in np.unique(shapes[ok], axis=0):
-                    own = np.flatnonzero(ok & (shapes == shape).all(1))
-                    both = points([pa_[k] for k in own] + [pb_[k] for k in own])
-                    overlap = np.minimum(both[: len(own)], both[len(own) :]).sum(1)
-                    ok[own] = (100 + percent) * overlap >= percent * (na + nb)[own]
-                kept = part.take(pa.array(np.flatnonzero(ok)))
+                a, b = part.column("_a").to_numpy(), part.column("_b").to_numpy()
+                places, sides = {}, []
+                for keys, packed in ((a, part.column("_pa").to_pylist()), (b, part.column("_pb").to_pylist())):
+                    for key, point in zip(keys.tolist(), packed):
+                        if key not in places:
+                            places[key] = len(sides)
+                            sides.append(point)
+                minima = Minima(sides)
+                centre = np.array([places[k] for k in b.tolist()])
+                other = np.array([places[k] for k in a.tolist()])
+                overlap = np.zeros(len(a), np.int64)
+                for k in np.unique(centre):
+                    own = np.flatnonzero(centre == k)
+                    overlap[own] = minima.with_others(k, other[own])
+                total = (part.column("_na").to_numpy() + part.column("_nb").to_numpy())
+                kept = part.take(pa.array(np.flatnonzero((100 + percent) * overlap >= percent * total)))
                 yield pa.RecordBatch.from_arrays([kept.column("_a"), kept.column("_b")], ["_a", "_b"])
 
-    sides = [sets.select(F.col("_k1").alias(k), F.col("_n").alias(n), F.col("_point").alias(p))
+    sides = [points.select(F.col("_key").alias(k), F.col("_n").alias(n), F.col("_point").alias(p))
              for k, n, p in (("_a", "_na", "_pa"), ("_b", "_nb", "_pb"))]
     joined = pairs.join(sides[0], "_a").join(sides[1], "_b")
+    joined = joined.where((100 * F.col("_na") >= percent * F.col("_nb")) & (100 * F.col("_nb") >= percent * F.col("_na")))
     return joined.select("_a", "_b", "_na", "_nb", "_pa", "_pb").mapInArrow(run, "_a long, _b long").distinct()
 
 
 def _linked(rows: DataFrame, sets: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Of the pairs (``_a``, ``_b``) of keys those that link, as edges between representatives.
+    """Of the pairs (``_a``, ``_b``) of keys those that link, with the representatives ``_ra`` and ``_rb``.
 
     Only the texts of the sets in the pairs are taken apart again.
     """
@@ -288,91 +319,143 @@ def _linked(rows: DataFrame, sets: DataFrame, pairs: DataFrame, words: int, perc
                  B.lists([s.tobytes() for s in found], pa.int64())], ["_key", "_rep", "_set"]
             )
 
-    keys = pairs.select(F.col("_a").alias("_k1")).union(pairs.select("_b")).distinct()
-    wanted = write_once(sets.join(keys, "_k1", "left_semi").select(F.col("_rep").alias("_id")).distinct(), "wanted")
+    keys = pairs.select(F.col("_a").alias("_key")).union(pairs.select("_b")).distinct()
     kind = rows.schema["_id"].dataType
     schema = StructType().add("_key", "long").add("_rep", kind).add("_set", ArrayType(LongType()))
-    few = wanted.limit(TOLD + 1).count() <= TOLD
-    found = write_once(rows.join(F.broadcast(wanted) if few else wanted, "_id", "left_semi").select("_id", "_text").mapInArrow(take_apart, schema), "found")
+    found = write_once(_texts_of(rows, sets, keys).mapInArrow(take_apart, schema), "found")
     sides = [found.select(F.col("_key").alias(k), F.col("_rep").alias(r), F.col("_set").alias(s))
              for k, r, s in (("_a", "_ra", "_sa"), ("_b", "_rb", "_sb"))]
     joined = pairs.join(sides[0], "_a").join(sides[1], "_b")
     common, sizes = F.size(F.array_intersect("_sa", "_sb")), F.size("_sa") + F.size("_sb")
     linked = joined.where(100 * common >= percent * (sizes - common))
-    return write_once(linked.select(F.col("_ra").alias("_a"), F.col("_rb").alias("_b")).distinct(), "edges")
+    linked = write_once(linked.select("_a", "_b", "_ra", "_rb").distinct(), "edges")
+    discard(found)
+    return linked
 
 
-def _tree_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs (``_a``, ``_b``) of keys with different labels that may link, by R-trees over each block's points.
+def _meetings(members: DataFrame, percent: int) -> DataFrame:
+    """Members (``_key``, ``_centre``, ``_label``, ``_n``) with every meeting of two tiles that they take part in.
 
-    A block is split by size: sets that link differ by less than a third, so each meets
-    its own band and the one below.  Bands are split into tiles by a hash of the key, and
-    every two tiles of a band or of neighbouring bands meet in one task.
+    A neighbourhood that is small is one tile.  Others are split by size: sets that link differ by
+    less than a third, so each meets its own band and the next ones.  A band's members with the
+    neighbourhood's most frequent label and the others have tiles of their own, by a hash of the
+    key.  Every two tiles of bands side by side meet in one task, but two of the most
+    frequent label need not.
     """
     step = float(np.log(100 / percent))
-    banded = members.withColumn("_band", F.floor(F.log(F.col("_n").cast("double")) / step).cast("int"))
-    sizes = banded.groupBy("_shingle", "_band").agg(F.count(F.lit(1)).alias("_size"))
-    tiles = sizes.select("_shingle", "_band", F.ceil(F.col("_size") / TILE).cast("int").alias("_tiles"))
-    here = tiles.withColumnRenamed("_tiles", "_own_tiles")
-    above = tiles.select("_shingle", (F.col("_band") - 1).alias("_band"), F.col("_tiles").alias("_above_tiles"))
-    placed = banded.join(here, ["_shingle", "_band"]).join(above, ["_shingle", "_band"], "left")
-    placed = placed.withColumn("_tile", F.pmod(F.xxhash64("_key"), "_own_tiles").cast("int"))
-    # Meetings of a member: (its tile, every later tile) and (every earlier tile, its tile) of its band,
-    # and each tile of the band above with its own.
-    meetings = F.expr(
-        "concat("
-        " transform(sequence(_tile, _own_tiles - 1), t -> struct(_band AS band, _tile AS i, t AS j, true AS own,"
-        "  false AS second)),"
-        " transform(filter(sequence(0, _tile), t -> t < _tile), t -> struct(_band AS band, t AS i, _tile AS j,"
-        "  true AS own, true AS second)),"
-        " transform(filter(sequence(0, coalesce(_above_tiles, 0)), t -> t < _above_tiles), t ->"
-        "  struct(_band + 1 AS band, t AS i, _tile AS j, false AS own, true AS second)),"
-        " IF(EXISTS_BELOW, transform(sequence(0, _below_tiles - 1), t -> struct(_band AS band, _tile AS i, t AS j,"
-        "  false AS own, false AS second)), array()))".replace("EXISTS_BELOW", "_below_tiles > 0")
+    per_label = members.groupBy("_centre", "_label").agg(
+        F.count(F.lit(1)).alias("_members"), F.sum("_n").alias("_shingles")
+    )
+    main = per_label.groupBy("_centre").agg(
+        F.max(F.struct("_members", "_label"))["_label"].alias("_main"),
+        ((F.sum("_members") > TILE) | (F.sum("_shingles") > TILE_SHINGLES)).alias("_large"),
+    )
+    banded = members.join(main, "_centre").withColumns({
+        "_band": F.when(F.col("_large"), F.floor(F.log(F.col("_n").cast("double")) / step)).otherwise(0).cast("int"),
+        "_role": F.when(F.col("_large"), (F.col("_label") == F.col("_main")).cast("int")).otherwise(0),
+    })
+    sizes = banded.groupBy("_centre", "_band", "_role").agg(
+        F.count(F.lit(1)).alias("_size"), F.sum("_n").alias("_shingles")
+    )
+    tiles = F.greatest(F.ceil(F.col("_size") / TILE), F.ceil(F.col("_shingles") / TILE_SHINGLES)).cast("int")
+    plan = sizes.groupBy("_centre").agg(  # at most two entries per band, and few bands
+        F.sort_array(F.collect_list(F.struct("_band", "_role", tiles.alias("tiles")))).alias("_plan")
     )
-    below = tiles.select("_shingle", (F.col("_band") + 1).alias("_band"), F.col("_tiles").alias("_below_tiles"))
-    placed = placed.join(below, ["_shingle", "_band"], "left")
-    met = placed.select("_shingle", "_key", "_label", "_n", "_point", F.inline(meetings))
+    placed = banded.join(plan, "_centre")
+    own = F.expr("filter(_plan, x -> x._band = _band AND x._role = _role)[0].tiles")
+    placed = placed.withColumn("_tile", F.pmod(F.xxhash64("_key"), own).cast("int"))
+    placed = placed.withColumn("_self", F.struct("_band", "_role", "_tile"))
+    others = F.expr(
+        "flatten(transform(filter(_plan, x -> abs(x._band - _band) <= 1 AND (x._role = 0 OR _role = 0)),"
+        " x -> transform(sequence(0, x.tiles - 1), t -> struct(x._band AS _band, x._role AS _role, t AS _tile))))"
+    )
+    met = placed.withColumn("_other", F.explode(others))
+    return met.select(
+        "_centre", F.least("_self", "_other").alias("_one"), F.greatest("_self", "_other").alias("_two"),
+        (F.col("_self") > F.col("_other")).alias("_second"), "_key", "_label",
+    )
+
+
+def _tree_pairs(members: DataFrame, points_of: DataFrame, percent: int, forest: bool) -> DataFrame:
+    """Pairs (``_a``, ``_b``) of keys with different labels (``_la``, ``_lb``, hashed) that may link.
+
+    A meeting's points are in R-trees.  Pairs that the trees let through are bounded again over all groups.
+    With ``forest``, a pair whose labels earlier pairs of the meeting join already is left out,
+    so a meeting gives fewer pairs than it has labels.
+    """
+    meeting = ["_centre", "_one", "_two"]
+    met = _meetings(members, percent).join(points_of, "_key").withColumn("_label", F.xxhash64("_label"))
 
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, held = None, []
+        here, held = None, []
 
         def pairs() -> Iterator[pa.RecordBatch]:
-            sides = [[r for r in held if not r[3]], [r for r in held if r[3]]]
-            own, same = block[-1], block[-1] and block[2] == block[3]
-            if not sides[0] or not (sides[1] or same):
+            sides = [[r for r in held if not r[2]], [r for r in held if r[2]]]
+            same = here[1] == here[2]
+            if not sides[0] or not (sides[1] or same) or len({r[1] for r in held}) < 2:
                 return
-            trees, keys = [], []
-            sides = sides[: 1 if same else 2]
-            places = points([r[4] for side in sides for r in side])
-            for side in sides:
-                sizes, labels = np.array([r[1] for r in side]), np.array([r[2] for r in side])
-                trees.append(RTree(places[: len(side)], sizes, labels))
-                places = places[len(side) :]
-                keys.append(np.array([r[0] for r in side]))
-            found = list(trees[0].join(trees[-1], percent, same))
+            rows = sides[0] + sides[1]
+            keys, labels = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+            sizes, packed = np.array([r[3] for r in rows]), [r[4] for r in rows]
+            places, minima, n = points(packed), Minima(packed), len(sides[0])
+            trees = [RTree(places[:n], sizes[:n], labels[:n])]
+            trees += [] if same else [RTree(places[n:], sizes[n:], labels[n:])]
+            root = {label: label for label in labels.tolist()}
+
+            def find(label: int) -> int:
+                while root[label] != label:
+                    root[label] = label = root[root[label]]
+                return label
+
+            found = []
+            for left, right in trees[0].join(trees[-1], percent, same):
+                right = right + (0 if same else n)
+                for one in np.unique(left):
+                    others = right[left == one]
+                    if forest:
+                        mine = find(int(labels[one]))
+                        others = others[[find(label) != mine for label in labels[others].tolist()]]
+                    if not len(others):
+                        continue
+                    overlap = minima.with_others(int(one), others)
+                    others = others[(100 + percent) * overlap >= percent * (sizes[one] + sizes[others])]
+                    for other in others.tolist():
+                        a, b = find(int(labels[one])), find(int(labels[other]))
+                        if a != b or not forest:
+                            root[b] = a if forest else root[b]
+                            found.append((int(one), other))
             if found:
-                a, b = (k[np.concatenate(side)] for k, side in zip((keys[0], keys[-1]), zip(*found)))
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["_a", "_b"])
+                one, other = np.array(found).T
+                swap = keys[one] > keys[other]
+                one, other = np.where(swap, other, one), np.where(swap, one, other)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[one]), pa.array(keys[other]), pa.array(labels[one]), pa.array(labels[other])],
+                    ["_a", "_b", "_la", "_lb"],
+                )
 
         for batch in given:
-            columns = [batch.column(c).to_pylist() for c in ("_shingle", "band", "i", "j", "own")]
-            data = [batch.column(c).to_pylist() for c in ("_key", "_n", "_label_hash", "second", "_point")]
-            for here, row in zip(zip(*columns), zip(*data)):
-                if here != block:
+            place = [batch.column(c).to_pylist() for c in meeting]
+            place = zip(place[0], *[[tuple(t.values()) for t in tiles] for tiles in place[1:]])
+            data = [batch.column(c).to_pylist() for c in ("_key", "_label", "_second", "_n", "_point")]
+            for at, row in zip(place, zip(*data)):
+                if at != here:
                     if held:
                         yield from pairs()
-                    block, held = here, []
+                    here, held = at, []
                 held.append(row)
         if held:
             yield from pairs()
 
-    blocks = ["_shingle", "band", "i", "j", "own"]
-    return (
-        met.withColumn("_label_hash", F.xxhash64("_label")).drop("_label")
-        .repartition(*blocks).sortWithinPartitions(*blocks)
-        .mapInArrow(run, "_a long, _b long").distinct()
+    found = (
+        met.select(*meeting, "_second", "_key", "_label", "_n", "_point")
+        .repartition(*meeting).sortWithinPartitions(*meeting)
+        .mapInArrow(run, "_a long, _b long, _la long, _lb long")
     )
+    if not forest:
+        return found.distinct()
+    low, high = F.least("_la", "_lb").alias("_la"), F.greatest("_la", "_lb").alias("_lb")
+    one = found.groupBy(low, high).agg(F.min(F.struct("_a", "_b")).alias("_pair"))
+    return one.select("_pair._a", "_pair._b", "_la", "_lb")
 
 
 def similar_groups(
@@ -397,31 +480,48 @@ def similar_groups(
     profiles = write_once(_profiles(rows, words), "profiles")
     own = profiles.where("_kind = 0")
     sets = own.where("_n > 0 AND _id IS NOT NULL").groupBy("_k1", "_k2")
-    sets = write_once(
-        sets.agg(F.min("_id").alias("_rep"), F.first("_n").alias("_n"), F.first("_point").alias("_point")), "sets"
-    )
+    sets = write_once(sets.agg(F.min("_id").alias("_rep"), F.first("_n").alias("_n")), "sets")
     frequent = _frequent(spark, profiles, sets.count())
     named = rows.where("_id IS NOT NULL")
     parts = max(256, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     blocks = write_once(_blocks(named, frequent, words, percent, parts), "blocks")
-
-    edges = write_once(_repeated(own, sets), "edges")
-    labels = None
-    for step in range(STAR_ROUNDS + 1):
-        known = sets if labels is None else sets.join(labels, F.col("_rep") == F.col("node"), "left")
-        label = F.col("_rep") if labels is None else F.coalesce("component", "_rep")
-        known = known.select(F.col("_k1").alias("_key"), label.alias("_label"), "_n", "_point")
-        members = blocks.join(known.select("_key", "_label"), "_key")
-        left = write_once(members if labels is None else _open(members), "open")
-        if left.isEmpty():
-            break
-        if step < STAR_ROUNDS:  # sets against the centres of their blocks, which joins most copies of a text
-            near = _bounded(_stars(left), sets, percent)
-        else:  # what is not one component by now: all pairs that the trees let through
-            near = _tree_pairs(left.distinct().join(known.select("_key", "_n", "_point"), "_key"), percent)
-        edges = edges.unionByName(_linked(named, sets, write_once(near, "near"), words, percent))
+    near = _neighbourhoods(blocks)
+    discard(blocks)
+    points_of = _points(named, sets, near, words)
+
+    def labelled(labels: DataFrame) -> DataFrame:
+        """The neighbourhoods' members with their labels, where there are several."""
+        known = sets.join(labels, F.col("_rep") == F.col("node"), "left")
+        known = known.select(F.col("_k1").alias("_key"), F.coalesce("component", "_rep").alias("_label"), "_n")
+        members = write_once(near.join(known, "_key"), "members")
+        several = members.groupBy("_centre").agg(F.min("_label").alias("_low"), F.max("_label").alias("_high"))
+        return members.join(several.where("_low <> _high").select("_centre"), "_centre", "left_semi")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        return _linked(named, sets, pairs, words, percent)
+
+    # Every set against its centres, which joins most copies of a text.
+    stars = near.where("_key <> _centre").select(F.col("_key").alias("_a"), F.col("_centre").alias("_b"))
+    edges = _repeated(own, sets).unionByName(_ends(linked(write_once(_bounded(stars, points_of, percent), "near"))))
+    edges = write_once(edges, "edges")
+    labels = connected_components(edges)
+    # Neighbourhoods that are not one component: as many pairs as would join what may link.
+    members = write_once(labelled(labels), "open")
+    pairs = write_once(_tree_pairs(members, points_of, percent, True), "near")
+    found = linked(pairs)
+    if not found.isEmpty():
+        edges = write_once(edges.unionByName(_ends(found)), "edges")
         labels = connected_components(edges)
-    labels = connected_components(edges) if labels is None else labels
+    # Where such a pair does not link after all, others that stood behind it may: all pairs of those labels.
+    refuted = pairs.join(found, ["_a", "_b"], "left_anti")
+    if not refuted.isEmpty():
+        keys = refuted.select(F.col("_a").alias("_key")).union(refuted.select("_b")).distinct()
+        members = write_once(labelled(labels), "open")
+        again = members.join(keys, "_key", "left_semi").select("_label").distinct()
+        members = members.join(write_once(again, "again"), "_label", "left_semi")
+        pairs = write_once(_tree_pairs(members, points_of, percent, False).drop("_la", "_lb"), "near")
+        labels = connected_components(edges.unionByName(_ends(linked(pairs))))
+    discard(points_of)
     return (
         own.join(sets.select("_k1", "_k2", "_rep"), ["_k1", "_k2"], "left")
         .join(labels, F.col("_rep") == F.col("node"), "left")
@@ -433,6 +533,11 @@ def similar_groups(
     )
 
 
+def _ends(linked: DataFrame) -> DataFrame:
+    """Links between representatives."""
+    return linked.select(F.col("_ra").alias("_a"), F.col("_rb").alias("_b"))
+
+
 def _repeated(own: DataFrame, sets: DataFrame) -> DataFrame:
     """Edges between the representatives of different texts under one id."""
     texts = own.where("_n > 0 AND _id IS NOT NULL").select("_id", "_k1", "_k2").distinct()

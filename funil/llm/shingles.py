@@ -6,7 +6,8 @@ from functools import lru_cache
 
 import numpy as np
 
-LEAST_GROUPS, MOST_GROUPS = 64, 2048  # of a count vector; groups are the upper bits of a shingle's hash
+GROUP_BITS = 16  # groups of a count vector are the upper bits of a shingle's hash
+LEAST_GROUPS, MOST_GROUPS = 64, 2048  # coordinates of a point in a tree, which joins neighbouring groups
 _CHUNK = 1 << 19  # bytes hashed at a time
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _SMALL = 1 << 64
@@ -101,27 +102,38 @@ def fingerprint(own: np.ndarray) -> tuple[int, int]:
 
 
 def counts(own: np.ndarray) -> bytes:
-    """How many shingles fall into each group, one byte per group; 255 stands for 255 or more.
+    """A set's count vector over 65,536 groups, written as its shingles' groups in order.
 
-    There are two to four shingles to a group, so that large sets are told apart as well as small ones;
-    beyond 8,192 shingles there are more.
+    A group is the upper 16 bits of a shingle's hash; it is written as often as it counts.
     """
-    bits = min(MOST_GROUPS, max(LEAST_GROUPS, 1 << (len(own) // 4).bit_length())).bit_length() - 1
-    found = np.bincount((own >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
-    return np.minimum(found, 255).astype(np.uint8).tobytes()
+    return (own >> np.uint64(64 - GROUP_BITS)).astype("<u2").tobytes()
 
 
 def points(packed: list[bytes]) -> np.ndarray:
-    """Count vectors as rows of coordinates, with as many groups as the shortest of them.
-
-    A count that is not known exactly is taken as larger than any set.
-    """
-    lengths = np.array([len(p) for p in packed])
-    groups = int(lengths.min())
-    out = np.empty((len(packed), groups), np.int32)
-    for length in np.unique(lengths):
-        own = np.flatnonzero(lengths == length)
-        values = np.frombuffer(b"".join(packed[k] for k in own), np.uint8).astype(np.int32)
-        values[values == 255] = 1 << 22
-        out[own] = values.reshape(len(own), groups, -1).sum(2)
+    """Count vectors as rows of coordinates: groups are joined until the smallest set has two to four shingles to each."""
+    smallest = min(len(p) for p in packed) // 2
+    bits = min(MOST_GROUPS, max(LEAST_GROUPS, 1 << (smallest // 4).bit_length())).bit_length() - 1
+    out = np.empty((len(packed), 1 << bits), np.int32)
+    for row, groups in zip(out, packed):
+        row[:] = np.bincount(np.frombuffer(groups, "<u2") >> (GROUP_BITS - bits), minlength=1 << bits)
     return out
+
+
+class Minima:
+    """Sums of coordinate minima of count vectors over all groups, of one vector with many at a time."""
+
+    def __init__(self, packed: list[bytes]):
+        self.groups = [np.frombuffer(p, "<u2") for p in packed]
+        self.turns = []  # how often a group has come before: a shared count c is met by turns 0 to c - 1
+        for own in self.groups:
+            at = np.arange(len(own))
+            new = np.concatenate([[True], own[1:] != own[:-1]]) if len(own) else np.zeros(0, bool)
+            self.turns.append((at - np.maximum.accumulate(np.where(new, at, 0))).astype(np.int32))
+
+    def with_others(self, one: int, others: np.ndarray) -> np.ndarray:
+        """The sum for each pair of ``one`` and the ``others``, none of which is empty."""
+        held = np.bincount(self.groups[one], minlength=1 << GROUP_BITS)
+        groups = np.concatenate([self.groups[k] for k in others])
+        turns = np.concatenate([self.turns[k] for k in others])
+        starts = np.cumsum([0, *[len(self.groups[k]) for k in others[:-1]]])
+        return np.add.reduceat((turns < held[groups]).astype(np.int64), starts)
