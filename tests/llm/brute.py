@@ -77,24 +77,22 @@ def statistics(text):
             len(lines) - len(set(lines)), len(covered))
 
 
-def without_boilerplate(docs, max_ratio, min_pages, max_loss):
-    """[(id, text, source)] with repeated lines dropped."""
+def without_boilerplate(docs, max_ratio, min_pages, same=lambda row: object()):
+    """[(id, text, host)] without lines that too many of a host's pages have; rows that are the ``same`` are one page."""
     pages, seen = defaultdict(set), defaultdict(set)
-    for _, text, source in docs:
-        pages[source].add(text)
-        for line in text.split("\n"):
+    for k, (d, text, host) in enumerate(docs):
+        page = same(d)
+        pages[host].add(page)
+        for line in (text or "").split("\n"):
             if WORD.search(line):
-                seen[source, line].add(text)
-    out = []
-    for d, text, source in docs:
-        lines = text.split("\n")
-        kept = [
-            line for line in lines
-            if len(seen[source, line]) < min_pages or len(seen[source, line]) <= max_ratio * len(pages[source])
-        ]
-        total = sum(map(len, lines))
-        out.append((d, "\n".join(kept if total - sum(map(len, kept)) <= max_loss * total else lines), source))
-    return out
+                seen[host, line].add(page)
+    return [
+        (d, text and "\n".join(
+            line for line in text.split("\n")
+            if len(seen[host, line]) < min_pages or len(seen[host, line]) <= max_ratio * len(pages[host])
+        ), host)
+        for d, text, host in docs
+    ]
 
 
 def check_pieces(pieces, ids_of, window=2048):

@@ -270,12 +270,29 @@ def test_line_dedup(spark, awkward, empty):
     assert rows[1]["text"] == "only 1\n" and (rows[1]["n_lines"], rows[1]["n_dropped"]) == (3, 2)
     assert rows[0]["text"] == "head\nonly 0\n\nhead" and rows[11]["text"] == "head"
     assert rows[10]["text"] is None and rows[10]["n_lines"] == 0
-    # A page that is boilerplate for the most part keeps it.
-    kept = collect(drop_boilerplate(table, "host", max_ratio=0.5, min_pages=5, max_loss=0.5))
-    assert all(r["n_dropped"] == 0 for r in kept)
     assert drop_boilerplate(awkward, "source").count() == N and drop_boilerplate(empty, "source").count() == 0
 
 
+def test_line_dedup_counts_pages(spark):
+    """Equal pages are pages each; against plain Python, with columns named like the operator's own."""
+    rnd = random.Random(6)
+    pages = [(k, "\n".join(rnd.choice(["a", "b", "c d", "", " ", *[f"own {j}" for j in range(60)]]) for _ in range(6)),
+              rnd.choice(["x", "y", None, f"h{k}"])) for k in range(150)]
+    pages += [(200 + k, "log in\nto read", "x") for k in range(12)] + [(300, None, "x"), (301, "", "y")]
+    names = ["_boilerplate", "_lines", "_kept", "_host", "_page", "_own0", "n_lines"]
+    table = spark.createDataFrame([(*p, *names) for p in pages], ["page_id", "text", "host", *names])
+    got = drop_boilerplate(table, "host")
+    assert got.columns == ["page_id", "text", "host", *names[:-1], "n_lines", "n_dropped"]
+    rows = collect(got)
+    expected = {d: t for d, t, _ in brute.without_boilerplate(pages, 0.1, 2)}
+    assert {r["page_id"]: r["text"] for r in rows} == expected and any("" == t for t in expected.values())
+    assert all(r[n] == n for r in rows for n in names[:-1])
+    # Rows of one group are one page.
+    group = table.withColumn("group", F.when(F.col("page_id") >= 200, F.lit("copies")))
+    joint = {d: t for d, t, _ in brute.without_boilerplate(pages, 0.1, 2, lambda d: "copies" if d >= 200 else d)}
+    assert {r["page_id"]: r["text"] for r in collect(drop_boilerplate(group, "host", page_col="group"))} == joint != expected
+
+
 def test_token_files(spark, awkward, empty):
     folder = new_folder(spark, "test")
     index = write_files(awkward, folder, BYTES, length=64)

@@ -26,8 +26,9 @@ def test_stages(spark, folder):
             assert all(kept[d] == before[d] for d in kept)
         if name == "line_dedup":
             rows = [(d, r["text"], r["source"]) for d, r in before.items()]
+            group = brute.components([(d, r["text"]) for d, r in before.items()])
             assert {d: r["text"] for d, r in kept.items()} == {
-                d: t for d, t, _ in brute.without_boilerplate(rows, 0.1, 5, 0.5)
+                d: t for d, t, _ in brute.without_boilerplate(rows, 0.1, 2, lambda d: group[d][1])
             }
         if name == "near_duplicates":
             expected = brute.components([(d, r["text"]) for d, r in before.items()])
@@ -60,3 +61,40 @@ def test_boilerplate_of_pages_that_are_no_copies(spark):
     after = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, docs, "").collect()}
     assert after[1000] == words("rest", 12) and after[0] == words("own0x0x", 60)
     assert all(after[d] == t for d, t in rows if d >= 2000) and len(after) == len(rows)
+    group = brute.components(rows)
+    expected = brute.without_boilerplate([(d, t, "a") for d, t in rows], 0.1, 2, lambda d: group[d][1])
+    assert after == {d: t for d, t, _ in expected} != {d: t for d, t, _ in brute.without_boilerplate([(d, t, "a") for d, t in rows], 0.1, 2)}
+
+
+ODD = "doc_id long, text string, lang string, source string, n_chars long, _copies string, _boilerplate string, key string, group int"
+
+
+def odd_rows(spark):
+    """Nulls, empty texts, one id with several texts, repeated rows, and columns named like helpers."""
+    words = lambda name, n: " ".join(f"{name}{k}" for k in range(n))
+    texts = [
+        (1, words("a", 80)), (2, words("a", 80) + " more"), (7, words("a", 80) + " still more"), (7, words("own", 80)),
+        (3, words("b", 70)), (3, words("b", 70)), (4, None), (5, ""), (None, words("c", 90)), (None, words("c", 90) + " x"),
+        (None, None), (None, None), (6, " \n\t "), (8, words("d", 30) + "\n" + words("e", 30)),
+    ]
+    rows = [(d, t, None if k % 3 else "en", None if k % 2 else "s", None if t is None else len(t), "c", "b", "k", k) for k, (d, t) in enumerate(texts)]
+    return spark.createDataFrame(rows, ODD)
+
+
+def test_stages_take_odd_rows(spark):
+    docs = odd_rows(spark)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, "")
+        assert after.columns == docs.columns and stage(spark, docs.where("false"), "").count() == 0, name
+        if name in ("line_dedup", "mask_personal_data"):
+            assert after.count() == docs.count(), name
+    assert corpus_pipeline.packing(spark, docs, "").count() >= docs.count()
+    assert corpus_pipeline.packing(spark, docs.where("false"), "").count() == 0
+
+
+def test_a_text_of_its_own_under_a_repeated_id_stays(spark):
+    kept = sorted((r["group"], r["doc_id"]) for r in corpus_pipeline.near_duplicates(spark, odd_rows(spark), "").collect())
+    stayed = [k for k, _ in kept]
+    # Of documents 1, 2 and 7 the first stays, and the other text of 7; of equal rows and of similar ones without id one.
+    assert [k for k in stayed if k not in (4, 5, 8, 9, 10, 11)] == [0, 3, 6, 7, 12, 13]
+    assert all(sum(k in pair for k in stayed) == 1 for pair in ((4, 5), (8, 9), (10, 11)))
