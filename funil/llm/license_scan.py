@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import json
+import math
+import re
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF, NGram
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import numpy as np
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 UNKNOWN = "unknown"
 
@@ -87,48 +91,93 @@ GENERAL = (
     "Copyright of the photographs remains with their owners.", "A version of this work was released in January.",
     "The state granted a licence to sell copies under the law.", "The general public may visit at no charge.",
 )
-WINDOW, STRIDE = 60, 30  # words of a paragraph that are judged at a time
+BLOCK = 30  # words; a window is two blocks one after the other, and the next one starts a block later
+WINDOW = 2 * BLOCK
+FIELD_BITS = 21  # of a class's sum over a window; three classes share a 64-bit integer
+STEPS = (1 << 14) - 1  # a coefficient is a whole number up to this, so that 120 of them fit a field
 
 
 @dataclass(frozen=True)
 class Scanner:
-    """A fitted classifier, its calibration, and the classes by index; the last is unknown."""
+    """A fitted classifier: coefficients as classes x features, intercepts, calibration; the last class is unknown."""
 
-    model: LogisticRegressionModel
+    coefficients: np.ndarray
+    intercepts: np.ndarray
     slope: float
     intercept: float
     families: tuple[str, ...]
 
+    @property
+    def step(self) -> float:
+        """What a step of a whole-number coefficient is worth."""
+        return 2 * max(float(np.abs(self.coefficients).max()), 1e-12) / STEPS
 
-def _features(rows: DataFrame, features: int) -> DataFrame:
-    """Counts of hashed single words and word pairs of the array ``words``."""
-    rows = NGram(n=2, inputCol="words", outputCol="_pairs").transform(rows)
-    rows = rows.withColumn("_grams", F.concat("words", "_pairs")).drop("_pairs")
-    return HashingTF(inputCol="_grams", outputCol="_features", numFeatures=features, binary=True).transform(rows)
+    def packed(self) -> np.ndarray:
+        """Per feature the coefficients of all classes as whole numbers, three to a 64-bit integer.
 
+        All classes are raised by the same amount, which the difference of two classes does not show.
+        """
+        whole = np.rint(self.coefficients / self.step + STEPS / 2).astype(np.int64)
+        out = np.zeros((-(-len(whole) // 3), whole.shape[1]), np.int64)
+        for k, row in enumerate(whole):
+            out[k // 3] += row << (FIELD_BITS * (k % 3))
+        return out
 
-def _words(text):
+    def least_steps(self, probability: float) -> list[int]:
+        """Per family the least lead over the unknown class, in steps, that has a probability."""
+        wanted = (math.log(probability / (1 - probability)) - self.intercept) / self.slope
+        leads = wanted - (self.intercepts[:-1] - self.intercepts[-1])
+        return [int(math.ceil(lead / self.step)) for lead in leads]
+
+
+def _words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
-def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(``_id``, ``paragraph``, ``words``): every paragraph, joined and line by line, in overlapping windows where long.
+def _hashes(words: str | Column) -> Column:
+    return F.transform(words, lambda word: F.xxhash64(word))
+
+
+def _indexes(hashes: str, features: int) -> tuple[Column, Column]:
+    """Feature numbers of the words, and of the pairs by their first words; the last word has no pair."""
+    single = F.expr(f"transform({hashes}, h -> CAST(pmod(h, {features}L) AS INT))")
+    pair = F.expr(
+        f"transform(slice({hashes}, 1, size({hashes}) - 1),"
+        f" (h, i) -> CAST(pmod(xxhash64(h, get({hashes}, i + 1)), {features}L) AS INT))"
+    )
+    return single, F.when(F.size(hashes) > 1, pair).otherwise(F.array().cast("array<int>"))
+
+
+def units(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(``_id``, ``paragraph``, ``words``, ``hashes``): every paragraph with its lines joined, and each of its lines.
 
     A line without a letter or digit ends a paragraph.  Comment markers are no words, or
-    dropped where they are letters.  Whole texts are covered.
+    dropped where they are letters.  Whole texts are covered; every word is hashed once.
+
+    Generators are outer ones, here and in ``scan``: for the others Spark would test first whether an array
+    has elements, and compute all that leads to it a second time.
     """
     parts = F.split(text_col, r"\n(?=[^\p{L}\p{N}\n]*(?:(?i:rem|dnl)[^\p{L}\p{N}\n]*)?(?:\n|\z))")
-    blocks = docs.select(F.col(id_col).alias("_id"), F.posexplode(parts).alias("paragraph", "_block"))
+    blocks = docs.select(F.col(id_col).alias("_id"), F.posexplode_outer(parts).alias("paragraph", "_block"))
     plain = F.regexp_replace("_block", r"(?im)^[^\S\n]*(?:rem|dnl)(?=\s|\z)", " ")
-    lines = F.filter(F.transform(F.split("_block", "\n"), _words), lambda x: F.size(x) > 0)
-    units = blocks.select("_id", "paragraph", lines.alias("_lines"), _words(plain).alias("_joined"))
-    units = units.select("_id", "paragraph", F.explode(
-        F.when(F.size("_lines") > 1, F.concat(F.array("_joined"), F.col("_lines"))).otherwise(F.array("_joined"))
-    ).alias("_all")).where("size(_all) > 0")
-    starts = F.sequence(F.lit(0), F.greatest(F.size("_all") - F.lit(STRIDE) - 1, F.lit(0)), F.lit(STRIDE))
-    return units.select("_id", "paragraph", "_all", F.explode(starts).alias("_at")).select(
-        "_id", "paragraph", F.slice("_all", F.col("_at") + 1, F.lit(WINDOW)).alias("words")
-    )
+    lines = F.filter(F.transform(F.split(plain, "\n"), _words), lambda x: F.size(x) > 0)
+    rows = blocks.select("_id", "paragraph", lines.alias("_lines"))
+    rows = rows.withColumn("_hashed", F.transform("_lines", _hashes))
+
+    def each(lines: str) -> Column:
+        joined = F.array(F.flatten(lines))
+        return F.when(F.size(lines) > 1, F.concat(joined, F.col(lines))).otherwise(joined)
+
+    zipped = F.arrays_zip(each("_lines").alias("words"), each("_hashed").alias("hashes"))
+    return rows.select("_id", "paragraph", F.inline_outer(zipped).alias("words", "hashes"))
+
+
+def _sample(docs: DataFrame, text_col: str, sample: int) -> DataFrame:
+    """``sample`` different texts (``_text``), those with the smallest hashes; only hashes are sorted."""
+    hashed = docs.where(F.length(text_col) > 0).select(F.xxhash64(text_col).alias("_hash"))
+    least = hashed.distinct().orderBy("_hash").limit(sample).agg(F.max("_hash")).first()[0]
+    chosen = docs.where((F.length(text_col) > 0) & (F.xxhash64(text_col) <= F.lit(least).cast("long")))
+    return chosen.groupBy(F.xxhash64(text_col).alias("_hash")).agg(F.min(text_col).alias("_text")).select("_text")
 
 
 def _examples(docs: DataFrame, text_col: str, sample: int, families: tuple[str, ...]) -> DataFrame:
@@ -136,8 +185,7 @@ def _examples(docs: DataFrame, text_col: str, sample: int, families: tuple[str,
     spark = docs.sparkSession
     named = r"(?i)licen[sc]|copyright|warrant|apache|mozilla|gnu|creative commons|public domain|unlicense"
     ordinary = (
-        docs.where(F.length(text_col) > 0).select(F.col(text_col).alias("_text"))
-        .orderBy(F.xxhash64("_text"), "_text").limit(sample)
+        _sample(docs, text_col, sample)
         .select(F.explode(F.split("_text", "\n")).alias("_line"))
         .where(~F.col("_line").rlike(named))
         .select(_words(F.col("_line")).alias("words")).where("size(words) > 0")
@@ -158,42 +206,101 @@ def _examples(docs: DataFrame, text_col: str, sample: int, families: tuple[str,
 
 
 def train(docs: DataFrame, text_col: str = "text", sample: int = 1000, features: int = 1 << 12) -> Scanner:
-    """Fit a multinomial logistic regression on hashed words and word pairs, and calibrate its unknown class.
+    """Fit a multinomial logistic regression on counts of hashed words and word pairs, and calibrate its unknown class.
 
-    Ordinary lines come from a bounded ``sample`` of texts, the smallest by a hash, and
+    Ordinary lines come from a bounded ``sample`` of different texts, the smallest by a hash, and
     number ``sample`` at most; families come from the templates.  Rows held out of the
-    fit give a logistic curve of the best family's lead over the unknown class.
+    fit give a logistic curve: of the lead that a licence's own family has over the unknown
+    class against the largest lead that any family has on other rows.
     """
     families = (*TEMPLATES, UNKNOWN)
+    rows = _examples(docs, text_col, sample, families).withColumn("hashes", _hashes("words"))
+    single, pair = _indexes("hashes", features)
+    rows = rows.withColumn("_terms", F.concat(single, pair).cast("array<string>"))
+    count = CountVectorizerModel.from_vocabulary([str(k) for k in range(features)], "_terms", "_features")
     # The rows are bounded by ``sample`` and the templates.
-    rows = _features(_examples(docs, text_col, sample, families), features).cache()
+    rows = count.transform(rows).select("_terms", "_features", "label", "weight", "held").cache()
     fitted = LogisticRegression(
         featuresCol="_features", labelCol="label", weightCol="weight", family="multinomial", regParam=1e-3, maxIter=60
     ).fit(rows.where("NOT held"))
-    lead = _lead(fitted.transform(rows.where("held")), len(families) - 1)
-    right = (F.col("label") == F.col("_best")).cast("double")
-    margins = lead.select(F.array("_lead").alias("_l"), right.alias("label"), "weight")
-    curve = LogisticRegression(featuresCol="_v", labelCol="label", regParam=1e-2).fit(
-        margins.withColumn("_v", array_to_vector("_l"))
-    )
+    coefficients, intercepts = fitted.coefficientMatrix.toArray(), fitted.interceptVector.toArray()
+    margins = []
+    for row in rows.where("held").select("_terms", "label", "weight").collect():  # bounded by the sample
+        terms = np.array(row["_terms"], int)
+        scores = coefficients[:, terms].sum(1) + intercepts
+        leads, label = scores[:-1] - scores[-1], int(row["label"])
+        licence = label < len(leads)
+        margins.append(([float(leads[label] if licence else leads.max())], float(licence), row["weight"]))
     rows.unpersist()
-    return Scanner(fitted, float(curve.coefficients[0]), float(curve.intercept), families)
+    table = docs.sparkSession.createDataFrame(margins, "_l array<double>, label double, weight double")
+    curve = LogisticRegression(featuresCol="_v", labelCol="label", weightCol="weight", regParam=1e-3).fit(
+        table.select(array_to_vector("_l").alias("_v"), "label", "weight")
+    )
+    return Scanner(coefficients, intercepts, float(curve.coefficients[0]), float(curve.intercept), families)
+
 
+def _templates() -> Column:
+    """The words of every family's templates, by the number of the family; of a fixed size."""
+    words = [
+        [list(dict.fromkeys(w for w in re.split(r"[^\w]+|_", text.lower()) if w)) for text in texts]
+        for texts in TEMPLATES.values()
+    ]
+    return F.from_json(F.lit(json.dumps(words)), "array<array<array<string>>>")
 
-def _lead(judged: DataFrame, unknown: int) -> DataFrame:
-    """The best family by index as ``_best``, and how far its score is above that of the unknown class."""
-    scores = judged.withColumn("_scores", vector_to_array("rawPrediction"))
-    scores = scores.withColumn("_top", F.array_max(F.slice("_scores", 1, unknown)))
-    return scores.withColumns({
-        "_best": F.array_position("_scores", F.col("_top")) - 1,
-        "_lead": F.col("_top") - F.col("_scores")[unknown],
-    })
 
+def _share(words: Column, of: Column) -> Column:
+    return F.size(F.array_intersect(words, of)) / F.nullif(F.size(words), F.lit(0))
 
-def _template_words(spark: SparkSession) -> DataFrame:
-    rows = [(family, text) for family, texts in TEMPLATES.items() for text in texts]
-    table = spark.createDataFrame(rows, "family string, _text string")
-    return table.select("family", F.array_distinct(_words(F.col("_text"))).alias("_template"))
+
+def _leads(rows: DataFrame, scanner: Scanner, min_probability: float) -> DataFrame:
+    """``rows`` of ``hashes`` with ``_found``: of every window of the words the families above the probability, if any.
+
+    A block's sum over its words and pairs gives all classes at once.  A window's is that of its
+    two blocks, so nothing is looked up twice.  Sums of whole numbers are exact.
+    """
+    packed, unknown = scanner.packed(), len(scanner.families) - 1
+    tables = [F.split(F.lit(",".join(map(str, part.tolist()))), ",").cast("array<long>") for part in packed]
+    single, pair = _indexes("hashes", scanner.coefficients.shape[1])
+    rows = rows.withColumns({"_single": single, "_pair": pair})
+    rows = rows.withColumn("_blocks", F.expr(
+        f"transform(sequence(0, (size(_single) - 1) div {BLOCK}), b -> concat("
+        f"slice(_single, CAST(b * {BLOCK} + 1 AS INT), {BLOCK}), slice(_pair, CAST(b * {BLOCK} + 1 AS INT), {BLOCK})))"
+    ))
+
+    def total(block: Column, table: Column) -> Column:
+        return F.aggregate(block, F.lit(0).cast("long"), lambda so_far, k: so_far + F.get(table, k))
+
+    def sums(block: Column) -> Column:
+        return F.array(*[total(block, table) for table in tables])
+
+    rows = rows.withColumn("_sums", F.transform("_blocks", sums))
+
+    def field(at: Column, family: Column) -> Column:
+        part = F.floor(family / 3).cast("int")
+        both = F.get(F.get("_sums", at), part) + F.coalesce(F.get(F.get("_sums", at + 1), part), F.lit(0))
+        return _shifted(both, family)
+
+    least = F.array(*[F.lit(k) for k in scanner.least_steps(min_probability)])
+    windows = F.sequence(F.lit(0), F.greatest(F.size("_sums") - 2, F.lit(0)))
+
+    def found(at: Column) -> Column:
+        rest = field(at, F.lit(unknown))
+        families = F.filter(
+            F.sequence(F.lit(0), F.lit(unknown - 1)), lambda k: field(at, k) - rest >= F.get(least, k)
+        )
+        leads = F.transform(families, lambda k: F.struct((field(at, k) - rest).alias("steps"), k.alias("k")))
+        return F.struct(at.alias("at"), leads.alias("families"))
+
+    return rows.withColumn("_found", F.filter(F.transform(windows, found), lambda window: F.size(window["families"]) > 0))
+
+
+def _shifted(value: Column, family: Column) -> Column:
+    """The sum of a class out of the integer that holds those of three."""
+    place = F.pmod(family, F.lit(3))
+    shifted = F.when(place == 0, value).when(place == 1, F.shiftrightunsigned(value, FIELD_BITS)).otherwise(
+        F.shiftrightunsigned(value, 2 * FIELD_BITS)
+    )
+    return shifted.bitwiseAND(F.lit((1 << FIELD_BITS) - 1))
 
 
 def scan(
@@ -207,12 +314,14 @@ def scan(
     """Paragraphs that state a licence: id, ``paragraph``, ``family``, ``probability``, ``overlap``, ``confirmed``.
 
     Paragraphs end at blank lines and are judged as a whole, with wrapped lines joined,
-    and line by line; long ones in overlapping windows.  Each window has one family,
-    and a paragraph one row per family: its surest confirmed window, or its surest
-    one where none is confirmed.  ``probability`` is the calibrated probability that the best family is
-    right; paragraphs below ``min_probability`` are unknown and left out.  A
-    prediction is ``confirmed`` when the paragraph has ``min_overlap`` of the words of
-    one of the family's templates.
+    and line by line, in overlapping windows of 60 words; a pair of words counts where its first word is.
+    Every family is judged for itself, so a window may have several; a paragraph has one row per
+    family: its surest confirmed window, or its surest one where none is confirmed.
+    ``probability`` is the calibrated probability of the family against the unknown class; what is below
+    ``min_probability`` for all families is unknown and left out.  A prediction is ``confirmed``
+    when the window has ``min_overlap`` of the words of one of the family's templates, and, where another
+    family leads in the window, of those of its words that the other's template lacks: what one
+    licence explains does not confirm a relative of it.
 
     * A null or empty text has no paragraphs.
     * Null ids stay null; rows repeated under one id count as one document.
@@ -222,20 +331,33 @@ def scan(
     licence are shuffled.  The classifier and templates are of a fixed size.
     """
     scanner = scanner or train(docs, text_col)
-    features = scanner.model.numFeatures
-    judged = scanner.model.transform(_features(paragraphs(docs, id_col, text_col), features))
-    judged = _lead(judged, len(scanner.families) - 1)
+    judged = _leads(units(docs, id_col, text_col), scanner, min_probability)
+    found = judged.select("_id", "paragraph", "words", F.inline_outer("_found")).where("at IS NOT NULL")
+    ahead = F.array(*[F.lit(float(b - scanner.intercepts[-1])) for b in scanner.intercepts[:-1]])
+    leads = F.transform("families", lambda x: F.struct(
+        (x["steps"] * F.lit(scanner.step) + F.get(ahead, x["k"])).alias("lead"), x["k"].alias("k")))
+    found = found.select(
+        "_id", "paragraph", F.slice("words", F.col("at") * BLOCK + 1, F.lit(WINDOW)).alias("words"), leads.alias("leads")
+    ).withColumn("best", F.array_max("leads")["k"])
+    found = found.select("_id", "paragraph", "words", "best", F.inline("leads").alias("lead", "k"))
+
+    def nearest(family: Column) -> Column:
+        """(``share``, ``words``) of the family's template of which the window has the largest share."""
+        return F.array_max(F.transform(
+            F.get(_templates(), family), lambda t: F.struct(_share(t, F.col("words")).alias("share"), t.alias("words"))
+        ))
+
+    found = found.withColumns({"own": nearest(F.col("k")), "first": nearest(F.col("best"))})
+    further = F.array_except("own.words", "first.words")
+    confirmed = (F.col("own.share") >= min_overlap) & (
+        (F.col("k") == F.col("best")) | (F.coalesce(_share(further, F.col("words")), F.lit(0.0)) >= min_overlap)
+    )
     names = F.array(*[F.lit(f) for f in scanner.families])
-    probability = 1 / (1 + F.exp(-(F.lit(scanner.slope) * F.col("_lead") + F.lit(scanner.intercept))))
-    found = judged.select(
-        "_id", "paragraph", "words", F.get(names, F.col("_best").cast("int")).alias("family"),
-        probability.alias("probability"),
-    ).where(F.col("probability") >= min_probability)
-    compared = found.join(F.broadcast(_template_words(docs.sparkSession)), "family")
-    overlap = F.size(F.array_intersect("_template", "words")) / F.size("_template")
-    confirmed = (overlap >= min_overlap).alias("confirmed")
-    best = F.max(F.struct(confirmed, "probability", overlap.alias("overlap"))).alias("_best")
-    return compared.groupBy("_id", "paragraph", "family").agg(best).select(
+    probability = 1 / (1 + F.exp(-(F.lit(scanner.slope) * F.col("lead") + F.lit(scanner.intercept))))
+    best = F.max(F.struct(
+        confirmed.alias("confirmed"), probability.alias("probability"), F.col("own.share").alias("overlap")
+    )).alias("_best")
+    return found.groupBy("_id", "paragraph", F.get(names, F.col("k")).alias("family")).agg(best).select(
         F.col("_id").alias(id_col), "paragraph", "family", "_best.probability", "_best.overlap", "_best.confirmed"
     )
 
