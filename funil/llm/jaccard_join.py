@@ -5,10 +5,11 @@ first quarter of each set's shingles (at 75 percent) in any order common to all
 These shingles cut the corpus into blocks, and blocks with the same centre are one
 neighbourhood: sets that may link meet in one.  Sets are points whose coordinates count the
 shingles per group of hashes; the sum of two points' coordinate minima bounds their
-overlap.  Each set is compared with its centres first.  Where a neighbourhood is not one component after
-that, its points are held in R-trees, and a pair of nodes whose largest coordinates
+overlap.  Points are held in R-trees, and a pair of nodes whose largest coordinates
 cannot reach the overlap is left out whole.  A task passes on only as many surviving pairs as join
-what it has into components; these are compared shingle by shingle.
+what it has into components; these are compared shingle by shingle.  In large
+neighbourhoods each set is compared with the centre first, and only what is not one component
+after that goes into trees.
 """
 
 from __future__ import annotations
@@ -22,13 +23,13 @@ from pyspark.sql.types import ArrayType, LongType, StructType
 
 from funil.llm import batches as B
 from funil.llm.components import connected_components
-from funil.llm.shingles import Minima, counts, fingerprint, mix, points, shingle_sets
+from funil.llm.shingles import Minima, counts, fingerprint, groups, mix, points, shingle_sets
 from funil.settings import discard, write_once
 
 SLICE = 2 << 20  # bytes of text whose shingles are held at a time
 GATHERED = 2_000_000  # shingles a task gathers before it counts them
 FLUSH = 1_000_000  # block entries a task gathers before it passes them on
-FREQUENT = 1e-4  # share of sets from which a shingle counts as frequent
+FREQUENT = 8  # sets from which a shingle counts as frequent
 MOST_FREQUENT = 1_000_000  # frequent shingles that are told to all tasks
 LEAF = 32  # points in a leaf
 TOLD = 500_000  # ids that are broadcast at most; more are joined
@@ -139,10 +140,10 @@ def _profiles(rows: DataFrame, words: int) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def _frequent(spark: SparkSession, profiles: DataFrame, sets: int) -> np.ndarray:
+def _frequent(profiles: DataFrame) -> np.ndarray:
     """Sorted hashes of shingles that many sets have.  They only decide an order, so a bound on them loses nothing."""
     often = profiles.where("_kind = 1").groupBy("_k1").agg(F.sum("_n").alias("_n"))
-    often = often.where(F.col("_n") >= max(8.0, FREQUENT * sets)).orderBy(F.desc("_n"), "_k1").limit(MOST_FREQUENT)
+    often = often.where(F.col("_n") >= FREQUENT).orderBy(F.desc("_n"), "_k1").limit(MOST_FREQUENT)
     found = often.select("_k1").toArrow().column(0).to_numpy().astype(np.int64)
     return np.sort(found.view(np.uint64))
 
@@ -287,7 +288,7 @@ def _bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
                         if key not in places:
                             places[key] = len(sides)
                             sides.append(point)
-                minima = Minima(sides)
+                minima = Minima([groups(p) for p in sides])
                 centre = np.array([places[k] for k in b.tolist()])
                 other = np.array([places[k] for k in a.tolist()])
                 overlap = np.zeros(len(a), np.int64)
@@ -396,8 +397,8 @@ def _tree_pairs(members: DataFrame, points_of: DataFrame, percent: int, forest:
                 return
             rows = sides[0] + sides[1]
             keys, labels = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
-            sizes, packed = np.array([r[3] for r in rows]), [r[4] for r in rows]
-            places, minima, n = points(packed), Minima(packed), len(sides[0])
+            sizes, vectors = np.array([r[3] for r in rows]), [groups(r[4]) for r in rows]
+            places, minima, n = points(vectors), Minima(vectors), len(sides[0])
             trees = [RTree(places[:n], sizes[:n], labels[:n])]
             trees += [] if same else [RTree(places[n:], sizes[n:], labels[n:])]
             root = {label: label for label in labels.tolist()}
@@ -481,7 +482,7 @@ def similar_groups(
     own = profiles.where("_kind = 0")
     sets = own.where("_n > 0 AND _id IS NOT NULL").groupBy("_k1", "_k2")
     sets = write_once(sets.agg(F.min("_id").alias("_rep"), F.first("_n").alias("_n")), "sets")
-    frequent = _frequent(spark, profiles, sets.count())
+    frequent = _frequent(profiles)
     named = rows.where("_id IS NOT NULL")
     parts = max(256, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     blocks = write_once(_blocks(named, frequent, words, percent, parts), "blocks")
@@ -500,9 +501,14 @@ def similar_groups(
     def linked(pairs: DataFrame) -> DataFrame:
         return _linked(named, sets, pairs, words, percent)
 
-    # Every set against its centres, which joins most copies of a text.
-    stars = near.where("_key <> _centre").select(F.col("_key").alias("_a"), F.col("_centre").alias("_b"))
-    edges = _repeated(own, sets).unionByName(_ends(linked(write_once(_bounded(stars, points_of, percent), "near"))))
+    # In large neighbourhoods, every set against the centre first, which joins most copies of a text.
+    large = near.groupBy("_centre").agg(F.count(F.lit(1)).alias("_size")).where(F.col("_size") > TILE)
+    large = write_once(large.select("_centre"), "large")
+    edges = _repeated(own, sets)
+    if not large.isEmpty():
+        stars = near.join(large, "_centre", "left_semi").where("_key <> _centre")
+        stars = stars.select(F.col("_key").alias("_a"), F.col("_centre").alias("_b"))
+        edges = edges.unionByName(_ends(linked(write_once(_bounded(stars, points_of, percent), "near"))))
     edges = write_once(edges, "edges")
     labels = connected_components(edges)
     # Neighbourhoods that are not one component: as many pairs as would join what may link.

@@ -102,28 +102,39 @@ def fingerprint(own: np.ndarray) -> tuple[int, int]:
 
 
 def counts(own: np.ndarray) -> bytes:
-    """A set's count vector over 65,536 groups, written as its shingles' groups in order.
+    """A set's count vector over 65,536 groups, written as the steps from one shingle's group to the next.
 
-    A group is the upper 16 bits of a shingle's hash; it is written as often as it counts.
+    A group is the upper 16 bits of a shingle's hash.  A step takes a byte, and one of 255 more for every
+    255 that it is long.
     """
-    return (own >> np.uint64(64 - GROUP_BITS)).astype("<u2").tobytes()
+    steps = np.diff((own >> np.uint64(64 - GROUP_BITS)).astype(np.int64), prepend=0)
+    ends = np.cumsum(steps // 255 + 1) - 1
+    out = np.full(int(ends[-1]) + 1 if len(ends) else 0, 255, np.uint8)
+    out[ends] = steps % 255
+    return out.tobytes()
 
 
-def points(packed: list[bytes]) -> np.ndarray:
+def groups(packed: bytes) -> np.ndarray:
+    """The groups of a set's shingles in order, each as often as it counts."""
+    steps = np.frombuffer(packed, np.uint8)
+    return np.cumsum(steps, dtype=np.int64)[steps < 255]
+
+
+def points(vectors: list[np.ndarray]) -> np.ndarray:
     """Count vectors as rows of coordinates: groups are joined until the smallest set has two to four shingles to each."""
-    smallest = min(len(p) for p in packed) // 2
+    smallest = min(map(len, vectors))
     bits = min(MOST_GROUPS, max(LEAST_GROUPS, 1 << (smallest // 4).bit_length())).bit_length() - 1
-    out = np.empty((len(packed), 1 << bits), np.int32)
-    for row, groups in zip(out, packed):
-        row[:] = np.bincount(np.frombuffer(groups, "<u2") >> (GROUP_BITS - bits), minlength=1 << bits)
+    out = np.empty((len(vectors), 1 << bits), np.int32)
+    for row, own in zip(out, vectors):
+        row[:] = np.bincount(own >> (GROUP_BITS - bits), minlength=1 << bits)
     return out
 
 
 class Minima:
     """Sums of coordinate minima of count vectors over all groups, of one vector with many at a time."""
 
-    def __init__(self, packed: list[bytes]):
-        self.groups = [np.frombuffer(p, "<u2") for p in packed]
+    def __init__(self, vectors: list[np.ndarray]):
+        self.groups = vectors
         self.turns = []  # how often a group has come before: a shared count c is met by turns 0 to c - 1
         for own in self.groups:
             at = np.arange(len(own))

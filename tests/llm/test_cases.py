@@ -18,7 +18,7 @@ from funil.llm.piece_codec import Codec, encode_decode
 from funil.llm.pii import find, find_personal_data, identifiers, mask_documents, masked
 from funil.llm.quality import accepted, quality_rules
 from funil.llm.sharding import shard_rows
-from funil.llm.shingles import counts, points, shingle_sets
+from funil.llm.shingles import counts, groups, points, shingle_sets
 from funil.llm.token_files import Reader, read_files, write_files
 from funil.settings import new_folder
 
@@ -106,7 +106,7 @@ def test_tree_finds_what_pairs_find():
         for _ in range(5):
             kept = base[rnd.random(len(base)) > 0.08]
             sets.append(np.unique(np.concatenate([kept, rnd.integers(0, 1 << 63, 5).astype(np.uint64)])))
-    places, sizes = points([counts(s) for s in sets]), np.array([len(s) for s in sets])
+    places, sizes = points([groups(counts(s)) for s in sets]), np.array([len(s) for s in sets])
     tree = RTree(places, sizes, np.arange(len(sets)))
     found = {tuple(sorted(p)) for a, b in tree.join(tree, 75, True) for p in zip(a.tolist(), b.tolist())}
     wanted = set()
@@ -123,7 +123,9 @@ def test_tree_finds_what_pairs_find():
 
 def test_large_counts():
     many = np.arange(600, dtype=np.uint64) << np.uint64(20)
-    assert points([counts(many)])[0][0] == len(many)
+    assert points([groups(counts(many))])[0][0] == len(many)
+    spread = np.sort(np.random.default_rng(1).integers(0, 1 << 63, 50).astype(np.uint64) * np.uint64(2))
+    assert groups(counts(spread)).tolist() == (spread >> np.uint64(48)).tolist()
 
 
 def test_components(spark):
