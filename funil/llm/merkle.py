@@ -136,6 +136,7 @@ def manifest(
         F.coalesce(F.concat(F.lit("="), F.col(group_col).cast("string")), F.lit("")).alias("_key"),
         leaf(*[F.col(c) for c in columns]).alias("_digest"), *[c.alias(f"_carried_{n}") for n, c in carried.items()],
     )
+    rows = write_once(rows, "merkle_rows")  # the range sort looks at its input twice; texts are read once
     leaves = write_once(_numbered(rows, ["_id", "_digest"]), "merkle_leaves")
     levels = _levels(leaves)
     groups = _tops(levels).select(F.lit("").alias("_key"), F.col("_key").alias("_name"), "_digest")

@@ -83,6 +83,7 @@ def mix(
         F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), _source_key(F.col(source_col)).alias("_key"),
         size.alias("_size"), order.alias("_shuffled"),
     )
+    rows = write_once(rows, "sizes")  # the range sort looks at its input twice; texts are read once
     queues = running_totals(rows, "_key", ["_shuffled", "_size"], "_size")
     placed = queues.select(
         (F.shiftleft("_part", 33) + F.col("_place")).alias("row"), "_id", "_source", "_key", "_size", "_before"
