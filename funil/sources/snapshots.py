@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from funil import values as V
 from funil.functions.scalars import moment
 from funil.sources.counts import count_difference, count_rows
+from funil.settings import write_once
 from funil.sources.store import read_tables
 from funil.tables import SalesTables
 
@@ -157,8 +158,9 @@ class SnapshotStore:
         current = store.current()
         if safety:
             self.write(current, at, kind="pre-restore")
+        before = write_once(count_rows(current), "counts")
         restored = store.replace(self.read(snapshot), at)
-        return count_difference(count_rows(current), count_rows(restored))
+        return count_difference(before, count_rows(restored))
 
 
 def newest_first(snapshots: DataFrame) -> DataFrame:

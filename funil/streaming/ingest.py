@@ -1,10 +1,11 @@
 """Message arrival as streams.
 
-The write streams keep append-only logs with one folder per micro-batch, so a
+Messages are identified by stream-static joins in the streaming plan and land in a file sink, which takes
+every micro-batch exactly once.  Running counts are a streaming aggregation: the state store
+holds them.  The write streams keep append-only logs with one folder per micro-batch, so a
 repeated micro-batch overwrites its own folder and what it writes does not grow
-with the tables.  Streams that look leads up read the columns they need of the lead
-table for every micro-batch.  The state is the base tables with the logs applied;
-a batch job makes it the new base from time to time.  ``start_conversation``
+with the tables; the base tables with the logs applied are the present ones, and
+a batch job makes them the new base from time to time.  ``start_conversation``
 instead applies every micro-batch to a store at once.
 """
 
@@ -30,7 +31,6 @@ CONTACT_LOG = (
     "endereco_instalacao STRING, whatsapp STRING, tags ARRAY<STRING>"
 )
 RANGE_LOG = "last_id BIGINT"
-COUNT_LOG = "provedor_id BIGINT, is_bot BOOLEAN, n_messages BIGINT"
 
 
 def _log(spark: SparkSession, folder: str, name: str, schema: str) -> DataFrame:
@@ -88,16 +88,31 @@ def identify(messages: DataFrame, tables: SalesTables) -> DataFrame:
 
 
 def start_identify(messages: DataFrame, tables: SalesTables, folder: str, **trigger) -> StreamingQuery:
-    """Log identified messages; each micro-batch is an ordinary, adaptive join."""
+    """Write identified messages, by stream-static joins in the plan and a file sink.
 
-    def on_batch(batch, batch_id):
-        _write_batch(identify(batch, tables), folder, "identified", batch_id)
-
-    return _start(messages, on_batch, folder, "identified", **trigger)
+    The joins give the rows that ``identify`` gives; the lead table and the settings are read for
+    every micro-batch, the settings, which are long, joined last.  The sink's own list says which
+    files count, so a micro-batch that is made again after a failure is there once.
+    """
+    active = tables.provedores.filter("ativo")
+    contacts = tables.leads.select(
+        "remotejid", F.col("id").alias("lead_id"), F.col("nome").alias("lead_nome"), "provedor_id"
+    ).join(active.select(F.col("id").alias("provedor_id"), "instancia"), "provedor_id")
+    settings = active.select(
+        F.col("id").alias("provedor_id"),
+        F.col("config_bot").alias("config"),
+        config.text(F.col("config_bot"), "modelo").alias("modelo"),
+    )
+    found = messages.join(contacts, ["remotejid", "instancia"]).join(settings, "provedor_id")
+    return (
+        found.writeStream.format("parquet").outputMode("append")
+        .option("path", f"{folder}/identified").option("checkpointLocation", f"{folder}/progress/identified")
+        .trigger(**(trigger or {"availableNow": True})).start()
+    )
 
 
 def identified(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/identified").drop("batch_id")
+    return spark.read.parquet(f"{folder}/identified")
 
 
 # Whole conversations.
@@ -191,23 +206,35 @@ def messages_after(
 
 # Running counts.
 
-def start_counts(messages: DataFrame, tables: SalesTables, folder: str, **trigger) -> StreamingQuery:
-    """Log each micro-batch's message counts per provider and sender.
+def start_counts(
+    messages: DataFrame, tables: SalesTables, folder: str, repeats: str = "7 days", **trigger
+) -> StreamingQuery:
+    """Count messages ``(seq, lead_id, is_bot, created_at)`` per provider and sender, in the state store.
 
-    Messages are counted per lead before the join, so a busy lead is one row of
-    it; a micro-batch leaves two rows per provider at most.
+    A message that comes again, told by its ``seq``, is counted once as long as it comes within
+    ``repeats`` of event time; so long its ``seq`` is kept.  A message that is older than the newest of
+    earlier micro-batches by more than that is not counted.  Messages of unknown leads are not counted.
+    Rows are counted per task before they meet the state, so a busy provider is one row per task.
+    A stream started again on its folder goes on from its state.
     """
     leads = tables.leads.select(F.col("id").alias("lead_id"), "provedor_id")
-
-    def on_batch(batch, batch_id):
-        per_lead = batch.groupBy("lead_id", "is_bot").agg(F.count(F.lit(1)).alias("n"))
-        counts = per_lead.join(leads, "lead_id").groupBy("provedor_id", "is_bot")
-        _write_batch(counts.agg(F.sum("n").alias("n_messages")), folder, "counts", batch_id)
-
-    return _start(messages, on_batch, folder, "counts", **trigger)
+    counts = (
+        messages.select("seq", "lead_id", "is_bot", F.col("created_at").cast("timestamp"))
+        .withWatermark("created_at", repeats).dropDuplicatesWithinWatermark(["seq"])
+        .join(leads, "lead_id")
+        .groupBy("provedor_id", "is_bot").agg(F.count(F.lit(1)).alias("n_messages"))
+    )
+    return (
+        counts.writeStream.format("noop").outputMode("update")
+        .option("checkpointLocation", f"{folder}/progress/counts")
+        .trigger(**(trigger or {"availableNow": True})).start()
+    )
 
 
 def running_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Counts over all micro-batches so far."""
-    log = _log(spark, folder, "counts", COUNT_LOG)
-    return log.groupBy("provedor_id", "is_bot").agg(F.sum("n_messages").alias("n_messages"))
+    """The counts up to the last micro-batch, out of the state of ``start_counts``."""
+    place = f"{folder}/progress/counts"
+    operators = spark.read.format("state-metadata").load(place).where("operatorName = 'stateStoreSave'")
+    number = operators.agg(F.max("operatorId")).first()[0]  # one operator per stateful step of the plan
+    state = spark.read.format("statestore").option("operatorId", number).load(place)
+    return state.select("key.provedor_id", "key.is_bot", F.col("value.count").alias("n_messages"))

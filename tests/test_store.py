@@ -1,4 +1,4 @@
-"""Versions of a table store: all or nothing, ids once, saved calls, replayed streams."""
+"""A bucketed table store: checked before it changes, ids once, batches that write their own buckets only."""
 
 import os
 from decimal import Decimal
@@ -12,7 +12,7 @@ from funil.operators.dashboard import dashboard
 from funil.operators.integrity import IntegrityError
 from funil.plans import sql, views
 from funil.sources import raw, snapshots
-from funil.sources.store import LostRace, StoreError, TableStore
+from funil.sources.store import StoreError, TableStore
 from funil.streaming import ingest
 
 
@@ -27,8 +27,13 @@ def sizes(store):
     return {name: df.count() for name, df in store.current().by_name().items()}
 
 
-def message_files(store):
-    return sorted(f for folder in store.state().folders["mensagens"] for f in os.listdir(f"{store.root}/{folder}"))
+def files(store, table):
+    """The data files of a table by folder, with the time they were written."""
+    out = {}
+    for folder, _, names in os.walk(f"{store.root}/{table}"):
+        own = {n: os.stat(f"{folder}/{n}").st_mtime_ns for n in names if n.endswith(".parquet")}
+        out.update({os.path.basename(folder): own} if own else {})
+    return out
 
 
 def test_nothing_loaded(spark, tmp_path):
@@ -37,54 +42,84 @@ def test_nothing_loaded(spark, tmp_path):
 
 
 def test_a_failing_seed_changes_nothing(spark, tables, store):
-    before, state = sizes(store), store.state()
+    before, counters = sizes(store), store.counters()
+    there = {name: files(store, name) for name in before}
     orphan = tables.with_(mensagens=tables.mensagens.withColumn("lead_id", F.lit(999).cast("bigint")))
     with pytest.raises(IntegrityError, match="foreign key lead_id"):
         store.append_seed(orphan, AS_OF)
-    assert sizes(store) == before and store.state() == state
+    assert sizes(store) == before and store.counters() == counters
+    assert {name: files(store, name) for name in before} == there and not os.path.exists(f"{store.root}/staged")
     store.append_seed(tables, AS_OF)
     assert sizes(store) == {name: 2 * n for name, n in before.items()}
 
 
-def test_two_writers_never_share_an_id(spark, tables, store):
-    other = TableStore(spark, store.root)
-    base = other.state()
-    first = store.registrar_mensagem(1, "a", as_of=AS_OF)
-    late = tables.mensagens.filter("id = 1").withColumn("id", F.lit(base.last_ids["mensagens"] + 1).cast("bigint"))
-    with pytest.raises(LostRace):
-        other._commit(base, {}, {"mensagens": late}, AS_OF)
-    assert other.registrar_mensagem(1, "b", as_of=AS_OF) == first + 1
-    ids = [r.id for r in store.current().mensagens.collect()]
-    assert len(ids) == len(set(ids)) == 8
-
-
-def test_a_writer_that_is_gone(store):
-    store._files().createNewFile(store._path(f"claims/{store.state().version + 1:012d}"))
-    with pytest.raises(LostRace, match="release"):
-        store.registrar_mensagem(1, "a")
-    store.release(store.state().version + 1)
-    assert store.registrar_mensagem(1, "a") == 7
-    with pytest.raises(StoreError):
-        store.release(store.state().version)
+def test_a_batch_writes_the_buckets_of_its_leads(spark, tables, tmp_path):
+    """Of 2,000 leads in 50 buckets, a batch about three leaves the files of all others alone, whatever it changes."""
+    many = spark.range(1, 2001).selectExpr(
+        "id", "'n' AS nome", "CAST(NULL AS STRING) AS cpf_cnpj", "CAST(NULL AS STRING) AS endereco_instalacao",
+        "concat('c', id) AS remotejid", "CAST(NULL AS STRING) AS whatsapp", "IF(id > 0, array('novo_lead'), array(CAST(NULL AS STRING))) AS tags",
+        "TIMESTAMP_NTZ'2024-05-01 12:00:00' AS created_at", "TIMESTAMP_NTZ'2024-05-01 12:00:00' AS updated_at",
+        "1L AS provedor_id",
+    )
+    store = TableStore(spark, str(tmp_path / "many"), buckets=50)
+    store.replace(tables.with_(leads=many, mensagens=tables.mensagens.filter("lead_id = 1")), T0)
+    bucket_of = {r.id: f"bucket={r.b}" for r in many.select("id", store._bucket("id").alias("b")).collect()}
+    touched = {bucket_of[k] for k in (5, 700, 1999)}
+
+    def changed(call):
+        before = {name: files(store, name) for name in ("leads", "contatos", "mensagens", "planos", "provedores")}
+        result = call()
+        after = {name: files(store, name) for name in before}
+        return result, {n: {f for f in after[n] if before[n].get(f) != after[n][f]} for n in before}
+
+    messages = spark.createDataFrame(
+        [(1, 5, "a"), (2, 700, "b"), (3, 1999, "c"), (4, 5, "d"), (5, 9999, "nobody")], "seq BIGINT, lead_id BIGINT, mensagem STRING"
+    )
+    recorded, which = changed(lambda: store.record_messages(messages, AS_OF))
+    assert which["leads"] == touched and len(which["mensagens"]) == 1
+    assert not which["contatos"] and not which["planos"] and not which["provedores"]
+    assert {r.seq for r in recorded.rejected.collect()} == {5}
+    assert {r.id for r in store.current().leads.where(F.col("updated_at") == AS_OF).collect()} == {5, 700, 1999}
+
+    tags = spark.createDataFrame([(1, 5, ["x"]), (2, 700, ["y"]), (3, 1999, None)], "seq BIGINT, lead_id BIGINT, tags ARRAY<STRING>")
+    _, which = changed(lambda: store.update_tags(tags, AS_OF))
+    assert which["leads"] == touched and not which["mensagens"] and not which["contatos"]
+
+    calls = spark.createDataFrame(
+        [(1, "c5", 1, "E", None), (2, "c700", 1, None, None), (3, "c1999", 1, "F", None), (4, "new", 1, "G", None), (5, "c5", 2, "H", None)],
+        "seq BIGINT, remotejid STRING, provedor_id BIGINT, nome STRING, tags ARRAY<STRING>",
+    ).selectExpr("*", "CAST(NULL AS STRING) AS cpf_cnpj", "CAST(NULL AS STRING) AS endereco_instalacao", "CAST(NULL AS STRING) AS whatsapp")
+    upserted, which = changed(lambda: store.upsert_leads(calls, AS_OF))
+    ids = {r.seq: r.id for r in upserted.ids.collect()}
+    assert ids == {1: 5, 2: 700, 3: 1999, 4: 2001, 5: 2002}
+    new = {f"bucket={r.b}" for r in spark.range(2001, 2003).select(store._bucket("id").alias("b")).collect()}
+    assert which["leads"] == touched | new and not which["mensagens"] and len(which["contatos"]) <= 2
+    names = {r.id: r.nome for r in store.current().leads.where("id IN (5, 6, 700, 1999, 2001, 2002)").collect()}
+    assert names == {5: "E", 6: "n", 700: "n", 1999: "F", 2001: "G", 2002: "H"} and sizes(store)["leads"] == 2002
+
+
+def test_only_the_buckets_of_a_batch_are_read(spark, store):
+    part = store._leads_in([3])
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [bucket" in plan.replace("isnotnull(bucket#", "bucket#") or "PartitionFilters" in plan and "bucket" in plan
 
 
 def test_saved_calls(store):
-    files = message_files(store)
+    messages = files(store, "mensagens")
     assert store.upsert_lead("c9", 1, AS_OF, nome="Eva") == 6
     assert store.upsert_lead("c1", 1, AS_OF, whatsapp="w9") == 1
     assert store.atualizar_tags_lead(2, ["lead_quente"], AS_OF) and not store.atualizar_tags_lead(99, [])
     # Leads were written, messages were not.
-    assert message_files(store) == files
+    assert files(store, "mensagens") == messages
     assert store.registrar_mensagem(6, "oi", as_of=AS_OF) == 7
-    assert len(store.state().folders["mensagens"]) == 2
+    assert len(files(store, "mensagens")) == 2
     lead = {r.id: r for r in store.current().leads.collect()}
     assert (lead[6].nome, lead[6].tags, lead[1].whatsapp, lead[2].tags) == ("Eva", ["novo_lead"], "w9", ["lead_quente"])
     assert lead[6].updated_at == AS_OF and lead[3].updated_at != AS_OF
     for call in (lambda: store.registrar_mensagem(99, "x"), lambda: store.upsert_lead("c", 99)):
-        version = store.state().version
         with pytest.raises(IntegrityError):
             call()
-        assert sizes(store)["mensagens"] == 7 and store.state().version >= version
+        assert sizes(store)["mensagens"] == 7 and sizes(store)["leads"] == 6
 
 
 def test_deleted_ids_are_not_given_again(tables, store):
@@ -126,9 +161,13 @@ def test_conversations_with_new_contacts(spark, tables, store, tmp_path):
     assert {r.seq for r in unknown.collect()} == {4, 5, 6}
     new = store.current().mensagens.filter("id > 6").orderBy("id")
     assert [(r.id, r.mensagem, r.lead_id) for r in new.collect()] == [(7, "first", 6), (8, "second", 6), (9, "known", 1)]
-    version = store.state().version
+    before = {name: files(store, name) for name in ("leads", "mensagens", "contatos")}
+    store.record_conversation(arrived, AS_OF, ("s", 0))
+    assert {name: files(store, name) for name in before} == before
+    # A micro-batch that was broken off before it was noted gives the same messages again, not more.
+    store._count(**{"stream s": -1})
     store.record_conversation(arrived, AS_OF, ("s", 0))
-    assert store.state().version == version
+    assert sizes(store)["mensagens"] == 9 and sizes(store)["leads"] == 6
 
     folder = str(tmp_path / "arrived")
     arrived.write.parquet(folder)

@@ -76,24 +76,56 @@ def test_logs_become_the_new_tables(spark, tables, pieces, tmp_path):
     base = store.current()
     ingest.start_register(raw.message_batch(stream(spark, pieces)), base, out, AS_OF).awaitTermination()
     ingest.start_upserts(raw.contact_batch(stream(spark, pieces)), out).awaitTermination()
+    before = base.mensagens.count(), base.leads.count()
     merged = store.replace(
         ingest.leads_after(ingest.messages_after(base, out, AS_OF), out, AS_OF), AS_OF + timedelta(hours=1)
     )
-    assert merged.mensagens.count() > base.mensagens.count()
-    assert merged.leads.count() > base.leads.count()
+    assert merged.mensagens.count() > before[0]
+    assert merged.leads.count() > before[1]
     assert store.current().leads.count() == merged.leads.count()
 
 
+def counted(tables, batch):
+    leads = tables.leads.select(F.col("id").alias("lead_id"), "provedor_id")
+    return row_set(batch.join(leads, "lead_id").groupBy("provedor_id", "is_bot").count())
+
+
 def test_counts(spark, tables, pieces, tmp_path):
     out = str(tmp_path)
-    ingest.start_counts(raw.message_batch(stream(spark, pieces)), tables, out).awaitTermination()
-    batch = raw.message_batch(raw.scan(spark, FOLDER, "events"))
-    expected = (
-        batch.join(tables.leads.select(F.col("id").alias("lead_id"), "provedor_id"), "lead_id")
-        .groupBy("provedor_id", "is_bot")
-        .count()
-    )
-    assert row_set(ingest.running_counts(spark, out)) == row_set(expected)
+    query = ingest.start_counts(raw.message_batch(stream(spark, pieces)), tables, out)
+    query.awaitTermination()
+    assert row_set(ingest.running_counts(spark, out)) == counted(tables, raw.message_batch(raw.scan(spark, FOLDER, "events")))
+    states = [s["operatorName"] for s in query.lastProgress["stateOperators"]]
+    assert "stateStoreSave" in states and "dedupeWithinWatermark" in states
+
+
+def test_counts_go_on_after_a_restart(spark, tables, tmp_path):
+    """Two runs on one folder, the second over files that hold messages of the first again, and one that is too late."""
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    events = raw.scan(spark, FOLDER, "events").cache()
+    first, last = events.filter("event_id < 400"), events.filter("event_id >= 300")
+    first.coalesce(1).write.mode("append").parquet(source)
+    ingest.start_counts(raw.message_batch(stream(spark, source)), tables, out, "3650 days").awaitTermination()
+    assert row_set(ingest.running_counts(spark, out)) == counted(tables, raw.message_batch(first))
+    last.coalesce(1).write.mode("append").parquet(source)
+    ingest.start_counts(raw.message_batch(stream(spark, source)), tables, out, "3650 days").awaitTermination()
+    assert row_set(ingest.running_counts(spark, out)) == counted(tables, raw.message_batch(events))
+    late = events.limit(1).withColumn("event_id", F.lit(10**6).cast("bigint")).withColumn("ts", F.lit("1990-01-01").cast("timestamp_ntz"))
+    late.write.mode("append").parquet(source)
+    ingest.start_counts(raw.message_batch(stream(spark, source)), tables, out, "3650 days").awaitTermination()
+    assert row_set(ingest.running_counts(spark, out)) == counted(tables, raw.message_batch(events))
+
+
+def test_identify_in_the_plan(spark, tables, pieces, tmp_path):
+    out = str(tmp_path)
+    query = ingest.start_identify(raw.arrivals(stream(spark, pieces)), tables, out)
+    query.awaitTermination()
+    plan = query._jsq.streamingQuery().lastExecution().executedPlan().toString()
+    assert "Join" in plan and "StateStore" not in plan
+    batches = len(query.recentProgress)
+    before = row_set(ingest.identified(spark, out))
+    ingest.start_identify(raw.arrivals(stream(spark, pieces)), tables, out).awaitTermination()  # nothing is new
+    assert row_set(ingest.identified(spark, out)) == before and batches >= 3
 
 
 def test_identify(spark, tables, pieces, tmp_path):
