@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
@@ -20,7 +21,7 @@ from pyspark.sql.types import StructType
 
 from funil.llm import batches as B
 from funil.llm.word_ids import word_ids
-from funil.settings import write_once
+from funil.settings import discard, write_once
 
 ROWS = 256
 
@@ -41,7 +42,8 @@ class Writer:
         self.file = pa.ipc.new_file(self.sink, self.schema)
 
     def append(self, ids: np.ndarray) -> None:
-        self.waiting.append(ids.astype(self.dtype))
+        """Add ids, which have the file's type."""
+        self.waiting.append(ids)
         self.held += len(ids)
         if self.held >= ROWS * self.length:
             values = np.concatenate(self.waiting)
@@ -117,44 +119,57 @@ def write_files(
     * Null ids come first.  Rows repeated under one id follow one another, in the order
       of a hash of the text.  Other columns are ignored.  No rows give no files.
 
-    ``folder`` is a path or URI that all executors reach.  Each task writes one file
+    ``folder`` is a path or URI that all executors reach.  Texts become ids where they are read; ids of two bytes,
+    where the vocabulary allows, are written and range-sorted.  Each task writes one file
     under a name of its own, so a task that runs again leaves the first file alone; the
     index, written once, names those that count.
     """
     system, place = pafs.FileSystem.from_uri(folder)
 
+    def encode(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids_of = word_ids(tokenizer, True)
+        narrow, end = _narrow(ids_of.size, end_id), np.array([end_id], "<u4").tobytes()
+        for batch in B.slices(given, "_text"):
+            packed = ids_of.encode(B.texts(batch, "_text"))
+            ids = np.frombuffer(end.join([*packed, b""]), "<u4").astype(narrow)  # of the batch, converted once
+            ends = np.cumsum([0, *[len(p) // 4 + 1 for p in packed]]) * ids.itemsize
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), _binary(ids, ends)], ["_id", "_tie", "_ids"]
+            )
+
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, part, start, writer = word_ids(tokenizer, True), TaskContext.get().partitionId(), 0, None
-        dtype = "<u2" if ids_of.size <= 1 << 16 and end_id < 1 << 16 else "<u4"
+        dtype = np.dtype(_narrow(word_ids(tokenizer, True).size, end_id))
+        part, start, writer = TaskContext.get().partitionId(), 0, None
         path = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}.arrow"
-        for batch in B.slices(given, "_text"):
+        for batch in given:
+            if not batch.num_rows:
+                continue
             if writer is None:
                 system.create_dir(place, recursive=True)
-                writer = Writer(path, length, dtype)
-            counts, starts = [], []
-            for packed in ids_of.encode(B.texts(batch, "_text")):
-                ids = np.append(np.frombuffer(packed, "<u4"), np.uint32(end_id))
-                writer.append(ids)
-                starts.append(start)
-                counts.append(len(ids))
-                start += len(ids)
-            n = batch.num_rows
+                writer = Writer(path, length, dtype.str)
+            n, column = batch.num_rows, batch.column("_ids")
+            counts = pc.binary_length(column).to_numpy().astype(np.int64) // dtype.itemsize
+            offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + n + 1]
+            writer.append(np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view(dtype))
+            starts = start + np.cumsum(counts) - counts
+            start += int(counts.sum())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([path] * n, pa.string()), pa.array([part] * n, pa.int64()),
-                 pa.array(starts, pa.int64()), pa.array(counts, pa.int64())],
-                ["_id", "file", "part", "file_start", "n_tokens"],
+                [batch.column(0), pa.array([path] * n, pa.string()), pa.array(np.full(n, part)), pa.array(starts),
+                 pa.array(counts)], ["_id", "file", "part", "file_start", "n_tokens"],
             )
         if writer is not None:
             writer.close()
 
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    rows = rows.withColumn("_tie", F.xxhash64("_text"))
+    rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_tie"), F.col(text_col).alias("_text"))
+    coded = StructType([rows.schema[0]]).add("_tie", "long").add("_ids", "binary")
+    ids = write_once(rows.mapInArrow(encode, coded), "token_ids")  # the range sort looks at its input twice
     schema = StructType([rows.schema[0]]).add("file", "string").add("part", "long")
     index = write_once(
-        rows.repartitionByRange("_id", "_tie").sortWithinPartitions("_id", "_tie")
-        .select("_id", "_text").mapInArrow(run, schema.add("file_start", "long").add("n_tokens", "long")),
+        ids.repartitionByRange("_id", "_tie").sortWithinPartitions("_id", "_tie")
+        .select("_id", "_ids").mapInArrow(run, schema.add("file_start", "long").add("n_tokens", "long")),
         "token_index",
     )
+    discard(ids)
     # One row per file: the number of files is that of the range partitions.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     files = index.groupBy("part").agg(F.sum("n_tokens").alias("_sum"))
@@ -165,6 +180,18 @@ def write_files(
     )
 
 
+def _narrow(size: int, end_id: int) -> str:
+    """The type that all ids fit."""
+    return "<u2" if size <= 1 << 16 and end_id < 1 << 16 else "<u4"
+
+
+def _binary(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Byte strings out of one buffer, cut at ``ends``."""
+    return pa.Array.from_buffers(
+        pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))]
+    )
+
+
 def read_files(index: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Each indexed document's ids, read from the files: id, ``start``, ``n_tokens``, ``ids``.
 
@@ -174,20 +201,25 @@ def read_files(index: DataFrame, id_col: str = "doc_id") -> DataFrame:
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path = reader = None
         for batch in given:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("file", "file_start", "n_tokens")))
-            ids, first, held = [], 0, 0
-            for k, (file, start, count) in enumerate(rows):
-                if file != path:
-                    path, reader = file, Reader(file)
-                ids.append(reader.tokens(start, count).astype("<u4").tobytes())
-                held += len(ids[-1])
-                if held > B.SLICE_BYTES or k + 1 == batch.num_rows:
-                    part = batch.slice(first, k + 1 - first)
-                    yield pa.RecordBatch.from_arrays(
-                        [part.column(0), part.column("start"), part.column("n_tokens"), pa.array(ids, pa.binary())],
-                        [id_col, "start", "n_tokens", "ids"],
-                    )
-                    ids, first, held = [], k + 1, 0
+            files = batch.column("file").to_pylist()
+            first, counts = batch.column("file_start").to_numpy(), batch.column("n_tokens").to_numpy()
+            at = 0
+            while at < batch.num_rows:  # documents that follow one another in a file are read as one
+                stop, total = at + 1, int(counts[at])
+                while (stop < batch.num_rows and files[stop] == files[at] and first[stop] == first[at] + total
+                       and 4 * (total + counts[stop]) <= B.SLICE_BYTES):
+                    total += int(counts[stop])
+                    stop += 1
+                if files[at] != path:
+                    path, reader = files[at], Reader(files[at])
+                ids = reader.tokens(int(first[at]), total).astype("<u4")
+                part = batch.slice(at, stop - at)
+                ends = 4 * np.cumsum(np.concatenate([[0], counts[at:stop]]))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column("start"), part.column("n_tokens"), _binary(ids, ends)],
+                    [id_col, "start", "n_tokens", "ids"],
+                )
+                at = stop
 
     rows = index.select(id_col, "start", "n_tokens", "file", "file_start")
     return rows.mapInArrow(run, rows.schema[:3].add("ids", "binary"))
