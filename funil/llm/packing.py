@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import StructType
 
 from funil.llm import batches as B
+from funil.llm.running import running_totals
 from funil.llm.word_ids import word_ids
 from funil.settings import write_once
 
 WEIGHT_BITS = 16  # shares are kept in parts of 65,536
+JOINT = "\0joint"  # stands for the joint queue of small sources
 
 
 def weights(tokens: Mapping[str, int], shares: Mapping[str, float] | None) -> dict[str, int]:
@@ -122,13 +124,16 @@ def pack(
     holds the piece's ids as little-endian unsigned 32-bit integers.
 
     * A null or empty text is one token, ``end_id``.
-    * A null queue is the queue "".  More than ``max_queues`` queues are an error.
+    * A null queue is the queue "".  Of more than ``max_queues`` queues, those that ``shares`` names and
+      then those with the most tokens keep a queue of their own, one less than ``max_queues`` of them.  The rest
+      stand one after the other, by name, in one joint queue, which has their shares together.
     * Null or repeated ids are documents of their own; a document's place follows its
       place in the input.  Other columns are ignored.  No rows give no pieces.
 
     Texts are read once: tokens are written where they are made, with each document's
     place among its task's tokens of the queue.  The driver sees one total per queue;
-    the totals per task and queue are a table, joined by size.
+    the totals per task and queue are a table, joined by size, and so are those of sources without a queue
+    of their own.
     """
 
     def tokenise(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,6 +153,7 @@ def pack(
                 ["_id", "queue", "_part", "_start", "_tokens", "_ids"],
             )
 
+    spark = docs.sparkSession
     rows = docs.select(
         F.col(id_col).alias("_id"),
         F.coalesce(F.col(queue_col).cast("string"), F.lit("")).alias("queue"),
@@ -163,19 +169,32 @@ def pack(
     bases = write_once(
         per_task.withColumn("_base", F.coalesce(F.sum("_sum").over(earlier), F.lit(0))), "bases"
     )
-    totals = bases.groupBy("queue").agg(F.sum("_sum").alias("n")).orderBy("queue").limit(max_queues + 1).collect()
-    if len(totals) > max_queues:
-        raise ValueError(f"more than {max_queues} values of {queue_col}; map them to fewer queues")
-    queues = [r["queue"] for r in totals]
-    parts = weights({r["queue"]: r["n"] for r in totals}, shares)
-    plan = Schedule([r["n"] for r in totals], [parts[q] for q in queues], window, packet)
-    place_of = {q: k for k, q in enumerate(queues)}
+    totals = bases.groupBy("queue").agg(F.sum("_sum").alias("n"))
+    own_first = F.col("queue").isin(list(shares)) if shares else F.lit(False)
+    largest = totals.orderBy(own_first.desc(), F.desc("n"), "queue").limit(max_queues + 1).collect()
+    kept = {r["queue"]: r["n"] for r in (largest if len(largest) <= max_queues else largest[: max_queues - 1])}
+    queues, wanted = sorted(kept), shares
+    sizes = {q: kept[q] for q in queues}
+    numbered = spark.createDataFrame(list(zip(queues, range(len(queues)))), "queue string, _queue long")
+    bases = bases.join(F.broadcast(numbered), "queue", "left")  # at most ``max_queues`` rows
+    if len(largest) > max_queues:
+        rest = totals.join(F.broadcast(numbered), "queue", "left_anti").withColumn("_all", F.lit(""))
+        ahead = write_once(running_totals(rest, "_all", ["queue"], "n", "_ahead").select("queue", "n", "_ahead"), "joint")
+        sizes[JOINT] = ahead.agg(F.sum("n")).first()[0]
+        if shares:
+            wanted = {q: s for q, s in shares.items() if q in kept}
+            wanted[JOINT] = sum(shares.values()) - sum(wanted.values())
+        bases = bases.join(ahead.select("queue", "_ahead"), "queue", "left").withColumns({
+            "_base": F.col("_base") + F.coalesce("_ahead", F.lit(0)), "_queue": F.coalesce("_queue", F.lit(len(queues))),
+        })
+    parts = weights(sizes, wanted)
+    plan = Schedule(list(sizes.values()), [parts[q] for q in sizes], window, packet)
 
     def place(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in B.slices(given, "_ids"):
             ids = batch.column("_ids").to_pylist()
             first, tokens = batch.column("_first").to_numpy(), batch.column("_tokens").to_numpy()
-            owner = np.array([place_of[q] for q in batch.column("queue").to_pylist()])
+            owner = batch.column("_queue").to_numpy()
             found = []
             for queue in np.unique(owner):
                 own = np.flatnonzero(owner == queue)
@@ -200,7 +219,7 @@ def pack(
     for name in ("start", "length", "doc_tokens", "sequence_id", "offset"):
         out = out.add(name, "long")
     return (
-        stored.join(bases.select("queue", "_part", "_base"), ["queue", "_part"])
-        .select("_id", "queue", (F.col("_base") + F.col("_start")).alias("_first"), "_tokens", "_ids")
+        stored.join(bases.select("queue", "_part", "_base", "_queue"), ["queue", "_part"])
+        .select("_id", "queue", "_queue", (F.col("_base") + F.col("_start")).alias("_first"), "_tokens", "_ids")
         .mapInArrow(place, out.add("ids", "binary"))
     )

@@ -170,8 +170,26 @@ def test_packing(awkward, empty):
     brute.check_pieces(rows, ids)
     assert {r["queue"] for r in rows} == {"", "a", "b"}
     assert pack(empty, WORDS).count() == 0 and pack(awkward, WORDS).where("doc_id IS NULL").count() > 0
-    with pytest.raises(ValueError):
-        pack(awkward, WORDS, max_queues=2)
+    for shares in (None, {"": 3, "b": 1}):  # more sources than queues
+        rows = [{**r, "ids_crc32": r["crc"]} for r in collect(
+            pack(named, WORDS, max_queues=2, shares=shares).withColumn("crc", F.crc32("ids")))]
+        brute.check_pieces(rows, ids)
+
+
+def test_small_sources_share_a_queue(spark):
+    """Two large sources keep their shares; sixty small ones have theirs together, in order of their names."""
+    docs = [(k, "word " * (500 if k % 2 else 250), "ab"[k % 2]) for k in range(80)]
+    docs += [(100 + k, "word " * 90, f"s{k:02}") for k in range(60)]
+    table = spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(3)
+    rows = collect(pack(table, WORDS, max_queues=3))
+    total = sum(r["length"] for r in rows)
+    for names in ({"a"}, {"b"}, {f"s{k:02}" for k in range(60)}):
+        share = sum(r["length"] for r in rows if r["queue"] in names) / total
+        for s in range(max(r["sequence_id"] for r in rows)):
+            got = sum(r["length"] for r in rows if r["queue"] in names and r["sequence_id"] == s)
+            assert abs(got - 2048 * share) <= 2 * 64
+    order = [r["queue"] for r in sorted(rows, key=lambda r: (r["sequence_id"], r["offset"])) if r["queue"][0] == "s"]
+    assert order == sorted(order)
 
 
 def test_wanted_shares(spark):
