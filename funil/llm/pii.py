@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -33,6 +33,20 @@ DIGIT_WORDS = (
 DIGITS = {word: str(n) for words in DIGIT_WORDS for n, word in enumerate(words.split())} | {"oh": "0"}
 # Words that stand before the noun "dot", as in "look at the dot in the middle".
 DETERMINERS = frozenset("a an the this that each every".split())
+# Words after which "at" and a spoken domain are prose, as in "we looked at example dot com".
+BEFORE_AT = frozenset("""
+look looks looked looking stare staring glance work works worked working stay stays stayed staying meet meets met meeting
+arrive arrives arrived shop shopped shopping buy bought order ordered found find available hosted sold visit visited
+me us them him her it you here there be is are was were been site website page pages blog store online read
+""".split())
+# Numbers of more than one digit as words.
+TEENS = {w: n for n, w in enumerate(
+    "ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen".split(), 10)}
+TENS = {w: 10 * n for n, w in enumerate("twenty thirty forty fifty sixty seventy eighty ninety".split(), 2)}
+UNITS = {w: n for n, w in enumerate(DIGIT_WORDS[0].split())}
+# At and dot signs as entities, and in other languages.
+ENTITIES = {"&#64;": "@", "&#x40;": "@", "&commat;": "@", "&#46;": ".", "&#x2e;": ".", "&period;": "."}
+SIGN_WORDS = {"arroba": "at", "punto": "dot", "punkt": "dot"}
 SIGNS = {"plus": "+", "dot": ".", "point": ".", "punkt": ".", "punto": "."}
 
 _EMAIL_END = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++").finditer
@@ -41,7 +55,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}").finditer
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++").finditer
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]").finditer
 
-_WORDS = "|".join(sorted([*DIGITS, *SIGNS], key=len, reverse=True))
+_WORDS = "|".join(sorted([*DIGITS, *SIGNS, *TEENS, *TENS, "hundred"], key=len, reverse=True))
 _SPELLED = re.compile(
     rf"(?<!\w)(?:{_WORDS}|[0-9]++)(?:(?:[\s,-]{{1,3}}|\.)(?:{_WORDS}|[0-9]++)(?!\w))*+(?!\w)", re.I
 ).finditer
@@ -49,9 +63,17 @@ _SPELLED_PAIR = re.compile(
     rf"\b(?:{_WORDS})(?:[\s,-]{{1,3}}|\.)(?:{_WORDS}|[0-9])|[0-9](?:[\s,-]{{1,3}}|\.)(?:{_WORDS})\b", re.I
 ).search
 _TOKEN = re.compile(r"[^\W_]+").finditer
-_BRACKETED = re.compile(r"[(\[{][ \t]*+(?:at|dot|@|\.)", re.I).search
+_BRACKETED = re.compile(r"[(\[{<][ \t]*+(?:at|dot|@|\.)|[ \t]-(?:at|dot)-[ \t]|&(?:#|commat|period)", re.I).search
 _ENCLOSED = re.compile(
-    r"[ \t]{0,3}(?:\([ \t]*(at|dot|@|\.)[ \t]*\)|\[[ \t]*(at|dot|@|\.)[ \t]*\]|\{[ \t]*(at|dot|@|\.)[ \t]*\})[ \t]{0,3}", re.I
+    r"[ \t]{0,3}(?:\([ \t]*(at|dot|@|\.)[ \t]*\)|\[[ \t]*(at|dot|@|\.)[ \t]*\]|\{[ \t]*(at|dot|@|\.)[ \t]*\}|<[ \t]*(at|dot|@|\.)[ \t]*>"
+    r"|(?<=[ \t])-(at|dot)-(?=[ \t]))[ \t]{0,3}|(&(?:#64|#x40|commat|#46|#x2e|period);)", re.I
+).finditer
+_SIGN_WORD = re.compile(rf"(?<=[ \t])(?:{'|'.join(SIGN_WORDS)})(?=[ \t])", re.I).finditer
+_SPACED_AT = re.compile(r"[ \t]{0,3}@[ \t]{0,3}").finditer
+_SPACED_DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:[ \t]{0,3}\.[ \t]{0,3}[A-Za-z0-9-]++)++").match
+_SPACED_DOT = re.compile(r"([ \t]{0,3}\.[ \t]{0,3})([A-Za-z0-9-]+)").finditer
+_JOINED = re.compile(
+    r"(?<![A-Za-z0-9.+-])(?<!_)[A-Za-z0-9.+-]++(?:_[A-Za-z0-9.+-]++)*", re.I
 ).finditer
 # Each sign in either form: spoken, or written (by the source, or for an enclosed one).  Chains are read from their heads only.
 _HEAD = "".join(rf"(?<![A-Za-z0-9._%+-][ \t]{{{i}}}dot[ \t]{{{j}}})" for i in (1, 2, 3) for j in (1, 2, 3))
@@ -133,7 +155,8 @@ class Rewritten:
 
     def touched(self, start: int, end: int) -> bool:
         """Whether a change lies in [start, end)."""
-        return any(a < end and max(b, a + 1) > start for a, b, _, _ in self.changes)
+        k = bisect_left(self.starts, end) - 1  # of the changes that start before the end, the last reaches furthest
+        return k >= 0 and max(self.changes[k][1], self.changes[k][0] + 1) > start
 
 
 class Characters(dict):
@@ -166,8 +189,55 @@ def enclosed_signs(text: str) -> list[tuple[int, int, str]]:
     """At and dot signs in brackets."""
     if not _BRACKETED(text):
         return []
-    signs = [(match, (match[1] or match[2] or match[3]).lower()) for match in _ENCLOSED(text)]
-    return [(*match.span(), {"at": "@", "dot": "."}.get(sign, sign)) for match, sign in signs]
+    signs = [(match, next(g for g in match.groups() if g).lower()) for match in _ENCLOSED(text)]
+    return [(*match.span(), {"at": "@", "dot": ".", **ENTITIES}.get(sign, sign)) for match, sign in signs]
+
+
+def joined_signs(text: str) -> list[tuple[int, int, str]]:
+    """Signs between underscores, as in john_at_example_dot_com, where the last part is a top-level domain."""
+    lower, changes = text.lower(), []
+    if "_at_" not in lower or "_dot_" not in lower:
+        return changes
+    for match in _JOINED(text):
+        parts, at = match[0].split("_"), match.start()
+        words = [p.lower() for p in parts]
+        if words.count("at") != 1 or words[-1] not in TOP_LEVEL_DOMAINS or len(words) < 5 or words[-2] != "dot":
+            continue
+        place = words.index("at")
+        if not 0 < place < len(words) - 3 or any(w != "dot" for w in words[place + 2 :: 2]) or (len(words) - place) % 2:
+            continue
+        for k, part in enumerate(parts):
+            if k == place or (words[k] == "dot" and 0 < k < len(words) - 1):
+                changes.append((at - 1, at + len(part) + 1, "@" if k == place else "."))
+            at += len(part) + 1
+    return changes
+
+
+def spaced_signs(text: str) -> list[tuple[int, int, str]]:
+    """Written signs with blanks around them, up to the last top-level domain, as in john @ example . com."""
+    changes = []
+    if "@" not in text:
+        return changes
+    for match in _SPACED_AT(text):
+        start, end = match.span()
+        if not start or text[start - 1] not in _LOCAL_CHARS or changes and start < changes[-1][1]:
+            continue
+        domain = _SPACED_DOMAIN(text, end)
+        dots = list(_SPACED_DOT(text, end, domain.end())) if domain else []
+        ends = [k for k, dot in enumerate(dots) if dot[2].lower() in TOP_LEVEL_DOMAINS]
+        spaced = [(*dot.span(1), ".") for dot in dots[: ends[-1] + 1] if dot[1] != "."] if ends else []
+        if spaced or ends and match[0] != "@":
+            changes += [(start, end, "@")] if match[0] != "@" else []
+            changes += spaced
+    return changes
+
+
+def sign_words(text: str) -> list[tuple[int, int, str]]:
+    """At and dot signs as words of other languages, in English."""
+    lower = text.lower()
+    if not any(word in lower for word in SIGN_WORDS):
+        return []
+    return [(*match.span(), SIGN_WORDS[match[0].lower()]) for match in _SIGN_WORD(text)]
 
 
 def spoken_signs(text: str, before: Rewritten | None) -> list[tuple[int, int, str]]:
@@ -189,6 +259,8 @@ def spoken_signs(text: str, before: Rewritten | None) -> list[tuple[int, int, st
         dots = dots[: ends[-1] + 1]
         if said and len(dots) == 1 and not dots[0][2] and text[at[1] : dots[0][0]].lower() in DETERMINERS:
             continue
+        if said and text[match.start() : at[0]].lower() in BEFORE_AT:
+            continue
         changes += [(*d.span(), ".") for d in _SPOKEN_DOT(text, match.start(), at[0])]
         changes += [(*at, "@")] if said else []
         changes += [(a, b, ".") for a, b, written, _ in dots if not written]
@@ -204,8 +276,8 @@ def spelled_digits(text: str) -> list[tuple[int, int, str]]:
     if not _SPELLED_PAIR(text):
         return changes
     for match in _SPELLED(text):
-        tokens = [(*m.span(), m[0].lower()) for m in _TOKEN(text, *match.span())]
-        if len(tokens) < 2 or all(t.isdigit() for *_, t in tokens):
+        tokens = _numbers([(*m.span(), m[0].lower()) for m in _TOKEN(text, *match.span())])
+        if len(tokens) < 2 or all(t.isdigit() and text[a:b] == t for a, b, t in tokens):
             continue
         plain = [DIGITS.get(t) or SIGNS.get(t) or t for *_, t in tokens]
         for k, (start, end, token) in enumerate(tokens):
@@ -216,11 +288,35 @@ def spelled_digits(text: str) -> list[tuple[int, int, str]]:
                     kept = " "
                 if text[at:start] != kept:
                     changes.append((at, start, kept))
-            if plain[k] != token:
+            if plain[k] != text[start:end]:
                 changes.append((start, end, plain[k]))
     return changes
 
 
+def _numbers(tokens: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """Words of one number of several digits as that number: one hundred twenty seven, ten; the rest as it is."""
+    out, k = [], 0
+    while k < len(tokens):
+        words, first = [t for *_, t in tokens[k : k + 4]], k
+        value = 0
+        if len(words) > 1 and words[1] == "hundred" and UNITS.get(words[0]):
+            value, k, words = 100 * UNITS[words[0]], k + 2, words[2:]
+        if words and words[0] in TEENS:
+            value, k = value + TEENS[words[0]], k + 1
+        elif words and words[0] in TENS:
+            value, k = value + TENS[words[0]], k + 1
+            if len(words) > 1 and UNITS.get(words[1]):
+                value, k = value + UNITS[words[1]], k + 1
+        elif value and words and UNITS.get(words[0]):
+            value, k = value + UNITS[words[0]], k + 1
+        if k > first:
+            out.append((tokens[first][0], tokens[k - 1][1], str(value)))
+        else:
+            out.append(tokens[k])
+            k += 1
+    return out
+
+
 def find(text: str) -> list[tuple[int, int, str, bool]]:
     """(start, end, kind, plain) of all identifiers by start, then kind as listed.
 
@@ -230,17 +326,21 @@ def find(text: str) -> list[tuple[int, int, str, bool]]:
     plain = identifiers(text)
     spans = [(start, end, kind, True) for kind, start, end in plain]
     steps, last = [], None
-    for rewrite in (plain_characters, enclosed_signs, lambda t: spoken_signs(t, last), spelled_digits):
+    for rewrite in (plain_characters, joined_signs, spaced_signs, sign_words, enclosed_signs,
+                    lambda t: spoken_signs(t, last), spelled_digits):
         source = steps[-1].text if steps else text
         last = Rewritten(source, changes) if (changes := rewrite(source)) else None
         steps += [last] if last else []
     if steps:
+        known = {kind: sorted((s, e) for k, s, e in plain if k == kind) for kind in KINDS}
+        starts = {kind: [s for s, _ in own] for kind, own in known.items()}
         for kind, start, end in identifiers(steps[-1].text):
             changed = False
             for step in reversed(steps):
                 changed = changed or step.touched(start, end)
                 start, end = step.back(start, end)
-            if changed and not any(k == kind and s < end and start < e for k, s, e in plain):
+            before = bisect_left(starts[kind], end) - 1  # of one kind's spans, the last that starts before the end
+            if changed and not (before >= 0 and known[kind][before][1] > start):
                 spans.append((start, end, kind, False))
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 

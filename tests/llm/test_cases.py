@@ -266,6 +266,41 @@ def test_mixed_disguises():
         assert [f"{k}:{a}:{b}" for a, b, k, _ in find(text)] == spans, text
 
 
+def test_more_disguises():
+    cases = {
+        "john @ example . com": ["email:0:20"],
+        "john@example . com, and": ["email:0:18"],
+        "john -at- example -dot- com": ["email:0:27"],
+        "john <at> example <dot> com": ["email:0:27"],
+        "john&#64;example.com": ["email:0:20"],
+        "john&commat;example&period;com": ["email:0:30"],
+        "john_at_example_dot_com": ["email:0:23"],
+        "mary_dot_smith_at_mail_dot_example_dot_org ok": ["email:0:42"],
+        "john arroba example punto com": ["email:0:29"],
+        "one hundred twenty seven dot 0 dot 0 dot 1": ["ip:0:42"],
+        "ten dot zero dot zero dot two hundred": ["ip:0:37"],
+        "one ninety two dot 168 dot one dot ten": ["ip:4:38"],
+    }
+    prose = [
+        "We looked at example dot com today", "Email us at example dot com", "look_at_the_dot_product", "meet_at_noon",
+        "She paid 3 @ 5 . Then left", "twenty seven people and one hundred dogs", "it is at ten dot",
+    ]
+    for text, spans in {**cases, **{t: [] for t in prose}}.items():
+        assert [f"{k}:{a}:{b}" for a, b, k, _ in find(text)] == spans, text
+
+
+def test_long_texts_take_linear_time():
+    """A megabyte of disguised and plain addresses side by side, and of every sign alone."""
+    import time
+
+    for unit in ("john(at)example.com bob@example.com ", "a @ b . com c@d.org ", "x_at_y_dot_com ", "one two dot ", "a at b dot ", "@ . "):
+        began, text = time.time(), unit * (1_000_000 // len(unit))
+        found = find(text)
+        assert time.time() - began < 30, unit
+        if "@" in unit and "com" in unit:
+            assert len(found) == 2 * (1_000_000 // len(unit))
+
+
 def test_plain_identifiers_as_patterns_find_them():
     rnd = random.Random(1)
     for _ in range(20_000):
