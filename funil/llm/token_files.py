@@ -13,7 +13,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
@@ -21,7 +20,7 @@ from pyspark.sql.types import StructType
 
 from funil.llm import batches as B
 from funil.llm.word_ids import word_ids
-from funil.settings import discard, write_once
+from funil.settings import write_once
 
 ROWS = 256
 
@@ -119,39 +118,25 @@ def write_files(
     * Null ids come first.  Rows repeated under one id follow one another, in the order
       of a hash of the text.  Other columns are ignored.  No rows give no files.
 
-    ``folder`` is a path or URI that all executors reach.  Texts become ids where they are read; ids of two bytes,
-    where the vocabulary allows, are written and range-sorted.  Each task writes one file
+    ``folder`` is a path or URI that all executors reach.  Texts are range-sorted (packed ids would
+    take as much room as they do, and would have to be written before they are sorted).  Each task writes one file
     under a name of its own, so a task that runs again leaves the first file alone; the
     index, written once, names those that count.
     """
     system, place = pafs.FileSystem.from_uri(folder)
 
-    def encode(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = word_ids(tokenizer, True)
-        narrow, end = _narrow(ids_of.size, end_id), np.array([end_id], "<u4").tobytes()
-        for batch in B.slices(given, "_text"):
-            packed = ids_of.encode(B.texts(batch, "_text"))
-            ids = np.frombuffer(end.join([*packed, b""]), "<u4").astype(narrow)  # of the batch, converted once
-            ends = np.cumsum([0, *[len(p) // 4 + 1 for p in packed]]) * ids.itemsize
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), _binary(ids, ends)], ["_id", "_tie", "_ids"]
-            )
-
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dtype = np.dtype(_narrow(word_ids(tokenizer, True).size, end_id))
-        part, start, writer = TaskContext.get().partitionId(), 0, None
+        ids_of, part, start, writer = word_ids(tokenizer, True), TaskContext.get().partitionId(), 0, None
+        narrow, end = _narrow(ids_of.size, end_id), np.array([end_id], "<u4").tobytes()
         path = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}.arrow"
-        for batch in given:
-            if not batch.num_rows:
-                continue
+        for batch in B.slices(given, "_text"):
             if writer is None:
                 system.create_dir(place, recursive=True)
-                writer = Writer(path, length, dtype.str)
-            n, column = batch.num_rows, batch.column("_ids")
-            counts = pc.binary_length(column).to_numpy().astype(np.int64) // dtype.itemsize
-            offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + n + 1]
-            writer.append(np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view(dtype))
-            starts = start + np.cumsum(counts) - counts
+                writer = Writer(path, length, narrow)
+            packed = ids_of.encode(B.texts(batch, "_text"))
+            counts = np.array([len(p) // 4 + 1 for p in packed])
+            writer.append(np.frombuffer(end.join([*packed, b""]), "<u4").astype(narrow))  # converted once a batch
+            n, starts = batch.num_rows, start + np.cumsum(counts) - counts
             start += int(counts.sum())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([path] * n, pa.string()), pa.array(np.full(n, part)), pa.array(starts),
@@ -161,15 +146,12 @@ def write_files(
             writer.close()
 
     rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_tie"), F.col(text_col).alias("_text"))
-    coded = StructType([rows.schema[0]]).add("_tie", "long").add("_ids", "binary")
-    ids = write_once(rows.mapInArrow(encode, coded), "token_ids")  # the range sort looks at its input twice
     schema = StructType([rows.schema[0]]).add("file", "string").add("part", "long")
     index = write_once(
-        ids.repartitionByRange("_id", "_tie").sortWithinPartitions("_id", "_tie")
-        .select("_id", "_ids").mapInArrow(run, schema.add("file_start", "long").add("n_tokens", "long")),
+        rows.repartitionByRange("_id", "_tie").sortWithinPartitions("_id", "_tie")
+        .select("_id", "_text").mapInArrow(run, schema.add("file_start", "long").add("n_tokens", "long")),
         "token_index",
     )
-    discard(ids)
     # One row per file: the number of files is that of the range partitions.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     files = index.groupBy("part").agg(F.sum("n_tokens").alias("_sum"))

@@ -36,18 +36,20 @@ class WordIds:
     def encode(self, texts: list[str]) -> list[bytes]:
         """All ids of each text, packed."""
         known, whole = self.known, [k for k, t in enumerate(texts) if _UNSURE(t)]
-        words = [self.split(t) for t in texts]
-        for k in whole:
-            words[k] = []
-        new = [w for w in set(chain.from_iterable(words)) if w not in known]
+        skip, get, packed, waiting = set(whole), self.known.__getitem__, [b""] * len(texts), []
+        for k, text in enumerate(texts):
+            if k not in skip:
+                own = self.split(text)
+                try:
+                    packed[k] = b"".join(map(get, own))
+                except KeyError:  # a word that has not come before
+                    waiting.append((k, own))
+        new = [w for w in set(chain.from_iterable(own for _, own in waiting)) if w not in known]
         ids = dict(zip(new, self.library(new)))
         room = max(0, REMEMBERED - len(known))
         known.update(islice(((w, i) for w, i in ids.items() if len(w) <= LONGEST), room))
-        passing = {w: i for w, i in ids.items() if w not in known}
-        if passing:
-            packed = [b"".join([passing[w] if w in passing else known[w] for w in own]) for own in words]
-        else:
-            packed = [b"".join(map(known.__getitem__, own)) for own in words]
+        for k, own in waiting:
+            packed[k] = b"".join([ids[w] if w in ids else known[w] for w in own])
         for k, own in zip(whole, self.library([texts[k] for k in whole])):
             packed[k] = own
         return packed
