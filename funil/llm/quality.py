@@ -7,7 +7,7 @@ from operator import add
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from funil.settings import write_once
+from funil.settings import discard, write_once
 
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -25,7 +25,10 @@ COVERAGE = 0.75  # share of rows an estimate rests on
 # The mean of (distance squared / 4) over the nearest 75 % of normal vectors with four
 # entries is 1 / 1.486: covariances of that subset are too small by this factor.
 CONSISTENCY = 1.486
-STEPS = 4
+CUTOFF = 18.467  # chi-square quantile 0.999 with four degrees of freedom
+FINENESS = 1024  # bins of distances per power of two
+STILL = 1e-4  # a determinant that falls by less than this share has stopped falling
+SALTS = 16
 
 
 def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -98,32 +101,46 @@ def base_failed() -> Column:
     return F.expr("n_words < 50 OR 100 * n_repeat_words > 50 * n_words")
 
 
-def _quantile_bins(rows: DataFrame, keys: list[str], bin_col: str, share: float) -> DataFrame:
-    """The lowest bin up to which each group has ``share`` of its rows, from counts per bin."""
-    counts = rows.groupBy(*keys, bin_col).agg(F.count(F.lit(1)).alias("_n"))
-    upto = Window.partitionBy(*keys).orderBy(bin_col)
-    whole = Window.partitionBy(*keys)
-    reached = counts.withColumn("_upto", F.sum("_n").over(upto)).withColumn("_all", F.sum("_n").over(whole))
-    return reached.where(F.col("_upto") >= share * F.col("_all")).groupBy(*keys).agg(F.min(bin_col).alias(bin_col))
+def _meet(rows: DataFrame, groups: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Rows with the columns of their group, of which there are few: these are repeated over salts, so a hot group is many tasks."""
+    salted = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+    return rows.withColumn("_salt", salt).join(salted, [key, "_salt"], how).drop("_salt")
 
 
-def _factor(estimates: DataFrame, names: list[str]) -> DataFrame:
-    """The lower triangular factor of each covariance matrix, as columns _l{row}{column}."""
-    for i in range(len(names)):
+def _cumulated(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows per group and ``_bin`` as ``_n``, those up to the bin as ``_upto``, those of the group as ``_all``."""
+    counts = rows.groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_n"))
+    group = Window.partitionBy(*keys)
+    return counts.withColumns({"_upto": F.sum("_n").over(group.orderBy("_bin")), "_all": F.sum("_n").over(group)})
+
+
+def _limits(rows: DataFrame, keys: list[str], share: float) -> DataFrame:
+    """The bin in which each group reaches ``share`` of its rows, as ``_limit``, and the share of that bin which it takes, as ``_part``."""
+    wanted = share * F.col("_all")
+    reached = _cumulated(rows, keys).where(F.col("_upto") >= wanted)
+    part = 1 - (F.col("_upto") - wanted) / F.col("_n")
+    first = F.min(F.struct(F.col("_bin").alias("_limit"), part.alias("_part")))
+    return reached.groupBy(*keys).agg(first.alias("_first")).select(*keys, "_first.*")
+
+
+def _factor(estimates: DataFrame, size: int) -> DataFrame:
+    """The lower triangular factor of each covariance matrix, as columns _l{row}{column}, and its determinant ``_det``."""
+    names = [f"_m{i}" for i in range(size)]
+    det = F.lit(1.0)
+    for i in range(size):
         for j in range(i + 1):
             rest = F.col(f"_c{i}{j}")
             for k in range(j):
                 rest = rest - F.col(f"_l{i}{k}") * F.col(f"_l{j}{k}")
             estimates = estimates.withColumn(f"_l{i}{j}", F.sqrt(rest) if i == j else rest / F.col(f"_l{j}{j}"))
-    return estimates.select(
-        "_group", *[f"_m{i}" for i in range(len(names))],
-        *[f"_l{i}{j}" for i in range(len(names)) for j in range(i + 1)],
-    )
+            names.append(f"_l{i}{j}")
+        det = det * F.col(f"_l{i}{i}") * F.col(f"_l{i}{i}")
+    return estimates.select("_group", "_start", *names, det.alias("_det"))
 
 
-def _distance(rows: DataFrame, estimates: DataFrame, names: list[str]) -> DataFrame:
-    """Squared Mahalanobis distances as ``distance``; groups are few and joined by size."""
-    rows = rows.join(estimates, "_group", "left")
+def _distance(rows: DataFrame, names: list[str]) -> DataFrame:
+    """Squared Mahalanobis distances, as ``distance``, of rows that carry their estimate."""
     total = F.lit(0.0)
     for i, name in enumerate(names):
         rest = F.col(name) - F.col(f"_m{i}")
@@ -131,55 +148,112 @@ def _distance(rows: DataFrame, estimates: DataFrame, names: list[str]) -> DataFr
             rest = rest - F.col(f"_l{i}{k}") * F.col(f"_z{k}")
         rows = rows.withColumn(f"_z{i}", rest / F.col(f"_l{i}{i}"))
         total = total + F.col(f"_z{i}") * F.col(f"_z{i}")
-    drop = [c for c in rows.columns if c[:2] in ("_m", "_l", "_z")]
-    return rows.withColumn("distance", total).drop(*drop)
+    return rows.withColumn("distance", total)
+
+
+def _moments(rows: DataFrame, values: list[Column], weight: Column) -> DataFrame:
+    """Weighted means _a{i} and covariances _v{i}{j} of ``values`` per group and start."""
+    rows = rows.withColumns({"_w": weight, **{f"_y{i}": v for i, v in enumerate(values)}})
+    pairs = [(i, j) for i in range(len(values)) for j in range(i + 1)]
+    sums = [F.sum(F.col("_w") * F.col(f"_y{i}")).alias(f"_s{i}") for i in range(len(values))]
+    sums += [F.sum(F.col("_w") * F.col(f"_y{i}") * F.col(f"_y{j}")).alias(f"_s{i}{j}") for i, j in pairs]
+    carried = [F.min(c).alias(c) for c in rows.columns if c[:2] == "_m"]  # the same in all rows of a group and start
+    found = rows.groupBy("_group", "_start").agg(F.sum("_w").alias("_w"), *sums, *carried)
+    means = {f"_a{i}": F.col(f"_s{i}") / F.col("_w") for i in range(len(values))}
+    found = found.withColumns(means)
+    return found.withColumns({
+        f"_v{i}{j}": F.col(f"_s{i}{j}") / F.col("_w") - F.col(f"_a{i}") * F.col(f"_a{j}") for i, j in pairs
+    })
+
+
+def _covariance(moments: DataFrame, scales: list[Column], centres: list[Column], factor: float, floors: list[float]) -> DataFrame:
+    """Columns _m{i} and _c{i}{j} from moments of entries divided by ``scales``; floors are added to the diagonal."""
+    pairs = [(i, j) for i in range(len(floors)) for j in range(i + 1)]
+    return moments.select(
+        "_group", "_start", *[c.alias(f"_m{i}") for i, c in enumerate(centres)],
+        *[(factor * F.col(f"_v{i}{j}") * scales[i] * scales[j] + (floors[i] ** 2 if i == j else 0.0)).alias(f"_c{i}{j}")
+          for i, j in pairs],
+    )
 
 
-def covariance_determinants(rows: DataFrame) -> DataFrame:
-    """Per ``_group``: the centre and covariance factor of its most concentrated 75 % of vectors.
+def _starts(rows: DataFrame, names: list[str], floors: list[float]) -> DataFrame:
+    """Three first estimates of each group: quartiles, plain moments, and signs.
 
-    Starts from medians and quartiles of each entry.  Each step takes the rows nearest
-    by Mahalanobis distance and estimates anew from them, which never increases the
-    covariance's determinant.  The least deviations are added to the diagonal, so
-    groups of equal rows have an estimate too.  Quantiles come from counts of bins,
-    so no task sees a group's rows together; only groups and bins are shuffled.
+    0: medians, and quartile distances without correlation.  1: mean and covariance of all rows.  2: medians, and the
+    covariance of the directions in which rows lie from them, whatever their distance.
     """
-    names = list(VECTOR)
-    floors = [floor for _, floor in VECTOR.values()]
-    bins = F.array([
+    size = len(names)
+    bins = F.array(*[
         F.struct(F.lit(i).alias("_entry"), F.floor(F.col(n) / (floors[i] / 4)).alias("_bin"))
         for i, n in enumerate(names)
     ])
-    entries = rows.select("_group", F.inline(bins))
-    keys = ["_group", "_entry"]
-    parts = {
-        q: _quantile_bins(entries, keys, "_bin", share).withColumnRenamed("_bin", q)
-        for q, share in (("_q1", 0.25), ("_q2", 0.5), ("_q3", 0.75))
-    }
-    spread = parts["_q1"].join(parts["_q2"], keys).join(parts["_q3"], keys)
+    entries, keys = rows.select("_group", F.inline(bins)), ["_group", "_entry"]
+    quarters = [
+        F.min(F.when(F.col("_upto") >= share * F.col("_all"), F.col("_bin"))).alias(f"_q{k}")
+        for k, share in ((1, 0.25), (2, 0.5), (3, 0.75))
+    ]
+    spread = _cumulated(entries, keys).groupBy(*keys).agg(*quarters)
     columns = []
     for i, floor in enumerate(floors):
         own = F.col("_entry") == i
         deviation = (F.col("_q3") - F.col("_q1")) * floor / 4 / 1.349
         columns.append(F.max(F.when(own, (F.col("_q2") + 0.5) * floor / 4)).alias(f"_m{i}"))
-        columns.append(F.max(F.when(own, deviation * deviation + floor * floor)).alias(f"_c{i}{i}"))
-    start = spread.groupBy("_group").agg(*columns)
-    start = start.withColumns({f"_c{i}{j}": F.lit(0.0) for i in range(len(names)) for j in range(i)})
-    estimates = write_once(_factor(start, names), "estimates")
-    for _ in range(STEPS):
-        # Bins of a sixteenth of a power of two.
-        near = _distance(rows, estimates, names).withColumn(
-            "_bin", F.floor(F.log2(F.greatest("distance", F.lit(1e-6))) * 16)
-        )
-        limits = _quantile_bins(near, ["_group"], "_bin", COVERAGE).withColumnRenamed("_bin", "_limit")
-        inner = near.join(limits, "_group").where("_bin <= _limit")
-        moments = [F.avg(n).alias(f"_m{i}") for i, n in enumerate(names)]
-        for i, n in enumerate(names):
-            for j in range(i + 1):
-                moment = CONSISTENCY * F.covar_pop(n, names[j]) + (floors[i] ** 2 if i == j else 0.0)
-                moments.append(moment.alias(f"_c{i}{j}"))
-        estimates = write_once(_factor(inner.groupBy("_group").agg(*moments), names), "estimates")
-    return estimates
+        columns.append(F.max(F.when(own, F.sqrt(deviation * deviation + floor * floor))).alias(f"_d{i}"))
+    middle = write_once(spread.groupBy("_group").agg(*columns), "quartiles")
+
+    zero = F.lit(0.0)
+    quartiles = middle.select(
+        "_group", F.lit(0).alias("_start"), *[f"_m{i}" for i in range(size)],
+        *[(F.col(f"_d{i}") ** 2 if i == j else zero).alias(f"_c{i}{j}") for i in range(size) for j in range(i + 1)],
+    )
+    found = _meet(rows, middle, "_group")
+    scaled = [(F.col(n) - F.col(f"_m{i}")) / F.col(f"_d{i}") for i, n in enumerate(names)]
+    length = F.sqrt(reduce(add, [z * z for z in scaled]))
+    both = found.withColumns({f"_u{i}": z for i, z in enumerate(scaled)}).withColumn("_length", length)
+    both = both.withColumn("_start", F.explode(F.array(F.lit(1), F.lit(2))))
+    plain = F.col("_start") == 1
+    values = [F.when(plain, F.col(f"_u{i}")).when(F.col("_length") > 0, F.col(f"_u{i}") / F.col("_length")).otherwise(0.0)
+              for i in range(size)]
+    moments = write_once(_moments(both, values, F.lit(1.0)).join(middle.drop(*[f"_m{i}" for i in range(size)]), "_group"), "moments")
+    scales = [F.col(f"_d{i}") * F.when(plain, 1.0).otherwise(size ** 0.5) for i in range(size)]
+    centres = [F.col(f"_m{i}") + F.when(plain, F.col(f"_a{i}") * F.col(f"_d{i}")).otherwise(0.0) for i in range(size)]
+    return quartiles.unionByName(_covariance(moments, scales, centres, 1.0, floors))
+
+
+def covariance_determinants(rows: DataFrame) -> DataFrame:
+    """Per ``_group``: the centre and covariance factor of its most concentrated 75 % of vectors, and ``_det``.
+
+    Each step takes the rows nearest by Mahalanobis distance and estimates anew from them, which does not increase
+    the determinant of their covariance.  Three starts go on until their determinant no longer falls; the least of them
+    is the group's.  Rows at the limit (distances within a thousandth) count with the same share each, so that exactly 75 %
+    count and ties need no order.  The least deviations are added to the diagonal, so groups of equal rows have an
+    estimate too.  Limits come from counts of bins, so no task sees a group's rows together; only groups and bins
+    are shuffled.  The steps end: a determinant falls by ``STILL`` at least or stays, and cannot fall below that of the floors.
+    """
+    names, floors = list(VECTOR), [floor for _, floor in VECTOR.values()]
+    size, keys = len(names), ["_group", "_start"]
+    best = _factor(_starts(rows, names, floors), size).withColumns({"_det": F.lit(float("inf")), "_moving": F.lit(True)})
+    best = write_once(best, "estimates")
+    nearness = F.floor(F.log2(F.greatest("distance", F.lit(1e-6))) * FINENESS)
+    while not best.where("_moving").isEmpty():
+        moving = best.where("_moving").drop("_moving")
+        bins = _distance(_meet(rows, moving, "_group"), names).select(*keys, nearness.alias("_bin"))
+        limited = moving.join(_limits(bins, keys, COVERAGE), keys)
+        near = _distance(_meet(rows, limited, "_group"), names).withColumn("_bin", nearness).where("_bin <= _limit")
+        weight = F.when(F.col("_bin") < F.col("_limit"), 1.0).otherwise(F.col("_part"))
+        # Entries are taken from the last centre, so no digits are lost.
+        moments = write_once(_moments(near, [F.col(n) - F.col(f"_m{i}") for i, n in enumerate(names)], weight), "moments")
+        centres = [F.col(f"_m{i}") + F.col(f"_a{i}") for i in range(size)]
+        newer = _factor(_covariance(moments, [F.lit(1.0)] * size, centres, CONSISTENCY, floors), size)
+        newer = newer.join(moving.select(*keys, F.col("_det").alias("_before")), keys)
+        newer = newer.where(F.col("_det") < (1 - STILL) * F.col("_before")).drop("_before").withColumn("_moving", F.lit(True))
+        merged = best.withColumn("_moving", F.lit(False)).unionByName(newer).groupBy(*keys)
+        row = F.max_by(F.struct(*[c for c in best.columns if c not in keys]), "_moving").alias("_row")
+        after = write_once(merged.agg(row).select(*keys, "_row.*"), "estimates")
+        discard(best, moments)
+        best = after
+    least = F.min_by(F.struct(*[c for c in best.columns if c[:2] in ("_m", "_l", "_d") and c != "_moving"]), F.struct("_det", "_start"))
+    return best.groupBy("_group").agg(least.alias("_row")).select("_group", "_row.*")
 
 
 STATISTICS = ["n_words", "word_chars", "n_lines", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -199,11 +273,14 @@ def judge(rows: DataFrame, lang_col: str, source_col: str, cutoff: float, min_gr
     def grouped(rows: DataFrame) -> DataFrame:
         pooled = F.struct(F.col("_key.lang").alias("lang"), F.lit(None).cast("string").alias("source"))
         group = F.when(F.col("_large"), F.col("_key")).otherwise(pooled)
-        return rows.join(large, "_key", "left").withColumn("_group", F.to_json(group)).drop("_large", "_key")
+        return _meet(rows, large, "_key", "left").withColumn("_group", F.to_json(group)).drop("_large", "_key")
 
-    estimates = covariance_determinants(grouped(vectors))
+    points = write_once(grouped(vectors), "points")
+    estimates = write_once(covariance_determinants(points), "estimates")
+    discard(vectors, points)
     kept = ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= cutoff)
-    return _distance(grouped(rows), estimates, list(VECTOR)).withColumn("kept", kept).drop("_group", *VECTOR)
+    judged = _distance(_meet(grouped(rows), estimates, "_group", "left"), list(VECTOR)).withColumn("kept", kept)
+    return judged.drop(*[c for c in judged.columns if c[:2] in ("_m", "_l", "_z", "_d")], "_group", *VECTOR)
 
 
 def quality_rules(
@@ -212,14 +289,14 @@ def quality_rules(
     text_col: str = "text",
     lang_col: str = "lang",
     source_col: str = "source",
-    cutoff: float = 49.0,
+    cutoff: float = CUTOFF,
     min_group: int = 50,
 ) -> DataFrame:
     """One row per input row: id, the statistics, ``base_failed``, ``distance`` and ``kept``.
 
     A row is rejected when it fails the base rules, or when the squared Mahalanobis
-    distance of its vector from its language and source exceeds ``cutoff`` (49 is
-    seven standard deviations).  Estimates rest on the rows that pass the base rules.
+    distance of its vector from its language and source exceeds ``cutoff``, which one
+    in a thousand normal vectors does.  Estimates rest on the rows that pass the base rules.
     Sources with fewer than ``min_group`` such rows share one group per language.
 
     * A null text has no words and fails the base rules.
@@ -242,7 +319,7 @@ def accepted(
     text_col: str = "text",
     lang_col: str = "lang",
     source_col: str = "source",
-    cutoff: float = 49.0,
+    cutoff: float = CUTOFF,
     min_group: int = 50,
 ) -> DataFrame:
     """The rows that ``quality_rules`` keeps, with their own columns.

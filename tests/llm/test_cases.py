@@ -1,6 +1,7 @@
 """Awkward rows, methods in detail, and the cases that queries do not reach."""
 
 import random
+from itertools import combinations
 
 import numpy as np
 import public_tokenizers
@@ -16,11 +17,13 @@ from funil.llm.line_dedup import drop_boilerplate
 from funil.llm.packing import Schedule, pack, weights
 from funil.llm.piece_codec import Codec, encode_decode
 from funil.llm.pii import find, find_personal_data, identifiers, mask_documents, masked
-from funil.llm.quality import accepted, quality_rules
+from funil.llm.quality import (
+    CONSISTENCY, VECTOR, accepted, base_failed, covariance_determinants, quality_rules, with_statistics,
+)
 from funil.llm.sharding import shard_rows
 from funil.llm.shingles import counts, groups, points, shingle_sets
 from funil.llm.token_files import Reader, read_files, write_files
-from funil.settings import new_folder
+from funil.settings import new_folder, write_once
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -384,6 +387,79 @@ def test_outliers(spark):
     assert {r["doc_id"] for r in collect(quality_rules(table)) if r["kept"]} == {k for k in range(600) if k % 6}
 
 
+def test_covariance_determinants_are_least(spark):
+    """Against all subsets of 12 of 16 rows, and the distances that follow."""
+    rnd, rows, floors = np.random.default_rng(3), [], np.diag([floor**2 for _, floor in VECTOR.values()])
+    groups = {}
+    for g in range(6):
+        mix = rnd.normal(size=(4, 4))
+        points = rnd.normal(size=(16, 4)) @ mix + rnd.normal(size=4)
+        points[:4] = points[4:].mean(0) + rnd.choice([-1, 1], size=(4, 4)) * rnd.uniform(15, 30, size=(4, 4))
+        groups[f"g{g}"] = points
+    groups["equal"] = np.full((16, 4), 2.5)
+    for g, points in groups.items():
+        rows += [(g, *map(float, p)) for p in points]
+    found = {r["_group"]: r for r in collect(covariance_determinants(spark.createDataFrame(rows, "_group string, _x0 double, _x1 double, _x2 double, _x3 double")))}
+    for g, points in groups.items():
+        estimates = []
+        for chosen in combinations(range(16), 12):
+            cov = CONSISTENCY * np.cov(points[list(chosen)].T, bias=True) + floors
+            estimates.append((np.linalg.det(cov), chosen, cov))
+        det, chosen, cov = min(estimates, key=lambda e: e[0])
+        row = found[g]
+        assert np.isclose(row["_det"], det, rtol=1e-6), g
+        assert np.allclose([row[f"_m{i}"] for i in range(4)], points[list(chosen)].mean(0))
+        factor = np.array([[row[f"_l{i}{j}"] if j <= i else 0.0 for j in range(4)] for i in range(4)])
+        assert np.allclose(factor @ factor.T, cov)
+
+
+def test_determinants_of_documents(spark):
+    """No random start of a plain version ends clearly lower on the given documents, and each distance follows from its estimate."""
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = write_once(with_statistics(table).drop("text"), "statistics").withColumn("_group", F.col("source")).where(~base_failed())
+    rows = write_once(rows.select("_group", *[F.expr(f"CAST({f} AS DOUBLE)").alias(n) for n, (f, _) in VECTOR.items()]), "points")
+    floors, rnd, ratios = np.diag([floor**2 for _, floor in VECTOR.values()]), np.random.default_rng(1), {}
+    for row in collect(covariance_determinants(rows)):
+        points = np.array([[r[n] for n in VECTOR] for r in rows.where(F.col("_group") == row["_group"]).collect()])
+        least = float("inf")
+        for _ in range(20):
+            weight = np.zeros(len(points))
+            weight[rnd.choice(len(points), size=min(len(points), 8), replace=False)] = 1.0
+            for _ in range(40):
+                centre = np.average(points, axis=0, weights=weight)
+                cov = CONSISTENCY * np.cov(points.T, aweights=weight, ddof=0) + floors
+                away = points - centre
+                nearest = np.argsort(np.einsum("ij,jk,ik->i", away, np.linalg.inv(cov), away), kind="stable")
+                # Three quarters of the rows, the last of them in part.
+                weight[nearest] = np.clip(0.75 * len(points) - np.arange(len(points)), 0, 1)
+            least = min(least, np.linalg.det(CONSISTENCY * np.cov(points.T, aweights=weight, ddof=0) + floors))
+        ratios[row["_group"]] = row["_det"] / least
+    assert all(r <= 1.02 for r in ratios.values()), ratios
+
+
+def test_each_entry_rejects(spark):
+    """Among ordinary texts of a source: long words, symbols, repeated lines and repeated windows go, each by itself."""
+    rnd = random.Random(5)
+
+    def words(n, least=2, most=9):
+        return ["".join(rnd.choice("abcdefghijkl") for _ in range(rnd.randint(least, most))) for _ in range(n)]
+
+    def lines(ws):
+        return "\n".join(" ".join(ws[k : k + 10]) for k in range(0, len(ws), 10))
+
+    rows = [(k, lines(words(200))) for k in range(200)]
+    rows.append((1000, lines(words(200, 14, 20))))
+    rows.append((1001, lines([w + "##" for w in words(200)])))
+    rows.append((1002, "\n".join([*lines(words(60)).split("\n"), *["ab " + "c" * 5] * 12])))
+    block = words(10)
+    rows.append((1003, " ".join(words(110) + block * 9)))  # 45 % of the words
+    table = spark.createDataFrame([(k, t, "en", "s") for k, t in rows], "doc_id long, text string, lang string, source string")
+    found = {r["doc_id"]: r for r in collect(quality_rules(table))}
+    assert not any(found[k]["kept"] for k in range(1000, 1004))
+    assert not any(found[k]["base_failed"] for k in (1000, 1001, 1003))
+    assert sum(not found[k]["kept"] for k in range(200)) <= 2
+
+
 def test_licences(spark, awkward, empty):
     scanner = train(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
     rows = collect(document_licences(awkward, scanner))
