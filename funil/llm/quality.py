@@ -115,64 +115,57 @@ def _cumulated(rows: DataFrame, keys: list[str]) -> DataFrame:
     return counts.withColumns({"_upto": F.sum("_n").over(group.orderBy("_bin")), "_all": F.sum("_n").over(group)})
 
 
-def _limits(rows: DataFrame, keys: list[str], share: float) -> DataFrame:
-    """The bin in which each group reaches ``share`` of its rows, as ``_limit``, and the share of that bin which it takes, as ``_part``."""
-    wanted = share * F.col("_all")
-    reached = _cumulated(rows, keys).where(F.col("_upto") >= wanted)
-    part = 1 - (F.col("_upto") - wanted) / F.col("_n")
-    first = F.min(F.struct(F.col("_bin").alias("_limit"), part.alias("_part")))
-    return reached.groupBy(*keys).agg(first.alias("_first")).select(*keys, "_first.*")
-
-
-def _factor(estimates: DataFrame, size: int) -> DataFrame:
+def _factor(estimates: DataFrame, size: int, *carried: str) -> DataFrame:
     """The lower triangular factor of each covariance matrix, as columns _l{row}{column}, and its determinant ``_det``."""
-    names = [f"_m{i}" for i in range(size)]
-    det = F.lit(1.0)
+    entries = []
     for i in range(size):
         for j in range(i + 1):
-            rest = F.col(f"_c{i}{j}")
-            for k in range(j):
-                rest = rest - F.col(f"_l{i}{k}") * F.col(f"_l{j}{k}")
-            estimates = estimates.withColumn(f"_l{i}{j}", F.sqrt(rest) if i == j else rest / F.col(f"_l{j}{j}"))
-            names.append(f"_l{i}{j}")
-        det = det * F.col(f"_l{i}{i}") * F.col(f"_l{i}{i}")
-    return estimates.select("_group", "_start", *names, det.alias("_det"))
+            rest = f"(_c{i}{j}" + "".join(f" - _l{i}{k} * _l{j}{k}" for k in range(j)) + ")"
+            entries.append(f"sqrt{rest} AS _l{i}{j}" if i == j else f"{rest} / _l{j}{j} AS _l{i}{j}")
+    det = " * ".join(f"_l{i}{i} * _l{i}{i}" for i in range(size))
+    return estimates.selectExpr("_group", "_start", *[f"_m{i}" for i in range(size)], *entries, f"{det} AS _det", *carried)
 
 
 def _distance(rows: DataFrame, names: list[str]) -> DataFrame:
     """Squared Mahalanobis distances, as ``distance``, of rows that carry their estimate."""
-    total = F.lit(0.0)
+    steps = []
     for i, name in enumerate(names):
-        rest = F.col(name) - F.col(f"_m{i}")
-        for k in range(i):
-            rest = rest - F.col(f"_l{i}{k}") * F.col(f"_z{k}")
-        rows = rows.withColumn(f"_z{i}", rest / F.col(f"_l{i}{i}"))
-        total = total + F.col(f"_z{i}") * F.col(f"_z{i}")
-    return rows.withColumn("distance", total)
-
-
-def _moments(rows: DataFrame, values: list[Column], weight: Column) -> DataFrame:
-    """Weighted means _a{i} and covariances _v{i}{j} of ``values`` per group and start."""
-    rows = rows.withColumns({"_w": weight, **{f"_y{i}": v for i, v in enumerate(values)}})
-    pairs = [(i, j) for i in range(len(values)) for j in range(i + 1)]
-    sums = [F.sum(F.col("_w") * F.col(f"_y{i}")).alias(f"_s{i}") for i in range(len(values))]
-    sums += [F.sum(F.col("_w") * F.col(f"_y{i}") * F.col(f"_y{j}")).alias(f"_s{i}{j}") for i, j in pairs]
-    carried = [F.min(c).alias(c) for c in rows.columns if c[:2] == "_m"]  # the same in all rows of a group and start
-    found = rows.groupBy("_group", "_start").agg(F.sum("_w").alias("_w"), *sums, *carried)
-    means = {f"_a{i}": F.col(f"_s{i}") / F.col("_w") for i in range(len(values))}
-    found = found.withColumns(means)
+        rest = f"({name} - _m{i}" + "".join(f" - _l{i}{k} * _z{k}" for k in range(i)) + ")"
+        steps.append(f"{rest} / _l{i}{i} AS _z{i}")
+    return rows.selectExpr("*", *steps, " + ".join(f"_z{i} * _z{i}" for i in range(len(names))) + " AS distance")
+
+
+def _sums(rows: DataFrame, values: list[Column], parts: dict[str, Column], carried: list[str]) -> DataFrame:
+    """Per group and start the count, sums and sums of products of ``values`` over the rows of each part, under its name.
+
+    ``carried`` are columns that are the same in all rows of a group and start.
+    """
+    rows = rows.withColumns({f"_y{i}": v for i, v in enumerate(values)})
+    found = {"_w": F.lit(1.0), **{f"_s{i}": F.col(f"_y{i}") for i in range(len(values))}}
+    found |= {f"_s{i}{j}": F.col(f"_y{i}") * F.col(f"_y{j}") for i in range(len(values)) for j in range(i + 1)}
+    sums = [F.sum(F.when(chosen, v).otherwise(0.0)).alias(name + part)
+            for part, chosen in parts.items() for name, v in found.items()]
+    return rows.groupBy("_group", "_start").agg(*sums, *[F.min(c).alias(c) for c in carried])
+
+
+def _moments(sums: DataFrame, size: int) -> DataFrame:
+    """Means _a{i} and covariances _v{i}{j} besides the sums they come from."""
+    found = sums.withColumns({f"_a{i}": F.col(f"_s{i}") / F.col("_w") for i in range(size)})
     return found.withColumns({
-        f"_v{i}{j}": F.col(f"_s{i}{j}") / F.col("_w") - F.col(f"_a{i}") * F.col(f"_a{j}") for i, j in pairs
+        f"_v{i}{j}": F.col(f"_s{i}{j}") / F.col("_w") - F.col(f"_a{i}") * F.col(f"_a{j}")
+        for i in range(size) for j in range(i + 1)
     })
 
 
-def _covariance(moments: DataFrame, scales: list[Column], centres: list[Column], factor: float, floors: list[float]) -> DataFrame:
+def _covariance(
+    moments: DataFrame, scales: list[Column], centres: list[Column], factor: float, floors: list[float], *carried: str
+) -> DataFrame:
     """Columns _m{i} and _c{i}{j} from moments of entries divided by ``scales``; floors are added to the diagonal."""
     pairs = [(i, j) for i in range(len(floors)) for j in range(i + 1)]
     return moments.select(
         "_group", "_start", *[c.alias(f"_m{i}") for i, c in enumerate(centres)],
         *[(factor * F.col(f"_v{i}{j}") * scales[i] * scales[j] + (floors[i] ** 2 if i == j else 0.0)).alias(f"_c{i}{j}")
-          for i, j in pairs],
+          for i, j in pairs], *carried,
     )
 
 
@@ -214,7 +207,8 @@ def _starts(rows: DataFrame, names: list[str], floors: list[float]) -> DataFrame
     plain = F.col("_start") == 1
     values = [F.when(plain, F.col(f"_u{i}")).when(F.col("_length") > 0, F.col(f"_u{i}") / F.col("_length")).otherwise(0.0)
               for i in range(size)]
-    moments = write_once(_moments(both, values, F.lit(1.0)).join(middle.drop(*[f"_m{i}" for i in range(size)]), "_group"), "moments")
+    carried = [f"_{kind}{i}" for kind in "md" for i in range(size)]
+    moments = write_once(_moments(_sums(both, values, {"": F.lit(True)}, carried), size), "moments")
     scales = [F.col(f"_d{i}") * F.when(plain, 1.0).otherwise(size ** 0.5) for i in range(size)]
     centres = [F.col(f"_m{i}") + F.when(plain, F.col(f"_a{i}") * F.col(f"_d{i}")).otherwise(0.0) for i in range(size)]
     return quartiles.unionByName(_covariance(moments, scales, centres, 1.0, floors))
@@ -232,28 +226,33 @@ def covariance_determinants(rows: DataFrame) -> DataFrame:
     """
     names, floors = list(VECTOR), [floor for _, floor in VECTOR.values()]
     size, keys = len(names), ["_group", "_start"]
-    best = _factor(_starts(rows, names, floors), size).withColumns({"_det": F.lit(float("inf")), "_moving": F.lit(True)})
-    best = write_once(best, "estimates")
+    starts = _factor(_starts(rows, names, floors), size).withColumn("_det", F.lit(float("inf")))
+    steps = [write_once(starts, "estimates")]  # a step's estimates, of those starts only whose determinant has fallen
     nearness = F.floor(F.log2(F.greatest("distance", F.lit(1e-6))) * FINENESS)
-    while not best.where("_moving").isEmpty():
-        moving = best.where("_moving").drop("_moving")
-        bins = _distance(_meet(rows, moving, "_group"), names).select(*keys, nearness.alias("_bin"))
-        limited = moving.join(_limits(bins, keys, COVERAGE), keys)
+    limit = F.expr(f"percentile_disc({COVERAGE}) WITHIN GROUP (ORDER BY _bin)").cast("long")  # the bin in which the share is reached
+    while not steps[-1].isEmpty():
+        bins = _distance(_meet(rows, steps[-1], "_group"), names).select(*keys, nearness.alias("_bin"))
+        limits = bins.groupBy(*keys).agg(limit.alias("_limit"), F.count(F.lit(1)).alias("_all"))
+        limited = steps[-1].join(limits, keys)
         near = _distance(_meet(rows, limited, "_group"), names).withColumn("_bin", nearness).where("_bin <= _limit")
-        weight = F.when(F.col("_bin") < F.col("_limit"), 1.0).otherwise(F.col("_part"))
         # Entries are taken from the last centre, so no digits are lost.
-        moments = write_once(_moments(near, [F.col(n) - F.col(f"_m{i}") for i, n in enumerate(names)], weight), "moments")
+        values = [F.col(n) - F.col(f"_m{i}") for i, n in enumerate(names)]
+        parts = {"": F.col("_bin") < F.col("_limit"), "_edge": F.col("_bin") == F.col("_limit")}
+        sums = _sums(near, values, parts, ["_all", "_det", *[f"_m{i}" for i in range(size)]])
+        part = (COVERAGE * F.col("_all") - F.col("_w")) / F.col("_w_edge")
+        total = [(F.col(c) + part * F.col(f"{c}_edge")).alias(c) for c in sums.columns if f"{c}_edge" in sums.columns]
         centres = [F.col(f"_m{i}") + F.col(f"_a{i}") for i in range(size)]
-        newer = _factor(_covariance(moments, [F.lit(1.0)] * size, centres, CONSISTENCY, floors), size)
-        newer = newer.join(moving.select(*keys, F.col("_det").alias("_before")), keys)
-        newer = newer.where(F.col("_det") < (1 - STILL) * F.col("_before")).drop("_before").withColumn("_moving", F.lit(True))
-        merged = best.withColumn("_moving", F.lit(False)).unionByName(newer).groupBy(*keys)
-        row = F.max_by(F.struct(*[c for c in best.columns if c not in keys]), "_moving").alias("_row")
-        after = write_once(merged.agg(row).select(*keys, "_row.*"), "estimates")
-        discard(best, moments)
-        best = after
-    least = F.min_by(F.struct(*[c for c in best.columns if c[:2] in ("_m", "_l", "_d") and c != "_moving"]), F.struct("_det", "_start"))
-    return best.groupBy("_group").agg(least.alias("_row")).select("_group", "_row.*")
+        sums = sums.select(*keys, F.col("_det").alias("_before"), *[f"_m{i}" for i in range(size)], *total)
+        moments = write_once(_moments(sums, size), "moments")
+        newer = _covariance(moments, [F.lit(1.0)] * size, centres, CONSISTENCY, floors, "_before")
+        newer = _factor(newer, size, "_before").where(F.col("_det") < (1 - STILL) * F.col("_before"))
+        steps.append(write_once(newer.drop("_before"), "estimates"))
+        discard(moments)
+    every = rows.sparkSession.read.schema(steps[0].schema).parquet(*[s._written_to for s in steps])
+    least = F.min_by(F.struct(*[c for c in every.columns if c not in keys]), F.struct("_det", "_start"))
+    found = write_once(every.groupBy("_group").agg(least.alias("_row")).select("_group", "_row.*"), "estimates")
+    discard(*steps)
+    return found
 
 
 STATISTICS = ["n_words", "word_chars", "n_lines", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -276,7 +275,7 @@ def judge(rows: DataFrame, lang_col: str, source_col: str, cutoff: float, min_gr
         return _meet(rows, large, "_key", "left").withColumn("_group", F.to_json(group)).drop("_large", "_key")
 
     points = write_once(grouped(vectors), "points")
-    estimates = write_once(covariance_determinants(points), "estimates")
+    estimates = covariance_determinants(points)
     discard(vectors, points)
     kept = ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= cutoff)
     judged = _distance(_meet(grouped(rows), estimates, "_group", "left"), list(VECTOR)).withColumn("kept", kept)
