@@ -35,7 +35,7 @@ class WordIds:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """All ids of each text, packed."""
-        known, whole = self.known, [k for k, t in enumerate(texts) if _UNSURE(t)]
+        known, whole = self.known, [k for k, t in enumerate(texts) if _unsure(t)]
         skip, get, packed, waiting = set(whole), self.known.__getitem__, [b""] * len(texts), []
         for k, text in enumerate(texts):
             if k not in skip:
@@ -49,14 +49,20 @@ class WordIds:
         room = max(0, REMEMBERED - len(known))
         known.update(islice(((w, i) for w, i in ids.items() if len(w) <= LONGEST), room))
         for k, own in waiting:
-            packed[k] = b"".join([ids[w] if w in ids else known[w] for w in own])
+            try:
+                packed[k] = b"".join(map(get, own))
+            except KeyError:  # a word that is not remembered
+                packed[k] = b"".join([ids[w] if w in ids else known[w] for w in own])
         for k, own in zip(whole, self.library([texts[k] for k in whole])):
             packed[k] = own
         return packed
 
 
-# Separators that Python counts as white space and the libraries do not, and the text of special tokens.
-_UNSURE = re.compile("[\x1c-\x1f]|<\\|").search
+def _unsure(text: str) -> bool:
+    """Whether it has separators that Python counts as white space and the libraries do not, or the text of special tokens."""
+    return "<|" in text or "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text
+
+
 # A word with the space before it, or white space: all of a run but its last character, or what is left.
 _SPACED = re.compile(r" ?\S+|\s+(?!\S)|\s+").findall
 
