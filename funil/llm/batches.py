@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
@@ -36,3 +37,13 @@ def lists(parts: list[bytes], dtype: pa.DataType = pa.int32()) -> pa.ListArray:
         offsets.append(offsets[-1] + len(part) // width)
     values = pa.Array.from_buffers(dtype, offsets[-1], [None, pa.py_buffer(b"".join(parts))])
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+
+
+def binary(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Byte strings out of one buffer of numbers: the numbers from each bound to the next."""
+    ends = bounds.astype(np.int64) * values.itemsize
+    if ends[-1] > np.iinfo(np.int32).max:
+        raise ValueError("the byte strings of a batch are too long")
+    return pa.Array.from_buffers(
+        pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))]
+    )

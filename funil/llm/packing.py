@@ -138,20 +138,18 @@ def pack(
 
     def tokenise(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of, part, before = word_ids(tokenizer, False), TaskContext.get().partitionId(), {}
-        end = np.array([end_id], "<u4").tobytes()
-        narrow = "<u2" if ids_of.size <= 1 << 16 and end_id < 1 << 16 else "<u4"
         for batch in B.slices(given, "_text"):
-            packed = [ids + end for ids in ids_of.encode(B.texts(batch, "_text"))]
-            counts, starts = [len(p) // 4 for p in packed], []
+            ids, bounds = ids_of.packed(batch.column("_text"), end_id)
+            counts, starts = np.diff(bounds).tolist(), []
             for queue, n in zip(batch.column("queue").to_pylist(), counts):
                 starts.append(before.get(queue, 0))
                 before[queue] = starts[-1] + n
-            stored = [np.frombuffer(p, "<u4").astype(narrow).tobytes() for p in packed]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([part] * len(counts), pa.int64()),
-                 pa.array(starts, pa.int64()), pa.array(counts, pa.int64()), pa.array(stored, pa.binary())],
+                 pa.array(starts, pa.int64()), pa.array(counts, pa.int64()), B.binary(ids, bounds)],
                 ["_id", "queue", "_part", "_start", "_tokens", "_ids"],
             )
+        ids_of.rest()
 
     spark = docs.sparkSession
     rows = docs.select(

@@ -1,8 +1,10 @@
 """Concentration steps that end one by one, and words that are not remembered."""
 
 import random
+import tracemalloc
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from funil.llm import quality, word_ids
@@ -36,3 +38,59 @@ def test_words_beyond_those_remembered(monkeypatch, name, spaced):
         texts = [" ".join(rnd.choices(parts, k=rnd.randrange(9))) for _ in range(60)]
         assert words.encode(texts) == words.library(texts)
     assert len(words.known) <= 5
+
+
+VOCABULARIES = [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)]
+SIGNS = [
+    *"aZ09'.,|<>-ßéİΣς٠²̸́Å中ᅡ한\U0001f600 \u0085 　​\t\n\r\x0b\x0c\x00",
+    " ", " ", " ", "  ", "   ", "\n\n", " \n ", "'s", "'S", "'ll", "The", " the", "don't", "über", "`", "x" * 60, "</w>", "Ġ", "Ċ",
+]
+
+
+@pytest.mark.parametrize("name, spaced", VOCABULARIES)
+def test_pieces_and_joined_words_have_the_librarys_ids(name, spaced):
+    """Texts cut at spaces and words looked up together have the ids of the whole text, with the end after each."""
+    words, rnd = word_ids.WordIds(public_tokenizers.path(name), spaced), random.Random(5)
+    for _ in range(20):
+        texts = ["".join(rnd.choices(SIGNS, k=rnd.randrange(14))) for _ in range(300)]
+        ids, bounds = words.packed(pa.array([*texts, None]), 7)
+        found = [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])]
+        own = words.tokenizer.encode_batch(texts, add_special_tokens=False)
+        assert found == [*([*e.ids, 7] for e in own), [7]]
+    assert words.packed(pa.array([], pa.string()))[1].tolist() == [0]
+    ids, _ = words.packed(pa.array(["one two"]), 1 << 17)  # an end beyond the narrow type
+    assert ids.itemsize == 4 and ids[-1] == 1 << 17
+
+
+@pytest.mark.parametrize("name, spaced", VOCABULARIES)
+def test_new_words_are_looked_up_together(name, spaced):
+    """The library gets many new words as one text, and none of those it has had, whatever signs stand at them."""
+    words, rnd, given = word_ids.WordIds(public_tokenizers.path(name), spaced), random.Random(6), []
+
+    class Counted:
+        def encode_batch_fast(self, texts, add_special_tokens):
+            given.append(len(texts))
+            return words_of.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+    words_of, words.tokenizer = words.tokenizer, Counted()
+    made = sorted({"".join(rnd.choices("abcdefghä", k=8)) for _ in range(6000)})
+    text = "so " + " ".join(made)
+    words.encode([text])
+    assert sum(given) < len(made) / 20 and max(given) <= word_ids.CALL
+    given.clear()
+    words.encode([text, text.replace(" ", ", ").encode("ascii", "ignore").decode()])
+    assert sum(given) < len(made) / 20
+
+
+@pytest.mark.parametrize("name, spaced", VOCABULARIES)
+def test_memory_of_remembered_words(name, spaced):
+    """Remembered words take little more than their letters: workers hold them while the executor's next stage runs."""
+    words, rnd = word_ids.WordIds(public_tokenizers.path(name), spaced), random.Random(7)
+    text = " ".join("".join(rnd.choices("abcdefghij", k=8)) for _ in range(60_000))
+    before = pa.total_allocated_bytes()
+    tracemalloc.start()
+    words.encode([text])
+    words.encode(["abc"])
+    held = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - before
+    tracemalloc.stop()
+    assert len(words.known) > 55_000 and held < 60 * len(words.known), held
