@@ -127,23 +127,22 @@ def write_files(
 
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of, part, start, writer = word_ids(tokenizer, True), TaskContext.get().partitionId(), 0, None
-        narrow, end = _narrow(ids_of.size, end_id), np.array([end_id], "<u4").tobytes()
         path = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}.arrow"
         for batch in B.slices(given, "_text"):
             if writer is None:
                 system.create_dir(place, recursive=True)
-                writer = Writer(path, length, narrow)
-            packed = ids_of.encode(B.texts(batch, "_text"))
-            counts = np.array([len(p) // 4 + 1 for p in packed])
-            writer.append(np.frombuffer(end.join([*packed, b""]), "<u4").astype(narrow))  # converted once a batch
-            n, starts = batch.num_rows, start + np.cumsum(counts) - counts
-            start += int(counts.sum())
+                writer = Writer(path, length, ids_of.narrow(end_id))
+            ids, bounds = ids_of.packed(batch.column("_text"), end_id)
+            writer.append(ids)
+            n, starts, counts = batch.num_rows, start + bounds[:-1], np.diff(bounds)
+            start += int(bounds[-1])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([path] * n, pa.string()), pa.array(np.full(n, part)), pa.array(starts),
                  pa.array(counts)], ["_id", "file", "part", "file_start", "n_tokens"],
             )
         if writer is not None:
             writer.close()
+        ids_of.rest()
 
     rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_tie"), F.col(text_col).alias("_text"))
     schema = StructType([rows.schema[0]]).add("file", "string").add("part", "long")
@@ -162,18 +161,6 @@ def write_files(
     )
 
 
-def _narrow(size: int, end_id: int) -> str:
-    """The type that all ids fit."""
-    return "<u2" if size <= 1 << 16 and end_id < 1 << 16 else "<u4"
-
-
-def _binary(values: np.ndarray, ends: np.ndarray) -> pa.Array:
-    """Byte strings out of one buffer, cut at ``ends``."""
-    return pa.Array.from_buffers(
-        pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))]
-    )
-
-
 def read_files(index: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Each indexed document's ids, read from the files: id, ``start``, ``n_tokens``, ``ids``.
 
@@ -196,9 +183,9 @@ def read_files(index: DataFrame, id_col: str = "doc_id") -> DataFrame:
                     path, reader = files[at], Reader(files[at])
                 ids = reader.tokens(int(first[at]), total).astype("<u4")
                 part = batch.slice(at, stop - at)
-                ends = 4 * np.cumsum(np.concatenate([[0], counts[at:stop]]))
+                bounds = np.cumsum(np.concatenate([[0], counts[at:stop]]))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column("start"), part.column("n_tokens"), _binary(ids, ends)],
+                    [part.column(0), part.column("start"), part.column("n_tokens"), B.binary(ids, bounds)],
                     [id_col, "start", "n_tokens", "ids"],
                 )
                 at = stop
