@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from funil.llm.jaccard_join import similar_groups
+from funil.llm.jaccard_join import TOLD, similar_groups
 from funil.llm.line_dedup import drop_boilerplate
 from funil.llm.packing import pack
 from funil.llm.pii import mask_documents
@@ -48,11 +48,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # A group of one is its own page without being named.
     groups = _groups(docs).select("key", "group").distinct()
     shared = groups.groupBy("group").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("group")
-    copies = write_once(groups.join(shared, "group", "left_semi").select("key", "group"), "copies")
-    rows = docs.select(_row_key().alias("key"), *[F.col(f"`{c}`").alias(own) for c, own in columns.items()])
-    pages = rows.join(copies, "key", "left").drop("key")
+    copies = write_once(groups.join(shared, "group", "left_semi").select("key", F.col("group").alias("page")), "copies")
+    pages = docs.select(_row_key().alias("key"), *[F.col(f"`{c}`").alias(own) for c, own in columns.items()])
     text, length = columns["text"], columns["n_chars"]
-    shorter = drop_boilerplate(pages, columns["source"], text, max_ratio=0.1, page_col="group")
+    shorter = drop_boilerplate(pages, columns["source"], text, max_ratio=0.1, page_col="key", joint=copies)
     n_chars = F.when(F.col("n_dropped") > 0, F.length(text).cast("long")).otherwise(F.col(length))
     return shorter.select(*[(n_chars if c == "n_chars" else F.col(own)).alias(c) for c, own in columns.items()])
 
@@ -70,7 +69,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     repeated = write_once(groups.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("key"), "repeated")
     discard(groups)
     rows = docs.select(_row_key().alias("key"), *[F.col(f"`{c}`").alias(f"_doc{k}") for k, c in enumerate(docs.columns)])
-    rows = rows.join(gone, "key", "left_anti")
+    few = gone.limit(TOLD + 1).count() <= TOLD  # texts stay where they are while the keys that go can be told to all tasks
+    rows = rows.join(F.broadcast(gone) if few else gone, "key", "left_anti")
     if not repeated.isEmpty():  # of the few rows whose key is repeated, one each
         once = rows.join(repeated, "key", "left_semi").dropDuplicates(["key"])
         rows = rows.join(repeated, "key", "left_anti").unionByName(once)

@@ -15,7 +15,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     In turn, every node's larger neighbours are linked to its smallest neighbour, then
     its smaller ones, until nothing changes: each component is then a star.  Minima
     are taken per task before they are shuffled, and a node with very many
-    neighbours is joined, not collected.  Each round is written and the one before removed,
+    neighbours is joined, not collected.  Each half of a round is written and the round before removed,
     so its cost and lineage stay those of the edges.  Null ends and loops are left out.
     Rounds end by themselves: each moves links to smaller nodes or drops repeated ones, of which
     there are finitely many, and it takes about log2 squared of the nodes.
@@ -32,14 +32,15 @@ def connected_components(edges: DataFrame) -> DataFrame:
         both = these.unionByName(these.select(F.col("_v").alias("_u"), F.col("_u").alias("_v")))
         lowest = both.groupBy("_u").agg(F.min("_v").alias("_m")).withColumn("_m", F.least("_u", "_m"))
         large = both.where("_v > _u").join(lowest, "_u").select(F.col("_v").alias("_u"), F.col("_m").alias("_v"))
-        large = large.where("_u <> _v").distinct()
-        lowest = large.groupBy("_u").agg(F.min("_v").alias("_m"))
-        small = large.join(lowest, "_u")
+        large = write_once(large.where("_u <> _v").distinct(), "links")  # read three times below
+        halves = large.coalesce(1) if few else large
+        lowest = halves.groupBy("_u").agg(F.min("_v").alias("_m"))
+        small = halves.join(lowest, "_u")
         small = small.select(F.col("_v").alias("_u"), F.col("_m").alias("_v")).unionByName(
             small.select("_u", F.col("_m").alias("_v"))
         )
         last, links = links, write_once(small.where("_u <> _v").distinct(), "links")
-        discard(last)
+        discard(last, large)
         now = links.agg(
             F.count(F.lit(1)), F.sum(F.xxhash64("_u", "_v").cast("decimal(20,0)"))
         ).first()

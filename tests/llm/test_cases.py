@@ -349,6 +349,10 @@ def test_line_dedup_counts_pages(spark):
     group = table.withColumn("group", F.when(F.col("page_id") >= 200, F.lit("copies")))
     joint = {d: t for d, t, _ in brute.without_boilerplate(pages, 0.1, 2, lambda d: "copies" if d >= 200 else d)}
     assert {r["page_id"]: r["text"] for r in collect(drop_boilerplate(group, "host", page_col="group"))} == joint != expected
+    # The same by a table that names their page; other rows, and one of a null key, are pages each.
+    keyed = table.withColumn("key", F.when(F.col("page_id") != 149, F.col("page_id")))
+    copies = spark.createDataFrame([(d, "copies") for d, *_ in pages if d >= 200], "key long, page string")
+    assert {r["page_id"]: r["text"] for r in collect(drop_boilerplate(keyed, "host", page_col="key", joint=copies))} == joint
 
 
 def test_token_files(spark, awkward, empty):

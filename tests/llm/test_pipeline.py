@@ -98,3 +98,24 @@ def test_a_text_of_its_own_under_a_repeated_id_stays(spark):
     # Of documents 1, 2 and 7 the first stays, and the other text of 7; of equal rows and of similar ones without id one.
     assert [k for k in stayed if k not in (4, 5, 8, 9, 10, 11)] == [0, 3, 6, 7, 12, 13]
     assert all(sum(k in pair for k in stayed) == 1 for pair in ((4, 5), (8, 9), (10, 11)))
+
+
+def test_texts_stay_where_they_are(spark):
+    """Not even where no table counts as small do the stages after the join shuffle texts to the keys of copies."""
+    words = lambda name, n: " ".join(f"{name}{k}" for k in range(n))
+    rows = [(10 * k + j, f"head\n{words(f'own{k}x', 60)}" + " more" * j, "en", "a", 1) for k in range(12) for j in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs = write_once(docs, "docs")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shorter, kept = (stage(spark, docs, "") for stage in (corpus_pipeline.line_dedup, corpus_pipeline.near_duplicates))
+        plans = [x._jdf.queryExecution().optimizedPlan().toString() for x in (shorter, kept)]
+        physical = kept._jdf.queryExecution().executedPlan().toString()
+        texts = {r["doc_id"]: r["text"] for r in shorter.collect()}
+        assert {r["doc_id"] for r in kept.collect()} == {10 * k for k in range(12)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plans[0].count("Join ") == 1 and "_boilerplate" in plans[0]  # with the sources' lines alone
+    assert plans[1].count("Join ") == 1 and "BroadcastHashJoin" in physical and "SortMergeJoin" not in physical
+    assert texts == {d: t.split("\n")[1] for d, t, *_ in rows}
