@@ -50,11 +50,16 @@ def first_shingles(own: np.ndarray, frequent: np.ndarray, percent: int) -> np.nd
     return own[:wanted]
 
 
+def _variances(places: np.ndarray) -> np.ndarray:
+    """Of every coordinate, some at a time: they are computed in doubles."""
+    return np.concatenate([places[:, k : k + 128].var(0) for k in range(0, places.shape[1], 128)])
+
+
 class RTree:
     """Points of a block in leaves of neighbours, with the bounds of every leaf."""
 
     def __init__(self, places: np.ndarray, sizes: np.ndarray, labels: np.ndarray):
-        widest = places[:, np.argsort(-places.var(0))[:2]] if len(places) > LEAF else places[:, :2]
+        widest = places[:, np.argsort(-_variances(places))[:2]] if len(places) > LEAF else places[:, :2]
         slab = max(LEAF, int(np.sqrt(len(places) * LEAF)))
         by_size = np.argsort(sizes, kind="stable")
         slabs = np.empty(len(places), np.int64)
@@ -107,9 +112,12 @@ def _profiles(rows: DataFrame, words: int) -> DataFrame:
         id_type = None
 
         def often() -> pa.RecordBatch:
-            values, times = np.unique(np.concatenate(held), return_counts=True)
-            values, times = values[times > 2], times[times > 2]
-            n = len(values)
+            values = np.concatenate(held)
+            held.clear()
+            values.sort()
+            repeated = np.unique(values[2:][values[2:] == values[:-2]])
+            times = np.searchsorted(values, repeated, "right") - np.searchsorted(values, repeated)
+            values, n = repeated, len(repeated)
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.ones(n, np.int32)), pa.nulls(n, id_type), pa.array(times.astype(np.int64)),
                  pa.array(values.astype(np.int64)), pa.array(np.zeros(n, np.int64))], names
@@ -137,7 +145,7 @@ def _profiles(rows: DataFrame, words: int) -> DataFrame:
 
     schema = StructType().add("_kind", "integer").add("_id", rows.schema["_id"].dataType)
     schema = schema.add("_n", "long").add("_k1", "long").add("_k2", "long")
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(B.resting(run), schema)
 
 
 def _frequent(profiles: DataFrame) -> np.ndarray:
@@ -165,24 +173,26 @@ def _blocks(rows: DataFrame, frequent: np.ndarray, words: int, percent: int, par
         def flush() -> pa.RecordBatch:
             shingle = np.concatenate([s for s, _ in held])
             key = np.repeat(np.array([k for _, k in held], np.int64), [len(s) for s, _ in held])
+            held.clear()
             order = np.lexsort((key, shingle))
-            shingle, key = shingle[order], key[order]
+            shingle = shingle[order]
+            key = key[order]
             head = np.concatenate([[True], shingle[1:] != shingle[:-1]])
-            shared = ~head | np.concatenate([~head[1:], [False]])
-            home = (mix(shingle) % np.uint64(parts)).astype(np.int64)
-            spread = (mix(shingle ^ mix(key.view(np.uint64))) % np.uint64(parts)).astype(np.int64)
-            home = np.where(head, home, spread)
-            state = np.where(head, shared.astype(np.int64), 2)
+            state = (~head | np.concatenate([~head[1:], [False]])).astype(np.int8)  # of heads, whether they are shared
+            state[~head] = 2
+            home = (mix(shingle) % np.uint64(parts)).astype(np.int32)
+            home[~head] = mix(shingle[~head] ^ mix(key[~head].view(np.uint64))) % np.uint64(parts)
             order = np.lexsort((state, home))
-            shingle, key, state, home = (x[order] for x in (shingle, key, state, home))
+            shingle = shingle[order]
+            key = key[order]
+            state, home = state[order], home[order]
             heads = np.flatnonzero(
                 np.concatenate([[True], (home[1:] != home[:-1]) | (state[1:] != state[:-1])])
             )
-            cuts = list(zip(heads.tolist(), [*heads[1:].tolist(), len(home)]))
+            cuts = np.append(heads, len(home))
             return pa.RecordBatch.from_arrays(
-                [pa.array(home[heads]), pa.array(state[heads]),
-                 pa.array([shingle[a:b].tobytes() for a, b in cuts], pa.binary()),
-                 pa.array([key[a:b].tobytes() for a, b in cuts], pa.binary())],
+                [pa.array(home[heads].astype(np.int64)), pa.array(state[heads].astype(np.int64)),
+                 B.binary(shingle, cuts), B.binary(key, cuts)],
                 ["_part", "_state", "_shingles", "_keys"],
             )
 
@@ -191,7 +201,7 @@ def _blocks(rows: DataFrame, frequent: np.ndarray, words: int, percent: int, par
                 key = fingerprint(own)
                 if len(own) and key not in seen:
                     seen.add(key)
-                    held.append((first_shingles(own, told.value, percent), key[0]))
+                    held.append((first_shingles(own, told.value, percent).copy(), key[0]))
                     size += len(held[-1][0])
             if size > FLUSH:
                 yield flush()
@@ -214,6 +224,7 @@ def _blocks(rows: DataFrame, frequent: np.ndarray, words: int, percent: int, par
         key = np.concatenate([k for state in (0, 1) for _, k in met[state]])
         known = np.zeros(len(shingle), bool)
         known[sum(len(s) for s, _ in met[0]) :] = True
+        met.clear()
         order = np.lexsort((known, key, shingle))
         shingle, key, known = shingle[order], key[order], known[order]
         # The same set may come from several tasks; the last of its entries says whether it is known to be shared.
@@ -223,8 +234,8 @@ def _blocks(rows: DataFrame, frequent: np.ndarray, words: int, percent: int, par
         shared = known | ~head | np.concatenate([~head[1:], [False]])
         yield pa.RecordBatch.from_arrays([pa.array(shingle[shared]), pa.array(key[shared])], names)
 
-    packed = rows.select("_text").mapInArrow(emit, "_part long, _state long, _shingles binary, _keys binary")
-    return packed.repartition(F.col("_part")).mapInArrow(meet, "_shingle long, _key long")
+    packed = rows.select("_text").mapInArrow(B.resting(emit), "_part long, _state long, _shingles binary, _keys binary")
+    return packed.repartition(F.col("_part")).mapInArrow(B.resting(meet), "_shingle long, _key long")
 
 
 def _neighbourhoods(blocks: DataFrame) -> DataFrame:
@@ -263,7 +274,7 @@ def _points(rows: DataFrame, sets: DataFrame, near: DataFrame, words: int) -> Da
             )
 
     texts = _texts_of(rows, sets, near.select("_key").distinct())
-    return write_once(texts.mapInArrow(run, "_key long, _n long, _point binary"), "points")
+    return write_once(texts.mapInArrow(B.resting(run), "_key long, _n long, _point binary"), "points")
 
 
 def _texts_of(rows: DataFrame, sets: DataFrame, keys: DataFrame) -> DataFrame:
@@ -303,7 +314,7 @@ def _bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
              for k, n, p in (("_a", "_na", "_pa"), ("_b", "_nb", "_pb"))]
     joined = pairs.join(sides[0], "_a").join(sides[1], "_b")
     joined = joined.where((100 * F.col("_na") >= percent * F.col("_nb")) & (100 * F.col("_nb") >= percent * F.col("_na")))
-    return joined.select("_a", "_b", "_na", "_nb", "_pa", "_pb").mapInArrow(run, "_a long, _b long").distinct()
+    return joined.select("_a", "_b", "_na", "_nb", "_pa", "_pb").mapInArrow(B.resting(run), "_a long, _b long").distinct()
 
 
 def _linked(rows: DataFrame, sets: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -323,7 +334,7 @@ def _linked(rows: DataFrame, sets: DataFrame, pairs: DataFrame, words: int, perc
     keys = pairs.select(F.col("_a").alias("_key")).union(pairs.select("_b")).distinct()
     kind = rows.schema["_id"].dataType
     schema = StructType().add("_key", "long").add("_rep", kind).add("_set", ArrayType(LongType()))
-    found = write_once(_texts_of(rows, sets, keys).mapInArrow(take_apart, schema), "found")
+    found = write_once(_texts_of(rows, sets, keys).mapInArrow(B.resting(take_apart), schema), "found")
     sides = [found.select(F.col("_key").alias(k), F.col("_rep").alias(r), F.col("_set").alias(s))
              for k, r, s in (("_a", "_ra", "_sa"), ("_b", "_rb", "_sb"))]
     joined = pairs.join(sides[0], "_a").join(sides[1], "_b")
@@ -450,7 +461,7 @@ def _tree_pairs(members: DataFrame, points_of: DataFrame, percent: int, forest:
     found = (
         met.select(*meeting, "_second", "_key", "_label", "_n", "_point")
         .repartition(*meeting).sortWithinPartitions(*meeting)
-        .mapInArrow(run, "_a long, _b long, _la long, _lb long")
+        .mapInArrow(B.resting(run), "_a long, _b long, _la long, _lb long")
     )
     if not forest:
         return found.distinct()

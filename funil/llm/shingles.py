@@ -117,7 +117,7 @@ def counts(own: np.ndarray) -> bytes:
 def groups(packed: bytes) -> np.ndarray:
     """The groups of a set's shingles in order, each as often as it counts."""
     steps = np.frombuffer(packed, np.uint8)
-    return np.cumsum(steps, dtype=np.int64)[steps < 255]
+    return np.cumsum(steps, dtype=np.int64)[steps < 255].astype(np.uint16)
 
 
 def points(vectors: list[np.ndarray]) -> np.ndarray:
@@ -143,8 +143,8 @@ class Minima:
 
     def with_others(self, one: int, others: np.ndarray) -> np.ndarray:
         """The sum for each pair of ``one`` and the ``others``, none of which is empty."""
-        held = np.bincount(self.groups[one], minlength=1 << GROUP_BITS)
+        held = np.bincount(self.groups[one], minlength=1 << GROUP_BITS).astype(np.int32)
         groups = np.concatenate([self.groups[k] for k in others])
         turns = np.concatenate([self.turns[k] for k in others])
         starts = np.cumsum([0, *[len(self.groups[k]) for k in others[:-1]]])
-        return np.add.reduceat((turns < held[groups]).astype(np.int64), starts)
+        return np.add.reduceat(turns < held[groups], starts, dtype=np.int64)

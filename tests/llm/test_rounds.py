@@ -1,13 +1,18 @@
-"""Concentration steps that end one by one, and words that are not remembered."""
+"""Concentration steps that end one by one, words that are not remembered, and memory that is given back."""
 
+import ctypes
 import random
+import re
 import tracemalloc
+from pathlib import Path
+from types import SimpleNamespace
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
 
-from funil.llm import quality, word_ids
+from funil.llm import jaccard_join, quality, word_ids
 
 
 def test_starts_at_rest_are_not_carried_on(spark, monkeypatch):
@@ -94,3 +99,47 @@ def test_memory_of_remembered_words(name, spaced):
     held = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - before
     tracemalloc.stop()
     assert len(words.known) > 55_000 and held < 60 * len(words.known), held
+
+
+class Given:
+    """Stands for rows, and keeps the functions that would run over them."""
+
+    def __init__(self, schema):
+        self.schema, self.runs = schema, []
+        self.sparkSession = self.sparkContext = self
+
+    def broadcast(self, value):
+        return SimpleNamespace(value=value)
+
+    def select(self, *columns):
+        return self
+
+    def repartition(self, *columns):
+        return self
+
+    def mapInArrow(self, run, schema):
+        self.runs.append(run)
+        return self
+
+
+def test_workers_of_the_join_give_memory_back(spark):
+    """When a task ends its worker holds next to nothing that is free: the executor's next stage needs the memory."""
+    rnd = random.Random(7)
+    words = ["".join(rnd.choices("abcdefghij", k=6)) for _ in range(5000)]
+    texts = [" ".join(rnd.choices(words, k=500)) for _ in range(5000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["_id", "_text"])
+    rows = Given(spark.createDataFrame([], "_id long, _text string").schema)
+    jaccard_join._profiles(rows, 5)
+    jaccard_join._blocks(rows, np.zeros(0, np.uint64), 5, 75, 256)
+    free = []
+
+    def private():
+        return int(re.search(r"Private_Dirty:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())[1]) / 1024
+
+    for run in rows.runs[:2]:
+        assert sum(b.num_rows for b in run(iter([batch])))
+        held = private()
+        pa.default_memory_pool().release_unused()
+        ctypes.CDLL(None).malloc_trim(0)
+        free.append(held - private())
+    assert max(free) < 16, free
