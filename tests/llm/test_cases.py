@@ -3,6 +3,7 @@
 import random
 from itertools import combinations
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -14,12 +15,14 @@ from funil.llm.exact_dedup import exact_groups
 from funil.llm.jaccard_join import RTree, first_shingles, similar_groups
 from funil.llm.license_scan import document_licences, scan, train
 from funil.llm.line_dedup import drop_boilerplate
+from funil.llm.oracle import ORACLE
 from funil.llm.packing import Schedule, pack, weights
 from funil.llm.piece_codec import Codec, encode_decode
 from funil.llm.pii import find, find_personal_data, identifiers, mask_documents, masked
 from funil.llm.quality import (
     CONSISTENCY, VECTOR, accepted, base_failed, covariance_determinants, quality_rules, with_statistics,
 )
+from funil.llm.queries import QUERIES
 from funil.llm.sharding import shard_rows
 from funil.llm.shingles import counts, groups, points, shingle_sets
 from funil.llm.token_files import Reader, read_files, write_files
@@ -355,6 +358,21 @@ def test_line_dedup_counts_pages(spark):
     assert {r["page_id"]: r["text"] for r in collect(drop_boilerplate(keyed, "host", page_col="key", joint=copies))} == joint
 
 
+def test_pages_without_html_are_no_pages_of_their_host(spark, tmp_path):
+    """They have no lines that could be seen, so they do not raise the total; empty pages and copies do. Code and SQL."""
+    own = [f"<p>menu</p><p>own {k}</p>" for k in range(5)]
+    html = {"unread": [*own, *[None] * 60], "blank": [*own, *["<br>"] * 60], "copies": [*own, *["<p>log in</p>"] * 60]}
+    left = {"unread": [*[f"own {k}" for k in range(5)], *[None] * 60]}
+    left |= {host: [*[f"menu\nown {k}" for k in range(5)], *[""] * 60] for host in ("blank", "copies")}
+    pages = [(100 * h + k, f"http://{host}/", x) for h, host in enumerate(html) for k, x in enumerate(html[host])]
+    expected = {100 * h + k: x for h, host in enumerate(html) for k, x in enumerate(left[host])}
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    assert {r["page_id"]: r["text"] for r in collect(QUERIES["op8_line_dedup"](spark, str(tmp_path)))} == expected
+    with duckdb.connect() as db:
+        db.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+        assert {d: text for d, _, text, *_ in db.sql(ORACLE["op8_line_dedup"]).fetchall()} == expected
+
+
 def test_token_files(spark, awkward, empty):
     folder = new_folder(spark, "test")
     index = write_files(awkward, folder, BYTES, length=64)
